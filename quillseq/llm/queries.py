@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quillseq.llm import chat_format, mixing, quality_rules
+from quillseq.llm import chat_format, mixing, quality_rules, token_file
 
 
 def queries() -> dict:
     return {
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_mixing": mixing.op3_mixing,
+        "op7_token_file": token_file.op7_token_file,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
     }
 
