@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quillseq.llm import chat_format, mixing, quality_rules, token_file
+from quillseq.llm import chat_format, mixing, quality_rules, token_file, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_mixing": mixing.op3_mixing,
         "op7_token_file": token_file.op7_token_file,
