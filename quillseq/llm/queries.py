@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillseq.llm import chat_format, mixing, quality_rules, token_file, toxicity
+from quillseq.llm import chat_format, lm_scoring, mixing, quality_rules, token_file, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_mixing": mixing.op3_mixing,
         "op7_token_file": token_file.op7_token_file,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
+        "op10_lm_scoring": lm_scoring.op10_lm_scoring,
     }
 
 

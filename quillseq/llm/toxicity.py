@@ -15,6 +15,7 @@ score; very long texts are scanned whole; extra columns are ignored; an empty ta
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 
@@ -42,7 +43,7 @@ PLAIN = (-3.0, 4.0, 1.0, 1.0, 1.5, 4.0, 1.0, 1.0, 1.5)
 NEAR_TARGET, NEAR_NEGATION = 6, 2
 
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
-_CLAUSE = ".!?;:\n"
+_CLAUSE = re.compile(r"[.!?;:\n]")
 
 
 def fold(text: str) -> str:
@@ -103,15 +104,16 @@ class Grammar:
 
     def clauses(self, text: str):
         """Clauses of the folded text that hold a stem at the start of a word."""
-        done = -1
+        done, marks = -1, None
         for end, n in self.find.iter(text):
             at = end - n + 1
             if at < done or (at and text[at - 1].isalpha()):
                 continue
-            a = max(text.rfind(c, 0, at) for c in _CLAUSE) + 1 if at else 0
-            b = min((x for x in (text.find(c, at) for c in _CLAUSE) if x >= 0), default=len(text))
-            done = b
-            yield text[max(a, at - 2000) : min(b, at + 8000)] if b - a > 10000 else text[a:b]
+            if marks is None:
+                marks = [-1, *(m.start() for m in _CLAUSE.finditer(text)), len(text)]
+            k = bisect.bisect_left(marks, at)
+            done = marks[k]
+            yield text[marks[k - 1] + 1 : done]
 
     def events(self, text: str | None) -> np.ndarray:
         out = np.zeros(len(EVENTS))
