@@ -30,15 +30,18 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillseq/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files behind the table
-    return back
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def crc_mod(col: Column, n: int) -> Column:
