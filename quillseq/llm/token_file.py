@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quillseq.llm import rans
 from quillseq.llm.common import settle, table
-from quillseq.llm.tokenize import Encoder, chunks
+from quillseq.llm.tokenize import chunks, encode
 
 SEGMENT, BLOCK, END_ID = 1 << 21, rans.LANES * rans.ROWS, 1
 FILE = "part int, segment int, n_docs long, n_ids long, doc_ids binary, null_ids binary, doc_sizes binary, freqs binary, blocks array<binary>, index_crc long"
@@ -37,7 +37,7 @@ def _writer(path: str, end_id: int):
     def run(batches):
         from pyspark import TaskContext
 
-        part, enc, segment = TaskContext.get().partitionId(), Encoder(path), 0
+        part, segment = TaskContext.get().partitionId(), 0
         ids, sizes, names, nulls, held = [], [], [], [], 0
 
         def row():
@@ -52,7 +52,7 @@ def _writer(path: str, end_id: int):
         for batch in batches:
             text, key = batch.column("text"), batch.column("doc_id")
             for a, b in chunks(text):
-                got, first, *_ = enc(text.slice(a, b - a))
+                got, first = encode(path, text.slice(a, b - a))
                 n = b - a
                 out = np.full(len(got) + n, end_id, np.uint32)  # each document's ids, then the end
                 place = np.arange(len(got)) + np.repeat(np.arange(n), np.diff(first))

@@ -1,96 +1,97 @@
 """Encoding of whole documents by pieces.
 
 A piece is a run of separators and the word after it. The public tokenizers used here never match across the end of a word
-into a separator, and neither composition (NFC) nor case folding does, so a document's ids are its pieces' ids, one after
-the other. A piece that came before is not encoded again: the library sees each distinct piece once per task, up to a
-bound on what is remembered.
+into a separator, nor from a letter into a full stop or comma, and neither composition (NFC) nor case folding does, so a
+document's ids are its pieces' ids, one after the other. The library sees each distinct piece of a stretch of text once.
 """
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-from quillseq.llm.common import encoded, pieces, utf8
+from quillseq.llm.common import LOWER, SEP_LUT, encoded, pieces, utf8
 
-REMEMBER = 400_000
+#: Bytes of text encoded at once, and words per call of the library.
+STRETCH, BLOCK = 16 << 20, 256
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_STOP = np.zeros(256, bool)
+_STOP[[44, 46]] = True
 
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True  # their strings in a text are ordinary text
     return t
 
 
-class Encoder:
-    """offsets: also give each token's first byte within its piece (of the character it starts in) and its end."""
-
-    def __init__(self, path: str, offsets: bool = False):
-        self.tok, self.offsets = tokenizer(path), offsets
-        self.known: dict[bytes, int] = {}
-        self._reset()
-
-    def _reset(self) -> None:
-        self.known.clear()
-        self.size, self.used = np.zeros(1024, np.int32), 0
-        self.at = np.zeros(1024, np.int64)
-        self.ids, self.n_ids = np.zeros(4096, np.uint32), 0
-        self.begin, self.end = np.zeros(4096, np.int32), np.zeros(4096, np.int32)
-
-    @staticmethod
-    def _room(a: np.ndarray, n: int) -> np.ndarray:
-        return a if n <= len(a) else np.concatenate([a, np.zeros(max(n - len(a), len(a)), a.dtype)])
-
-    def _learn(self, new: list[bytes]) -> None:
-        texts = [b.decode("utf-8", "replace") for b in new]
-        for b, t, e in zip(new, texts, self.tok.encode_batch(texts, add_special_tokens=False), strict=True):
-            ids = e.ids
-            k, m = self.used, self.n_ids + len(ids)
-            self.size, self.at = self._room(self.size, k + 1), self._room(self.at, k + 1)
-            self.ids = self._room(self.ids, m)
-            self.ids[self.n_ids : m] = ids
-            if self.offsets:
-                self.begin, self.end = self._room(self.begin, m), self._room(self.end, m)
-                if len(t) == len(b):
-                    spans = e.offsets
-                else:
-                    place = np.cumsum([0, *(len(c.encode()) for c in t)])
-                    spans = [(place[i], place[j]) for i, j in e.offsets]
-                if ids:
-                    self.begin[self.n_ids : m], self.end[self.n_ids : m] = zip(*spans, strict=True)
-            self.size[k], self.at[k] = len(ids), self.n_ids
-            self.known[b] = k
-            self.used, self.n_ids = k + 1, m
-
-    def __call__(self, column: pa.Array):
-        """(ids, first token of each document + the end, piece starts, piece of each token, index into begin and end)."""
-        buf, offs = utf8(column)
-        cuts = pieces(buf, offs)
-        if len(cuts) < 2:
-            none = np.zeros(0, np.int64)
-            return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64), none, none, none
-        uniq, idx = encoded(buf, cuts)
-        if len(self.known) > REMEMBER:
-            self._reset()
-        uniq = uniq.to_pylist()
-        new = [b for b in uniq if b not in self.known]
-        if new:
-            self._learn(new)
-        which = np.fromiter((self.known[b] for b in uniq), np.int64, len(uniq))[idx]
-        n = self.size[which].astype(np.int64)
-        ends = np.cumsum(n)
-        piece = np.repeat(np.arange(len(which)), n)
-        src = np.arange(ends[-1]) - np.repeat(ends - n, n) + np.repeat(self.at[which], n)
-        first = np.concatenate([[0], ends])[np.searchsorted(cuts[:-1], offs)]
-        return self.ids[src], first, cuts, piece, src
-
-
-def chunks(column: pa.Array, most: int = 1 << 21):
+def _chars(buf: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Code points of each stretch."""
+    lead = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+    return np.diff(lead[cuts])
+
+
+def _each(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    got = [e.ids for e in tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    return np.fromiter((i for x in got for i in x), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
+
+
+def word_ids(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct words, one after the other, and the number of each; for tokenizers that drop white space."""
+    if not len(words):
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    raw = words.to_pylist()
+    try:
+        b" ".join(raw).decode()
+    except UnicodeDecodeError:
+        return _each(path, [b.decode("utf-8", "replace") for b in raw])
+    buf, offs = utf8(words)
+    ends = np.cumsum(_chars(buf, offs) + 1)  # in code points, with the space after each word
+    first = np.arange(0, len(raw), BLOCK)
+    base = np.concatenate([[0], ends])[first]
+    got = tokenizer(path).encode_batch([b" ".join(raw[i : i + BLOCK]).decode() for i in first], add_special_tokens=False)
+    ids = np.fromiter((i for e in got for i in e.ids), np.uint32)
+    at = np.fromiter((a for e in got for a, _ in e.offsets), np.int64, len(ids))
+    at += np.repeat(base, [len(e) for e in got])
+    return ids, np.bincount(np.searchsorted(ends, at, "right"), minlength=len(raw))
+
+
+def encode(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all documents, first id of each document + the end), for tokenizers that fold case and drop white space."""
+    buf, offs = utf8(column)
+    cuts = pieces(buf, offs)
+    if len(cuts) < 2:
+        return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
+    sep = SEP_LUT[buf]
+    cut = np.zeros(len(buf), bool)
+    cut[cuts[:-1]] = True
+    cut[1:] |= _LETTER[buf[:-1]] & _STOP[buf[1:]]
+    real = ~sep
+    place = np.zeros(len(buf) + 1, np.int32 if len(buf) < 1 << 31 else np.int64)
+    np.cumsum(real, out=place[1:])  # where each byte goes once separators are dropped
+    text = LOWER[buf[real]]
+    new = place[np.flatnonzero(cut)]
+    new = np.append(new[np.append(new[1:] != new[:-1], True) & (new < len(text))], len(text))
+    if len(new) < 2:
+        return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
+    uniq, idx = encoded(text, new)
+    ids, count = word_ids(path, uniq)
+    src = np.cumsum(count) - count
+    n = count[idx]
+    ends = np.cumsum(n)
+    out = ids[np.arange(ends[-1]) + np.repeat(src[idx] - ends + n, n)]
+    return out, np.concatenate([[0], ends])[np.searchsorted(new[:-1], place[offs])]
+
+
+def chunks(column: pa.Array, most: int = STRETCH):
     """Stretches of documents of about so many bytes: (first, end)."""
     _, offs = utf8(column)
     a = 0
