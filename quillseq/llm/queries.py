@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillseq.llm import chat_format, lm_scoring, mixing, ngram_join, quality_rules, token_file, toxicity
+from quillseq.llm import chat_format, decontaminate, lm_scoring, mixing, ngram_join, quality_rules, token_counts, token_file, toxicity
 
 
 def queries() -> dict:
@@ -10,12 +10,14 @@ def queries() -> dict:
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_mixing": mixing.op3_mixing,
+        "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_ngram_join": ngram_join.op6_ngram_join,
         "op7_token_file": token_file.op7_token_file,
+        "op8_token_counts": token_counts.op8_token_counts,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
         "op10_lm_scoring": lm_scoring.op10_lm_scoring,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE, "op9_chat_formatting": chat_format.ORACLE}
+    return {"op3_mixing": mixing.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op9_chat_formatting": chat_format.ORACLE}
