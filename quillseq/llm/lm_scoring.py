@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillseq.llm import keyed
-from quillseq.llm.common import crc_mod, mix, n_batches, table, words
+from quillseq.llm.common import crc_mod, mix, n_batches, table, tidy, words
 
 #: Training documents have an id remainder other than OUT modulo SPLIT; those with remainder HELD teach the weights.
 SPLIT, OUT, HELD = 7, 2, 3
@@ -128,6 +128,7 @@ def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     # documents that teach the weights have batches of their own, so that only these are read again for the EM
     d = keyed.dealt(d, n).withColumn("_bid", F.when(F.col("_r") == HELD, F.col("_bid") + n).otherwise(F.col("_bid")))
     told = keyed.summed(d.groupBy("_bid").applyInArrow(_ask(n), keyed.ASK), 2, _stats, "lm-counts")
+    tidy(docs.sparkSession)
     totals = [0, 0, 0, 0]
     for r in told.where("bid = -1").select("sums").collect():  # a row of four numbers per bucket
         totals = [a + b for a, b in zip(totals, struct.unpack("<QQQQ", r["sums"]), strict=True)]
@@ -145,6 +146,8 @@ def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     per = held.groupBy("_bid").cogroup(asked.where(F.col("_bid") >= n).groupBy("_bid")).applyInArrow(tally, "b long, p2 long, p1 long, n long")
     tell = {(r["b"], r["p2"], r["p1"]): r["n"] for r in per.groupBy("b", "p2", "p1").agg(F.sum("n").alias("n")).collect()}
     lam = learn_weights(tell, 1.0 / (totals[3] + 1))
+    del per, held
+    tidy(docs.sparkSession)
 
     def final(key: tuple[pa.Scalar, ...], group: pa.Table, answer: pa.Table) -> pa.Table:
         e = Estimates(group, answer, totals, False)
