@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillseq.llm import chat_format, decontaminate, lm_scoring, mixing, ngram_join, quality_rules, token_counts, token_file, toxicity
+from quillseq.llm import chat_format, decontaminate, lm_scoring, mixing, ngram_join, quality_rules, substring_dedup, token_counts, token_file, toxicity
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_mixing": mixing.op3_mixing,
+        "op4_substring_dedup": substring_dedup.op4_substring_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_ngram_join": ngram_join.op6_ngram_join,
         "op7_token_file": token_file.op7_token_file,
