@@ -8,6 +8,7 @@ frequent key does not make a bucket large, and rows on the wire are arrays, not
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -36,10 +37,18 @@ def unpack_keys(b: bytes) -> np.ndarray:
     return np.cumsum(unplanes(b, np.uint64), dtype=np.uint64)
 
 
+def pack_sums(a: np.ndarray) -> bytes:
+    return zlib.compress(planes(np.ascontiguousarray(a).reshape(-1)), 1)
+
+
+def unpack_sums(b: bytes, n_sums: int) -> np.ndarray:
+    return unplanes(zlib.decompress(b), np.uint32).reshape(n_sums, -1)
+
+
 def asks(bid: int, keys: np.ndarray, adds: np.ndarray, n: int) -> pa.Table:
     """keys: sorted and distinct; adds: uint32, a row per sum and a column per key."""
     cuts = bucket_cuts(keys, n)
-    rows = [{"bid": bid, "bucket": i, "keys": pack_keys(keys[a:b]), "adds": planes(np.ascontiguousarray(adds[:, a:b]).reshape(-1))} for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+    rows = [{"bid": bid, "bucket": i, "keys": pack_keys(keys[a:b]), "adds": pack_sums(adds[:, a:b])} for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
     return pa.Table.from_pylist(rows, ASK_SCHEMA)
 
 
@@ -49,13 +58,13 @@ def summed(asked: DataFrame, n_sums: int, stats: Callable[[np.ndarray, np.ndarra
     def run(group: pa.Table) -> pa.Table:
         bids, bucket = group.column("bid").to_pylist(), group.column("bucket")[0].as_py()
         keys = [unpack_keys(x.as_py()) for x in group.column("keys")]
-        adds = [unplanes(x.as_py(), np.uint32).reshape(n_sums, -1) for x in group.column("adds")]
+        adds = [unpack_sums(x.as_py(), n_sums) for x in group.column("adds")]
         uniq, at = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.stack([np.bincount(at, np.concatenate([a[i] for a in adds]), len(uniq)) for i in range(n_sums)]).astype(np.uint64)
         out, pos = [], 0
         for bid, k in zip(bids, keys, strict=True):
             part = sums[:, at[pos : pos + len(k)]]
-            out.append({"bid": bid, "bucket": bucket, "sums": planes(np.ascontiguousarray(np.minimum(part, 2**32 - 1).astype(np.uint32)).reshape(-1))})
+            out.append({"bid": bid, "bucket": bucket, "sums": pack_sums(np.minimum(part, 2**32 - 1).astype(np.uint32))})
             pos += len(k)
         if stats is not None:
             out.append({"bid": -1, "bucket": bucket, "sums": stats(uniq, sums)})
@@ -68,5 +77,5 @@ def answers(group: pa.Table, n_sums: int) -> np.ndarray:
     """A batch's answers: a row per sum, in the order of its keys."""
     order = np.argsort(group.column("bucket").to_numpy())
     sums = group.column("sums")
-    parts = [unplanes(sums[int(i)].as_py(), np.uint32).reshape(n_sums, -1) for i in order]
+    parts = [unpack_sums(sums[int(i)].as_py(), n_sums) for i in order]
     return np.concatenate(parts, axis=1) if parts else np.zeros((n_sums, 0), np.uint32)
