@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from quillseq.llm import bcr, keyed
 from quillseq.llm.common import _BYTE, bucket_cuts, mix, n_batches, settle, table, tidy, utf8
 
-LENGTH, KMER, SEGMENT, BATCH_BYTES, BUCKET = 200, 24, 1 << 20, 4 << 20, 600
+LENGTH, KMER, SEGMENT, BATCH_BYTES, BUCKET = 200, 24, 1 << 20, 4 << 20, 250
 SPAN = LENGTH - KMER + 1  # k-mers in a window
 SIDE = (LENGTH - KMER) // 2
 _B = np.uint64(0x9E3779B97F4A7C15)
