@@ -90,24 +90,15 @@ class Estimates:
         self.bucket = np.minimum(np.frexp(ctx.astype(float))[1], BUCKETS - 1)  # 0: never seen
 
 
-def _expect(tell: dict) -> np.ndarray:
-    """Weights (bucket, 3) by EM from counts of (bucket, rounded log p2 and p1); -1 stands for probability 0."""
-    rows = np.array([(*k, n) for k, n in tell.items()], float).reshape(-1, 4)
+def learn_weights(tell: dict, p0: float, rounds: int = 200) -> np.ndarray:
+    """Weights (bucket, 3) by EM from counts of (bucket, rounded -log p2 and p1); -1 stands for probability 0."""
     lam = np.full((BUCKETS, 3), [0.3, 0.6, 0.1])
     lam[0] = [0.0, 0.9, 0.1]
-    if not len(rows):
+    if not tell:
         return lam
+    rows = np.array([(*k, n) for k, n in tell.items()], float)
     b, n = rows[:, 0].astype(int), rows[:, 3]
-    p = np.stack([np.where(rows[:, i] < 0, 0.0, 10.0 ** (-rows[:, i] / STEP)) for i in (1, 2)], 1)
-    return b, n, p, lam
-
-
-def learn_weights(tell: dict, p0: float, rounds: int = 200) -> np.ndarray:
-    got = _expect(tell)
-    if isinstance(got, np.ndarray):
-        return got
-    b, n, p, lam = got
-    p = np.concatenate([p, np.full((len(p), 1), p0)], 1)
+    p = np.stack([np.where(rows[:, i] < 0, 0.0, 10.0 ** (-rows[:, i] / STEP)) for i in (1, 2)] + [np.full(len(rows), p0)], 1)
     prior = np.array([1.0, 2.0, 1.0])  # keeps every weight above 0 where a bucket has little to tell
     for _ in range(rounds):
         e = lam[b] * p
@@ -146,6 +137,8 @@ def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     per = held.groupBy("_bid").cogroup(asked.where(F.col("_bid") >= n).groupBy("_bid")).applyInArrow(tally, "b long, p2 long, p1 long, n long")
     tell = {(r["b"], r["p2"], r["p1"]): r["n"] for r in per.groupBy("b", "p2", "p1").agg(F.sum("n").alias("n")).collect()}
     lam = learn_weights(tell, 1.0 / (totals[3] + 1))
+    if not totals[0]:  # nothing was learned: the uniform estimate alone
+        lam = np.full((BUCKETS, 3), [0.0, 0.0, 1.0])
     del per, held
     tidy(docs.sparkSession)
 
