@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import math
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -34,6 +35,7 @@ def tidy(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.2)  # the cleaner runs beside
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillseq.llm.common import settle
+from quillseq.llm.common import settle, tidy
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,5 +23,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         jump = labels.select(F.col("node").alias("l"), F.col("label").alias("far"))
         new = settle(one.join(jump, one["label"] == jump["l"], "left").select("node", "was", F.least("label", F.coalesce("far", "label")).alias("label")), "labels")
         labels = new.select("node", "label")
+        tidy(links.sparkSession)
         if not new.where("label <> was").limit(1).count():
             return labels

@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from quillseq.llm import keyed
 from quillseq.llm.common import bucket_cuts, mix, n_batches, planes, settle, table, tidy, unplanes, words
 from quillseq.llm.components import components
+from quillseq.llm.tokenize import chunks
 
-WORDS, LEVELS, BATCH_BYTES, SKETCH = 5, 4, 4 << 20, 64
+WORDS, LEVELS, BATCH_BYTES, SKETCH, SMALL = 5, 4, 4 << 20, 256, 200_000
 #: Similarity 0.8: 100 * intersection >= 80 * union, so sizes differ by a factor of 5/4 and sets by (a + b) / 9.
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -48,29 +49,45 @@ def bands(top: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes per document (sorted inside), and where each document's begin."""
+    """Distinct shingle hashes (52 bits) per document, sorted inside, and where each document's begin."""
+    if len(column) > 4096:
+        parts = [shingles(column.slice(i, 4096)) for i in range(0, len(column), 4096)]
+        sizes = np.concatenate([np.diff(f) for _, f in parts])
+        return np.concatenate([x for x, _ in parts]), np.concatenate([[0], np.cumsum(sizes)])
     h, first = words(column, lower=True)
     n = len(first) - 1
-    size = np.diff(first)
-    doc = np.repeat(np.arange(n), size)
+    start, end = first[:-1], first[1:]
     with np.errstate(over="ignore"):
-        place = np.arange(len(h)) - np.repeat(first[:-1], size)
-        left = np.repeat(size, size) - place  # words from here on
-        x = np.zeros(len(h), np.uint64)
-        for k in range(WORDS):
-            ok = left > k
-            w = np.zeros(len(h), np.uint64)
-            w[ok] = h[np.flatnonzero(ok) + k]
-            x = x * _MUL + w
-        x = mix(x)
-    start = (left >= WORDS) | (place == 0)
-    x, doc = x[start], doc[start]
-    order = np.lexsort((x, doc))
-    x, doc = x[order], doc[order]
-    new = np.ones(len(x), bool)
-    new[1:] = (x[1:] != x[:-1]) | (doc[1:] != doc[:-1])
-    x, doc = x[new], doc[new]
-    return x, np.searchsorted(doc, np.arange(n + 1))
+        padded = np.concatenate([h, np.zeros(WORDS - 1, np.uint64)])
+        x = padded[: len(h)].copy()
+        for k in range(1, WORDS):
+            x *= _MUL
+            x += padded[k : len(h) + k]
+        whole = np.ones(len(h), bool)
+        for k in range(1, WORDS):
+            at = end - k
+            whole[at[at >= start]] = False
+        short = np.flatnonzero((end - start > 0) & (end - start < WORDS))
+        for i in short.tolist():  # the whole sequence, as the loop above would have it with nothing after it
+            v = np.uint64(0)
+            for k in range(WORDS):
+                v = v * _MUL + (h[start[i] + k] if start[i] + k < end[i] else np.uint64(0))
+            x[start[i]] = v
+        whole[start[short]] = True
+        x = mix(x[whole])
+    doc = np.repeat(np.arange(n, dtype=np.uint64), np.maximum(end - start - WORDS + 1, (end > start).astype(np.int64)))
+    key = doc << np.uint64(52) | x >> np.uint64(12)
+    key.sort()
+    if len(key):
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+    return key & np.uint64((1 << 52) - 1), np.searchsorted(key, np.arange(n + 1, dtype=np.uint64) << np.uint64(52)) if n < 4096 else np.append(np.searchsorted(key, np.arange(n, dtype=np.uint64) << np.uint64(52)), len(key))
+
+
+def sketches(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Counts of each set's elements in SKETCH cells, at most 255: differences bound those of the sets from below."""
+    n = len(first) - 1
+    cell = np.repeat(np.arange(n), np.diff(first)) * SKETCH + (x >> np.uint64(44)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=n * SKETCH), 255).astype(np.uint8)
 
 
 def set_hashes(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,9 +142,11 @@ def signatures(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _described(batches):
     for b in batches:
-        x, first = shingles(b.column("text"))
-        p, q = set_hashes(x, first)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(first)), pa.array(p), pa.array(q)], names=["doc_id", "n_shingles", "p", "q"])
+        for i, j in chunks(b.column("text"), 2 << 20):
+            x, first = shingles(b.column("text").slice(i, j - i))
+            p, q = set_hashes(x, first)
+            sk = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH), j - i, [None, pa.py_buffer(sketches(x, first))]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(np.diff(first)), pa.array(p), pa.array(q), sk], names=["doc_id", "n_shingles", "p", "q", "sketch"])
 
 
 def _ask(n: int):
@@ -184,21 +203,33 @@ def _shared(n: int):
 
 
 def _sets(batches):
+    """Sets of the rows whose text is the class's (an id may stand for several texts)."""
     for b in batches:
-        x, first = shingles(b.column("text"))
-        blobs, sketches = [], []
-        for a, z in zip(first[:-1], first[1:], strict=True):
-            s = x[a:z]
-            blobs.append(s.tobytes())
-            sketches.append(np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes())
-        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(np.diff(first)), pa.array(blobs, pa.binary()), pa.array(sketches, pa.binary())], names=["node", "size", "set", "sketch"])
+        for i, j in chunks(b.column("text"), 2 << 20):
+            x, first = shingles(b.column("text").slice(i, j - i))
+            p, q = set_hashes(x, first)
+            own = np.flatnonzero((p == b.column("p").to_numpy()[i:j]) & (q == b.column("q").to_numpy()[i:j]))
+            yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(own + i)), pa.array([keyed.pack_keys(x[first[k] : first[k + 1]]) for k in own], pa.binary())], names=["node", "set"])
+
+
+def _close(size_a, size_b, sketch_a, sketch_b) -> np.ndarray:
+    """Pairs that sizes and sketches allow: sets of similarity 0.8 differ in at most a ninth of their summed sizes."""
+    apart = np.abs(sketch_a.astype(np.int16) - sketch_b.astype(np.int16)).sum(1)
+    return (5 * np.minimum(size_a, size_b) >= 4 * np.maximum(size_a, size_b)) & (9 * apart <= size_a + size_b)
+
+
+def _possible(batches):
+    for b in batches:
+        at = lambda c: np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH)  # noqa: E731, B023
+        ok = _close(b.column("size_a").to_numpy(), b.column("size_b").to_numpy(), at("sketch_a"), at("sketch_b"))
+        yield b.select(["a", "b"]).filter(pa.array(ok))
 
 
 def _linked(batches):
     for b in batches:
         keep = []
         for i, (p, q) in enumerate(zip(b.column("set_a"), b.column("set_b"), strict=True)):
-            x, y = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
+            x, y = keyed.unpack_keys(p.as_py()), keyed.unpack_keys(q.as_py())
             if 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)):
                 z = np.concatenate([x, y])
                 z.sort()
@@ -215,31 +246,57 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return one.join(s.withColumnsRenamed({"node": "a", "set": "set_a"}), "a").select("a", "b", "set_a", "set_b").mapInArrow(_linked, "a long, b long")
 
 
-def _across(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-    """Pairs of a group's members from different components whose sketches allow a link."""
-    order = np.argsort(group.column("node").to_numpy())
-    node, comp, size = (group.column(c).to_numpy()[order] for c in ("node", "comp", "size"))
-    sk = np.stack([np.frombuffer(v.as_py(), np.uint8) for v in group.column("sketch")])[order].astype(np.int16)
-    a, b = [], []
-    for i in range(len(node) - 1):
-        j = np.flatnonzero((comp[i + 1 :] != comp[i]) & (5 * np.minimum(size[i + 1 :], size[i]) >= 4 * np.maximum(size[i + 1 :], size[i]))) + i + 1
-        if len(j):
-            j = j[9 * np.abs(sk[j] - sk[i]).sum(1) <= size[j] + size[i]]
-            a.append(np.full(len(j), node[i]))
-            b.append(node[j])
-    return pa.table({"a": np.concatenate(a) if a else np.zeros(0, np.int64), "b": np.concatenate(b) if b else np.zeros(0, np.int64)})
+def _hub_pairs(group: pa.Table) -> pa.Table:
+    """Each member of a signature's group with the group's hub: the member of most shared signatures, then of least number."""
+    sig, node, support = (group.column(c).to_numpy() for c in ("sig", "node", "support"))
+    order = np.lexsort((node, -support, sig))
+    sig, node = sig[order], node[order]
+    start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    hub = np.repeat(node[start], np.diff(np.append(start, len(sig))))
+    both = np.stack([np.minimum(node, hub), np.maximum(node, hub)], 1)[node != hub]
+    both = np.unique(both, axis=0)
+    return pa.table({"a": both[:, 0], "b": both[:, 1]})
+
+
+def _across(group: pa.Table, known: pa.Table) -> pa.Table:
+    """Pairs of members of one signature that are of different components and whose sketches allow a link."""
+    if not group.num_rows:
+        return pa.table({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    who = known.column("who").to_numpy()
+    by = np.argsort(who)
+    size_of, comp_of = (known.column(c).to_numpy()[by] for c in ("size", "comp"))
+    sk = np.frombuffer(b"".join(known.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)[by]
+    sig, node = (group.column(c).to_numpy() for c in ("sig", "node"))
+    order = np.lexsort((node, sig))
+    sig, node = sig[order], node[order]
+    row = np.searchsorted(who[by], node)
+    size, comp = size_of[row], comp_of[row]
+    left = np.searchsorted(sig, sig, "right") - np.arange(len(sig)) - 1  # members after each one
+    found, at, d = [], np.flatnonzero(left >= 1), 1
+    while len(at):  # pairs of members d places apart
+        i, j = at, at + d
+        ok = (comp[i] != comp[j]) & (5 * np.minimum(size[i], size[j]) >= 4 * np.maximum(size[i], size[j]))
+        i, j = i[ok], j[ok]
+        for k in range(0, len(i), 1 << 15):
+            x, y = i[k : k + (1 << 15)], j[k : k + (1 << 15)]
+            ok = _close(size[x], size[y], sk[row[x]], sk[row[y]])
+            found.append(np.stack([node[x[ok]], node[y[ok]]], 1))
+        d += 1
+        at = at[left[at] >= d]
+    both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+    return pa.table({"a": both[:, 0], "b": both[:, 1]})
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, p and q (the set's hashes) of every document, settled."""
-    return settle(docs.select("doc_id", "text").mapInArrow(_described, "doc_id long, n_shingles long, p long, q long"), "shingle-sets")
+    """doc_id, n_shingles, p and q (the set's hashes) and sketch of every document, settled."""
+    return settle(docs.select("doc_id", "text").mapInArrow(_described, "doc_id long, n_shingles long, p long, q long, sketch binary"), "shingle-sets")
 
 
 def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     seen = classes(docs)
     n = n_batches(docs, "text", batch_bytes)
-    reps = seen.where("n_shingles > 0").groupBy("n_shingles", "p", "q").agg(F.min("doc_id").alias("doc_id"))
+    reps = seen.where("n_shingles > 0").groupBy("n_shingles", "p", "q").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"))
     reps = keyed.dealt(reps, n)
     number = F.row_number().over(Window.partitionBy("_bid").orderBy("doc_id", "p", "q"))  # a batch's classes
     reps = settle(reps.withColumn("node", F.col("_bid") * (1 << 24) + number), "classes")
@@ -250,25 +307,33 @@ def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     tidy(docs.sparkSession)
     support = shared.groupBy("node").agg(F.count(F.lit(1)).alias("support"))
     support = settle(support, "support")
-    hubs = shared.join(support, "node").groupBy("sig").agg(F.max(F.struct("support", (-F.col("node")).alias("hub"))).alias("_h")).select("sig", (-F.col("_h.hub")).alias("hub"))
-    pairs = shared.join(hubs, "sig").where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    pairs = settle(pairs, "hub-pairs")
-    # only classes that share a signature are read again
-    need = reps.join(support.select("node"), "node").select("doc_id", "p", "q", "node")
-    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(need.withColumnRenamed("doc_id", "_d"), F.col("doc_id").eqNullSafe(F.col("_d"))).select("node", "p", "q", "text")
-    sets = settle(texts.mapInArrow(_own_sets, "node long, size long, set binary, sketch binary").dropDuplicates(["node"]), "sets")
-    del texts
+    part = F.pmod("sig", F.lit(4 * n)).alias("_part")  # groups of whole signatures, about as many as batches
+    pairs = shared.join(support, "node").select("sig", "node", "support", part).groupBy("_part").applyInArrow(_hub_pairs, "a long, b long").distinct()
+    sketch = reps.select("node", F.col("n_shingles").alias("size"), "sketch")
+    one = pairs.join(sketch.withColumnsRenamed({"node": "a", "size": "size_a", "sketch": "sketch_a"}), "a")
+    two = one.join(sketch.withColumnsRenamed({"node": "b", "size": "size_b", "sketch": "sketch_b"}), "b")
+    pairs = settle(two.mapInArrow(_possible, "a long, b long"), "hub-pairs")
+    tidy(docs.sparkSession)
+    sets = settle(_sets_of(docs, reps, pairs), "sets")
     tidy(docs.sparkSession)
     links = settle(verified(pairs, sets), "links")
+    tidy(docs.sparkSession)
     labels = components(links)
     # members of a group that are still apart: compare them with each other
     inside = shared.join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("comp"))
     apart = inside.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_n")).where("_lo <> _hi AND _n > 2").select("sig")
-    left = inside.join(apart, "sig").join(sets.select("node", "size", "sketch"), "node")
-    more = left.groupBy("sig").applyInArrow(_across, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = settle(verified(settle(more, "cross-pairs"), sets), "cross-links")
+    left = settle(inside.join(apart, "sig").select("sig", "node", "comp", part), "apart")
+    known = left.select(F.col("_part").alias("_group"), F.col("node").alias("_m"), F.col("comp").alias("_c")).distinct()  # a row per group and member
+    known = known.join(sketch, F.col("_m") == F.col("node")).select("_group", F.col("_m").alias("who"), F.col("_c").alias("comp"), "size", "sketch")
+    more = left.select("_part", "sig", "node").groupBy("_part").cogroup(known.groupBy("_group")).applyInArrow(_across, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
+    more = settle(more, "cross-pairs")
+    del inside, apart, left, known
+    tidy(docs.sparkSession)
     if more.limit(1).count():
-        labels = components(links.unionByName(more))
+        more = settle(verified(more, settle(_sets_of(docs, reps, more), "sets")), "cross-links")
+        tidy(docs.sparkSession)
+        if more.limit(1).count():
+            labels = components(links.unionByName(more))
     least = reps.join(labels, "node", "left").select("p", "q", "n_shingles", "doc_id", F.coalesce("label", "node").alias("comp"))
     smallest = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of = least.join(smallest, "comp").select("p", "q", F.col("n_shingles").alias("_n"), "component_id")
@@ -277,20 +342,24 @@ def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     return full.unionByName(seen.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
-def _own_sets(batches):
-    """Sets of the rows whose text is the class's (an id may stand for several texts)."""
-    for b in batches:
-        x, first = shingles(b.column("text"))
-        p, q = set_hashes(x, first)
-        own = (p == b.column("p").to_numpy()) & (q == b.column("q").to_numpy())
-        if own.any():
-            yield from _sets([b.filter(pa.array(own))])
+def _sets_of(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """node and set of the classes in the pairs: only their texts are read again."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    need = settle(reps.join(nodes, "node").select(F.col("doc_id").alias("_d"), "p", "q", "node"), "needed")
+    if need.count() <= SMALL:  # 32 bytes a row: broadcast only up to this size, joined by shuffle beyond it
+        need = F.broadcast(need)
+    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(need, F.col("doc_id").eqNullSafe(F.col("_d"))).select("node", "p", "q", "text")
+    return texts.mapInArrow(_sets, "node long, set binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs without those that have a linked document of smaller id: one document of each group stays."""
-    stay = join(docs).where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
+    """docs without those that have a linked document of smaller id: one document of each group stays. Of rows with one id
+    and text one stays; an id that stands for different texts stays if any of them does."""
+    seen = join(docs)
+    stay = seen.where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    stay = settle(stay, "stay")
+    kept = docs.join(stay.select("_id"), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"]) if stay.where("_n > 1").limit(1).count() else kept
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
