@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillseq.llm import decontaminate, mixing, ngram_join, token_file, toxicity
-from quillseq.llm.common import settle, table
+from quillseq.llm.common import discard, settle, table
 
 #: SQL cannot express the learned toxicity model, the near-duplicate components over whole tables, or the tokenizer.
 ORACLE_SQL = None
@@ -49,7 +49,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents; what each returns is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        out = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = settle(docs, "stage")
+            out = settle(out, "stage")
+            discard(docs)
+        docs = out
     return docs
