@@ -43,7 +43,18 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillseq/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._settled = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes settled tables that no plan reads any more."""
+    for df in tables:
+        if path := getattr(df, "_settled", None):
+            jvm = df.sparkSession._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def crc_mod(col: Column, n: int) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillseq.llm import keyed
-from quillseq.llm.common import bucket_cuts, mix, n_batches, planes, settle, table, tidy, unplanes, words
+from quillseq.llm.common import bucket_cuts, discard, mix, n_batches, planes, settle, table, tidy, unplanes, words
 from quillseq.llm.components import components
 from quillseq.llm.tokenize import chunks
 
@@ -313,10 +313,12 @@ def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     one = pairs.join(sketch.withColumnsRenamed({"node": "a", "size": "size_a", "sketch": "sketch_a"}), "a")
     two = one.join(sketch.withColumnsRenamed({"node": "b", "size": "size_b", "sketch": "sketch_b"}), "b")
     pairs = settle(two.mapInArrow(_possible, "a long, b long"), "hub-pairs")
+    discard(support)
     tidy(docs.sparkSession)
     sets = settle(_sets_of(docs, reps, pairs), "sets")
     tidy(docs.sparkSession)
     links = settle(verified(pairs, sets), "links")
+    discard(sets)
     tidy(docs.sparkSession)
     labels = components(links)
     # members of a group that are still apart: compare them with each other
@@ -326,14 +328,19 @@ def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     known = left.select(F.col("_part").alias("_group"), F.col("node").alias("_m"), F.col("comp").alias("_c")).distinct()  # a row per group and member
     known = known.join(sketch, F.col("_m") == F.col("node")).select("_group", F.col("_m").alias("who"), F.col("_c").alias("comp"), "size", "sketch")
     more = left.select("_part", "sig", "node").groupBy("_part").cogroup(known.groupBy("_group")).applyInArrow(_across, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = settle(more, "cross-pairs")
-    del inside, apart, left, known
+    cross = settle(more, "cross-pairs")
+    discard(shared, left, pairs)
+    del inside, apart, left, known, more
     tidy(docs.sparkSession)
-    if more.limit(1).count():
-        more = settle(verified(more, settle(_sets_of(docs, reps, more), "sets")), "cross-links")
+    if cross.limit(1).count():
+        sets = settle(_sets_of(docs, reps, cross), "sets")
+        more = settle(verified(cross, sets), "cross-links")
+        discard(sets)
         tidy(docs.sparkSession)
         if more.limit(1).count():
             labels = components(links.unionByName(more))
+        discard(more)
+    discard(cross, links)
     least = reps.join(labels, "node", "left").select("p", "q", "n_shingles", "doc_id", F.coalesce("label", "node").alias("comp"))
     smallest = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of = least.join(smallest, "comp").select("p", "q", F.col("n_shingles").alias("_n"), "component_id")

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillseq.llm.common import WORD, crc_mod, settle, table
+from quillseq.llm.common import WORD, crc_mod, discard, settle, table
 
 SYMBOLS = "#*$%&|<>"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -146,6 +146,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     taught = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("quality") == 0).cast("long")).alias("_low"))
     rows = settle(seen.where("NOT base_failed").join(taught, "doc_id").select(*m, "_low", (crc_mod(F.col("doc_id"), 3) == 0).alias("_prune")), "quality-labelled")
     rules = learn(rows, list(m), "_low")
+    discard(rows)
     return seen.withColumn("rule", decide(rules)).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)).drop(*m)
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillseq.llm.common import WORD, crc_mod, settle, table
+from quillseq.llm.common import crc_mod, discard, settle, table
 
 #: The bounded sample to learn from, and the bound on what is learned.
 POSITIVES, NEGATIVES, STEMS = 4_000, 16_000, 5_000
@@ -197,7 +197,9 @@ def fit(rows: DataFrame, stems: list[str], steps: int = 60) -> list[float]:
 def train(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[float]]:
     rows = sample(docs, labels)
     stems = learn_stems(rows)
-    return stems, fit(rows, stems)
+    model = stems, fit(rows, stems)
+    discard(rows)
+    return model
 
 
 def score(docs: DataFrame, model: tuple[list[str], list[float]], column: str = "score") -> DataFrame:
