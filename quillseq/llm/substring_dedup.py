@@ -8,6 +8,9 @@ each, and sorted as one collection per bucket: its Burrows-Wheeler transform and
 and suffixes that share 200 bytes with a neighbour are the repeated windows. Nothing is sampled, and equality is that of the
 bytes (64-bit hashes name k-mers and stretches; two hashes name a stretch).
 
+A k-mer with more than HOT such stretches (the edge of a passage in very many documents) would make one large collection: its
+windows are counted by their hashes instead, each once per batch, which has no group to grow.
+
 A whole-collection transform would take as many rounds over all of the corpus as the longest document has bytes; dealing the
 windows out by k-mer first bounds rounds by a stretch's length (under 400) and a task by its bucket.
 
@@ -29,6 +32,7 @@ from quillseq.llm import bcr, keyed
 from quillseq.llm.common import _BYTE, bucket_cuts, mix, n_batches, settle, table, tidy, utf8
 
 LENGTH, KMER, SEGMENT, BATCH_BYTES, BUCKET = 200, 24, 1 << 20, 4 << 20, 250
+HOT = 1000
 SPAN = LENGTH - KMER + 1  # k-mers in a window
 SIDE = (LENGTH - KMER) // 2
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -148,30 +152,35 @@ def _paired(name: np.ndarray, side: np.ndarray, once: np.ndarray) -> np.ndarray:
     return out
 
 
-def _answer(group: pa.Table) -> pa.Table:
-    """Per batch and stretch: 1 if it occurs twice or more, 2 if this batch is to send its bytes."""
-    bids, bucket = group.column("bid").to_pylist(), group.column("bucket")[0].as_py()
-    keys = [keyed.unpack_keys(v.as_py()) for v in group.column("keys")]
-    adds = [np.frombuffer(v.as_py(), np.uint64).reshape(4, -1) for v in group.column("adds")]
-    name, (body, left, right, count) = np.concatenate(keys), np.concatenate(adds, 1)
-    bid = np.repeat(bids, [len(k) for k in keys])
-    order = np.lexsort((bid, body, name))
-    new = np.ones(len(order), bool)
-    new[1:] = (name[order][1:] != name[order][:-1]) | (body[order][1:] != body[order][:-1])
-    lead = order[new]  # of each distinct stretch, the entry of the batch that sends it
-    of = np.empty(len(order), np.int64)
-    of[order] = np.cumsum(new) - 1
-    total = np.bincount(of, count.astype(np.int64))
-    once = (total == 1).astype(np.int64)
-    wanted = _paired(name[lead], left[lead], once) | _paired(name[lead], right[lead], once)
-    code = (total[of] > 1).astype(np.uint8)
-    code[lead] |= wanted.astype(np.uint8) << 1
-    out, pos = [], 0
-    for b, k in zip(bids, keys, strict=True):
-        out.append({"bid": b, "bucket": bucket, "sums": code[pos : pos + len(k)].tobytes()})
-        pos += len(k)
-    out.append({"bid": -1, "bucket": bucket, "sums": int(wanted.sum()).to_bytes(8, "little")})
-    return pa.Table.from_pylist(out, keyed.ANSWER_SCHEMA)
+def _answer(hot: int):
+    def run(group: pa.Table) -> pa.Table:
+        """Per batch and stretch: 1 if it occurs twice or more, 2 if this batch is to send its bytes, 4 if windows instead."""
+        bids, bucket = group.column("bid").to_pylist(), group.column("bucket")[0].as_py()
+        keys = [keyed.unpack_keys(v.as_py()) for v in group.column("keys")]
+        adds = [np.frombuffer(v.as_py(), np.uint64).reshape(4, -1) for v in group.column("adds")]
+        name, (body, left, right, count) = np.concatenate(keys), np.concatenate(adds, 1)
+        bid = np.repeat(bids, [len(k) for k in keys])
+        order = np.lexsort((bid, body, name))
+        new = np.ones(len(order), bool)
+        new[1:] = (name[order][1:] != name[order][:-1]) | (body[order][1:] != body[order][:-1])
+        lead = order[new]  # of each distinct stretch, the entry of the batch that sends it
+        of = np.empty(len(order), np.int64)
+        of[order] = np.cumsum(new) - 1
+        total = np.bincount(of, count.astype(np.int64))
+        once = (total == 1).astype(np.int64)
+        wanted = _paired(name[lead], left[lead], once) | _paired(name[lead], right[lead], once)
+        kmer = np.unique(name[lead], return_inverse=True)[1]
+        many = wanted & (np.bincount(kmer, wanted)[kmer] > hot)
+        code = (total[of] > 1).astype(np.uint8)
+        code[lead] |= wanted.astype(np.uint8) << 1 | many.astype(np.uint8) << 2
+        out, pos = [], 0
+        for b, k in zip(bids, keys, strict=True):
+            out.append({"bid": b, "bucket": bucket, "sums": code[pos : pos + len(k)].tobytes()})
+            pos += len(k)
+        out.append({"bid": -1, "bucket": bucket, "sums": int((wanted & ~many).sum()).to_bytes(8, "little")})
+        return pa.Table.from_pylist(out, keyed.ANSWER_SCHEMA)
+
+    return run
 
 
 def _codes(s: Stretches, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -198,44 +207,97 @@ def _tags(s: Stretches, i: np.ndarray) -> list[bytes]:
     return [r.tobytes() for r in both]
 
 
-def _send(n_buckets: int):
+def _windows(buf: np.ndarray, s: Stretches, i: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of the stretches i: their starts, hashes, and the stretch of each."""
+    n = s.n[i]
+    size = n + LENGTH - 1
+    at = np.cumsum(size) - size
+    text = buf[np.arange(size.sum()) + np.repeat(s.start[i] - at, size)]
+    up, down = _pow(len(text) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[text] * up[: len(text)], dtype=np.uint64)])
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        p = inside + np.repeat(at, n)
+        return inside + np.repeat(s.start[i], n), mix((sums[p + LENGTH] - sums[p]) * down[p]), np.repeat(i, n)
+
+
+def _hot(buf: np.ndarray, s: Stretches, code: np.ndarray, first: np.ndarray):
+    start, hashed, of = _windows(buf, s, np.flatnonzero(first & (code & 4 > 0)))
+    keys, at = np.unique(hashed, return_inverse=True)
+    return start, of, keys, at
+
+
+def _send(n_buckets: int, n: int):
     def run(key: tuple[pa.Scalar, ...], group: pa.Table, told: pa.Table) -> pa.Table:
+        bid = key[0].as_py()
         buf, offs = utf8(group.column("text"))
         s = Stretches(buf, offs)
         code, first = _codes(s, told)
-        i = np.flatnonzero(first & (code & 2 > 0))
+        i = np.flatnonzero(first & (code & 6 == 2))
         bucket = (mix(s.name[i]) % np.uint64(n_buckets)).astype(np.int32)
-        data = [buf[a : a + n + LENGTH - 1].tobytes() for a, n in zip(s.start[i].tolist(), s.n[i].tolist(), strict=True)]
-        return pa.Table.from_arrays([pa.array(bucket), pa.array(np.full(len(i), key[0].as_py(), np.int64)), pa.array(_tags(s, i), pa.binary()), pa.array(code[i] & 1 == 0), pa.array(data, pa.binary())], schema=SENT_SCHEMA)
+        data = [buf[a : a + k + LENGTH - 1].tobytes() for a, k in zip(s.start[i].tolist(), s.n[i].tolist(), strict=True)]
+        rows = pa.Table.from_arrays([pa.array(bucket), pa.array(np.full(len(i), bid, np.int64)), pa.array(_tags(s, i), pa.binary()), pa.array(code[i] & 1 == 0), pa.array(data, pa.binary())], schema=SENT_SCHEMA)
+        start, of, keys, at = _hot(buf, s, code, first)
+        if not len(start):
+            return rows
+        weight = np.bincount(at, 1 + (code[of] & 1)).astype(np.uint32)  # a stretch that occurs elsewhere too counts twice
+        asked = keyed.asks(bid, keys, weight[None], n)
+        more = [(asked.column("bucket").to_numpy() + n_buckets).astype(np.int32), asked.column("bid").to_numpy()]
+        return pa.concat_tables([rows, pa.Table.from_arrays([pa.array(more[0]), pa.array(more[1]), asked.column("adds"), pa.nulls(len(asked), pa.bool_()), asked.column("keys")], schema=SENT_SCHEMA)])
 
     return run
 
 
-def _sorted(group: pa.Table) -> pa.Table:
-    """Of the stretches that occur once: the windows that occur in another stretch as well."""
-    once = group.column("once").to_pylist()
-    found = bcr.repeated([v.as_py() for v in group.column("data")], LENGTH)
-    keep = [i for i, o in enumerate(once) if o and len(found[i])]
-    return pa.table({"bid": group.column("bid").take(keep), "name": group.column("name").take(keep), "at": pa.array([found[i].astype("<u2").tobytes() for i in keep], pa.binary())})
+FOUND = "bid long, bucket int, name binary, at binary"
+FOUND_SCHEMA = pa.schema([("bid", pa.int64()), ("bucket", pa.int32()), ("name", pa.binary()), ("at", pa.binary())])
+
+
+def _sorted(n_buckets: int):
+    def run(group: pa.Table) -> pa.Table:
+        """Of the stretches that occur once: the windows that occur in another stretch as well. Or, for a bucket of window
+        keys, the sums that each batch asks for."""
+        bucket = group.column("bucket")[0].as_py()
+        if bucket >= n_buckets:
+            bids = group.column("bid").to_pylist()
+            keys = [keyed.unpack_keys(v.as_py()) for v in group.column("data")]
+            adds = [keyed.unpack_sums(v.as_py(), 1)[0] for v in group.column("name")]
+            uniq, at = np.unique(np.concatenate(keys), return_inverse=True)
+            total = np.minimum(np.bincount(at, np.concatenate(adds), len(uniq)), 2).astype(np.uint32)[at]
+            parts = np.split(total, np.cumsum([len(k) for k in keys])[:-1])
+            return pa.Table.from_pylist([{"bid": b, "bucket": bucket, "name": None, "at": keyed.pack_sums(t[None])} for b, t in zip(bids, parts, strict=True)], FOUND_SCHEMA)
+        once = group.column("once").to_pylist()
+        found = bcr.repeated([v.as_py() for v in group.column("data")], LENGTH)
+        keep = [i for i, o in enumerate(once) if o and len(found[i])]
+        at = pa.array([found[i].astype("<u2").tobytes() for i in keep], pa.binary())
+        return pa.Table.from_arrays([group.column("bid").take(keep), pa.nulls(len(keep), pa.int32()), group.column("name").take(keep), at], schema=FOUND_SCHEMA)
+
+    return run
 
 
 def _final(key: tuple[pa.Scalar, ...], group: pa.Table, told: pa.Table) -> pa.Table:
     buf, offs = utf8(group.column("text"))
     s = Stretches(buf, offs)
-    is_code = np.array([v is None for v in told.column("name").to_pylist()], bool)
-    code, _ = _codes(s, told.filter(pa.array(is_code)))
-    more = told.filter(pa.array(~is_code))
+    code, first = _codes(s, told.filter(told.column("sums").is_valid()))
+    rest = told.filter(told.column("at").is_valid())
+    more, sums = rest.filter(rest.column("name").is_valid()), rest.filter(rest.column("name").is_null())
     edge = np.zeros(len(buf) + 1, np.int32)
     whole = np.flatnonzero(code & 1)
     np.add.at(edge, s.start[whole], 1)
     np.add.at(edge, s.start[whole] + s.n[whole] + LENGTH - 1, -1)
     if more.num_rows:
-        own = np.flatnonzero(code == 2)
+        own = np.flatnonzero(code == 2)  # occurs once, was sent
         place = dict(zip(_tags(s, own), s.start[own].tolist(), strict=True))
         for tag, at in zip(more.column("name").to_pylist(), more.column("at").to_pylist(), strict=True):
             w = place[tag] + np.frombuffer(at, "<u2").astype(np.int64)
             np.add.at(edge, w, 1)
             np.add.at(edge, w + LENGTH, -1)
+    if sums.num_rows:
+        start, of, _, at = _hot(buf, s, code, first)
+        order = np.argsort(sums.column("bucket").to_numpy())
+        total = np.concatenate([keyed.unpack_sums(sums.column("at")[int(k)].as_py(), 1)[0] for k in order])
+        w = start[(total[at] > 1) & (code[of] & 1 == 0)]
+        np.add.at(edge, w, 1)
+        np.add.at(edge, w + LENGTH, -1)
     gone = np.cumsum(edge[:-1]) > 0
     keep = ~gone
     n_gone = np.concatenate([[0], np.cumsum(gone)])
@@ -247,22 +309,22 @@ def _final(key: tuple[pa.Scalar, ...], group: pa.Table, told: pa.Table) -> pa.Ta
     return pa.table({"doc_id": group.column("doc_id"), "n_bytes": np.diff(offs), "n_removed": n_gone[offs[1:]] - n_gone[offs[:-1]], "n_spans": n_begin[offs[1:]] - n_begin[offs[:-1]], "kept_sha256": sha})
 
 
-def repeats(docs: DataFrame, finish, schema: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def repeats(docs: DataFrame, finish, schema: str, batch_bytes: int = BATCH_BYTES, hot: int = HOT) -> DataFrame:
     """finish(key, batch of documents, what is repeated in it) for every batch."""
     spark = docs.sparkSession
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = n_batches(d, "text", batch_bytes)
     d = keyed.dealt(d, n)
-    told = settle(d.groupBy("_bid").applyInArrow(_ask(n), keyed.ASK).groupBy("bucket").applyInArrow(_answer, keyed.ANSWER), "stretches")
+    told = settle(d.groupBy("_bid").applyInArrow(_ask(n), keyed.ASK).groupBy("bucket").applyInArrow(_answer(hot), keyed.ANSWER), "stretches")
     tidy(spark)
     sends = sum(int.from_bytes(r["sums"], "little") for r in told.where("bid = -1").select("sums").toLocalIterator())
     told = told.where("bid >= 0").withColumnRenamed("bid", "_bid")
     n_buckets = max(1, sends // BUCKET)
-    sent = d.groupBy("_bid").cogroup(told.groupBy("_bid")).applyInArrow(_send(n_buckets), SENT)
-    found = settle(sent.groupBy("bucket").applyInArrow(_sorted, "bid long, name binary, at binary"), "windows")
+    sent = d.groupBy("_bid").cogroup(told.groupBy("_bid")).applyInArrow(_send(n_buckets, n), SENT)
+    found = settle(sent.groupBy("bucket").applyInArrow(_sorted(n_buckets), FOUND), "windows")
     tidy(spark)
     both = told.select("_bid", "bucket", "sums", F.lit(None).cast("binary").alias("name"), F.lit(None).cast("binary").alias("at"))
-    both = both.unionByName(found.select(F.col("bid").alias("_bid"), F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("sums"), "name", "at"))
+    both = both.unionByName(found.select(F.col("bid").alias("_bid"), "bucket", F.lit(None).cast("binary").alias("sums"), "name", "at"))
     return d.groupBy("_bid").cogroup(both.groupBy("_bid")).applyInArrow(finish, schema)
 
 

@@ -169,6 +169,8 @@ def test_substring_dedup(spark, docs, rows):
         spans = sum(1 for p in range(len(b)) if gone[p] and (p == 0 or not gone[p - 1]))
         want[i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()] += 1
     assert got == want
+    hot = substring_dedup.repeats(docs, substring_dedup._final, out.schema.simpleString()[7:-1].replace(":", " "), hot=0)
+    assert Counter(tuple(r) for r in hot.collect()) == want
     assert substring_dedup.repeats(docs.limit(0), substring_dedup._final, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").count() == 0
 
 
