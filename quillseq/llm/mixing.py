@@ -14,6 +14,7 @@ from quillseq.llm.common import WORD, settle, table
 
 #: Fixed values of the production mix.
 WEIGHTS, SHARE, MOST, SEED = (5, 2, 1), 1.5, 2.0, "mix-1"
+OWN = ("size", "source_size", "target", "copies", "taken")
 
 
 def words_in(text: Column) -> Column:
@@ -46,37 +47,38 @@ def assign(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     Rows of a source are laid out by (size, doc_id), so that each stretch of the prefix sum holds like sizes and the words
     taken come near the target. The order is a range partitioning over all columns that decide it, so a hot source or size
     is split; a row's place is its place in its partition plus the counts of the partitions before."""
-    own = ("size", "source_size", "target", "copies", "taken")
-    keep = [c for c in (docs.columns if carry is None else carry) if c not in own]
-    sized = docs.select(*[c for c in docs.columns if c in (*keep, "text")]).withColumns({"size": words_in(F.col("text")), "_tie": F.xxhash64("text")})
-    sized = sized.select(*keep, "size", "_tie")
-    order = [F.col("source").asc_nulls_last(), "size", "doc_id", "_tie"]
+    keep = [c for c in (docs.columns if carry is None else carry) if c not in OWN]
+    sized = docs.select(*[c for c in docs.columns if c in (*keep, "text")]).withColumns({"size": words_in(F.col("text")), "__mix_tie": F.xxhash64("text")})
+    sized = sized.select(*keep, "size", "__mix_tie")
+    order = [F.col("source").asc_nulls_last(), "size", "doc_id", "__mix_tie"]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = sized.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_tie")
-    laid = settle(laid.withColumn("_row", F.monotonically_increasing_id()), "mix")
-    return placed(laid.withColumn("_part", F.shiftright("_row", 33)), weights, share, most, seed)
+    laid = sized.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("__mix_tie")
+    laid = settle(laid.withColumn("__mix_row", F.monotonically_increasing_id()), "mix")
+    return placed(laid.withColumn("__mix_part", F.shiftright("__mix_row", 33)), weights, share, most, seed)
 
 
 def placed(laid: DataFrame, weights, share, most, seed) -> DataFrame:
     targets = source_targets(laid, weights, share, most, seed)
-    parts = laid.groupBy("source", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
-    before = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))  # a row per source and partition
-    parts = parts.withColumnRenamed("source", "_s").withColumnRenamed("_part", "_p")
-    t = targets.withColumnRenamed("source", "_s2")
-    small = parts.join(t, F.col("_s").eqNullSafe(F.col("_s2")))
+    parts = laid.groupBy("source", "__mix_part").agg(F.count(F.lit(1)).alias("__mix_n"), F.min("__mix_row").alias("__mix_first"))
+    before = Window.partitionBy("source").orderBy("__mix_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("__mix_before", F.coalesce(F.sum("__mix_n").over(before), F.lit(0)))  # a row per source and partition
+    parts = parts.withColumnRenamed("source", "__mix_s").withColumnRenamed("__mix_part", "__mix_p")
+    t = targets.withColumnRenamed("source", "__mix_s2")
+    small = parts.join(t, F.col("__mix_s").eqNullSafe(F.col("__mix_s2")))
     # at most one row per source and partition of the layout; Spark broadcasts it only below its size threshold
-    joined = laid.join(small, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p")))
-    k = (F.col("_row") - F.col("_first") + F.col("_before")).cast("double")
+    joined = laid.join(small, F.col("source").eqNullSafe(F.col("__mix_s")) & (F.col("__mix_part") == F.col("__mix_p")))
+    k = (F.col("__mix_row") - F.col("__mix_first") + F.col("__mix_before")).cast("double")
     copies = (F.floor(F.col("u") + (k + 1.0) * F.col("rate")) - F.floor(F.col("u") + k * F.col("rate"))).cast("long")
-    keep = [c for c in laid.columns if c not in ("_row", "_part")]
+    keep = [c for c in laid.columns if c not in ("__mix_row", "__mix_part")]
     return joined.select(*[laid[c] for c in keep], "source_size", "target", copies.alias("copies"))
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mixed corpus: each row of docs as many times as the mix takes it, with the columns of docs."""
-    taken = assign(docs, **how).where("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    """The mixed corpus: each row of docs as many times as the mix takes it, with the columns of docs as they were."""
+    aside = {c: f"__mix_docs_{c}" for c in OWN if c in docs.columns}
+    taken = assign(docs.withColumnsRenamed(aside), **how).where("copies > 0")
+    taken = taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return taken.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def documents(spark, rows=None):
         texts = [None, "", " \n\t ", "one", "One TWO three", *base, base[1], base[1], " ".join(near), base[2] + "\n" + base[2], LONG, LONG, "é" * 400 + " ü", "日本 語\n\n" * 5, base[3].upper()]
         rows = [(i, t, ("s1", "s2", None)[i % 3]) for i, t in enumerate(texts)]
         rows += [rows[7], (None, base[4], "s1")]
-    return spark.createDataFrame([(*r, 1, "x", 0.5, 7, "en", len(r[1] or "")) for r in rows], "doc_id long, text string, source string, size int, sig string, score double, node int, lang string, n_chars long")
+    return spark.createDataFrame([(*r, 1, "x", 0.5, 7, "en", len(r[1] or ""), 3, "y", 0.1) for r in rows], "doc_id long, text string, source string, size int, sig string, score double, node int, lang string, n_chars long, _id int, _row string, _score double")
 
 
 @pytest.fixture(scope="module")
@@ -124,6 +124,7 @@ def test_mixing(docs, rows):
     assert [k[2] for k in key(out)] == [k[2] for k in key(again)]
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in out)
+    assert mixed.where("size = 1").count() == mixed.count()  # a column of the documents' own
     assert mixing.assign(docs.limit(0)).count() == 0
 
 
