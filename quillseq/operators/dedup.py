@@ -6,7 +6,7 @@ surviving pair, and only primary records of names that have both mates.
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,29 +54,37 @@ def by_umi(records: DataFrame, per_cell: bool = False, method: str = "directiona
     if method == "unique":
         return unique.select("qname", "copies")
 
-    def network(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values(["copies", "umi"], ascending=[False, True]).to_dict("records")
-        by = {r["umi"]: r for r in rows}
-        seen, out = set(), []
-        for top in rows:
-            if top["umi"] in seen:
-                continue
-            seen.add(top["umi"])
-            queue, total = [top], 0
-            while queue:
-                r = queue.pop()
-                total += r["copies"]
-                for i, c in enumerate(r["umi"]):
-                    for b in "ACGTN":
-                        near = r["umi"][:i] + b + r["umi"][i + 1 :]
-                        if b != c and near in by and near not in seen and r["copies"] >= 2 * by[near]["copies"] - 1:
-                            seen.add(near)
-                            queue.append(by[near])
-            out.append({"qname": top["qname"], "copies": total})
-        return pd.DataFrame(out, columns=["qname", "copies"])
-
-    # a group holds the distinct UMIs of one position, of which there are at most 5 to the power of a UMI's length
-    return unique.groupBy(*key).applyInPandas(network, "qname string, copies long")
+    # a row per position with its distinct UMIs, commonest first: at most 5 to the power of a UMI's length
+    groups = unique.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct((-F.col("copies")).alias("n"), "umi", "qname"))).alias("u"))
+    return groups.select("u").mapInArrow(_molecules, "qname string, copies long")
+
+
+def _network(rows: list[dict]) -> list[tuple[str, int]]:
+    """(name, copies) of each molecule of one position."""
+    by = {r["umi"]: r for r in rows}
+    seen, out = set(), []
+    for top in rows:
+        if top["umi"] in seen:
+            continue
+        seen.add(top["umi"])
+        queue, total = [top], 0
+        while queue:
+            r = queue.pop()
+            total -= r["n"]
+            for i, c in enumerate(r["umi"]):
+                for b in "ACGTN":
+                    near = r["umi"][:i] + b + r["umi"][i + 1 :]
+                    if b != c and near in by and near not in seen and -r["n"] >= -2 * by[near]["n"] - 1:
+                        seen.add(near)
+                        queue.append(by[near])
+        out.append((top["qname"], total))
+    return out
+
+
+def _molecules(batches):
+    for b in batches:
+        found = [m for rows in b.column("u").to_pylist() for m in (_network(rows) if len(rows) > 1 else [(rows[0]["qname"], -rows[0]["n"])])]
+        yield pa.RecordBatch.from_arrays([pa.array([q for q, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], names=["qname", "copies"])
 
 
 def survivors(records: DataFrame, kept: DataFrame) -> DataFrame:
