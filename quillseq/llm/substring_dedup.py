@@ -120,7 +120,8 @@ class Stretches:
             left = np.where(m - start >= SIDE, hashed(np.maximum(m - SIDE, 0), m), 0)
             right = np.where(stop - m - KMER >= SIDE, hashed(np.minimum(m + KMER, n), np.minimum(m + KMER + SIDE, n)), 0)
             body = hashed(start, stop) ^ mix((m - start).astype(np.uint64))
-        return start + base, count, kmer[m], body, left.astype(np.uint64), right.astype(np.uint64)
+            name = mix(kmer[m])  # least hashes are low ones: mixed again, names fill their range evenly
+            return start + base, count, name, body, left.astype(np.uint64), right.astype(np.uint64)
 
 
 def _ask(n: int):
