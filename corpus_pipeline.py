@@ -19,7 +19,7 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs without those that the toxicity model, learned from the labels of the table, scores 0.5 or more."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    return toxicity.score(docs, model, "_score").where(F.col("_score") < 0.5).select(*docs.columns)
+    return toxicity.score(docs, model, "__toxic_score").where(F.col("__toxic_score") < 0.5).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
