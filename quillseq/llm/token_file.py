@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillseq.llm import rans
-from quillseq.llm.common import settle, table
-from quillseq.llm.tokenize import chunks, encode
+from quillseq.llm.common import batch_rows, gathered, release, settle, table
+from quillseq.llm.tokenize import STRETCH, chunks, encode
 
 SEGMENT, BLOCK, END_ID = 1 << 21, rans.LANES * rans.ROWS, 1
 FILE = "part int, segment int, n_docs long, n_ids long, doc_ids binary, null_ids binary, doc_sizes binary, freqs binary, blocks array<binary>, index_crc long"
@@ -49,7 +49,7 @@ def _writer(path: str, end_id: int):
             return {"part": part, "segment": segment, "n_docs": len(who), "n_ids": len(flat), "doc_ids": index[0], "null_ids": index[1], "doc_sizes": index[2], "freqs": tab.to_bytes(), "blocks": blocks, "index_crc": zlib.crc32(b"".join(index))}
 
         schema = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.binary()), ("null_ids", pa.binary()), ("doc_sizes", pa.binary()), ("freqs", pa.binary()), ("blocks", pa.list_(pa.binary())), ("index_crc", pa.int64())])
-        for batch in batches:
+        for batch in gathered(batches, STRETCH):
             text, key = batch.column("text"), batch.column("doc_id")
             for a, b in chunks(text):
                 got, first = encode(path, text.slice(a, b - a))
@@ -67,8 +67,11 @@ def _writer(path: str, end_id: int):
                     yield pa.RecordBatch.from_pylist([row()], schema)
                     segment, held = segment + 1, 0
                     ids, sizes, names, nulls = [], [], [], []
+                release()
         if ids:
             yield pa.RecordBatch.from_pylist([row()], schema)
+        del ids, sizes, names, nulls
+        release()
 
     return run
 
@@ -77,7 +80,8 @@ def write(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> Dat
     """The file as a table of segments, in the order (part, segment)."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = docs.select("doc_id", "text").repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return settle(laid.mapInArrow(_writer(path or vocabulary(), end_id), FILE), "tokens")
+    with batch_rows(docs.sparkSession, 1000):
+        return settle(laid.mapInArrow(_writer(path or vocabulary(), end_id), FILE), "tokens")
 
 
 def _reader(batches):
@@ -95,6 +99,8 @@ def _reader(batches):
             crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at[:-1], at[1:], strict=True)]
             null = np.unpackbits(np.frombuffer(seg["null_ids"], np.uint8), count=seg["n_docs"]).astype(bool)
             who = pa.array(np.frombuffer(seg["doc_ids"], "<i8"), mask=null)
+            del ids, raw
+            release()
             yield pa.RecordBatch.from_arrays([who, pa.array(at[:-1] + seg["before"]), pa.array(size), pa.array(crc, pa.int64())], schema=schema)
 
 

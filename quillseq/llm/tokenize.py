@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 from quillseq.llm.common import LOWER, SEP_LUT, encoded, pieces, utf8
 
-#: Bytes of text encoded at once, and words per call of the library.
-STRETCH, BLOCK = 16 << 20, 256
+#: Bytes of text whose distinct words are encoded at once, words in a text given to the library, and texts in a call of it.
+STRETCH, BLOCK, CALL = 16 << 20, 256, 32
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 _STOP = np.zeros(256, bool)
@@ -41,7 +42,20 @@ def _chars(buf: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 def _each(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     got = [e.ids for e in tokenizer(path).encode_batch(texts, add_special_tokens=False)]
-    return np.fromiter((i for x in got for i in x), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
+    return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
+
+
+def _joined(path: str, raw: list[bytes], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words, and each id's first code point in the words joined by spaces."""
+    first = np.arange(0, len(raw), BLOCK)
+    base = np.concatenate([[0], ends])[first]
+    ids, at = [], []
+    for k in range(0, len(first), CALL):  # what the library returns is many times larger than the ids
+        got = tokenizer(path).encode_batch([b" ".join(raw[i : i + BLOCK]).decode() for i in first[k : k + CALL]], add_special_tokens=False)
+        ids.append(np.fromiter(chain.from_iterable(e.ids for e in got), np.uint32))
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in got)), np.int64, 2 * len(ids[-1]))
+        at.append(spans[::2] + np.repeat(base[k : k + CALL], [len(e) for e in got]))
+    return np.concatenate(ids), np.concatenate(at)
 
 
 def word_ids(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -55,12 +69,7 @@ def word_ids(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return _each(path, [b.decode("utf-8", "replace") for b in raw])
     buf, offs = utf8(words)
     ends = np.cumsum(_chars(buf, offs) + 1)  # in code points, with the space after each word
-    first = np.arange(0, len(raw), BLOCK)
-    base = np.concatenate([[0], ends])[first]
-    got = tokenizer(path).encode_batch([b" ".join(raw[i : i + BLOCK]).decode() for i in first], add_special_tokens=False)
-    ids = np.fromiter((i for e in got for i in e.ids), np.uint32)
-    at = np.fromiter((a for e in got for a, _ in e.offsets), np.int64, len(ids))
-    at += np.repeat(base, [len(e) for e in got])
+    ids, at = _joined(path, raw, ends)
     return ids, np.bincount(np.searchsorted(ends, at, "right"), minlength=len(raw))
 
 
@@ -85,10 +94,14 @@ def encode(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     uniq, idx = encoded(text, new)
     ids, count = word_ids(path, uniq)
     src = np.cumsum(count) - count
+    first = np.searchsorted(new[:-1], place[offs])
+    del buf, sep, cut, real, place, text, new, uniq
     n = count[idx]
     ends = np.cumsum(n)
-    out = ids[np.arange(ends[-1]) + np.repeat(src[idx] - ends + n, n)]
-    return out, np.concatenate([[0], ends])[np.searchsorted(new[:-1], place[offs])]
+    small = np.int32 if ends[-1] < 1 << 31 else np.int64
+    at = np.repeat((src[idx] - ends + n).astype(small), n)
+    at += np.arange(ends[-1], dtype=small)
+    return ids[at], np.concatenate([[0], ends])[first]
 
 
 def chunks(column: pa.Array, most: int = STRETCH):
