@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import math
 import tempfile
 import time
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +59,40 @@ def discard(*tables: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, n: int):
+    """While in it, plans that run give Python n rows at once: texts can be long, and executors' memory is shared."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def release() -> None:
+    """Gives a worker's free memory back: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def gathered(batches, most: int):
+    """Arrow batches joined to about so many bytes."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size or held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()[:1]
+
+
 def crc_mod(col: Column, n: int) -> Column:
     """crc32 of an id as text, modulo n; a null id counts as the empty string."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % F.lit(n)

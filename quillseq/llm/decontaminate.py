@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillseq.llm.common import LOWER, SEP_LUT, table, utf8
+from quillseq.llm.common import LOWER, SEP_LUT, batch_rows, release, settle, table, utf8
 from quillseq.llm.tokenize import chunks
 
 RATE, WALKS, SAMPLES, BITS, SEED, BLOCK_BYTES, STRETCH = 0.1, 8, 12, 2, 5, 8 << 20, 2 << 20
@@ -186,6 +186,7 @@ def _scan(items: Items):
                 if best:
                     rows = [{"doc_id": column_id, "item_id": items.ids[k], "start": s, "length": n, "distance": dist} for (doc, k), (dist, s, n) in best.items() for column_id in [batch.column("doc_id")[lo + doc].as_py()]]
                     yield pa.RecordBatch.from_pylist(rows, schema)
+        release()
 
     return run
 
@@ -215,7 +216,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFram
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that an item leaks into."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct()
+    with batch_rows(docs.sparkSession, 1000):
+        bad = settle(leaks(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_leak"]), "left_anti")
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillseq.llm import keyed
-from quillseq.llm.common import bucket_cuts, discard, mix, n_batches, planes, settle, table, tidy, unplanes, words
+from quillseq.llm.common import batch_rows, bucket_cuts, discard, mix, n_batches, planes, release, settle, table, tidy, unplanes, words
 from quillseq.llm.components import components
 from quillseq.llm.tokenize import chunks
 
@@ -147,6 +147,7 @@ def _described(batches):
             p, q = set_hashes(x, first)
             sk = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH), j - i, [None, pa.py_buffer(sketches(x, first))]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(np.diff(first)), pa.array(p), pa.array(q), sk], names=["doc_id", "n_shingles", "p", "q", "sketch"])
+    release()
 
 
 def _ask(n: int):
@@ -176,7 +177,10 @@ def _ask(n: int):
                     rows.append({"bid": bid, "bucket": i, "keys": keyed.pack_keys(s[a:b]), "adds": planes(w[a:b])})
             if again.any():  # the others of a signature within this batch need not meet the rest of the corpus
                 rows.append({"bid": bid, "bucket": n + bid, "keys": keyed.pack_keys(sig[again]), "adds": planes(owner[again].astype(np.uint32))})
-            return pa.Table.from_pylist(rows, keyed.ASK_SCHEMA)
+            out = pa.Table.from_pylist(rows, keyed.ASK_SCHEMA)
+            del x, sig, owner, order, rows
+            release()
+            return out
         return keyed.ASK_SCHEMA.empty_table()
 
     return run
@@ -197,6 +201,8 @@ def _shared(n: int):
             same[:-1] |= same[1:]
             take = order[same | flag[order]]
             sig, node = sig[take], node[take]
+        del keys, adds
+        release()
         return pa.table({"sig": sig.view(np.int64), "node": node})
 
     return run
@@ -289,7 +295,8 @@ def _across(group: pa.Table, known: pa.Table) -> pa.Table:
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, p and q (the set's hashes) and sketch of every document, settled."""
-    return settle(docs.select("doc_id", "text").mapInArrow(_described, "doc_id long, n_shingles long, p long, q long, sketch binary"), "shingle-sets")
+    with batch_rows(docs.sparkSession, 1000):
+        return settle(docs.select("doc_id", "text").mapInArrow(_described, "doc_id long, n_shingles long, p long, q long, sketch binary"), "shingle-sets")
 
 
 def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -315,7 +322,8 @@ def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     pairs = settle(two.mapInArrow(_possible, "a long, b long"), "hub-pairs")
     discard(support)
     tidy(docs.sparkSession)
-    sets = settle(_sets_of(docs, reps, pairs), "sets")
+    with batch_rows(docs.sparkSession, 1000):
+        sets = settle(_sets_of(docs, reps, pairs), "sets")
     tidy(docs.sparkSession)
     links = settle(verified(pairs, sets), "links")
     discard(sets)
@@ -333,7 +341,8 @@ def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     del inside, apart, left, known, more
     tidy(docs.sparkSession)
     if cross.limit(1).count():
-        sets = settle(_sets_of(docs, reps, cross), "sets")
+        with batch_rows(docs.sparkSession, 1000):
+            sets = settle(_sets_of(docs, reps, cross), "sets")
         more = settle(verified(cross, sets), "cross-links")
         discard(sets)
         tidy(docs.sparkSession)
@@ -365,7 +374,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     seen = join(docs)
     stay = seen.where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
     stay = settle(stay, "stay")
-    kept = docs.join(stay.select("_id"), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    ids = stay.select("_id")
+    kept = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]) if stay.where("_n > 1").limit(1).count() else kept
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillseq.llm.common import crc_mod, discard, settle, table
+from quillseq.llm.common import crc_mod, discard, release, settle, table
 
 #: The bounded sample to learn from, and the bound on what is learned.
 POSITIVES, NEGATIVES, STEMS = 4_000, 16_000, 5_000
@@ -208,7 +208,7 @@ def score(docs: DataFrame, model: tuple[list[str], list[float]], column: str = "
     schema = docs.drop(column).withColumn(column, F.lit(0.0)).schema
 
     def run(batches):
-        g, w, none = Grammar(stems), np.array(weights), 1 / (1 + math.exp(-weights[0]))
+        g, w, none, b, out = Grammar(stems), np.array(weights), 1 / (1 + math.exp(-weights[0])), None, None
         for b in batches:
             out = np.full(b.num_rows, none)
             for i, t in enumerate(b.column("text")):
@@ -216,6 +216,8 @@ def score(docs: DataFrame, model: tuple[list[str], list[float]], column: str = "
                 if e.any():
                     out[i] = 1 / (1 + math.exp(-float(w[0] + squash(e) @ w[1:])))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], names=[*b.schema.names, column])
+        del b, out
+        release()
 
     return docs.drop(column).mapInArrow(run, schema)
 
