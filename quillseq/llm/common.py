@@ -8,7 +8,7 @@ import math
 import tempfile
 import time
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +40,14 @@ def tidy(spark: SparkSession) -> None:
     time.sleep(0.2)  # the cleaner runs beside
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: cuts lineage, survives lost executors."""
+def settle(df: DataFrame, name: str, small: bool = False) -> DataFrame:
+    """Writes df as a table in the shared folder and reads it back: cuts lineage, survives lost executors.
+
+    small: the table is ids and numbers without texts, so partitions may be joined up to the advisory size and make few files."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillseq/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.parallelismFirst", "false") if small else nullcontext():
+        df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._settled = path
     return back
@@ -60,17 +63,21 @@ def discard(*tables: DataFrame) -> None:
 
 
 @contextmanager
-def batch_rows(spark: SparkSession, n: int):
-    """While in it, plans that run give Python n rows at once: texts can be long, and executors' memory is shared."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, key: str, value: str):
+    """While in it, plans that run have the setting."""
     before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def batch_rows(spark: SparkSession, n: int):
+    """While in it, plans that run give Python n rows at once: texts can be long, and executors' memory is shared."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
+
+
 def release() -> None:
     """Gives a worker's free memory back: workers outlive their tasks."""
     pa.default_memory_pool().release_unused()

@@ -313,37 +313,37 @@ def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     del d, asked
     tidy(docs.sparkSession)
     support = shared.groupBy("node").agg(F.count(F.lit(1)).alias("support"))
-    support = settle(support, "support")
+    support = settle(support, "support", small=True)
     part = F.pmod("sig", F.lit(4 * n)).alias("_part")  # groups of whole signatures, about as many as batches
     pairs = shared.join(support, "node").select("sig", "node", "support", part).groupBy("_part").applyInArrow(_hub_pairs, "a long, b long").distinct()
     sketch = reps.select("node", F.col("n_shingles").alias("size"), "sketch")
     one = pairs.join(sketch.withColumnsRenamed({"node": "a", "size": "size_a", "sketch": "sketch_a"}), "a")
     two = one.join(sketch.withColumnsRenamed({"node": "b", "size": "size_b", "sketch": "sketch_b"}), "b")
-    pairs = settle(two.mapInArrow(_possible, "a long, b long"), "hub-pairs")
+    pairs = settle(two.mapInArrow(_possible, "a long, b long"), "hub-pairs", small=True)
     discard(support)
     tidy(docs.sparkSession)
     with batch_rows(docs.sparkSession, 1000):
         sets = settle(_sets_of(docs, reps, pairs), "sets")
     tidy(docs.sparkSession)
-    links = settle(verified(pairs, sets), "links")
+    links = settle(verified(pairs, sets), "links", small=True)
     discard(sets)
     tidy(docs.sparkSession)
     labels = components(links)
     # members of a group that are still apart: compare them with each other
     inside = shared.join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("comp"))
     apart = inside.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_n")).where("_lo <> _hi AND _n > 2").select("sig")
-    left = settle(inside.join(apart, "sig").select("sig", "node", "comp", part), "apart")
+    left = settle(inside.join(apart, "sig").select("sig", "node", "comp", part), "apart", small=True)
     known = left.select(F.col("_part").alias("_group"), F.col("node").alias("_m"), F.col("comp").alias("_c")).distinct()  # a row per group and member
     known = known.join(sketch, F.col("_m") == F.col("node")).select("_group", F.col("_m").alias("who"), F.col("_c").alias("comp"), "size", "sketch")
     more = left.select("_part", "sig", "node").groupBy("_part").cogroup(known.groupBy("_group")).applyInArrow(_across, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    cross = settle(more, "cross-pairs")
+    cross = settle(more, "cross-pairs", small=True)
     discard(shared, left, pairs)
     del inside, apart, left, known, more
     tidy(docs.sparkSession)
     if cross.limit(1).count():
         with batch_rows(docs.sparkSession, 1000):
             sets = settle(_sets_of(docs, reps, cross), "sets")
-        more = settle(verified(cross, sets), "cross-links")
+        more = settle(verified(cross, sets), "cross-links", small=True)
         discard(sets)
         tidy(docs.sparkSession)
         if more.limit(1).count():
@@ -361,7 +361,7 @@ def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
 def _sets_of(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     """node and set of the classes in the pairs: only their texts are read again."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    need = settle(reps.join(nodes, "node").select(F.col("doc_id").alias("_d"), "p", "q", "node"), "needed")
+    need = settle(reps.join(nodes, "node").select(F.col("doc_id").alias("_d"), "p", "q", "node"), "needed", small=True)
     if need.count() <= SMALL:  # 32 bytes a row: broadcast only up to this size, joined by shuffle beyond it
         need = F.broadcast(need)
     texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(need, F.col("doc_id").eqNullSafe(F.col("_d"))).select("node", "p", "q", "text")
@@ -373,7 +373,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     and text one stays; an id that stands for different texts stays if any of them does."""
     seen = join(docs)
     stay = seen.where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    stay = settle(stay, "stay")
+    stay = settle(stay, "stay", small=True)
     ids = stay.select("_id")
     kept = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]) if stay.where("_n > 1").limit(1).count() else kept
