@@ -10,7 +10,13 @@ has one signature for 'empty'. So no link is lost.
 
 Groups of classes that share a signature do not emit all pairs. First each member is compared with the group's hub, the
 member that shares most signatures; then pairs of members that are not yet in one component are compared, after a bound on
-the difference of their count sketches. Every link is verified on the whole sets.
+the difference of their count sketches. Every link is verified on the whole sets. These links make the components, which is
+all that join() and near_duplicates() need.
+
+links() counts every link besides. Both ends of a link are in one component, so all pairs of a component's classes are
+compared on their whole sets: a component is cut into blocks, and each pair of blocks is a unit of work that gives sums per
+class, not pairs, so neither rows nor memory grow with the number of links. A document's n_links is the number of other rows
+that it links with: those of its own class, and those of every class linked with its class.
 
 Cases: null and empty texts, and those without words, have an empty set and link with nothing; fewer than five words are one
 shingle; repeated rows and equal texts share a class; a null doc_id is kept, and is never the smallest; very long texts are
@@ -32,6 +38,8 @@ from quillseq.llm.components import components
 from quillseq.llm.tokenize import chunks
 
 WORDS, LEVELS, BATCH_BYTES, SKETCH, SMALL = 5, 4, 4 << 20, 256, 200_000
+#: Classes and shingles in a block of a component, and bytes of sets in a group of units.
+BLOCK, BLOCK_SHINGLES, PART_BYTES = 512, 1 << 18, 16 << 20
 #: Similarity 0.8: 100 * intersection >= 80 * union, so sizes differ by a factor of 5/4 and sets by (a + b) / 9.
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -208,14 +216,19 @@ def _shared(n: int):
     return run
 
 
-def _sets(batches):
-    """Sets of the rows whose text is the class's (an id may stand for several texts)."""
-    for b in batches:
-        for i, j in chunks(b.column("text"), 2 << 20):
-            x, first = shingles(b.column("text").slice(i, j - i))
-            p, q = set_hashes(x, first)
-            own = np.flatnonzero((p == b.column("p").to_numpy()[i:j]) & (q == b.column("q").to_numpy()[i:j]))
-            yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(own + i)), pa.array([keyed.pack_keys(x[first[k] : first[k + 1]]) for k in own], pa.binary())], names=["node", "set"])
+def _sets(*names: str):
+    """Sets of the rows whose text is the class's (an id may stand for several texts), and the columns named."""
+
+    def run(batches):
+        for b in batches:
+            for i, j in chunks(b.column("text"), 2 << 20):
+                x, first = shingles(b.column("text").slice(i, j - i))
+                p, q = set_hashes(x, first)
+                own = np.flatnonzero((p == b.column("p").to_numpy()[i:j]) & (q == b.column("q").to_numpy()[i:j]))
+                at = pa.array(own + i)
+                yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in names), pa.array([keyed.pack_keys(x[first[k] : first[k + 1]]) for k in own], pa.binary())], names=[*names, "set"])
+
+    return run
 
 
 def _close(size_a, size_b, sketch_a, sketch_b) -> np.ndarray:
@@ -293,6 +306,76 @@ def _across(group: pa.Table, known: pa.Table) -> pa.Table:
     return pa.table({"a": both[:, 0], "b": both[:, 1]})
 
 
+def link_sums(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray | None = None) -> np.ndarray:
+    """For each set, the weights of the sets that it links with, all pairs compared; with side, those of unlike sides only."""
+    n = np.array([len(x) for x in sets])
+    by = np.argsort(n, kind="stable")
+    n, w = n[by], weight[by]
+    flat = np.concatenate([sets[i] for i in by])
+    _, at, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = count > 1  # what one set alone holds is in no intersection
+    place = (np.cumsum(shared) - 1)[at]
+    wide = int(shared.sum() + 63) // 64
+    kept = shared[at]
+    owner, place = np.repeat(np.arange(len(n)), n)[kept], place[kept]
+    bits = np.zeros(len(n) * wide, np.uint64)
+    np.add.at(bits, owner * wide + (place >> 6), np.uint64(1) << (place & 63).astype(np.uint64))  # each bit comes once
+    bits = bits.reshape(len(n), wide)
+    sums, end = np.zeros(len(n), np.int64), np.searchsorted(n, n * 5 // 4, "right")
+    for i in range(len(n) - 1):
+        j = slice(i + 1, end[i])
+        both = np.bitwise_count(bits[j] & bits[i]).sum(1, dtype=np.int64)
+        ok = 100 * both >= 80 * (n[j] + n[i] - both)
+        if side is not None:
+            ok &= side[by][j] != side[by[i]]
+        sums[i] += w[j][ok].sum()
+        sums[j][ok] += w[i]
+    out = np.empty_like(sums)
+    out[by] = sums
+    return out
+
+
+def _link_sums(group: pa.Table) -> pa.Table:
+    """Sums of links of the classes in a group of units (component, block, block)."""
+    comp, one, two, node, mine, weight = (group.column(c).to_numpy() for c in ("comp", "one", "two", "node", "block", "weight"))
+    order = np.lexsort((node, two, one, comp))
+    new = np.concatenate([[True], np.any([c[order][1:] != c[order][:-1] for c in (comp, one, two)], axis=0)])
+    again = np.concatenate([[False], (node[order][1:] == node[order][:-1]) & ~new[1:]])  # a class whose row is repeated
+    order, new = order[~again], new[~again]
+    cuts = np.append(np.flatnonzero(new), len(order))
+    packed, nodes, sums = group.column("set"), [], []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        u = order[a:b]
+        if len(u) > 1:
+            sets = [keyed.unpack_keys(packed[int(k)].as_py()) for k in u]
+            nodes.append(node[u])
+            sums.append(link_sums(sets, weight[u], mine[u] if one[u[0]] != two[u[0]] else None))
+    none = [np.zeros(0, np.int64)]
+    out = pa.table({"node": np.concatenate(nodes or none), "links": np.concatenate(sums or none)})
+    del packed, order
+    release()
+    return out
+
+
+def _class_links(docs: DataFrame, reps: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """node and links (rows of other classes that its class links with) of the classes in components."""
+    info = reps.join(labels, "node").select("node", F.col("label").alias("comp"), F.col("rows").alias("weight"), F.col("n_shingles").alias("_size"))
+    size = info.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("_size") / BLOCK_SHINGLES)).alias("blocks"))
+    large = F.broadcast(size.where("blocks > 1"))  # rows: a part in block of the classes at most
+    info = settle(info.join(large, "comp", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)).cast("long")), "members", small=True)
+    shipped = info.agg(F.sum(F.col("_size") * F.col("blocks") * 8)).first()[0] or 0
+    n = max(32, -(-shipped // PART_BYTES))
+    with batch_rows(docs.sparkSession, 1000):
+        sets = _sets_of(docs, reps, info.drop("_size"), "comp", "weight", "blocks")
+        sets = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        units = sets.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("node", "comp", "weight", "block", F.least("block", "_o").alias("one"), F.greatest("block", "_o").alias("two"), "set")
+        sums = units.groupBy(F.pmod(F.xxhash64("comp", "one", "two"), F.lit(n)).alias("_part")).applyInArrow(_link_sums, "node long, links long")
+        out = settle(sums.groupBy("node").agg(F.sum("links").alias("links")), "link-sums", small=True)
+    discard(info)
+    tidy(docs.sparkSession)
+    return out
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, p and q (the set's hashes) and sketch of every document, settled."""
     with batch_rows(docs.sparkSession, 1000):
@@ -301,9 +384,19 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
+    return _join(docs, batch_bytes)
+
+
+def links(docs: DataFrame, batch_bytes: int = BATCH_BYTES, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links of every document."""
+    return _join(docs, batch_bytes, block)
+
+
+def _join(docs: DataFrame, batch_bytes: int, block: int | None = None) -> DataFrame:
+    """What join() gives, and with block also n_links."""
     seen = classes(docs)
     n = n_batches(docs, "text", batch_bytes)
-    reps = seen.where("n_shingles > 0").groupBy("n_shingles", "p", "q").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"))
+    reps = seen.where("n_shingles > 0").groupBy("n_shingles", "p", "q").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("rows"))
     reps = keyed.dealt(reps, n)
     number = F.row_number().over(Window.partitionBy("_bid").orderBy("doc_id", "p", "q"))  # a batch's classes
     reps = settle(reps.withColumn("node", F.col("_bid") * (1 << 24) + number), "classes")
@@ -323,12 +416,12 @@ def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     discard(support)
     tidy(docs.sparkSession)
     with batch_rows(docs.sparkSession, 1000):
-        sets = settle(_sets_of(docs, reps, pairs), "sets")
+        sets = settle(_sets_of(docs, reps, _ends(pairs)), "sets")
     tidy(docs.sparkSession)
-    links = settle(verified(pairs, sets), "links", small=True)
+    linked = settle(verified(pairs, sets), "links", small=True)
     discard(sets)
     tidy(docs.sparkSession)
-    labels = components(links)
+    labels = components(linked)
     # members of a group that are still apart: compare them with each other
     inside = shared.join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("comp"))
     apart = inside.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_n")).where("_lo <> _hi AND _n > 2").select("sig")
@@ -342,30 +435,39 @@ def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     tidy(docs.sparkSession)
     if cross.limit(1).count():
         with batch_rows(docs.sparkSession, 1000):
-            sets = settle(_sets_of(docs, reps, cross), "sets")
+            sets = settle(_sets_of(docs, reps, _ends(cross)), "sets")
         more = settle(verified(cross, sets), "cross-links", small=True)
         discard(sets)
         tidy(docs.sparkSession)
         if more.limit(1).count():
-            labels = components(links.unionByName(more))
+            labels = components(linked.unionByName(more))
         discard(more)
-    discard(cross, links)
-    least = reps.join(labels, "node", "left").select("p", "q", "n_shingles", "doc_id", F.coalesce("label", "node").alias("comp"))
+    discard(cross, linked)
+    least = reps.join(labels, "node", "left").select("node", "p", "q", "n_shingles", "doc_id", "rows", F.coalesce("label", "node").alias("comp"))
     smallest = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of = least.join(smallest, "comp").select("p", "q", F.col("n_shingles").alias("_n"), "component_id")
+    of, names = least.join(smallest, "comp"), ["component_id"]
+    if block:
+        sums = _class_links(docs, reps, labels, block).withColumnRenamed("node", "_m")
+        of = of.join(sums, of["node"] == sums["_m"], "left").withColumn("n_links", F.col("rows") - 1 + F.coalesce("links", F.lit(0)))
+        names.append("n_links")
+    of = of.select("p", "q", F.col("n_shingles").alias("_n"), *names)
     # documents without shingles link with nothing and stay out of the join
-    full = seen.where("n_shingles > 0").join(of, (seen["p"] == of["p"]) & (seen["q"] == of["q"]) & (seen["n_shingles"] == of["_n"])).select("doc_id", "n_shingles", "component_id")
-    return full.unionByName(seen.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    full = seen.where("n_shingles > 0").join(of, (seen["p"] == of["p"]) & (seen["q"] == of["q"]) & (seen["n_shingles"] == of["_n"])).select("doc_id", "n_shingles", *names)
+    return full.unionByName(seen.where("n_shingles = 0").select("doc_id", "n_shingles", *[(F.col("doc_id") if c == "component_id" else F.lit(0).cast("long")).alias(c) for c in names]))
 
 
-def _sets_of(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
-    """node and set of the classes in the pairs: only their texts are read again."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    need = settle(reps.join(nodes, "node").select(F.col("doc_id").alias("_d"), "p", "q", "node"), "needed", small=True)
-    if need.count() <= SMALL:  # 32 bytes a row: broadcast only up to this size, joined by shuffle beyond it
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _sets_of(docs: DataFrame, reps: DataFrame, nodes: DataFrame, *more: str) -> DataFrame:
+    """node, set and the further columns (longs) of the classes in nodes: only their texts are read again."""
+    names = ["node", *more]
+    need = settle(reps.select("node", F.col("doc_id").alias("_d"), "p", "q").join(nodes, "node").select("_d", "p", "q", *names), "needed", small=True)
+    if need.count() <= SMALL:  # 32 bytes a row, 56 for links(): broadcast only up to this size, joined by shuffle beyond it
         need = F.broadcast(need)
-    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(need, F.col("doc_id").eqNullSafe(F.col("_d"))).select("node", "p", "q", "text")
-    return texts.mapInArrow(_sets, "node long, set binary")
+    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(need, F.col("doc_id").eqNullSafe(F.col("_d"))).select(*names, "p", "q", "text")
+    return texts.mapInArrow(_sets(*names), ", ".join([*(f"{c} long" for c in names), "set binary"]))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -383,6 +485,11 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op6_ngram_join, whose SQL fixes its columns, and the number of links of every document."""
+    return links(table(spark, sf_dir, "documents"))
+
+
 ORACLE = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -398,3 +505,11 @@ reach AS (
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(reach.y, w.doc_id)) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.x = w.doc_id
 """
+
+LINKS_ORACLE = (
+    ORACLE[: ORACLE.rindex("SELECT w.doc_id")]
+    + r"""
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(reach.y, w.doc_id)) AS component_id, coalesce(k.n_links, 0)::BIGINT AS n_links
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.x = w.doc_id LEFT JOIN (SELECT x, count(*) AS n_links FROM both_ways GROUP BY x) k ON k.x = w.doc_id
+"""
+)

@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_substring_dedup": substring_dedup.op4_substring_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_ngram_join": ngram_join.op6_ngram_join,
+        "op6_ngram_links": ngram_join.op6_ngram_links,
         "op7_token_file": token_file.op7_token_file,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
@@ -21,4 +22,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op9_chat_formatting": chat_format.ORACLE}
+    return {"op3_mixing": mixing.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op6_ngram_links": ngram_join.LINKS_ORACLE, "op9_chat_formatting": chat_format.ORACLE}

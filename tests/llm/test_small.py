@@ -297,6 +297,34 @@ def test_ngram_join_at_the_threshold(spark):
     assert Counter(tuple(r) for r in ngram_join.join(documents(spark, rows)).collect()) == jaccard_components(rows)
 
 
+def links_of(rows):
+    """Brute force: (doc_id, number of other rows that it links with)."""
+    sets = []
+    for i, t, _ in rows:
+        w = WORD.findall(fold(t))
+        sets.append((i, frozenset([" ".join(w)] if 0 < len(w) < 5 else (" ".join(w[k : k + 5]) for k in range(len(w) - 4)))))
+    return Counter((i, sum(x != y and bool(a and b) and 100 * len(a & b) >= 80 * len(a | b) for y, (_, b) in enumerate(sets))) for x, (i, a) in enumerate(sets))
+
+
+def test_ngram_links_inside_a_component(spark, docs, rows):
+    """Every link counts, also between texts that others connect already; in one block and in many."""
+    assert Counter((r["doc_id"], r["n_links"]) for r in ngram_join.links(docs).collect()) == links_of(rows)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(80)]
+    texts = []
+    for _ in range(60):  # near copies and copies of near copies, so that a component holds pairs that link and pairs that do not
+        w = list(rng.choice([base, *map(str.split, texts)])) if texts else list(base)
+        w[rng.randrange(len(w))] = f"r{rng.random()}"
+        texts.append(" ".join(w))
+    many = [(i, t, "s") for i, t in enumerate([*texts, texts[3], texts[3].upper(), "some other words that stand alone"])]
+    want = links_of(many)
+    assert 0 < max(n for _, n in want) < 61
+    for block in (7, 512):
+        out = ngram_join.links(documents(spark, many), block=block)
+        assert Counter((r["doc_id"], r["n_links"]) for r in out.collect()) == want
+    assert ngram_join.links(docs.limit(0)).count() == 0
+
+
 def test_signatures_lose_no_pair():
     """Any two sets of similarity 0.8 or more share a signature."""
     rng = np.random.default_rng(5)
