@@ -3,11 +3,15 @@
 A piece is a run of separators and the word after it. The public tokenizers used here never match across the end of a word
 into a separator, nor from a letter into a full stop or comma, and neither composition (NFC) nor case folding does, so a
 document's ids are its pieces' ids, one after the other. The library sees each distinct piece of a stretch of text once.
+
+A special token's literal string in a text is that token, as in the library's plain call. It is found in the bytes as given:
+case folding and dropped white space must not make one, so all other text is encoded as ordinary text.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -29,11 +33,35 @@ def tokenizer(path: str):
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=4)
+def ordinary(path: str):
+    """The tokenizer for text in which nothing is a special token."""
+    t = tokenizer.__wrapped__(path)  # one of its own: the setting stays with the object
+    t.encode_special_tokens = True
     return t
 
 
+@lru_cache(maxsize=4)
+def specials(path: str) -> dict[bytes, int]:
+    """Literal strings of the special tokens, and their ids."""
+    return {t.content.encode(): i for i, t in tokenizer(path).get_added_tokens_decoder().items() if t.special}
+
+
+def literals(path: str, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last + 1 byte, and id, of each special token's literal string that lies in one document."""
+    ids = specials(path)
+    found = []
+    if ids and len(buf):
+        any_of = re.compile(b"|".join(re.escape(x) for x in sorted(ids, key=len, reverse=True)))
+        found = [(*m.span(), ids[m[0]]) for m in any_of.finditer(memoryview(np.ascontiguousarray(buf)))]
+    begin, end, which = np.array(found, np.int64).reshape(-1, 3).T
+    inside = np.searchsorted(offs, begin, "right") == np.searchsorted(offs, end - 1, "right")
+    return begin[inside], end[inside], which[inside]
+
+
 def _chars(buf: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Code points of each stretch."""
     lead = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
@@ -41,7 +69,7 @@ def _chars(buf: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 
 def _each(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    got = [e.ids for e in tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    got = [e.ids for e in ordinary(path).encode_batch(texts, add_special_tokens=False)]
     return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
 
 
@@ -51,7 +79,7 @@ def _joined(path: str, raw: list[bytes], ends: np.ndarray) -> tuple[np.ndarray,
     base = np.concatenate([[0], ends])[first]
     ids, at = [], []
     for k in range(0, len(first), CALL):  # what the library returns is many times larger than the ids
-        got = tokenizer(path).encode_batch([b" ".join(raw[i : i + BLOCK]).decode() for i in first[k : k + CALL]], add_special_tokens=False)
+        got = ordinary(path).encode_batch([b" ".join(raw[i : i + BLOCK]).decode() for i in first[k : k + CALL]], add_special_tokens=False)
         ids.append(np.fromiter(chain.from_iterable(e.ids for e in got), np.uint32))
         spans = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in got)), np.int64, 2 * len(ids[-1]))
         at.append(spans[::2] + np.repeat(base[k : k + CALL], [len(e) for e in got]))
@@ -83,6 +111,9 @@ def encode(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     cut = np.zeros(len(buf), bool)
     cut[cuts[:-1]] = True
     cut[1:] |= _LETTER[buf[:-1]] & _STOP[buf[1:]]
+    begin, end, which = literals(path, buf, offs)
+    cut[begin] = True
+    cut[end[end < len(buf)]] = True
     real = ~sep
     place = np.zeros(len(buf) + 1, np.int32 if len(buf) < 1 << 31 else np.int64)
     np.cumsum(real, out=place[1:])  # where each byte goes once separators are dropped
@@ -93,6 +124,10 @@ def encode(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
     uniq, idx = encoded(text, new)
     ids, count = word_ids(path, uniq)
+    if len(which):  # a literal is a piece: its id comes after those of the distinct pieces
+        idx = idx.astype(np.int64)
+        idx[np.searchsorted(new, place[begin])] = len(count) + np.arange(len(which))
+        ids, count = np.concatenate([ids, which.astype(np.uint32)]), np.concatenate([count, np.ones(len(which), np.int64)])
     src = np.cumsum(count) - count
     first = np.searchsorted(new[:-1], place[offs])
     del buf, sep, cut, real, place, text, new, uniq

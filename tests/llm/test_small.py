@@ -394,6 +394,24 @@ def test_pieces_equal_whole_texts():
             k += len(e.ids)
 
 
+def test_special_tokens_are_those_of_the_plain_call(spark):
+    """The stated call on a tokenizer as it is read, for literal strings of special tokens, and for what only looks like one."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(token_file.vocabulary())
+    rng = random.Random(9)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endof", "text|>", "<|endof text|>", "<", "|>", " ", "\n", "a", "Word.", "\u0301", "é", "'s", "1"]
+    texts = ["hi <|endoftext|> there", "<|endof", "text|>", "<|endoftext|>", None, *("".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(800))]
+    plain = [whole.encode(t or "", add_special_tokens=False) for t in texts]
+    ids, first = tokenize.encode(token_file.vocabulary(), pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [e.ids for e in plain]
+    assert plain[0].ids == [1883, 49407, 997]
+    got = token_file.read_index(token_file.write(documents(spark, [(i, t, "s") for i, t in enumerate(texts[:40])]))).orderBy("doc_id").collect()
+    assert [(r["n_tokens"], r["ids_crc32"]) for r in got] == [(len(e.ids) + 1, zlib.crc32(np.array([*e.ids, 1], "<u4").tobytes())) for e in plain[:40]]
+    other = Tokenizer.from_file(token_counts.vocabulary())
+    assert [r["n_tokens"] for r in token_counts.count(documents(spark, [(i, t, "s") for i, t in enumerate(texts[:200])])).orderBy("doc_id").collect()] == [len(other.encode(t or "", add_special_tokens=False).ids) for t in texts[:200]]
+
+
 def test_token_counts(spark, docs, rows):
     got = Counter((r["doc_id"], r["n_tokens"], r["n_sections"], r["n_crossing"], tuple(r["section_tokens"])) for r in token_counts.count(docs).collect())
     want, t = Counter(), tokenize.tokenizer(token_counts.vocabulary())
