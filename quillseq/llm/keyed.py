@@ -3,7 +3,8 @@
 Documents are dealt to batches by a hash of their id. Each batch names its distinct 64-bit keys once, sorted, with what it
 adds to each key's sums; the keys go to buckets (equal ranges of the key space) as packed arrays, a bucket sums what all
 batches add, and answers each batch in the order in which it asked. A key comes at most once per batch to its bucket, so a
-frequent key does not make a bucket large, and rows on the wire are arrays, not keys.
+frequent key does not make a bucket large, and rows on the wire are arrays, not keys. Sums are of 32 bits on the wire where
+all of an array fit, and else of 64.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from quillseq.llm.common import bucket_cuts, planes, settle, unplanes
 
 ASK = "bid long, bucket int, keys binary, adds binary"
 ASK_SCHEMA = pa.schema([("bid", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("adds", pa.binary())])
+#: Comes before sums of 64 bits; a compressed array never begins with it.
+WIDE = b"W"
 ANSWER = "bid long, bucket int, sums binary"
 ANSWER_SCHEMA = pa.schema([("bid", pa.int64()), ("bucket", pa.int32()), ("sums", pa.binary())])
 
@@ -38,11 +41,13 @@ def unpack_keys(b: bytes) -> np.ndarray:
 
 
 def pack_sums(a: np.ndarray) -> bytes:
-    return zlib.compress(planes(np.ascontiguousarray(a).reshape(-1)), 1)
+    wide = a.dtype.itemsize > 4 and a.size and int(a.max()) > 2**32 - 1
+    return (WIDE if wide else b"") + zlib.compress(planes(np.ascontiguousarray(a, np.uint64 if wide else np.uint32).reshape(-1)), 1)
 
 
 def unpack_sums(b: bytes, n_sums: int) -> np.ndarray:
-    return unplanes(zlib.decompress(b), np.uint32).reshape(n_sums, -1)
+    wide = b[:1] == WIDE
+    return unplanes(zlib.decompress(b[1:] if wide else b), np.uint64 if wide else np.uint32).reshape(n_sums, -1)
 
 
 def asks(bid: int, keys: np.ndarray, adds: np.ndarray, n: int) -> pa.Table:
@@ -64,7 +69,7 @@ def summed(asked: DataFrame, n_sums: int, stats: Callable[[np.ndarray, np.ndarra
         out, pos = [], 0
         for bid, k in zip(bids, keys, strict=True):
             part = sums[:, at[pos : pos + len(k)]]
-            out.append({"bid": bid, "bucket": bucket, "sums": pack_sums(np.minimum(part, 2**32 - 1).astype(np.uint32))})
+            out.append({"bid": bid, "bucket": bucket, "sums": pack_sums(part)})
             pos += len(k)
         if stats is not None:
             out.append({"bid": -1, "bucket": bucket, "sums": stats(uniq, sums)})

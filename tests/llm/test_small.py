@@ -484,3 +484,12 @@ def test_keyed_answers_follow_the_questions():
     assert np.array_equal(keyed.unpack_keys(keyed.pack_keys(keys)), keys)
     a = np.arange(2 * len(keys), dtype=np.uint32).reshape(2, -1)
     assert np.array_equal(keyed.unpack_sums(keyed.pack_sums(a), 2), a)
+
+
+def test_keyed_sums_beyond_32_bits(spark):
+    keys, many = np.array([1, 7, 2**63], np.uint64), 3_000_000_000
+    asked = [r for bid in (0, 1) for r in keyed.asks(bid, keys, np.array([[many, 1, 2**32 - 1], [0, many, 5]], np.uint32), 2).to_pylist()]
+    told = keyed.summed(spark.createDataFrame([(r["bid"], r["bucket"], r["keys"], r["adds"]) for r in asked], keyed.ASK), 2).collect()
+    for bid in (0, 1):
+        group = pa.Table.from_pylist([r.asDict() for r in told if r["bid"] == bid], keyed.ANSWER_SCHEMA)
+        assert keyed.answers(group, 2).tolist() == [[2 * many, 2, 2**33 - 2], [0, 2 * many, 10]]
