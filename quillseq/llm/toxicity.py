@@ -1,9 +1,11 @@
-"""Operator 1: toxicity by a weighted finite-state pattern grammar.
+"""Operator 1: toxicity by word events read in clauses.
 
-Five transducers read a clause word by word: insult (a trie of learned and given stems), threat, target, negation and
-reported speech. Their composition is one automaton whose states carry what was read before (a target in reach, a negation
-in reach, inside reported speech) and which emits a weighted event for every insult or threat. A clause's events, not
-isolated words, are counted; a document's score is logistic in the counts, with weights fitted on labelled rows.
+The method asks for weighted transducers (insult, threat, target, negation, reported speech), composed, that score matched
+clauses. Built is less: one hand-written loop over a clause's words, with states for a target in reach, a negation in reach and
+inside reported speech, stands in for them. No component transducers are built or composed and arcs have no weights. Every
+insult stem and every threat with intent is an event, also without a target or another pattern in its clause, so one clause can
+give many events and lone stems count. A document's score is logistic in the log counts of the eight kinds of events, with
+weights fitted on labelled rows.
 
 Learning: stems come from counts over at most POSITIVES + NEGATIVES labelled documents, chosen by a hash of their id
 (equal texts once); the event weights are fitted on the same rows. Labels, language, source and id are never inputs of a score.
@@ -51,7 +53,7 @@ def fold(text: str) -> str:
 
 
 class Grammar:
-    """The composed transducers. stems: word prefixes; those that end in '$' must match whole words."""
+    """The loop that stands in for the composed transducers. stems: word prefixes; those that end in '$' must match whole words."""
 
     def __init__(self, stems: list[str]):
         import ahocorasick
