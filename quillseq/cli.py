@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillseq.functions.dna import clean_name
 from quillseq.operators import adapter, alignments, barcodes, dedup, demux, intervals, quality
-from quillseq.sources import barcode_files, fastq, tables
+from quillseq.sources import bam, barcode_files, bigwig, fastq, tables
 
 
 def _pairs(spark: SparkSession, r1: str, r2: str) -> DataFrame:
@@ -19,6 +19,14 @@ def _pairs(spark: SparkSession, r1: str, r2: str) -> DataFrame:
     return p.select("rec", *(f"{c}{i}" for i in (1, 2) for c in ("name", "seq", "qual"))).repartition(n)  # a file is one task
 
 
+def _alignments(spark: SparkSession, path: str, text: bool = False) -> DataFrame:
+    """Records of BAM files, of Parquet, or of SAM text where that is allowed."""
+    if path.endswith(".bam"):
+        bam.register(spark)
+        return spark.read.format("bam").load(path)
+    return tables.sam(spark, path) if text and not path.endswith(".parquet") else spark.read.parquet(path)
+
+
 def run_demux(spark: SparkSession, a: argparse.Namespace) -> None:
     bc1 = barcode_files.load(spark, a.barcode, "r1_barcodes").withColumn("name", clean_name(F.col("name")))
     bc2 = barcode_files.load(spark, a.barcode2 or a.barcode, "r2_barcodes" if (a.barcode2 or a.barcode).endswith(".json") else "r1_barcodes").withColumn("name", clean_name(F.col("name")))
@@ -35,15 +43,18 @@ def run_demux(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def run_trim(spark: SparkSession, a: argparse.Namespace) -> None:
     spec = adapter.specification(a.rate, cb=a.cb, spacer=a.sp, umi=a.umi, linker=a.linker)
-    out = adapter.identify(_pairs(spark, a.r1, a.r2), spec, laxity=a.laxity).withColumn("pair", F.lit(a.pair)).cache()
+    pairs = _pairs(spark, a.r1, a.r2).withColumn("pair", F.lit(a.pair))
+    if a.exclude:
+        pairs = demux.exclude(pairs, a.exclude.split(","))
+    out = adapter.identify(pairs, spec, laxity=a.laxity).cache()
     for mate in (1, 2):
         tables.write_fastq_by_pair(out.where("found"), f"{a.out}/R{mate}", mate)
     tables.write_tsv(adapter.fail_stats(out), f"{a.out}/stats")
 
 
 def run_align(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Filters, tags and removes duplicates of alignments made elsewhere (SAM text or Parquet)."""
-    r = spark.read.parquet(a.input) if a.input.endswith(".parquet") else tables.sam(spark, a.input)
+    """Filters, tags and removes duplicates of alignments made elsewhere (BAM, SAM text or Parquet)."""
+    r = _alignments(spark, a.input, text=True)
     r = alignments.clean(alignments.concordant(r, a.min_len, a.max_len))
     if a.cb or a.umi:
         r = alignments.tagged(r)
@@ -55,7 +66,7 @@ def run_align(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_qc(spark: SparkSession, a: argparse.Namespace) -> None:
-    r = demux.exclude(spark.read.parquet(a.input), a.exclude.split(","))
+    r = demux.exclude(_alignments(spark, a.input), a.exclude.split(","))
     s = intervals.overlap_ratio(r, tables.bed(spark, a.features)).select("pair", "read_count", "overlap_ratio").cache()
     tables.write_tsv(quality.ranked(s), f"{a.out}/all_qc")
     if a.percentile or a.min_ratio:
@@ -63,14 +74,14 @@ def run_qc(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_qc_by_percentile(spark: SparkSession, a: argparse.Namespace) -> None:
-    s = demux.exclude(alignments.mapped_reads(spark.read.parquet(a.input)), a.exclude.split(",")).cache()
+    s = demux.exclude(alignments.mapped_reads(_alignments(spark, a.input)), a.exclude.split(",")).cache()
     tables.write_tsv(quality.ranked(s), f"{a.out}/all_read_count")
     if a.percentile:
         tables.write_tsv(quality.ranked(quality.passing(s, a.percentile)), f"{a.out}/filtered_read_count")
 
 
 def run_frag(spark: SparkSession, a: argparse.Namespace) -> None:
-    r = spark.read.parquet(a.input)
+    r = _alignments(spark, a.input)
     paired = alignments.is_paired(r).first()["paired"]
     tables.write_bed((intervals.fragments if paired else intervals.fragments_single)(r, ("pair",)), a.out, "pair")
 
@@ -84,8 +95,13 @@ def run_cov(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_track(spark: SparkSession, a: argparse.Namespace) -> None:
+    """A bigWig file per sample where chromosome sizes are given, else bedGraph text."""
     runs = (intervals.coverage if a.no_normalized else intervals.coverage_rpm)(_samples(spark, a.input), ("pair",))
-    tables.write_bed(runs, a.out, "pair")
+    if a.genome:
+        sizes = {r["chrom"]: r["size"] for r in tables.chrom_sizes(spark, a.genome).collect()}  # a row per chromosome
+        bigwig.write(runs, sizes, a.out).collect()
+    else:
+        tables.write_bed(runs, a.out, "pair")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -110,6 +126,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument(x)
     c.add_argument("-r", "--rate", type=float, default=0.1)
     c.add_argument("-l", "--laxity", type=int, default=0)
+    c.add_argument("-e", "--exclude")
     c = command("align", run_align, "-i --input", "-o --out")
     for x in ("--cb", "--umi", "--no-merge"):
         c.add_argument(x, action="store_true")
@@ -122,7 +139,9 @@ def parser() -> argparse.ArgumentParser:
         q.add_argument("-e", "--exclude", default="unknown,IgG_control")
     command("frag", run_frag, "-i --input", "-o --out")
     command("cov", run_cov, "-i --input", "-o --out")
-    command("track", run_track, "-i --input", "-o --out").add_argument("--no-normalized", action="store_true")
+    c = command("track", run_track, "-i --input", "-o --out")
+    c.add_argument("--no-normalized", action="store_true")
+    c.add_argument("-g", "--genome")
     return p
 
 

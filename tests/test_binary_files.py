@@ -1,6 +1,8 @@
+import gzip
 import json
 import random
 
+from quillseq import cli
 from quillseq.operators import intervals
 from quillseq.plans import carriers
 from quillseq.sources import bam, bigwig
@@ -45,3 +47,33 @@ def test_bigwig_many_sections_and_none(tmp_path):
     assert list(bigwig.read_file(f"{tmp_path}/a.bw")) == runs
     bigwig.write_file([], {"chr1": 9}, f"{tmp_path}/e.bw")
     assert list(bigwig.read_file(f"{tmp_path}/e.bw")) == []
+
+
+def command(spark, *words):
+    a = cli.parser().parse_args([str(w) for w in words])
+    a.run(spark, a)
+
+
+def test_commands_read_bam_and_write_bigwig(spark, tmp_path):
+    bam.register(spark)
+    rows = [(f"q{i}", f, "chr1", 100 * i + p, 60, "50M", "chr1", 100 * i + 150 - p, t, "*", "*") for i in range(1, 5) for f, p, t in ((99, 0, 200), (147, 150, -200))]
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string").coalesce(1)
+    df.write.format("bam").mode("append").option("chroms", json.dumps({"chr1": 9000})).save(f"{tmp_path}/b")
+    one = next((tmp_path / "b").rglob("*.bam"))
+    command(spark, "frag", "-i", one, "-o", tmp_path / "f")
+    command(spark, "align", "-i", one, "-o", tmp_path / "a", "--no-merge")
+    command(spark, "qc_by_percentile", "-i", one, "-o", tmp_path / "q")
+    assert spark.read.parquet(f"{tmp_path}/a").count() == 8 and sum(len(p.read_text().splitlines()) for p in (tmp_path / "f").rglob("part-*")) == 4
+    (tmp_path / "sizes").write_text("chr1\t9000\n")
+    (tmp_path / "bed").write_text("chr1\t100\t300\ts\nchr1\t200\t400\ts\n")
+    command(spark, "track", "-i", tmp_path / "bed", "-o", tmp_path / "bw", "-g", tmp_path / "sizes", "--no-normalized")
+    assert list(bigwig.read_file(f"{tmp_path}/bw/s.bw")) == [("chr1", 100, 200, 1.0), ("chr1", 200, 300, 2.0), ("chr1", 300, 400, 1.0)]
+
+
+def test_trim_leaves_out_excluded_pairs(spark, tmp_path):
+    for mate in (1, 2):
+        with gzip.open(tmp_path / f"x_R{mate}.fastq.gz", "wt") as f:
+            f.write("@r1\nTTTGCGAAC\n+\nIIIIIIIII\n")
+    for names, n in (("A,Z", 0), ("B", 1)):
+        command(spark, "trim", "-1", tmp_path / "x_R1.fastq.gz", "-2", tmp_path / "x_R2.fastq.gz", "-o", tmp_path / names, "--pair", "A-T", "--umi", "3", "--linker", "GCGA", "-e", names)
+        assert sum(gzip.open(p, "rt").read().count("@r1") for p in (tmp_path / names / "R1").rglob("*.gz")) == n
