@@ -1,29 +1,48 @@
 """Duplicate removal among aligned read pairs.
 
 Records are those of operators.alignments, with columns cb and umi where a mode needs them. All modes keep both records of a
-surviving pair, and only primary records of names that have both mates.
+surviving pair, and only primary records of names that have both mates. Samples (column pair, where there is one) are kept
+apart: equal pairs, or equal names, of two samples are no duplicates.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillseq.operators.alignments import FIRST, SECOND, has, primary
 
 
-def mates(records: DataFrame) -> DataFrame:
-    """One row per name: rname, start and end of the pair, and what the modes order by. Names without both mates are dropped;
-    of several first or second mates the first by (pos, end) counts."""
-    r = primary(records)
+def _with(records: DataFrame, keys: tuple[str, ...]) -> list[str]:
+    return [k for k in keys if k in records.columns]
+
+
+def ends(records: DataFrame) -> DataFrame:
+    """records with pos5 and end5, their ends before clipping (from cigar, where there is one), and qsum, the sum of base
+    qualities of 15 or more (from qual, where there is one and no qsum)."""
+    clip = lambda pattern: F.coalesce(F.aggregate(F.transform(F.regexp_extract_all(F.regexp_extract("cigar", pattern, 0), F.lit("([0-9]+)"), F.lit(1)), lambda x: x.cast("long")), F.lit(0).cast("long"), lambda s, x: s + x), F.lit(0))
+    known = "cigar" in records.columns
+    out = records.withColumns({"pos5": F.col("pos") - (clip("^([0-9]+[SH])+") if known else 0), "end5": F.col("end") + (clip("([0-9]+[SH])+$") if known else 0)})
+    if "qsum" in records.columns or "qual" not in records.columns:
+        return out
+    # a quality's character is its value and 33; those of 15 and more begin at '0'
+    good = F.regexp_replace("qual", "[^0-~]", "")
+    counted = F.aggregate(F.sequence(F.lit(15), F.lit(93)), F.lit(0).cast("long"), lambda s, q: s + q * (F.length(good) - F.length(F.replace(good, F.char(q + 33), F.lit("")))))
+    return out.withColumn("qsum", F.when(F.col("qual") == "*", F.lit(0).cast("long")).otherwise(F.coalesce(counted, F.lit(0))))
+
+
+def mates(records: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:
+    """One row per sample and name: rname, start and end of the pair, and what the modes order by. Names without both mates
+    are dropped; of several first or second mates the first by (pos, end) counts. keys: columns that tell samples apart."""
+    r, own = ends(primary(records)), _with(records, keys)
     extra = [c for c in ("cb", "umi") if c in records.columns]
-    score = F.sum(F.col("qsum")) if "qsum" in records.columns else F.lit(0)
-    place = F.struct("pos", "end", "rname", *extra, (F.col("flag").bitwiseAND(F.lit(16)) != 0).alias("reverse"))
-    g = r.groupBy("qname").agg(F.min(F.when(has(FIRST), place)).alias("a"), F.min(F.when(has(SECOND), place)).alias("b"), score.alias("score"))
+    score = F.sum(F.col("qsum")) if "qsum" in r.columns else F.lit(0)
+    place = F.struct("pos", "end", "rname", *extra, (F.col("flag").bitwiseAND(F.lit(16)) != 0).alias("reverse"), "pos5", "end5")
+    g = r.groupBy(*own, "qname").agg(F.min(F.when(has(FIRST), place)).alias("a"), F.min(F.when(has(SECOND), place)).alias("b"), score.alias("score"))
     g = g.where("a IS NOT NULL AND b IS NOT NULL")
-    five = lambda m: F.when(F.col(f"{m}.reverse"), F.col(f"{m}.end")).otherwise(F.col(f"{m}.pos"))
-    return g.select("qname", F.col("a.rname").alias("rname"), F.least("a.pos", "b.pos").alias("start"), F.greatest("a.end", "b.end").alias("stop"), five("a").alias("five1"), five("b").alias("five2"), F.col("a.reverse").alias("rev1"), F.col("b.reverse").alias("rev2"), "score", *[F.col(f"a.{c}").alias(c) for c in extra])
+    five = lambda m: F.when(F.col(f"{m}.reverse"), F.col(f"{m}.end5")).otherwise(F.col(f"{m}.pos5"))
+    return g.select(*own, "qname", F.col("a.rname").alias("rname"), F.least("a.pos", "b.pos").alias("start"), F.greatest("a.end", "b.end").alias("stop"), five("a").alias("five1"), five("b").alias("five2"), F.col("a.reverse").alias("rev1"), F.col("b.reverse").alias("rev2"), "score", *[F.col(f"a.{c}").alias(c) for c in extra])
 
 
 def _first(pairs: DataFrame, key: list[str], order: list) -> DataFrame:
@@ -31,32 +50,38 @@ def _first(pairs: DataFrame, key: list[str], order: list) -> DataFrame:
     return pairs.groupBy(*key).agg(F.min_by("qname", F.struct(*order)).alias("qname"), F.count(F.lit(1)).alias("copies"))
 
 
-def by_cell(records: DataFrame) -> DataFrame:
-    """Kept names and copies: of pairs with one cell barcode, chromosome, start and end the first by name; strand is ignored,
-    pairs without a cell barcode are skipped."""
-    return _first(mates(records).where("cb IS NOT NULL"), ["cb", "rname", "start", "stop"], ["qname"]).select("qname", "copies")
+def by_cell(records: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:
+    """Kept names of each sample and copies: of pairs with one cell barcode, chromosome, start and end the first by name;
+    strand is ignored, pairs without a cell barcode are skipped."""
+    own = _with(records, keys)
+    return _first(mates(records, keys).where("cb IS NOT NULL"), [*own, "cb", "rname", "start", "stop"], ["qname"]).select(*own, "qname", "copies")
 
 
-def by_position(records: DataFrame) -> DataFrame:
-    """Kept names and copies: of pairs with one chromosome, 5' ends and strands the one of highest base-quality sum, then
-    the first by name."""
-    return _first(mates(records), ["rname", "five1", "five2", "rev1", "rev2"], [-F.col("score"), F.col("qname")]).select("qname", "copies")
+def by_position(records: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:
+    """Kept names of each sample and copies: of pairs with one chromosome, unclipped 5' ends and strands the one of highest
+    base-quality sum, then the first by name."""
+    own = _with(records, keys)
+    return _first(mates(records, keys), [*own, "rname", "five1", "five2", "rev1", "rev2"], [-F.col("score"), F.col("qname")]).select(*own, "qname", "copies")
 
 
-def by_umi(records: DataFrame, per_cell: bool = False, method: str = "directional") -> DataFrame:
-    """Kept names and copies: of pairs at one position (and cell) one per molecule.
+def by_umi(records: DataFrame, per_cell: bool = False, method: str = "directional", keys: tuple[str, ...] = ("pair",)) -> DataFrame:
+    """Kept names of each sample and copies: of pairs at one position (and cell) one per molecule.
 
     method 'unique': a molecule is a distinct UMI. 'directional': UMIs one mismatch apart join if the commoner one has at
     least twice the other's count less one, and the commonest names the molecule."""
-    key = ["rname", "start", "stop", *(["cb"] if per_cell else [])]
-    pairs = mates(records).where("umi IS NOT NULL" + (" AND cb IS NOT NULL" if per_cell else ""))
+    own = _with(records, keys)
+    key = [*own, "rname", "start", "stop", *(["cb"] if per_cell else [])]
+    pairs = mates(records, keys).where("umi IS NOT NULL" + (" AND cb IS NOT NULL" if per_cell else ""))
     unique = _first(pairs, [*key, "umi"], ["qname"])
     if method == "unique":
-        return unique.select("qname", "copies")
+        return unique.select(*own, "qname", "copies")
 
     # a row per position with its distinct UMIs, commonest first: at most 5 to the power of a UMI's length
     groups = unique.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct((-F.col("copies")).alias("n"), "umi", "qname"))).alias("u"))
-    return groups.select("u").mapInArrow(_molecules, "qname string, copies long")
+    alone = groups.where(F.size("u") == 1).select(*own, F.col("u")[0]["qname"].alias("qname"), (-F.col("u")[0]["n"]).alias("copies"))
+    many = groups.where(F.size("u") > 1).select(F.struct(*own, F.lit(0).alias("_")).alias("sample"), "u")  # only these go to Python
+    found = many.mapInArrow(_molecules, many.select("sample").withColumns({"qname": F.lit(""), "copies": F.lit(0).cast("long")}).schema)
+    return alone.unionByName(found.select(*[F.col(f"sample.{k}").alias(k) for k in own], "qname", "copies"))
 
 
 def _network(rows: list[dict]) -> list[tuple[str, int]]:
@@ -83,22 +108,24 @@ def _network(rows: list[dict]) -> list[tuple[str, int]]:
 
 def _molecules(batches):
     for b in batches:
-        found = [m for rows in b.column("u").to_pylist() for m in (_network(rows) if len(rows) > 1 else [(rows[0]["qname"], -rows[0]["n"])])]
-        yield pa.RecordBatch.from_arrays([pa.array([q for q, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], names=["qname", "copies"])
-
-
-def survivors(records: DataFrame, kept: DataFrame) -> DataFrame:
-    return primary(records).join(kept.select("qname"), "qname", "left_semi")
-
-
-def counters(records: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row, in pairs: input (names), written, duplicated and skipped."""
-    names = records.agg(F.count_distinct("qname").alias("input"))
-    k = kept.agg(F.count(F.lit(1)).alias("written"), F.coalesce(F.sum("copies"), F.lit(0)).alias("_c"))
-    one = names.crossJoin(k)  # one row each
-    return one.select("input", "written", (F.col("_c") - F.col("written")).alias("duplicated"), (F.col("input") - F.col("_c")).alias("skipped"))
-
-
-def first_in_order(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """The general form: whole rows, first of each key by an order."""
-    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_rn = 1").drop("_rn")
+        found = [_network(rows) for rows in b.column("u").to_pylist()]
+        row = pa.array([i for i, m in enumerate(found) for _ in m], pa.int64())
+        flat = [m for rows in found for m in rows]
+        yield pa.RecordBatch.from_arrays([b.column("sample").take(row), pa.array([q for q, _ in flat], pa.string()), pa.array([n for _, n in flat], pa.int64())], names=["sample", "qname", "copies"])
+
+
+def survivors(records: DataFrame, kept: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:
+    """The primary records of the kept names of each sample."""
+    own = [k for k in _with(records, keys) if k in kept.columns]
+    r, k = primary(records), kept.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*own, "qname"])])
+    return r.join(k, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*own, "qname"])], "left_semi")
+
+
+def counters(records: DataFrame, kept: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:
+    """A row per sample, in pairs: input (names), written, duplicated and skipped."""
+    own = [k for k in _with(records, keys) if k in kept.columns]
+    names = records.groupBy(*own).agg(F.count_distinct("qname").alias("input"))
+    k = kept.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(own)]).agg(F.count(F.lit(1)).alias("_w"), F.sum("copies").alias("_c"))
+    one = names.join(k, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(own)], "left") if own else names.crossJoin(k)  # one row each
+    written, seen = F.coalesce("_w", F.lit(0)), F.coalesce("_c", F.lit(0))
+    return one.select(*own, "input", written.alias("written"), (seen - written).alias("duplicated"), (F.col("input") - seen).alias("skipped"))

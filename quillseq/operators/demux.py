@@ -83,18 +83,31 @@ def roll_up(counts: DataFrame, once: bool = False) -> DataFrame:
 
 def exclude(rows: DataFrame, names: list[str], key: str = "pair") -> DataFrame:
     """Rows whose key is not excluded. If all keys hold '-', a token of the key must be in names; if none does, the key must;
-    in a mixture, a name within the key is enough."""
-    mode = rows.agg(F.bool_and(F.contains(key, F.lit("-"))).alias("_all"), F.bool_or(F.contains(key, F.lit("-"))).alias("_any"))
+    in a mixture, a name within the key is enough. Which of these holds is decided over the distinct keys."""
+    keys = rows.select(key).distinct()
+    mode = keys.agg(F.bool_and(F.contains(key, F.lit("-"))).alias("_all"), F.bool_or(F.contains(key, F.lit("-"))).alias("_any"))
     listed = F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
     out = F.when(F.col("_all"), F.arrays_overlap(F.split(key, "-"), listed)).when(~F.col("_any"), F.array_contains(listed, F.col(key))).otherwise(F.exists(listed, lambda x: F.contains(F.col(key), x)))
     return rows.crossJoin(mode).where(~F.coalesce(out, F.lit(False))).select(*rows.columns)  # mode is one row
 
 
-def report(assigned: DataFrame, settings: dict[str, str], barcodes1: list[str], barcodes2: list[str]) -> DataFrame:
-    """One row, report: the run's counters as JSON; pair_counts holds 'unmatched' too."""
-    as_map = lambda df, k: df.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, "n")))).alias("m"))
-    pairs, hist = as_map(pair_counts(assigned), "pair"), as_map(mismatch_histogram(assigned), "metric")
-    s = assigned.agg(F.count(F.lit(1)).alias("total_reads"), F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched"))
+def tallies(assigned: DataFrame) -> DataFrame:
+    """pair, matched, dist1, dist2 and n: what every counter of a run follows from, in one aggregate over the reads. A missing
+    distance is a mate without a match."""
+    return assigned.groupBy(F.when(F.col("matched"), F.col("pair")).alias("pair"), "matched", "dist1", "dist2").agg(F.count(F.lit(1)).alias("n"))
+
+
+def report(tally: DataFrame, settings: dict[str, str], barcodes1: list[str], barcodes2: list[str]) -> DataFrame:
+    """One row, report: a run's counters (from tallies()) as JSON; pair_counts holds 'unmatched' too, and all pairs read count,
+    also those of which neither side is known."""
+    as_map = lambda df, k: df.groupBy(k).agg(F.sum("n").alias("n")).agg(F.coalesce(F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, "n")))), F.create_map().cast("map<string,bigint>")).alias("m"))
+    pairs = as_map(tally.select(F.coalesce("pair", F.lit("unmatched")).alias("pair"), "n"), "pair")
+    text = lambda prefix, c: F.concat(F.lit(prefix), c.cast("string"))
+    both = F.array(text("r1_mm_", F.col("dist1")), text("r2_mm_", F.col("dist2")), text("total_mm_", F.col("dist1") + F.col("dist2")))
+    none = F.array_compact(F.array(F.when(F.col("dist1").isNull(), F.lit("r1_no_match")), F.when(F.col("dist2").isNull(), F.lit("r2_no_match"))))
+    hist = as_map(tally.select(F.explode(F.when(F.col("matched"), both).otherwise(none)).alias("metric"), "n"), "metric")
+    of = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    s = tally.agg(of("n").alias("total_reads"), of(F.when(F.col("matched"), F.col("n"))).alias("matched"), of(F.when(~F.col("matched"), F.col("n"))).alias("unmatched"))
     fixed = F.create_map(*[F.lit(str(x)) for kv in settings.items() for x in kv]) if settings else F.create_map().cast("map<string,string>")
     lists = F.struct(F.array(*map(F.lit, barcodes1)).alias("r1"), F.array(*map(F.lit, barcodes2)).alias("r2"))
     one = s.crossJoin(pairs.withColumnRenamed("m", "_p")).crossJoin(hist.withColumnRenamed("m", "_h"))  # one row each

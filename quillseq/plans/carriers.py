@@ -131,9 +131,9 @@ records AS (
   FROM rec0),
 prim AS (SELECT * FROM records WHERE flag & 2308 = 0),
 mates AS (
-  SELECT qname, first(rname ORDER BY flag & 64 DESC) AS rname, min(pos) AS start, max("end") AS stop, sum(qsum) AS score, any_value(cb) AS cb, any_value(umi) AS umi,
+  SELECT pair, qname, first(rname ORDER BY flag & 64 DESC) AS rname, min(pos) AS start, max("end") AS stop, sum(qsum) AS score, any_value(cb) AS cb, any_value(umi) AS umi,
          min(pos) FILTER (flag & 64 > 0) AS five1, max("end") FILTER (flag & 128 > 0) AS five2
-  FROM prim GROUP BY qname HAVING count(*) = 2)"""
+  FROM prim GROUP BY pair, qname HAVING count(*) = 2)"""
 _BED = """
 bed AS (SELECT l_returnflag AS pair, 'chr' || (l_suppkey % 24) AS chrom, l_partkey AS start, l_partkey + l_quantity::BIGINT AS "end" FROM lineitem),
 feats AS (SELECT 'chr' || (p_partkey % 22 + 1) AS chrom, (p_partkey * 3 % 1000)::BIGINT AS start, (p_partkey * 3 % 1000 + p_size)::BIGINT AS "end" FROM part)"""

@@ -82,7 +82,7 @@ def queries() -> dict:
         "demux_per_side_trim": lambda s, d: demux.drop_unknown(demux.assign(_reads(s, d), *[barcodes.lookup(c.barcodes(s, d), c.MISMATCHES)] * 2, c.LENGTH, "per_side")).select("rec", "pair", "seq1", "seq2"),
         "demux_top10_pairs": lambda s, d: demux.top_pairs(_assigned(s, d)),
         "demux_summary_pct": lambda s, d: demux.summary(_assigned(s, d)).select("total", "matched", "unmatched", F.round("matched_pct", 6).alias("matched_pct"), F.round("unmatched_pct", 6).alias("unmatched_pct")),
-        "demux_report": lambda s, d: demux.report(_assigned(s, d), {"mismatches": str(c.MISMATCHES)}, [], []),
+        "demux_report": lambda s, d: demux.report(demux.tallies(_assigned(s, d)), {"mismatches": str(c.MISMATCHES)}, [], []),
         "barcode_variants": lambda s, d: barcodes.variants(c.barcodes(s, d), c.MISMATCHES).groupBy("ord", "name", "dist").agg(F.count_distinct("variant").alias("n"), F.min("variant").alias("lo"), F.max("variant").alias("hi")),
         "barcode_lut_strict": lambda s, d: barcodes.lookup_strict(c.barcodes(s, d), c.MISMATCHES),
         "barcode_lut_compat": lambda s, d: barcodes.lookup(c.barcodes(s, d), c.MISMATCHES),
@@ -121,6 +121,8 @@ def queries() -> dict:
         "dedup_umi_unique": lambda s, d: dedup.by_umi(_tagged(s, d), method="unique"),
         "dedup_umi_cell_unique": lambda s, d: dedup.by_umi(_tagged(s, d), per_cell=True, method="unique"),
         "dedup_umi_directional": lambda s, d: dedup.by_umi(_tagged(s, d)),
+        "dedup_umi_cell_directional": lambda s, d: dedup.by_umi(_tagged(s, d), per_cell=True),
+        "dedup_survivors": lambda s, d: dedup.survivors(_tagged(s, d), dedup.by_cell(_tagged(s, d))).select("pair", "qname", "flag", "rname", "pos"),
         "dedup_counters": lambda s, d: dedup.counters(_tagged(s, d), dedup.by_cell(_tagged(s, d))),
         "mapq_chrom_filter": lambda s, d: alignments.clean(c.records(s, d)).select("qname", "flag", "rname", "pos", "mapq"),
         "primary_filter": lambda s, d: alignments.primary(c.records(s, d)).select("qname", "flag", "rname", "pos"),
@@ -160,7 +162,12 @@ def oracle_sql() -> dict[str, str]:
     rank = lambda p: f"(SELECT list_sort(list(read_count))[floor((count(*) - 1) * {p}::DOUBLE)::INT + 1] FROM t)"
     lax = " ".join(f"WHEN {3 + 1 + k} <= length(seq) AND {_cand(str(4 + k), list(SPEC_LAX[1].candidates))} IS NOT NULL THEN {k}" for k in range(3))
     lax_n = " ".join(f"WHEN {k} THEN {_cand(str(4 + k), list(SPEC_LAX[1].candidates))}" for k in range(3))
-    kept = lambda key, order: f"SELECT first(qname ORDER BY {order}) AS qname, count(*) AS copies FROM mates WHERE {{}} GROUP BY {key}"
+    kept = lambda key, order: f"SELECT pair, first(qname ORDER BY {order}) AS qname, count(*) AS copies FROM mates WHERE {{}} GROUP BY pair, {key}"
+    # a UMI belongs to the first one, commonest first, from which steps of one mismatch to rare enough UMIs lead to it
+    molecules = lambda key, where: f"""u AS (SELECT *, hash({key}) AS g, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, umi) AS o FROM (SELECT {key}, umi, min(qname) AS q, count(*) AS n FROM mates WHERE {where} GROUP BY ALL)),
+            reach AS (WITH RECURSIVE r(g, a, b) AS (SELECT g, o, o FROM u UNION SELECT r.g, r.a, y.o FROM r JOIN u x ON x.g = r.g AND x.o = r.b JOIN u y ON y.g = r.g AND hamming(x.umi, y.umi) = 1 AND x.n >= 2 * y.n - 1) SELECT * FROM r),
+            own AS (SELECT g, b, min(a) AS a FROM reach GROUP BY g, b)
+            SELECT any_value(u.pair) AS pair, t.q AS qname, sum(u.n)::BIGINT AS copies FROM own JOIN u ON u.g = own.g AND u.o = own.b JOIN u t ON t.g = own.g AND t.o = own.a GROUP BY own.g, own.a, t.q"""
     tagged_mates = "qname LIKE '%::%'"
     return {
         "demux_pair_counts": f"{dq} SELECT {pairs} AS pair, count(*) AS n FROM assigned GROUP BY 1",
@@ -178,6 +185,20 @@ def oracle_sql() -> dict[str, str]:
         "barcode_variants": f"{dq} SELECT ord, name, dist, count(DISTINCT variant) AS n, min(variant) AS lo, max(variant) AS hi FROM var GROUP BY ALL",
         "barcode_lut_strict": f"{dq} SELECT * FROM strict",
         "barcode_lut_compat": f"{dq} SELECT * FROM compat",
+        "demux_report": f"""{dq}, hist AS (SELECT metric, count(*) AS n FROM (SELECT unnest(CASE WHEN matched THEN ['r1_mm_' || dist1, 'r2_mm_' || dist2, 'total_mm_' || (dist1 + dist2)]
+              ELSE list_filter([CASE WHEN target1 IS NULL THEN 'r1_no_match' END, CASE WHEN target2 IS NULL THEN 'r2_no_match' END], lambda x: x IS NOT NULL) END) AS metric FROM assigned) GROUP BY 1),
+            per AS (SELECT {pairs} AS pair, count(*) AS n FROM assigned GROUP BY 1)
+            SELECT '{{"version":"1","mode":"spark","settings":{{"mismatches":"{c.MISMATCHES}"}},"summary":{{"total_reads":' || count(*) || ',"matched":' || count(*) FILTER (matched) || ',"unmatched":' || count(*) FILTER (NOT matched) || '}},"mismatch_stats":{{'
+              || (SELECT string_agg('"' || metric || '":' || n, ',' ORDER BY metric) FROM hist) || '}},"pair_counts":{{' || (SELECT string_agg('"' || pair || '":' || n, ',' ORDER BY pair) FROM per) || '}},"barcodes":{{"r1":[],"r2":[]}}}}' AS report FROM assigned""",
+        # every claim as it is met: choices of up to two places and of any letters for them, in order
+        "barcode_lut_two_mismatches": f"""{dq}, b6 AS (SELECT ord, name, substr(barcode, 1, 6) AS b FROM bc), letters AS (SELECT unnest(['A', 'C', 'G', 'T', 'N']) AS x), places AS (SELECT unnest(range(1, 7))::INT AS p),
+            met AS (SELECT ord, name, b, b AS variant, 0 AS k, 0 AS p, 0 AS q FROM b6
+              UNION ALL SELECT ord, name, b, substr(b, 1, p - 1) || x || substr(b, p + 1), 1, p, 0 FROM b6, places, letters
+              UNION ALL SELECT ord, name, b, substr(b, 1, i.p - 1) || m.x || substr(b, i.p + 1, j.p - i.p - 1) || o.x || substr(b, j.p + 1), 2, i.p, j.p FROM b6, places i, places j, letters m, letters o WHERE i.p < j.p)
+            SELECT variant, w.name AS name, w.dist AS dist FROM (
+              SELECT variant, list_reduce(list_prepend({{'name': NULL::VARCHAR, 'dist': NULL::INT}}, list({{'name': name, 'dist': hamming(b, variant)::INT}} ORDER BY ord, k, p, q)),
+                lambda h, c: CASE WHEN h.name IS NULL OR c.dist < h.dist THEN c WHEN c.dist = h.dist AND c.name <> h.name THEN {{'name': NULL::VARCHAR, 'dist': NULL::INT}} ELSE h END) AS w
+              FROM met GROUP BY variant) WHERE w.name IS NOT NULL""",
         "barcode_ambiguity": f"""{dq} SELECT a.ord AS ord_a, b.ord AS ord_b, a.barcode AS a, b.barcode AS b, hamming(a.barcode, b.barcode)::INT AS dist FROM bc a JOIN bc b ON a.ord < b.ord
             WHERE hamming(a.barcode, b.barcode) <= 2 * floor({c.LENGTH} * 0.3)""",
         "barcode_length": f"{dq} SELECT mode(length(barcode))::INT AS length, count(DISTINCT length(barcode)) = 1 AS uniform FROM bc",
@@ -215,8 +236,12 @@ def oracle_sql() -> dict[str, str]:
         "dedup_coord": f"{al} " + kept("rname, five1, five2", "score DESC, qname").format(tagged_mates),
         "dedup_umi_unique": f"{al} " + kept("rname, start, stop, umi", "qname").format("umi IS NOT NULL"),
         "dedup_umi_cell_unique": f"{al} " + kept("rname, start, stop, cb, umi", "qname").format("umi IS NOT NULL AND cb IS NOT NULL"),
+        "dedup_umi_directional": f"{al}, {molecules('pair, rname, start, stop', 'umi IS NOT NULL')}",
+        "dedup_umi_cell_directional": f"{al}, {molecules('pair, rname, start, stop, cb', 'umi IS NOT NULL AND cb IS NOT NULL')}",
+        "dedup_survivors": f"""{al}, k AS ({kept("cb, rname, start, stop", "qname").format("cb IS NOT NULL")}) SELECT pair, qname, flag, rname, pos FROM prim WHERE (pair, qname) IN (SELECT (pair, qname) FROM k)""",
         "dedup_counters": f"""{al}, k AS ({kept("cb, rname, start, stop", "qname").format("cb IS NOT NULL")})
-            SELECT i AS input, w AS written, (s - w)::BIGINT AS duplicated, (i - s)::BIGINT AS skipped FROM (SELECT count(DISTINCT qname) AS i FROM records WHERE {tagged_mates}), (SELECT count(*) AS w, sum(copies) AS s FROM k)""",
+            SELECT pair, i AS input, coalesce(w, 0) AS written, coalesce(s - w, 0)::BIGINT AS duplicated, (i - coalesce(s, 0))::BIGINT AS skipped
+            FROM (SELECT pair, count(DISTINCT qname) AS i FROM records WHERE {tagged_mates} GROUP BY pair) LEFT JOIN (SELECT pair, count(*) AS w, sum(copies) AS s FROM k GROUP BY pair) USING (pair)""",
         "mapq_chrom_filter": f"{al} SELECT qname, flag, rname, pos, mapq FROM records WHERE mapq >= 10 AND regexp_full_match(rname, 'chr([0-9]+|X|Y)')",
         "primary_filter": f"{al} SELECT qname, flag, rname, pos FROM prim",
         "concordant_filter": f"{al} SELECT qname, flag, tlen FROM records WHERE flag & 2 > 0 AND flag & 12 = 0 AND abs(tlen) BETWEEN 10 AND 800",

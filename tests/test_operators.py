@@ -75,7 +75,7 @@ def test_routing(spark):
     c = {x["rec"]: (x["pair"], x["swapped"], x["seq1"]) for x in demux.canonical(out).collect()}
     assert c[2] == ("A-T", 1, "C")
     assert demux.drop_unknown(out).count() == 3
-    body = json.loads(demux.report(out, {"a": "b"}, ["AAAA"], ["TTTT"]).first()["report"])
+    body = json.loads(demux.report(demux.tallies(out), {"a": "b"}, ["AAAA"], ["TTTT"]).first()["report"])
     assert body["pair_counts"]["unmatched"] == 2 and body["summary"] == {"total_reads": 4, "matched": 2, "unmatched": 2}
     assert demux.summary(out.limit(0)).first()["matched_pct"] == 0.0
 
@@ -170,10 +170,32 @@ def test_dedup_modes(spark):
     assert [x["qname"] for x in dedup.by_position(r).collect()] == ["q2"]
     assert sorted(x["qname"] for x in dedup.by_umi(r, method="unique").collect()) == ["q1", "q2"]
     assert [x["qname"] for x in dedup.by_umi(r).collect()] == ["q1"]
-    assert tuple(dedup.counters(r, dedup.by_cell(r)).first()) == (4, 2, 1, 1)
+    assert tuple(dedup.counters(r, dedup.by_cell(r)).first()) == ("s", 4, 2, 1, 1)
     assert dedup.survivors(r, dedup.by_cell(r)).count() == 4
 
 
+def test_dedup_keeps_samples_apart(spark):
+    """Equal pairs, and equal names, of two samples are no duplicates; counters come per sample."""
+    one = mates("q1", 100, 180, "X", "AAAA") + mates("q2", 100, 180, "X", "AAAA") + mates("q9", 5, 9, "X", "AAAA")
+    two = [("t", *x[1:]) for x in mates("q1", 100, 180, "X", "AAAA") + mates("q3", 100, 180, "X", "AAAA")]
+    none = [(None, *x[1:]) for x in mates("q1", 100, 180, "X", "AAAA")]
+    r = records(spark, one + two + none)
+    want = [("None", "q1"), ("s", "q1"), ("s", "q9"), ("t", "q1")]
+    for kept in (dedup.by_cell(r), dedup.by_position(r), dedup.by_umi(r), dedup.by_umi(r, method="unique"), dedup.by_umi(r, per_cell=True)):
+        assert sorted((str(x["pair"]), x["qname"]) for x in kept.collect()) == want
+        assert sorted((str(x["pair"]), x["qname"]) for x in dedup.survivors(r, kept).collect()) == sorted(want * 2)
+    assert sorted((str(x["pair"]), x["input"], x["written"], x["duplicated"], x["skipped"]) for x in dedup.counters(r, dedup.by_cell(r)).collect()) == [("None", 1, 1, 0, 0), ("s", 3, 2, 1, 0), ("t", 2, 1, 1, 0)]
+    assert dedup.by_cell(r.drop("pair")).count() == 2 and dedup.by_umi(r.limit(0)).count() == 0
+
+
+def test_positions_before_clipping_and_base_qualities(spark):
+    rows = [("s", "a", 99, "chr1", 105, 150, 60, 0, "X", "A", "5S45M", "I" * 50), ("s", "a", 147, "chr1", 180, 230, 60, 0, "X", "A", "50M", "I" * 50), ("s", "b", 99, "chr1", 100, 150, 60, 0, "X", "A", "50M", "J" * 50), ("s", "b", 147, "chr1", 180, 220, 60, 0, "X", "A", "40M7S3H", "I" * 50), ("s", "c", 99, "chr1", 102, 150, 60, 0, "X", "A", "48M", "." * 50), ("s", "c", 147, "chr1", 180, 230, 60, 0, "X", "A", "50M", "*")]
+    r = spark.createDataFrame(rows, "pair string, qname string, flag int, rname string, pos long, end long, mapq int, tlen long, cb string, umi string, cigar string, qual string")
+    e = {(x["qname"], x["flag"]): (x["pos5"], x["end5"], x["qsum"]) for x in dedup.ends(r).collect()}
+    assert e["a", 99] == (100, 150, 40 * 50) and e["b", 147] == (180, 230, 40 * 50) and e["c", 99][2] == 0 and e["c", 147][2] == 0
+    assert sorted((x["qname"], x["copies"]) for x in dedup.by_position(r).collect()) == [("b", 2), ("c", 1)]
+
+
 def test_fragments_and_coverage(spark):
     r = records(spark, mates("a", 100, 180) + [("s", "b", 99, "chr1", 1, 9, 60, 0, 0, None, None), ("s", "b", 147, "chr2", 1, 9, 60, 0, 0, None, None)])
     assert [tuple(x) for x in intervals.fragments(r).collect()] == [("chr1", 100, 230)]
