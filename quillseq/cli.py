@@ -3,105 +3,150 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillseq.functions.dna import clean_name
 from quillseq.operators import adapter, alignments, barcodes, dedup, demux, intervals, quality
-from quillseq.sources import bam, barcode_files, bigwig, fastq, tables
+from quillseq.sources import bam, barcode_files, bigwig, fastq, generator, genomes, tables
 
 
 def _pairs(spark: SparkSession, r1: str, r2: str) -> DataFrame:
     fastq.register(spark)
     n = spark.sparkContext.defaultParallelism
     p = spark.read.format("fastq").option("mate", r2).load(r1)
-    return p.select("rec", *(f"{c}{i}" for i in (1, 2) for c in ("name", "seq", "qual"))).repartition(n)  # a file is one task
+    return p.select("rec", *(f"{c}{i}" for i in (1, 2) for c in fastq.FIELDS)).repartition(n)  # a file is one task
+
+
+def _pairs_in(spark: SparkSession, folder: str) -> DataFrame:
+    """Read pairs of all samples of a folder, with the sample in the column pair."""
+    fastq.register(spark)
+    files = tables.fastq_pairs(spark, folder)
+    if not files:
+        raise FileNotFoundError(f"no FASTQ files in {folder}")
+    return spark.read.format("fastq").option("pairs", json.dumps(files)).load()
 
 
 def _alignments(spark: SparkSession, path: str, text: bool = False) -> DataFrame:
-    """Records of BAM files, of Parquet, or of SAM text where that is allowed."""
-    if path.endswith(".bam"):
+    """Records of BAM files (a file or a folder of them), of Parquet, or of SAM text where that is allowed; column pair names
+    the sample."""
+    if path.endswith(".parquet"):
+        return spark.read.parquet(path)
+    names = [path] if path.endswith((".bam", ".sam")) else [r["path"] for r in tables.listed(spark, path).select("path").collect()]  # a row per file
+    if any(n.endswith(".bam") for n in names):
         bam.register(spark)
+        if not path.endswith(".bam"):
+            tables.samples(spark, path)  # names must differ
         return spark.read.format("bam").load(path)
-    return tables.sam(spark, path) if text and not path.endswith(".parquet") else spark.read.parquet(path)
+    return tables.sam(spark, path) if text and any(n.endswith(".sam") for n in names) else spark.read.parquet(path)
 
 
 def run_demux(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Two passes over the reads: one for the counters of all pairs, one that writes those of which a side is known."""
     bc1 = barcode_files.load(spark, a.barcode, "r1_barcodes").withColumn("name", clean_name(F.col("name")))
     bc2 = barcode_files.load(spark, a.barcode2 or a.barcode, "r2_barcodes" if (a.barcode2 or a.barcode).endswith(".json") else "r1_barcodes").withColumn("name", clean_name(F.col("name")))
     length = len(bc1.orderBy("ord").first()["barcode"])
     budget = round(a.error_rate * length)
+    one, two = (budget if m is None else m for m in (a.r1_mismatches, a.r2_mismatches))
     build = barcodes.lookup if a.conflict == "compat" else barcodes.lookup_strict
-    out = demux.drop_unknown(demux.assign(_pairs(spark, a.r1, a.r2), build(bc1, budget), build(bc2, budget), length, a.trim))
-    merged = demux.canonical(out).cache()
-    for mate in (1, 2):
-        tables.write_fastq_by_pair(merged, f"{a.out}/R{mate}", mate)
+    out = demux.assign(_pairs(spark, a.r1, a.r2), build(bc1, one), build(bc2, two), length, a.trim)
+    kept = demux.drop_unknown(out)
+    tables.write_fastq_by_pair(kept if a.no_merge else demux.canonical(kept), a.out, "{pair}_{mate}.fastq" + ("" if a.no_compress else ".gz"), level=a.compression_level)
     lists = [[r["barcode"] for r in b.orderBy("ord").collect()] for b in (bc1, bc2)]
-    tables.write_report(demux.report(out, {"error_rate": str(a.error_rate), "mismatches": str(budget)}, *lists), f"{a.out}/report")
+    settings = {"error_rate": str(a.error_rate), "mismatches": str(budget), "r1_mismatches": str(one), "r2_mismatches": str(two)}
+    tables.write_report(demux.report(demux.tallies(out), settings, *lists), f"{a.out}/report")
+
+
+def run_generate(spark: SparkSession, a: argparse.Namespace) -> None:
+    """The benchmark workload as files: two FASTQ files and a barcode list of either mate."""
+    bc1, bc2 = (generator.barcodes(spark, a.barcodes, i, seed=a.seed) for i in (1, 2))
+    pairs = generator.pairs(spark, a.pairs, bc1, bc2, seed=a.seed).withColumns({"pair": F.lit("reads"), **{f"name{i}": F.concat(F.lit("@"), F.col(f"name{i}")) for i in (1, 2)}})
+    tables.write_fastq_by_pair(pairs, a.out)
+    for i, bc in ((1, bc1), (2, bc2)):
+        tables.write_tsv(bc.orderBy("ord").select("barcode", "name"), f"{a.out}/barcodes_r{i}")
 
 
 def run_trim(spark: SparkSession, a: argparse.Namespace) -> None:
-    spec = adapter.specification(a.rate, cb=a.cb, spacer=a.sp, umi=a.umi, linker=a.linker)
-    pairs = _pairs(spark, a.r1, a.r2).withColumn("pair", F.lit(a.pair))
+    """One pair of files (-1, -2) or a folder of them (-i); a file per pair and mate, and counters per pair."""
+    spec = adapter.specification(a.error_rate, cb=a.cb, spacer=a.sp, umi=a.umi, linker=a.linker)
+    pairs = _pairs_in(spark, a.input) if a.input else _pairs(spark, a.r1, a.r2).withColumn("pair", F.lit(a.pair))
     if a.exclude:
         pairs = demux.exclude(pairs, a.exclude.split(","))
-    out = adapter.identify(pairs, spec, laxity=a.laxity).cache()
-    for mate in (1, 2):
-        tables.write_fastq_by_pair(out.where("found"), f"{a.out}/R{mate}", mate)
-    tables.write_tsv(adapter.fail_stats(out), f"{a.out}/stats")
+    out = adapter.identify(pairs, spec, laxity=a.laxity, paired_tags=not a.single_tag)
+    tables.write_fastq_by_pair(out.where("found"), a.out, "{pair}_{mate}.trimmed.fastq.gz", keep_plus=True, level=1)
+    tables.write_tsv(adapter.fail_stats(out, "pair").orderBy("pair"), f"{a.out}/stats")
 
 
 def run_align(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Filters, tags and removes duplicates of alignments made elsewhere (BAM, SAM text or Parquet)."""
+    """Filters, tags and removes duplicates of alignments made elsewhere (BAM, SAM text or Parquet), each sample by itself; a
+    folder per target (per pair with --no-merge), sorted by place."""
     r = _alignments(spark, a.input, text=True)
     r = alignments.clean(alignments.concordant(r, a.min_len, a.max_len))
     if a.cb or a.umi:
         r = alignments.tagged(r)
     kept = dedup.by_umi(r, per_cell=a.cb) if a.umi else dedup.by_cell(r) if a.cb else dedup.by_position(r)
     out = dedup.survivors(r, kept)
+    by = "pair" if a.no_merge else "target"
     out = out if a.no_merge else alignments.per_target(out)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    alignments.coordinate_sorted(out, n).write.mode("overwrite").parquet(a.out)
+    alignments.coordinate_sorted(out, n, by).write.mode("overwrite").partitionBy(by).parquet(a.out)
+    tables.write_tsv(dedup.counters(r, kept).orderBy("pair"), f"{a.out.rstrip('/')}_counts")
 
 
 def run_qc(spark: SparkSession, a: argparse.Namespace) -> None:
+    features = a.features or genomes.path_of("features", a.species)
     r = demux.exclude(_alignments(spark, a.input), a.exclude.split(","))
-    s = intervals.overlap_ratio(r, tables.bed(spark, a.features)).select("pair", "read_count", "overlap_ratio").cache()
+    s = intervals.overlap_ratio(r, tables.bed(spark, features)).select("pair", "read_count", "overlap_ratio").cache()  # a row per sample
     tables.write_tsv(quality.ranked(s), f"{a.out}/all_qc")
     if a.percentile or a.min_ratio:
         tables.write_tsv(quality.ranked(quality.passing(s, a.percentile, a.min_ratio)), f"{a.out}/filtered_qc")
 
 
 def run_qc_by_percentile(spark: SparkSession, a: argparse.Namespace) -> None:
-    s = demux.exclude(alignments.mapped_reads(_alignments(spark, a.input)), a.exclude.split(",")).cache()
+    s = demux.exclude(alignments.mapped_reads(_alignments(spark, a.input)), a.exclude.split(",")).cache()  # a row per sample
     tables.write_tsv(quality.ranked(s), f"{a.out}/all_read_count")
     if a.percentile:
         tables.write_tsv(quality.ranked(quality.passing(s, a.percentile)), f"{a.out}/filtered_read_count")
 
 
 def run_frag(spark: SparkSession, a: argparse.Namespace) -> None:
+    """A BED file per sample: fragments of those that hold pairs, single alignments of the others."""
     r = _alignments(spark, a.input)
-    paired = alignments.is_paired(r).first()["paired"]
-    tables.write_bed((intervals.fragments if paired else intervals.fragments_single)(r, ("pair",)), a.out, "pair")
+    paired = alignments.is_paired(r, ("pair",))  # a row per sample
+    both = r.join(paired.withColumnRenamed("pair", "_s"), F.col("pair").eqNullSafe(F.col("_s")))
+    out = intervals.fragments(both.where("paired"), ("pair",)).unionByName(intervals.fragments_single(both.where("NOT paired"), ("pair",)))
+    tables.write_bed(out, a.out, "pair")
 
 
 def _samples(spark: SparkSession, path: str) -> DataFrame:
+    """Intervals of BED files, the sample by the file's name; or of one text table with the sample as fourth column."""
+    if any(r["path"].split("/")[-1].endswith((".bed", ".bed.gz")) for r in tables.listed(spark, path).collect()):  # a row per file
+        return spark.read.schema("chrom string, start long, end long").csv(path, sep="\t").withColumn("pair", tables.prefix(tables.as_named(F.col("_metadata.file_path"))))
     return spark.read.schema("chrom string, start long, end long, pair string").csv(path, sep="\t")
 
 
+def _sizes(spark: SparkSession, a: argparse.Namespace) -> dict[str, int] | None:
+    path = a.chrom_sizes or (genomes.path_of("chrom_sizes", a.genome) if a.genome else None)
+    return None if path is None else {r["chrom"]: r["size"] for r in tables.chrom_sizes(spark, path).collect()}  # a row per chromosome
+
+
 def run_cov(spark: SparkSession, a: argparse.Namespace) -> None:
-    tables.write_bed(intervals.coverage(_samples(spark, a.input), ("pair",)), a.out, "pair")
+    """bedGraph text per sample; with sizes only chromosomes that they list."""
+    sizes, bed = _sizes(spark, a), _samples(spark, a.input)
+    bed = bed if sizes is None else bed.where(F.col("chrom").isin(list(sizes)))
+    tables.write_bed(intervals.coverage(bed, ("pair",)), a.out, "pair", extension="bedgraph")
 
 
 def run_track(spark: SparkSession, a: argparse.Namespace) -> None:
     """A bigWig file per sample where chromosome sizes are given, else bedGraph text."""
     runs = (intervals.coverage if a.no_normalized else intervals.coverage_rpm)(_samples(spark, a.input), ("pair",))
-    if a.genome:
-        sizes = {r["chrom"]: r["size"] for r in tables.chrom_sizes(spark, a.genome).collect()}  # a row per chromosome
+    sizes = _sizes(spark, a)
+    if sizes is not None:
         bigwig.write(runs, sizes, a.out).collect()
     else:
-        tables.write_bed(runs, a.out, "pair")
+        tables.write_bed(runs, a.out, "pair", extension="bedgraph")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -118,13 +163,26 @@ def parser() -> argparse.ArgumentParser:
     c = command("demux", run_demux, "-1 --r1", "-2 --r2", "-o --out", "-b --barcode")
     c.add_argument("--barcode2")
     c.add_argument("-e", "--error-rate", type=float, default=0.0)
+    c.add_argument("--r1-mismatches", type=int)
+    c.add_argument("--r2-mismatches", type=int)
+    c.add_argument("--no-merge", action="store_true")
+    c.add_argument("--no-compress", action="store_true")
+    c.add_argument("--compression-level", type=int, choices=range(1, 10))
     c.add_argument("--conflict", choices=("compat", "strict"), default="compat")
     c.add_argument("--trim", choices=("both", "per_side", "none"), default="both")
-    c = command("trim", run_trim, "-1 --r1", "-2 --r2", "-o --out")
+    c = command("generate", run_generate, "-o --out")
+    c.add_argument("-n", "--pairs", type=int, default=1_000_000)
+    c.add_argument("-b", "--barcodes", type=int, default=100)
+    c.add_argument("--seed", type=int, default=1)
+    c = command("trim", run_trim, "-o --out")
+    c.add_argument("-i", "--input")
+    c.add_argument("-1", "--r1")
+    c.add_argument("-2", "--r2")
     c.add_argument("--pair", default="all")
+    c.add_argument("--single-tag", action="store_true")
     for x in ("--cb", "--sp", "--umi", "--linker"):
         c.add_argument(x)
-    c.add_argument("-r", "--rate", type=float, default=0.1)
+    c.add_argument("--error-rate", type=float, default=0.1)
     c.add_argument("-l", "--laxity", type=int, default=0)
     c.add_argument("-e", "--exclude")
     c = command("align", run_align, "-i --input", "-o --out")
@@ -132,21 +190,26 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument(x, action="store_true")
     c.add_argument("--min-len", type=int, default=10)
     c.add_argument("--max-len", type=int, default=800)
-    c = command("qc", run_qc, "-i --input", "-o --out", "-f --features")
+    c = command("qc", run_qc, "-i --input", "-o --out")
+    c.add_argument("-f", "--features")
+    c.add_argument("-s", "--species")
     c.add_argument("-r", "--min-ratio", type=float, default=0.0)
     for q in (c, command("qc_by_percentile", run_qc_by_percentile, "-i --input", "-o --out")):
         q.add_argument("-p", "--percentile", type=float, default=0.25)
         q.add_argument("-e", "--exclude", default="unknown,IgG_control")
     command("frag", run_frag, "-i --input", "-o --out")
-    command("cov", run_cov, "-i --input", "-o --out")
-    c = command("track", run_track, "-i --input", "-o --out")
+    for c in (command("cov", run_cov, "-i --input", "-o --out"), command("track", run_track, "-i --input", "-o --out")):
+        c.add_argument("-g", "--genome")
+        c.add_argument("--chrom-sizes")
     c.add_argument("--no-normalized", action="store_true")
-    c.add_argument("-g", "--genome")
     return p
 
 
 def main(argv: list[str] | None = None) -> None:
-    a = parser().parse_args(argv)
+    p = parser()
+    a = p.parse_args(argv)
+    if a.command == "trim" and not a.input and not (a.r1 and a.r2):
+        p.error("trim needs -i, or -1 and -2")
     spark = SparkSession.builder.appName("quillseq").getOrCreate()
     a.run(spark, a)
 

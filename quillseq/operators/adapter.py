@@ -117,9 +117,9 @@ def identify(pairs: DataFrame, spec1: list[Tag], spec2: list[Tag] | None = None,
     return out.withColumns({k: F.when(F.col("found"), v).otherwise(F.col(k)) for k, v in new.items()}).drop("_a1", "_a2")
 
 
-def fail_stats(identified: DataFrame) -> DataFrame:
-    """One row: read_count, fail_count, fail_pct."""
-    s = identified.agg(F.count(F.lit(1)).alias("read_count"), F.count_if(~F.col("found")).alias("fail_count"))
+def fail_stats(identified: DataFrame, *by: str) -> DataFrame:
+    """One row (or one per key): read_count, fail_count, fail_pct."""
+    s = identified.groupBy(*by).agg(F.count(F.lit(1)).alias("read_count"), F.count_if(~F.col("found")).alias("fail_count"))
     return s.withColumn("fail_pct", F.when(F.col("read_count") == 0, F.lit(0.0)).otherwise(F.lit(100.0) * F.col("fail_count") / F.col("read_count")))
 
 

@@ -32,9 +32,9 @@ def concordant(records: DataFrame, least: int = 10, most: int = 800) -> DataFram
     return records.where(has(PROPER) & ~has(UNMAPPED | MATE_UNMAPPED) & F.abs("tlen").between(least, most))
 
 
-def is_paired(records: DataFrame) -> DataFrame:
-    """One row, paired: whether any record is of a pair."""
-    return records.agg(F.coalesce(F.bool_or(has(PAIRED)), F.lit(False)).alias("paired"))
+def is_paired(records: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row (or one per key), paired: whether any record is of a pair."""
+    return records.groupBy(*keys).agg(F.coalesce(F.bool_or(has(PAIRED)), F.lit(False)).alias("paired"))
 
 
 def name_tags(qname: Column) -> Column:
@@ -73,6 +73,8 @@ def per_target(records: DataFrame, once: bool = False) -> DataFrame:
     return records.withColumn("target", F.explode(F.array_distinct(tokens) if once else tokens))
 
 
-def coordinate_sorted(records: DataFrame, partitions: int) -> DataFrame:
-    """Ranges of (rname, pos), sorted inside: written as Parquet, row groups' least and greatest values are the index."""
-    return records.repartitionByRange(partitions, "rname", "pos").sortWithinPartitions("rname", "pos", "qname")
+def coordinate_sorted(records: DataFrame, partitions: int, by: str | None = None) -> DataFrame:
+    """Ranges of (rname, pos), sorted inside: written as Parquet, row groups' least and greatest values are the index. by: a
+    column that comes first, such as the one that the output has a folder for."""
+    first = [by] if by else []
+    return records.repartitionByRange(partitions, *first, "rname", "pos").sortWithinPartitions(*first, "rname", "pos", "qname")

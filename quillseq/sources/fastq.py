@@ -1,7 +1,8 @@
 """FASTQ as Spark data sources, read and written.
 
 spark.read.format("fastq").load(path) gives rec, name, seq, plus and qual; with option("mate", path of the other file) each
-row is a pair: rec, name1, seq1, plus1, qual1, name2, ... Files are read four lines at a time and never split, since a
+row is a pair: rec, name1, seq1, plus1, qual1, name2, ... With option("pairs", JSON list of [name, path, path of the other
+file]) many such pairs of files are read at once, with their name in the column pair. Files are read four lines at a time and never split, since a
 quality line may begin with '@'; give many files, or split them beforehand, for more tasks. rec counts from 0 in each file.
 
 Options: strict (default false): a blank header ends the file and an incomplete record is an error; otherwise blank lines
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import glob
 import gzip
+import json
 import os
 import uuid
 from collections.abc import Iterator
@@ -63,13 +65,16 @@ def paths_of(path: str) -> list[str]:
 
 
 class _Part(InputPartition):
-    def __init__(self, one: str, two: str | None):
-        self.one, self.two = one, two
+    def __init__(self, one: str, two: str | None, name: str | None = None):
+        self.one, self.two, self.name = one, two, name
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.strict = str(options.get("strict", "false")).lower() == "true"
+        if "pairs" in options:
+            self.parts = [_Part(a, b, name) for name, a, b in json.loads(options["pairs"])]
+            return
         one = paths_of(options["path"])
         two = paths_of(options["mate"]) if "mate" in options else [None] * len(one)
         if len(one) != len(two):
@@ -86,7 +91,8 @@ class _Reader(DataSourceReader):
         held, at = [], 0
 
         def batch():
-            return pa.RecordBatch.from_arrays([pa.array(range(at, at + len(held)), pa.int64()), *(pa.array(c, pa.string()) for c in zip_longest(*held))], names=names)
+            named = [] if part.name is None else [pa.array([part.name] * len(held))]
+            return pa.RecordBatch.from_arrays([*named, pa.array(range(at, at + len(held)), pa.int64()), *(pa.array(c, pa.string()) for c in zip_longest(*held))], names=["pair"] * len(named) + names)
 
         for row in rows:
             held.append(row)
@@ -138,8 +144,8 @@ class FastqSource(DataSource):
         return "fastq"
 
     def schema(self) -> str:
-        names = [f"{c}{i}" for i in (1, 2) for c in FIELDS] if "mate" in self.options else list(FIELDS)
-        return ", ".join(["rec bigint", *(f"{c} string" for c in names)])
+        names = [f"{c}{i}" for i in (1, 2) for c in FIELDS] if "mate" in self.options or "pairs" in self.options else list(FIELDS)
+        return ", ".join([*(["pair string"] if "pairs" in self.options else []), "rec bigint", *(f"{c} string" for c in names)])
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(dict(self.options))

@@ -34,6 +34,9 @@ def pairs(spark: SparkSession, n: int, bc1: DataFrame, bc2: DataFrame, mismatch_
         for m in range(mismatches):
             at = F.pmod(F.xxhash64(F.lit(seed * 100 + i * 10 + m), "rec"), F.lit(length)).cast("int")
             hit = F.pmod(F.xxhash64(F.lit(seed * 1000 + i * 10 + m), "rec"), F.lit(10**6)) < int(mismatch_rate * 10**6)
-            code = F.when(hit, F.concat(F.substr(code, F.lit(1), at), F.lit("N"), F.substr(code, at + 2))).otherwise(code)
+            held = F.instr(F.lit("ACGT"), F.substr(code, at + 1, F.lit(1)))
+            step = F.pmod(F.xxhash64(F.lit(seed * 10_000 + i * 10 + m), "rec"), F.lit(3)).cast("int")  # one of the three other bases
+            other = F.substr(F.lit("CGTACGT"), held + step, F.lit(1))
+            code = F.when(hit, F.concat(F.substr(code, F.lit(1), at), other, F.substr(code, at + 2))).otherwise(code)
         out = out.withColumns({f"name{i}": F.concat(F.lit("READ_"), F.col("rec").cast("string")), f"seq{i}": F.concat(code, _bases(seed + 50 + i, F.col("rec").cast("string"), read_length - length)), f"qual{i}": F.repeat(F.lit("I"), read_length), f"truth{i}": F.element_at(names, k + 1)})
     return out

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Columns of the SAM text format, before its optional fields.
 SAM = "qname string, flag int, rname string, pos1 long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string"
 
+#: Records of a pair that are never cut apart; fixed values: names of compression levels 1 to 9.
+BLOCK = 1 << 20
+LEVELS = ("BEST_SPEED", "TWO", "THREE", "FOUR", "FIVE", "DEFAULT_COMPRESSION", "SEVEN", "EIGHT", "BEST_COMPRESSION")
+
 
 def bed(spark: SparkSession, path: str) -> DataFrame:
     """The first three columns of a headerless tab-separated file."""
@@ -29,13 +35,39 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     pos = col(3, "long") - 1
     return raw.select(
         col(0, "string").alias("qname"), col(1, "int").alias("flag"), col(2, "string").alias("rname"), pos.alias("pos"), (pos + F.greatest(length, F.lit(1))).alias("end"), col(4, "int").alias("mapq"), col(5, "string").alias("cigar"),
-        col(6, "string").alias("rnext"), (col(7, "long") - 1).alias("pnext"), col(8, "long").alias("tlen"), col(9, "string").alias("seq"), col(10, "string").alias("qual"), tags.alias("tags"), prefix(F.col("_file")).alias("pair"),
+        col(6, "string").alias("rnext"), (col(7, "long") - 1).alias("pnext"), col(8, "long").alias("tlen"), col(9, "string").alias("seq"), col(10, "string").alias("qual"), tags.alias("tags"), prefix(as_named(F.col("_file"))).alias("pair"),
     )
 
 
+def as_named(path):
+    """A path as the file system has it, from Spark's form with %-escapes."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def prefix(path, extension: str = r"(\.trimmed)?\.(fastq|fq|sam|bam|bed)(\.gz)?"):
-    """A file's name without folder and extension."""
-    return F.regexp_extract(path, rf"([^/]+?){extension}$", 1)
+    """A file's name without folder, part number and extension."""
+    return F.regexp_extract(path, rf"([^/]+?)(\.part[0-9]+)?{extension}$", 1)
+
+
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """path of every file in a folder; contents are not read."""
+    return spark.read.format("binaryFile").load(path).select("path")
+
+
+def samples(spark: SparkSession, path: str) -> list[str]:
+    """Names of the samples whose files a folder holds. Two files of one name are an error, unless they are parts of one."""
+    twice = duplicate_prefixes(listed(spark, path))
+    if names := [r["prefix"] for r in twice.orderBy("prefix").limit(20).collect()]:
+        raise ValueError(f"names that come twice: {', '.join(names)}")
+    return [r["n"] for r in listed(spark, path).select(prefix(F.col("path")).alias("n")).where("n <> ''").distinct().orderBy("n").collect()]
+
+
+def fastq_pairs(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """(name, first mates, second mates) of the FASTQ files of a folder; a name without exactly one file of each is an error."""
+    rows = mates(listed(spark, path)).orderBy("prefix").collect()  # a row per sample
+    if bad := [r["prefix"] for r in rows if r["fwd"] is None]:
+        raise ValueError(f"not one file of each mate: {', '.join(bad)}")
+    return [(r["prefix"], r["fwd"], r["rev"]) for r in rows]
 
 
 def mates(files: DataFrame) -> DataFrame:
@@ -49,7 +81,9 @@ def mates(files: DataFrame) -> DataFrame:
 
 
 def duplicate_prefixes(files: DataFrame) -> DataFrame:
-    return files.groupBy(prefix(F.col("path")).alias("prefix")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    """prefix and n of the names that several files have; parts of one file, which are numbered, count once."""
+    p = files.select(prefix(F.col("path")).alias("prefix"), F.regexp_extract("path", r"\.part([0-9]+)\.", 1).alias("part"), F.regexp_extract("path", r"[._-](R?[12])(?:_[0-9]{3})?(?:\.trimmed)?\.(?:fastq|fq)", 1).alias("mate")).where("prefix <> ''")
+    return p.groupBy("prefix", "part", "mate").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix", "n").distinct()
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:
@@ -72,21 +106,64 @@ def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
     df.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=header)
 
 
-def write_bed(df: DataFrame, path: str, by: str | None = None, partitions: int | None = None) -> None:
-    """Ranges of (chrom, start), sorted inside; a folder per sample with by."""
+def named(spark: SparkSession, staged: str, path: str, template: str, *columns: str) -> list[str]:
+    """Moves the part files of a partitioned table to path, by the template of the columns' values; the second and later
+    parts of one name get '.part001' and so on before their extension. Only names pass through the driver."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
+    it, files = fs.listFiles(at, True), []
+    while it.hasNext():
+        files.append(it.next().getPath().toString())
+    done, out = {}, []
+    for f in sorted(x for x in files if "/part-" in x):
+        of = dict(d.split("=", 1) for d in f.split("/") if "=" in d)
+        value = {c: "all" if of[c] == "__HIVE_DEFAULT_PARTITION__" else unquote(of[c]) for c in columns}
+        name = template.format(**value)
+        k = done[name] = done.get(name, -1) + 1
+        ending = template[template.index(".") :]
+        to = f"{path}/{name}" if not k else f"{path}/{name.removesuffix(ending)}.part{k:03d}{ending}"
+        target = jvm.org.apache.hadoop.fs.Path(to)
+        fs.mkdirs(target.getParent())
+        fs.delete(target, False)
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(f), target):
+            raise OSError(f"cannot write {to}")
+        out.append(to)
+    fs.delete(at, True)
+    return out
+
+
+def write_bed(df: DataFrame, path: str, by: str | None = None, partitions: int | None = None, extension: str = "bed") -> None:
+    """Ranges of (chrom, start), sorted inside; with by, a file per sample named by it (numbered parts if it is large)."""
     order = [*([by] if by else []), "chrom", "start", "end"]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w = df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("overwrite")
-    (w.partitionBy(by) if by else w).csv(path, sep="\t")
-
-
-def write_fastq_by_pair(df: DataFrame, path: str, mate: int, compression: str | None = "gzip") -> None:
-    """FASTQ of one mate, a folder per pair. Rows are dealt by (pair, range of rec), so a dominant pair has many writers."""
-    record = F.concat_ws("\n", f"name{mate}", f"seq{mate}", F.lit("+"), f"qual{mate}")
+    if not by:
+        w.csv(path, sep="\t")
+        return
+    w.partitionBy(by).csv(f"{path}/.staged", sep="\t")
+    named(df.sparkSession, f"{path}/.staged", path, f"{{{by}}}.{extension}", by)
+
+
+def write_fastq_by_pair(df: DataFrame, path: str, template: str = "{pair}_{mate}.fastq.gz", keep_plus: bool = False, level: int | None = None) -> None:
+    """FASTQ of both mates in one pass, a file per pair and mate (numbered parts if it is large). Rows are dealt by ranges of
+    (pair, mate, order), so a dominant pair has many writers; records already in canonical order come first (column swapped,
+    where there is one). The line before the qualities is a bare '+' unless keep_plus. A template without '.gz' writes plain
+    text; level: of compression, 1 to 9."""
+    plus = lambda m: F.coalesce(f"plus{m}", F.lit("+")) if keep_plus and f"plus{m}" in df.columns else F.lit("+")
+    record = lambda m: F.struct(F.lit(f"R{m}").alias("mate"), F.concat_ws("\n", f"name{m}", f"seq{m}", plus(m), f"qual{m}").alias("value"))
+    order = ["pair", "mate", *(["swapped"] if "swapped" in df.columns else []), "rec"]
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df.select("pair", "rec", record.alias("value")).repartitionByRange(n, "pair", "rec").sortWithinPartitions("pair", "rec").drop("rec")
-    w = out.write.mode("overwrite").partitionBy("pair")
-    (w.option("compression", compression) if compression else w).text(path)
+    out = df.withColumn("_m", F.explode(F.array(record(1), record(2)))).select(*[c for c in order if c != "mate"], "_m.mate", "_m.value")
+    # ranges are cut between blocks of records only, so that small pairs are whole
+    w = out.repartitionByRange(n, *order[:-1], F.floor(F.col("rec") / BLOCK)).sortWithinPartitions(*order).select("pair", "mate", "value").write.mode("overwrite").partitionBy("pair", "mate")
+    if template.endswith(".gz"):
+        w = w.option("compression", "gzip")
+        if level:
+            w = w.option("zlib.compress.level", LEVELS[level - 1])
+    w.text(f"{path}/.staged")
+    named(df.sparkSession, f"{path}/.staged", path, template, "pair", "mate")
 
 
 def write_report(report: DataFrame, path: str) -> None:

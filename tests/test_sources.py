@@ -1,5 +1,6 @@
 import gzip
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,7 +64,8 @@ def test_sam_and_names(spark, tmp_path):
 
 def test_generator_demux_stream_and_cli(spark, tmp_path):
     bc1, bc2 = generator.barcodes(spark, 8, 1), generator.barcodes(spark, 8, 2)
-    p = generator.pairs(spark, 500, bc1, bc2).cache()
+    p = generator.pairs(spark, 500, bc1, bc2)
+    p = p.withColumns({c: F.when(F.col("rec") < 495, F.col(c)).otherwise(F.repeat(F.lit("N"), 100)) for c in ("seq1", "seq2")}).cache()  # five unreadable pairs
     one, two = barcodes.lookup(bc1, 1), barcodes.lookup(bc2, 1)
     cols = ["rec", *(f"{c}{i}" for i in (1, 2) for c in ("name", "seq", "qual"))]
     p.select(*cols).write.parquet(f"{tmp_path}/in")
@@ -79,26 +81,108 @@ def test_generator_demux_stream_and_cli(spark, tmp_path):
     a = cli.parser().parse_args(["demux", "-1", f"{tmp_path}/r1.fastq", "-2", f"{tmp_path}/r2.fastq", "-o", f"{tmp_path}/dm", "-b", f"{tmp_path}/bc.json", "-e", "0.17"])
     a.run(spark, a)
     body = json.loads(spark.read.text(f"{tmp_path}/dm/report").first()[0])
-    assert body["summary"]["total_reads"] + 0 >= body["summary"]["matched"] > 400
-    assert spark.read.text(f"{tmp_path}/dm/R1").count() == 4 * body["summary"]["total_reads"]
+    all_of = barcodes_assigned(p, one, two)
+    assert body["summary"] == {"total_reads": 500, "matched": sum(n for k, n in all_of.items() if "unknown" not in k), "unmatched": sum(n for k, n in all_of.items() if "unknown" in k)}
+    assert sum(body["pair_counts"].values()) == 500 and all_of["unknown-unknown"] > 0
+    # a file per unordered pair and mate, without pairs of which neither side is known
+    want = Counter()
+    for k, n in all_of.items():
+        want["-".join(sorted(k.split("-")))] += n
+    del want["unknown-unknown"]
+    for m in (1, 2):
+        got = Counter()
+        for f in (tmp_path / "dm").glob(f"*_R{m}.*fastq.gz"):  # a pair cut by a range's edge has a numbered part
+            got[f.name.split(f"_R{m}.")[0]] += gzip.open(f, "rt").read().count("\n+\n")
+        assert got == want
     t = cli.parser().parse_args(["trim", "-1", f"{tmp_path}/r1.fastq", "-2", f"{tmp_path}/r2.fastq", "-o", f"{tmp_path}/tr", "--cb", "6", "--umi", "4"])
     t.run(spark, t)
     assert spark.read.csv(f"{tmp_path}/tr/stats", sep="\t", header=True).first()["fail_count"] == "0"
 
 
+def barcodes_assigned(pairs, one, two):
+    from quillseq.operators import demux
+
+    return {r["pair"]: r["count"] for r in demux.assign(pairs, one, two, 6).groupBy("pair").count().collect()}
+
+
+def run(spark, *words):
+    a = cli.parser().parse_args([str(w) for w in words])
+    a.run(spark, a)
+
+
+def test_canonical_records_come_first(spark, tmp_path):
+    """Of an unordered pair's file the records already in order come first, whatever their place in the input; mates stay."""
+    bc = [{"barcode": "AAAA", "name": "A"}, {"barcode": "TTTT", "name": "T"}]
+    put(tmp_path / "bc.json", json.dumps({"r1_barcodes": bc, "r2_barcodes": bc}))
+    rows = [("TTTTg", "AAAAc"), ("AAAAc", "TTTTg"), ("GGGGa", "GGGGa"), ("TTTTt", "AAAAa"), ("AAAAa", "TTTTt")]
+    for i in (0, 1):
+        put(tmp_path / f"r{i + 1}.fastq", "".join(f"@q{k}\n{r[i]}\n+q{k}\nIIIII\n" for k, r in enumerate(rows)))
+    run(spark, "demux", "-1", tmp_path / "r1.fastq", "-2", tmp_path / "r2.fastq", "-o", tmp_path / "out", "-b", tmp_path / "bc.json", "--no-compress")
+    parts = sorted((tmp_path / "out").glob("*_R1.*fastq"))  # a pair cut by a range's edge has numbered parts, in order
+    assert "".join(f.read_text() for f in parts) == "".join(f"@q{k}\n{s}\n+\nI\n" for k, s in ((1, "c"), (4, "a"), (0, "g"), (3, "t")))
+    assert {f.name.split(".")[0] for f in (tmp_path / "out").glob("*.fastq")} == {"A-T_R1", "A-T_R2"}
+    assert json.loads(spark.read.text(f"{tmp_path}/out/report").first()[0])["summary"] == {"total_reads": 5, "matched": 4, "unmatched": 1}
+
+
+def test_trim_over_a_folder(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, seq in (("A-T", "TTTGCGAAC"), ("B-IgG_control", "TTTGCGAAC"), ("C-D_L001", "TTTTTTTTT")):
+        for m in (1, 2):
+            put(tmp_path / "in" / f"{name}_R{m}.fastq.gz", f"@r\n{seq}\n+r\nIIIIIIIII\n")
+    run(spark, "trim", "-i", tmp_path / "in", "-o", tmp_path / "out", "--umi", "3", "--linker", "GCGA", "-e", "IgG_control")
+    assert sorted(f.name for f in (tmp_path / "out").glob("*.gz")) == ["A-T_R1.trimmed.fastq.gz", "A-T_R2.trimmed.fastq.gz"]
+    assert gzip.open(tmp_path / "out" / "A-T_R1.trimmed.fastq.gz", "rt").read() == "@r::[TTT]-[GCGA]::[TTT]-[GCGA]::UMI=TTT-TTT\nAC\n+r\nII\n"
+    assert {r["pair"]: r["fail_count"] for r in spark.read.csv(f"{tmp_path}/out/stats", sep="\t", header=True).collect()} == {"A-T": "0", "C-D": "1"}
+    run(spark, "trim", "-i", tmp_path / "in", "-o", tmp_path / "one", "--umi", "3", "--single-tag")
+    assert gzip.open(tmp_path / "one" / "A-T_R2.trimmed.fastq.gz", "rt").read().split("\n")[1] == "TTTGCGAAC"
+    put(tmp_path / "in" / "X_R1.fastq.gz", "")
+    with pytest.raises(ValueError, match="X"):
+        run(spark, "trim", "-i", tmp_path / "in", "-o", tmp_path / "no", "--umi", "3")
+
+
+def test_generate_makes_the_workload(spark, tmp_path):
+    run(spark, "generate", "-o", tmp_path / "g", "-n", "300", "-b", "5")
+    rows = gzip.open(tmp_path / "g" / "reads_R1.fastq.gz", "rt").read().split("\n")
+    bc = {r["barcode"] for r in spark.read.csv(f"{tmp_path}/g/barcodes_r1", sep="\t", header=True).collect()}
+    near = [min(sum(a != b for a, b in zip(s, x, strict=False)) for x in bc) for s in rows[1::4]]
+    assert len(near) == 300 and set("".join(rows[1::4])) == set("ACGT") and 5 < sum(n == 1 for n in near) < 90 and max(near) == 1
+
+
+def test_genome_settings(spark, tmp_path, monkeypatch):
+    from quillseq.sources import genomes
+
+    p = put(tmp_path / "s.txt", "chr1\t1000\n")
+    put(tmp_path / "g.json", json.dumps({"hg38": {"chrom_sizes": p}}))
+    monkeypatch.delenv("QUILLSEQ_GENOMES", raising=False)
+    with pytest.raises(ValueError, match="QUILLSEQ_GENOMES"):
+        genomes.path_of("chrom_sizes", "hg38")
+    monkeypatch.setenv("QUILLSEQ_GENOMES", str(tmp_path / "g.json"))
+    put(tmp_path / "s.txt.md5", genomes.digest(p) + "  s.txt\n")
+    assert genomes.path_of("chrom_sizes", "hg38") == p
+    with pytest.raises(KeyError):
+        genomes.path_of("index", "hg38")
+    put(tmp_path / "s.txt.md5", "0\n")
+    with pytest.raises(ValueError, match="digest"):
+        genomes.path_of("chrom_sizes", "hg38")
+    got = tables.digests(spark, p).first()
+    assert (got["file"], got["md5"], got["sha256"]) == ("s.txt", genomes.digest(p), genomes.digest(p, "sha256"))
+    assert tables.duplicate_prefixes(spark.createDataFrame([("/a/x.bam",), ("/b/x.bam",), ("/a/y.bed",), ("/a/y.part001.bed",), ("/a/z_R1.fastq",), ("/a/z_R2.fastq",)], "path string")).collect() == [("x", 2)]
+
+
 def test_cli_tables(spark, sf, tmp_path):
     from quillseq.plans import carriers
 
     carriers.records(spark, sf).write.parquet(f"{tmp_path}/r.parquet")
     bed = carriers.features(spark, sf)
     tables.write_bed(bed, f"{tmp_path}/f.bed")
-    run = lambda *x: (lambda a: a.run(spark, a))(cli.parser().parse_args(list(x)))
-    run("align", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/al", "--cb")
-    run("qc", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/qc", "-f", f"{tmp_path}/f.bed")
-    run("qc_by_percentile", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/qp")
-    run("frag", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/fr")
+    cmd = lambda *x: run(spark, *x)
+    cmd("align", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/al", "--cb")
+    cmd("qc", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/qc", "-f", f"{tmp_path}/f.bed")
+    cmd("qc_by_percentile", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/qp")
+    cmd("frag", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/fr")
     assert spark.read.csv(f"{tmp_path}/qc/filtered_qc", sep="\t", header=True).columns == ["pair", "read_count", "overlap_ratio"]
-    run("cov", "-i", f"{tmp_path}/fr", "-o", f"{tmp_path}/cov")
-    run("track", "-i", f"{tmp_path}/fr", "-o", f"{tmp_path}/track")
+    cmd("cov", "-i", f"{tmp_path}/fr", "-o", f"{tmp_path}/cov")
+    cmd("track", "-i", f"{tmp_path}/fr", "-o", f"{tmp_path}/track")
     assert spark.read.csv(f"{tmp_path}/cov", sep="\t").count() == spark.read.csv(f"{tmp_path}/track", sep="\t").count() > 0
+    assert {f.name.split(".")[0] for f in (tmp_path / "cov").glob("*.bedgraph")} == {f.name.split(".")[0] for f in (tmp_path / "fr").glob("*.bed")} == {r[0] for r in carriers.records(spark, sf).select("pair").distinct().collect()}
     assert spark.read.parquet(f"{tmp_path}/al").select(F.count_distinct("target")).first()[0] > 5
