@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 #: Columns of the SAM text format, before its optional fields.
 SAM = "qname string, flag int, rname string, pos1 long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string"
 
-#: Records of a pair that are never cut apart; fixed values: names of compression levels 1 to 9.
-BLOCK = 1 << 20
+#: Records of a pair, and bases of a chromosome, that output files never cut apart. Names of compression levels 1 to 9.
+BLOCK, REGION = 1 << 20, 1 << 24
 LEVELS = ("BEST_SPEED", "TWO", "THREE", "FOUR", "FIVE", "DEFAULT_COMPRESSION", "SEVEN", "EIGHT", "BEST_COMPRESSION")
 
 
@@ -138,7 +138,7 @@ def write_bed(df: DataFrame, path: str, by: str | None = None, partitions: int |
     """Ranges of (chrom, start), sorted inside; with by, a file per sample named by it (numbered parts if it is large)."""
     order = [*([by] if by else []), "chrom", "start", "end"]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    w = df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("overwrite")
+    w = df.repartitionByRange(n, *order[:-2], F.floor(F.col("start") / REGION)).sortWithinPartitions(*order).write.mode("overwrite")
     if not by:
         w.csv(path, sep="\t")
         return
