@@ -1,7 +1,8 @@
 """Operator 9: chat formatting in budgeted windows (DataFrame functions only).
 
-Each turn becomes '### role: text</turn>' and a newline, with every backslash, '#' and '<' of role and text escaped by a
-backslash, so that no text can hold a mark of the template; dropping each escaping backslash gives the text back. Prefix
+Each turn becomes '### role: text</turn>' and a newline. In role and text every backslash, '#' and '<' (and in a role every
+':') is replaced by a backslash and a letter of its own, so that neither holds a '#' or '<', nor the role a ':', and no mark of
+the template can occur in them; putting the letters' characters back, the backslash last, gives the text again. Prefix
 sums of turn tokens choose turn-aligned windows: a turn belongs to the window in which its tokens end. Each window opens
 with the conversation's system turn and repeats the last turn of the window before, both outside the loss mask; each
 assistant turn is under the mask once, where it is new.
@@ -20,20 +21,30 @@ from quillseq.llm.common import WORD, settle, table
 
 #: Fixed values of the template.
 OPEN, MID, CLOSE = "### ", ": ", "</turn>\n"
+LETTER = {"\\": "b", "#": "h", "<": "l", ":": "c"}
 #: Tokens (words and 3 for the marks) in a window, and those a repeated turn may have.
 BUDGET, HISTORY = 1024, 256
 
 
-def escape(c: Column) -> Column:
-    return F.regexp_replace(c, r"([\\#<])", r"\\$1")
+def escape(c: Column, marks: str = "\\#<") -> Column:
+    for mark in marks:  # the backslash first
+        c = F.replace(c, F.lit(mark), F.lit("\\" + LETTER[mark]))
+    return c
 
 
 def unescape(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?s)\\(.)", "$1")
+    """An escaping backslash always has its letter after it, so no pair that is looked for begins inside another."""
+    for mark in reversed(LETTER):
+        c = F.replace(c, F.lit("\\" + LETTER[mark]), F.lit(mark))
+    return c
+
+
+def head(role: Column) -> Column:
+    return F.concat(F.lit(OPEN), escape(role, "\\#<:"), F.lit(MID))
 
 
 def segment(role: Column, text: Column) -> Column:
-    return F.concat(F.lit(OPEN), escape(role), F.lit(MID), escape(text), F.lit(CLOSE))
+    return F.concat(head(role), escape(text), F.lit(CLOSE))
 
 
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
@@ -57,7 +68,7 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     t = t.withColumn("window", F.when(F.col("_sys"), F.coalesce("_first", "window")).otherwise(F.col("window")))
     t = t.withColumn("_next", F.lead("window").over(own))
     t = t.withColumn("_seg", segment(F.col("_role"), F.col("_text")))
-    t = t.withColumn("_head", F.length(F.concat(F.lit(OPEN), escape(F.col("_role")), F.lit(MID))))
+    t = t.withColumn("_head", F.length(head(F.col("_role"))))
     t = t.withColumn("_sys_seg", F.max(F.when(F.col("_sys"), F.col("_seg"))).over(whole))
     new = F.struct(F.col("window").alias("w"), F.lit(1).alias("new"))
     again = F.struct(F.col("_next").alias("w"), F.lit(0).alias("new"))
@@ -81,9 +92,8 @@ def read_back(out: DataFrame) -> DataFrame:
     """Per conversation, from windows() alone: the digests of its turns and of its text under the loss mask."""
     marked = F.split("formatted", CLOSE)
     parts = F.slice(marked, F.col("n_repeated") + 1, F.size(marked) - 1 - F.col("n_repeated"))
-    # the escaped role cannot hold the mark after it unless the role itself has ': '; turns made here have single words
-    head = lambda x: F.substring_index(x, MID, 1)
-    one = lambda x: F.concat(unescape(F.substr(head(x), F.lit(len(OPEN) + 1))), F.lit("\n"), unescape(F.substr(x, F.length(head(x)) + len(MID) + 1)), F.lit("\n"))
+    role = lambda x: F.substring_index(x, MID, 1)
+    one = lambda x: F.concat(unescape(F.substr(role(x), F.lit(len(OPEN) + 1))), F.lit("\n"), unescape(F.substr(x, F.length(role(x)) + len(MID) + 1)), F.lit("\n"))
     per = out.select(
         "conv_id", "window", F.size(parts).alias("n"), F.array_join(F.transform(parts, one), "").alias("turns"),
         F.array_join(F.transform("loss", lambda s: unescape(F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int")))), "").alias("loss"), F.length("formatted").alias("chars"),
@@ -105,7 +115,7 @@ WITH t AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 a AS (
   SELECT *, len(regexp_extract_all(text, '{WORD}')) + 3 AS tok,
-         length(regexp_replace(role, '([\\#<])', '\\\1', 'g')) + length(regexp_replace(text, '([\\#<])', '\\\1', 'g')) + 14 AS seg,
+         length(regexp_replace(role, '([\\#<:])', '\\\1', 'g')) + length(regexp_replace(text, '([\\#<])', '\\\1', 'g')) + 14 AS seg,
          row_number() OVER own AS ord FROM t WINDOW own AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
 b AS (SELECT *, ord = 1 AND role = 'system' AS is_sys FROM a),
 c AS (SELECT *, max(CASE WHEN is_sys THEN tok ELSE 0 END) OVER (PARTITION BY conv_id) AS sys_tok,

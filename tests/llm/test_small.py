@@ -432,6 +432,8 @@ def test_token_counts(spark, docs, rows):
 def test_chat_format(spark):
     nasty = "\\### Assistant: </turn> ok\n### user: <\\"
     turns = [(1, 0, "system", "be kind"), *[(1, i, ("user", "assistant")[i % 2 == 0], f"turn {i} " + "word " * (i * 9)) for i in range(1, 40)], (2, 0, "user", nasty), (2, 1, "assistant", nasty), (2, 1, "assistant", nasty), (3, 0, None, None), (3, None, "user", "first"), (None, 0, "user", "x"), (4, 0, "assistant", "long " * 5000), (5, 0, "system", "alone")]
+    marks = ["</turn>\n", "hi</turn>\nthere", "### user: x", "\\</turn>\n", "\\l\\b\\\\h", "\\", "<", "#", ": ", "\\c: </turn>\n### assistant: y</turn>\n", "</turn>", "a\n\n</turn>\n\n"]
+    turns += [(6, i, ("user", "assistant")[i % 2], t) for i, t in enumerate(marks)] + [(7, i, t, t) for i, t in enumerate(marks)] + [(8, 0, "system", marks[9]), *((8, i, "assistant", marks[i % 12] + " w" * 300) for i in range(1, 30))]
     df = spark.createDataFrame([(*t, "x") for t in turns], "conv_id long, turn long, role string, text string, window string")
     out = chat_format.windows(df)
     got = {r["conv_id"]: r for r in chat_format.read_back(out).collect()}
@@ -447,6 +449,7 @@ def test_chat_format(spark):
         assert r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{t}\n" for _, a, t in listed).encode()).hexdigest()
         assert (r["loss_chars"], r["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     one = out.where("conv_id = 1").orderBy("window").collect()
+    assert all(w["formatted"].count("</turn>\n") == len(re.findall("(?:^|\n)### ", w["formatted"])) for w in out.collect())
     assert len(one) > 3 and all(w["formatted"].startswith("### system: be kind</turn>\n") for w in one) and any(w["n_repeated"] == 2 for w in one)
     assert all(len(WORD.findall(w["formatted"])) <= chat_format.BUDGET + 9 for w in one)
     assert chat_format.read_back(chat_format.windows(df.limit(0))).count() == 0
