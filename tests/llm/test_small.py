@@ -57,26 +57,147 @@ def test_toxicity(spark, docs, rows):
     assert all(0 <= r["score"] <= 1 for r in out.collect())
     assert toxicity.train(docs, labels(spark, docs).limit(0))[1] == list(toxicity.PLAIN)
     assert toxicity.score(docs.limit(0), ([], list(toxicity.PLAIN))).count() == 0
+    # a score is that of the best paths' arcs
+    model = [f"{w}$" for w in toxicity.INSULTS], list(toxicity.PLAIN)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(documents(spark, [(0, None, "s"), (1, "you idiot. moron! not a clown", "s")]), model).collect()}
+    arcs = Counter({"insult": 3, "insult_at_target": 1, "insult_negated": 1})
+    assert got[0] == pytest.approx(1 / (1 + math.exp(3)))
+    assert got[1] == pytest.approx(1 / (1 + math.exp(-toxicity.PLAIN[0] - sum(w * math.log1p(arcs[a]) for a, w in zip(toxicity.ARCS, toxicity.PLAIN[1:], strict=True)))))
+
+
+def read(reader, *texts):
+    """Per text, its matched clauses' readings."""
+    doc, found = reader.read(pa.array(texts, pa.string()))
+    return [[{toxicity.READINGS[i] for i in range(16) if f >> i & 1} for f in found[doc == k].tolist()] for k in range(len(texts))]
 
 
 def test_grammar_reads_clauses():
-    g = toxicity.Grammar([f"{w}$" for w in toxicity.INSULTS])
-    kinds = lambda t: {k for k, n in zip(toxicity.EVENTS, g.events(t), strict=True) if n}
-    assert kinds("you are an idiot.") == {"insult_at_target"} and kinds("Idiot, you!") == {"insult_at_target"}
-    assert kinds("what an idiot") == {"insult"} and kinds("that is not an idiot") == {"insult_negated"}
-    assert kinds("they said it was stupid") == {"insult_reported"} and kinds("idiotic clownish") == set()
-    assert kinds("I will kill you") == {"threat_at_target"} or kinds("I will kill you") == {"threat"} or "threat_at_target" in kinds("I will kill you")
-    assert kinds("kill the lights") == set() and kinds(None) == set() and kinds("") == set()
-    assert g.events("idiot " * 50_000 + "x" * 100_000)[0] == 50_000
+    g = toxicity.Reader([f"{w}$" for w in toxicity.INSULTS])
+    one = lambda t: read(g, t)[0]
+    plain, at, negated, said = ("insult",), ("insult", "insult_at_target"), ("insult", "insult_negated"), ("insult", "insult_reported")
+    assert one("you are an idiot.") == [{at}] and one("Idiot, you!") == [{plain, at}]
+    assert one("what an idiot") == [{plain}] and one("that is not an idiot") == [{negated}]
+    assert one("he is not a very big idiot") == [{("insult", "insult_at_target", "insult_negated")}]
+    assert one("according to her it was all rather very much stupid") == [{said}] and one("idiotic clownish") == []
+    assert one("I will kill you") == [{("threat",), ("threat", "threat_at_target")}] and one("we're gonna hunt them down") == [{("threat", "threat_at_target")}]
+    assert one("he won't ever, I say, destroy it") == [] and one("it must never hurt") == [{("threat", "threat_negated")}]
+    assert one("kill the lights") == [] and one(None) == [] and one("") == [] and one("...") == []
+    # a clause counts once, however many stems it holds, and a very long one is read whole
+    assert read(g, "idiot " * 50_000 + "x" * 100_000, "idiot. moron\n scum") == [[{plain}], [{plain}] * 3]
+    assert read(g, "idi", "ot", None, "a\0idiot\0b") == [[], [], [], [{plain}]]
+
+
+def plainly(words):
+    """The readings of a clause by the rules as stated, word by word and match by match."""
+    kind = {w: k for k, ws in (("insult", toxicity.INSULTS), ("target", toxicity.TARGETS), ("negation", toxicity.NEGATIONS), ("report", toxicity.REPORTS), ("intent", toxicity.INTENT)) for w in ws}
+    at = {k: [i for i, w in enumerate(words) if kind.get(w) == k] for k in ("insult", "target", "negation", "report", "intent")}
+    near = lambda places, i, most: any(0 < i - p <= most for p in places)
+    events = [(i, "insult") for i in at["insult"]]
+    open_ = None
+    for i, w in enumerate(words):
+        wanted = near(at["intent"], i, 3)
+        if kind.get(w) == "intent":
+            open_ = None
+        elif (w,) in toxicity.THREATS and wanted or open_ is not None and i - open_ <= 3 and (words[open_], w) in toxicity.THREATS:
+            events.append((i, "threat"))
+            open_ = None
+        elif wanted and any(len(t) > 1 and t[0] == w for t in toxicity.THREATS):
+            open_ = i
+        elif open_ is not None and i - open_ >= 3:
+            open_ = None
+    out = set()
+    for i, e in events:
+        arcs = [e, *([f"{e}_negated"] if near(at["negation"], i, 5) else []), *([f"{e}_reported"] if any(p < i for p in at["report"]) else [])]
+        before, after = near(at["target"], i, 6), any(0 < p - i <= 6 for p in at["target"])
+        for target in {True} if before else {False, after}:
+            out.add(tuple(a for a in toxicity.ARCS if a in arcs or target and a == f"{e}_at_target"))
+    return out
+
+
+def plain_score(text, stems, weights):
+    """The log odds of a text: clauses by a split, words by a scan of the stems, readings by the rules."""
+    fixed = {*toxicity.TARGETS, *toxicity.NEGATIONS, *toxicity.REPORTS, *toxicity.INTENT, *(w for t in toxicity.THREATS for w in t)}
+    is_stem = lambda w: any(w == s[:-1] if s.endswith("$") else w.startswith(s) for s in stems)
+    count = Counter()
+    for clause in re.split(r"[.!?;:\n]", (text or "").lower().replace("’", "'")):
+        words = [w.replace("'", "") for w in re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?", clause)]
+        found = plainly(["idiot" if w not in fixed and is_stem(w) else w if w in fixed else "other" for w in words])
+        if found:
+            worth = lambda r: (sum(weights[1 + toxicity.ARCS.index(a)] for a in r), -toxicity.READINGS.index(r))
+            count.update(max(found, key=worth))
+    return weights[0] + sum(w * math.log1p(count[a]) for a, w in zip(toxicity.ARCS, weights[1:], strict=True))
+
+
+def test_grammar_equals_the_rules():
+    """Random clauses, by the composed transducers and by the rules read plainly."""
+    rng = random.Random(11)
+    words = ["idiot", "scum", "you", "them", "not", "never", "said", "wrote", "will", "must", "kill", "hunt", "down", "beat", "up", "make", "pay", *["w"] * 14]
+    clauses = [[rng.choice(words) for _ in range(rng.randint(1, 25))] for _ in range(3000)]
+    got = read(toxicity.Reader([f"{w}$" for w in toxicity.INSULTS]), *(" ".join(c) for c in clauses))
+    want = [plainly(c) for c in clauses]
+    assert [x[0] if x else set() for x in got] == want
+    assert {r for w in want for r in w} == set(toxicity.READINGS)
+
+
+def test_composition_is_that_of_the_transducers():
+    """compose() against passing all that one writes through the next, path by path."""
+    rng = random.Random(2)
+
+    def paths(fst, symbols):
+        held = [(fst.start, (), ())]
+        for x in symbols:
+            held = [(q, (*out, y), tuple(sorted((*w, *v)))) for p, out, w in held for q, y, v in fst.rule(p, x)]
+        return {(out, w) for q, out, w in held if fst.final(q)}
+
+    parts = [toxicity.threat(), toxicity.insult(), toxicity.negation(), toxicity.reported(), toxicity.target()]
+    for _ in range(200):
+        s = [rng.choice(toxicity.CLASSES) for _ in range(rng.randint(0, 9))]
+        want = {(tuple(s), ())}
+        for fst in parts:
+            want = {(out, tuple(sorted((*w, *v)))) for mid, w in want for out, v in paths(fst, mid)}
+        assert paths(toxicity.grammar(), s) == want
+
+
+def test_best_reading_follows_the_weights():
+    for seed in range(5):
+        w = np.random.default_rng(seed).normal(size=9)
+        chosen = toxicity.best(w)
+        for bits in (0, 1, 5, 0x8001, 0xFFFF, 0x1234):
+            worth = [(sum(w[1 + toxicity.ARCS.index(a)] for a in r), -i) for i, r in enumerate(toxicity.READINGS) if bits >> i & 1]
+            assert chosen[bits] == (-max(worth)[1] if worth else -1)
+
+
+def test_toxicity_learns_negation_threats_and_speech(spark):
+    """Rows whose label turns on a negation, a threat or reported speech: the arcs' weights are learned."""
+    rng = random.Random(7)
+    filler = [f"f{i}" for i in range(200)]
+    say = lambda *w: " ".join([rng.choice(filler), *w, rng.choice(filler)]) + ". "
+    kinds = [(1, ("you", "idiot")), (0, ("not", "an", "idiot")), (0, ("he", "said", "idiot")), (1, ("will", "kill", "them")), (0, ("never", "will", "kill")), (0, ())]
+    rows, lab = [], []
+    for i in range(1200):
+        y, w = kinds[i % 6]
+        rows.append((i, say() + say(*w) + say(), "s"))
+        lab.append((i, 1, y))
+    d, lab = documents(spark, rows), spark.createDataFrame(lab, "doc_id long, quality int, toxic int")
+    stems, weights = toxicity.train(d, lab)
+    w = dict(zip(("none", *toxicity.ARCS), weights, strict=True))
+    assert w["insult"] > 3 and w["threat"] > 3 and w["insult_negated"] < -3 and w["insult_reported"] < -3 and w["threat_negated"] < -3
+    out = {r["doc_id"]: r["score"] for r in toxicity.score(d, (stems, weights)).collect()}
+    assert all((out[i] >= 0.5) == bool(kinds[i % 6][0]) for i in range(1200))
+    # a text of toxic and clean labels counts as toxic, whatever the order of rows
+    twice = documents(spark, [(i, "same text here", "s") for i in range(20)])
+    both = spark.createDataFrame([(i, 1, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    assert [(r["doc_id"], r["toxic"]) for r in toxicity.sample(twice.repartition(7), both).collect()] == [(min(i for i in range(20) if zlib.crc32(str(i).encode()) % 5), 1)]
 
 
 def test_toxicity_on_labelled_rows(spark):
-    sf = "/root/testdata/sf0.01"
+    """Held-out rows of sf0.1: precision and recall, not accuracy, as most rows are clean."""
+    sf = "/root/testdata/sf0.1"
     lab = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic IS NOT NULL").collect()}
     out = toxicity.op1_toxicity(spark, sf).collect()
-    held = [(r["predicted"], lab[r["doc_id"]]) for r in out if r["held_out"] and r["doc_id"] in lab]
-    assert len(out) == len({r["doc_id"] for r in out}) == 1000
-    assert sum(p == y for p, y in held) / len(held) > 0.9
+    held = Counter((r["predicted"], lab[r["doc_id"]]) for r in out if r["held_out"] and r["doc_id"] in lab)
+    assert len(out) == len({r["doc_id"] for r in out}) == 10_000
+    assert held[1, 1] / (held[1, 1] + held[0, 1]) >= 0.75 and held[1, 1] / (held[1, 1] + held[1, 0]) >= 0.95
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in out)
 
 
