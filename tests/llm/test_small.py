@@ -345,6 +345,46 @@ def test_bit_parallel_distance():
     for _ in range(300):
         p, t = ("".join(rng.choice("abc") for _ in range(rng.randint(1, 70))) for _ in range(2))
         assert decontaminate.substring_distance(p, t, 1000)[0] == least(p, t)
+        dist, start, n = decontaminate.match(p, t, 1000)
+        assert dist == least(p, t) == edit(p, t[start : start + n])
+
+
+def edit(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_lsh_alone_finds_edited_windows_and_rejects_others(spark):
+    """Without the pieces: windows with edits of a full 10 % share a key, windows of unrelated texts do not; also for short
+    and very long items."""
+    rng, sf = random.Random(3), "/root/testdata/sf0.01"
+    item = [decontaminate.fold_one(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").where("text IS NOT NULL").collect()]
+    item += ["x", "ab", "short item", " ".join(f"word{i % 977}" for i in range(3000))]
+    items = decontaminate.Items(list(enumerate(item)), decontaminate.RATE)
+    text = [t for r in spark.read.parquet(f"{sf}/documents.parquet").where("text IS NOT NULL").limit(300).collect() if len(t := decontaminate.fold_one(r["text"])) > 400]
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    near, far, k = [], [], []
+    for i in range(40):
+        for _ in range(20):
+            x = list(item[i])
+            for _ in range(items.d[i]):
+                p = rng.randrange(len(x))
+                x[p : p + 1] = rng.choice(([], [rng.choice(letters)], [x[p], rng.choice(letters)]))
+            other = rng.choice(text)
+            p = rng.randrange(max(1, len(other) - len(item[i])))
+            near.append("".join(x)[: len(item[i])])
+            far.append(other[p : p + len(item[i])])
+            k.append(i)
+    assert items.near(near, np.array(k)).mean() >= 0.98
+    assert items.near([x for x, y in zip(far, k, strict=True) if x != item[y]], np.array(k)).mean() <= 0.03
+    last = np.arange(len(item) - 4, len(item))
+    assert items.near([item[i] for i in last], last).all()
+    assert not items.near(["", "c", "tall story", "w" * 21_000], last).any()
 
 
 def test_decontamination_recall():
@@ -362,7 +402,11 @@ def test_decontamination_recall():
         texts.append("".join(rng.choice(letters) for _ in range(200)) + " " + "".join(x) + " " + "".join(rng.choice(letters) for _ in range(99)))
         truth.append(k)
     b = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts)], names=["doc_id", "text"])
-    got = {(r["doc_id"], r["item_id"]) for out in decontaminate._scan(items)([b]) for r in out.to_pylist()}
+    found = [r for out in decontaminate._scan([(i, decontaminate.fold_one(t)) for i, t in enumerate(item)], decontaminate.RATE)([b]) for r in out.to_pylist()]
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    for r in found:  # the span is that of the match
+        t = decontaminate.folded(pa.array([texts[r["doc_id"]]]))[0][1:]
+        assert edit(items.text[r["item_id"]], t[r["start"] : r["start"] + r["length"]]) == r["distance"]
     # folding may turn one edit beside a blank into two: those texts are no leaks
     leak = [(i, k) for i, k in enumerate(truth) if decontaminate.substring_distance(items.text[k], decontaminate.fold_one(texts[i]), items.d[k])]
     assert len(leak) > 250 and sum(x in got for x in leak) >= 0.99 * len(leak)
