@@ -25,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share; one of our own only where none is set and all run on this machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='quillseq-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -216,7 +218,18 @@ def unplanes(b: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).reshape(-1).view(dtype) if b else np.zeros(0, dtype)
 
 
-def bucket_cuts(keys: np.ndarray, n: int) -> np.ndarray:
-    """Of sorted keys: where each of n equal key ranges begins and the end."""
-    edges = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+def bucketed(keys: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """Of sorted keys and n equal ranges of keys: (range, first, last + 1) of each range that has a key. The work and what it
+    gives follow the keys, not n."""
+    if not len(keys):
+        return []
+    of = (keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)
+    first = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1])
+    return list(zip(of[first].tolist(), first.tolist(), [*first[1:].tolist(), len(keys)], strict=True))
+
+
+def batch_size(spark: SparkSession, least: int = 4 << 20) -> int:
+    """Bytes of text in a batch: what a worker has room for, of which executors with more memory a core have more."""
+    memory = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsMb(spark.conf.get("spark.executor.memory", "1g"))
+    cores = int(spark.conf.get("spark.executor.cores", "4"))
+    return max(least, (memory << 20) // cores // 256)

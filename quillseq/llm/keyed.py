@@ -1,9 +1,10 @@
 """Counts of keys, asked for by batches of documents.
 
-Documents are dealt to batches by a hash of their id. Each batch names its distinct 64-bit keys once, sorted, with what it
+Documents are dealt to batches by a hash of their id and text. Each batch names its distinct 64-bit keys once, sorted, with what it
 adds to each key's sums; the keys go to buckets (equal ranges of the key space) as packed arrays, a bucket sums what all
 batches add, and answers each batch in the order in which it asked. A key comes at most once per batch to its bucket, so a
-frequent key does not make a bucket large, and rows on the wire are arrays, not keys. Sums are of 32 bits on the wire where
+frequent key does not make a bucket large, and rows on the wire are arrays, not keys: at most one per batch and bucket, and
+never more than there are keys in the batches. Sums are of 32 bits on the wire where
 all of an array fit, and else of 64.
 """
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillseq.llm.common import bucket_cuts, planes, settle, unplanes
+from quillseq.llm.common import bucketed, planes, settle, unplanes
 
 ASK = "bid long, bucket int, keys binary, adds binary"
 ASK_SCHEMA = pa.schema([("bid", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("adds", pa.binary())])
@@ -27,9 +28,14 @@ ANSWER = "bid long, bucket int, sums binary"
 ANSWER_SCHEMA = pa.schema([("bid", pa.int64()), ("bucket", pa.int32()), ("sums", pa.binary())])
 
 
-def dealt(docs: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
-    """docs with _bid, the batch of each row."""
-    return docs.withColumn("_bid", F.pmod(F.xxhash64(key), F.lit(n)).cast("long"))
+def dealt(docs: DataFrame, n: int, *key: str) -> DataFrame:
+    """docs with _bid, the batch of each row: by default of its id and text, so that rows without an id are spread too."""
+    return docs.withColumn("_bid", F.pmod(F.xxhash64(*(key or ("doc_id", "text"))), F.lit(n)).cast("long"))
+
+
+def n_buckets(n: int) -> int:
+    """Buckets for the keys of n batches: a bucket holds what six batches ask for, so that rows are fewer and longer."""
+    return max(32, n // 6)
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
@@ -52,8 +58,7 @@ def unpack_sums(b: bytes, n_sums: int) -> np.ndarray:
 
 def asks(bid: int, keys: np.ndarray, adds: np.ndarray, n: int) -> pa.Table:
     """keys: sorted and distinct; adds: uint32, a row per sum and a column per key."""
-    cuts = bucket_cuts(keys, n)
-    rows = [{"bid": bid, "bucket": i, "keys": pack_keys(keys[a:b]), "adds": pack_sums(adds[:, a:b])} for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+    rows = [{"bid": bid, "bucket": i, "keys": pack_keys(keys[a:b]), "adds": pack_sums(adds[:, a:b])} for i, a, b in bucketed(keys, n)]
     return pa.Table.from_pylist(rows, ASK_SCHEMA)
 
 

@@ -5,8 +5,8 @@ frequency bucket). Counts come from all training documents; a stated share of th
 counts when the weights are learned, by expectation-maximisation on that share's tokens.
 
 Every batch of documents asks for the counts of its distinct words and word pairs (keyed.py), so nothing of the
-vocabulary's size is ever broadcast or collected. The EM works on a table of tokens grouped by bucket and by rounded
-log-probabilities, whose size is bounded by the rounding, not by the corpus.
+vocabulary's size is ever broadcast or collected. The EM works on the exact counts of the held-out share's pairs, a packed row
+per batch in the shared folder: each round is one pass over them, which brings a few numbers per bucket to the driver.
 
 Cases: null and empty texts are the end token alone; a null doc_id counts as the empty string for the split; repeated rows
 each count and are scored; very long texts are one row of one batch; extra columns are ignored; without training documents N
@@ -16,6 +16,7 @@ and V are 0, the model is uniform over one word, and every score is 0; an empty
 from __future__ import annotations
 
 import struct
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -23,17 +24,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillseq.llm import keyed
-from quillseq.llm.common import crc_mod, mix, n_batches, table, tidy, words
+from quillseq.llm.common import batch_rows, batch_size, crc_mod, discard, mix, n_batches, settle, table, tidy, words
 
 #: Training documents have an id remainder other than OUT modulo SPLIT; those with remainder HELD teach the weights.
 SPLIT, OUT, HELD = 7, 2, 3
-BATCH_BYTES = 4 << 20
 END = np.uint64(0x51A3F00D00000001)
 BEGIN = np.uint64(0x51A3F00D00000002)
-STEP = 4  # EM rounds log10 probabilities to 1 / STEP
 BUCKETS = 24
 
 
+def bucket_of(ctx: np.ndarray) -> np.ndarray:
+    """A context's frequency bucket: 0 was never seen, then by powers of two."""
+    return np.minimum(np.frexp(ctx.astype(float))[1], BUCKETS - 1)
+
+
 def _tokens(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unigram keys, pair keys (context, word), and where each document begins; each document ends with END."""
     h, first = words(group.column("text"), lower=True)
@@ -73,52 +77,71 @@ class Estimates:
     """Per token of a batch: bigram, unigram and uniform probabilities, and the context's bucket."""
 
     def __init__(self, group: pa.Table, told: pa.Table, totals: tuple[int, int, int, int], deleted: bool):
-        self.tok, pair, self.begin = _tokens(group)
+        self.tok, self.pair, self.begin = _tokens(group)
         n_tok = len(self.tok)
-        _, at = np.unique(np.concatenate([self.tok, pair]), return_inverse=True)
+        _, at = np.unique(np.concatenate([self.tok, self.pair]), return_inverse=True)
         sums = keyed.answers(told, 2).astype(np.int64)
         c = (sums[0] - sums[1] if deleted else sums[0])[at]
-        self.uni, bi = c[:n_tok], c[n_tok:]
+        self.uni, self.bi = c[:n_tok], c[n_tok:]
         total, distinct = totals[2:] if deleted else totals[:2]
         docs = self.uni[self.begin[1:] - 1]  # the count of END is the number of documents
         ctx = np.empty(n_tok, np.int64)
         ctx[1:] = self.uni[:-1]
         ctx[self.begin[:-1]] = docs
-        self.p2 = np.divide(bi, ctx, out=np.zeros(n_tok), where=ctx > 0)
+        self.ctx = ctx
+        self.p2 = np.divide(self.bi, ctx, out=np.zeros(n_tok), where=ctx > 0)
         self.p1 = self.uni / max(total, 1)
         self.p0 = 1.0 / (distinct + 1)
-        self.bucket = np.minimum(np.frexp(ctx.astype(float))[1], BUCKETS - 1)  # 0: never seen
+        self.bucket = bucket_of(ctx)
+
+
+def expected(lam: np.ndarray, bucket: np.ndarray, p: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The E step over tokens (bucket, the three probabilities, how often): per bucket, how many of them each estimate made,
+    and their log-likelihood."""
+    e = lam[bucket] * p
+    total = np.maximum(e.sum(1), 1e-300)
+    e *= (n / total)[:, None]
+    return np.stack([*(np.bincount(bucket, e[:, i], BUCKETS) for i in range(3)), np.bincount(bucket, n * np.log(total), BUCKETS)], 1)
 
 
-def learn_weights(tell: dict, p0: float, rounds: int = 200) -> np.ndarray:
-    """Weights (bucket, 3) by EM from counts of (bucket, rounded -log p2 and p1); -1 stands for probability 0."""
+def learn_weights(expect: Callable[[np.ndarray], np.ndarray], near: float = 1e-5, most: int = 60) -> np.ndarray:
+    """Weights (bucket, 3) by EM; expect(weights) is the E step over all held-out tokens. Rounds stop where no weight moves by
+    near or more. Every two rounds the step they took is carried on as far as it goes (squared extrapolation, bucket by bucket,
+    only where the likelihood does not fall), so that few passes over the tokens are needed."""
+    prior = np.array([1.0, 2.0, 1.0])  # keeps every weight above 0 where a bucket has little to tell
     lam = np.full((BUCKETS, 3), [0.3, 0.6, 0.1])
     lam[0] = [0.0, 0.9, 0.1]
-    if not tell:
-        return lam
-    rows = np.array([(*k, n) for k, n in tell.items()], float)
-    b, n = rows[:, 0].astype(int), rows[:, 3]
-    p = np.stack([np.where(rows[:, i] < 0, 0.0, 10.0 ** (-rows[:, i] / STEP)) for i in (1, 2)] + [np.full(len(rows), p0)], 1)
-    prior = np.array([1.0, 2.0, 1.0])  # keeps every weight above 0 where a bucket has little to tell
-    for _ in range(rounds):
-        e = lam[b] * p
-        e *= (n / np.maximum(e.sum(1), 1e-300))[:, None]
-        new = np.stack([np.bincount(b, e[:, i], BUCKETS) for i in range(3)], 1) + prior
-        new[0, 0] = 0.0
-        new /= new.sum(1, keepdims=True)
-        if np.abs(new - lam).max() < 1e-6:
-            return new
-        lam = new
+
+    def step(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        got = expect(at)
+        new = got[:, :3] + prior
+        new[0, 0] = 0.0  # no context, no bigram
+        return new / new.sum(1, keepdims=True), got[:, 3] + (prior * np.log(np.maximum(at, 1e-300)))[:, 1:].sum(1) + np.where(at[:, 0] > 0, np.log(np.maximum(at[:, 0], 1e-300)), 0)
+
+    for _ in range(most):
+        one, _ = step(lam)
+        if np.abs(one - lam).max() < near:
+            return one
+        two, worth = step(one)
+        if np.abs(two - one).max() < near:
+            return two
+        r, v = one - lam, two - 2 * one + lam
+        a = -np.maximum(1.0, np.linalg.norm(r, axis=1) / np.maximum(np.linalg.norm(v, axis=1), 1e-12))[:, None]
+        far = lam - 2 * a * r + a * a * v
+        far = np.where((far[:, 1:] > 0).all(1, keepdims=True) & (far[:, :1] >= 0) & (np.abs(a) < 1e6), far, two)
+        new, reached = step(far)
+        lam = np.where((reached >= worth)[:, None], new, two)
     return lam
 
 
-def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def score(docs: DataFrame, batch_bytes: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 of the text's probability)."""
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), crc_mod(F.col("doc_id"), SPLIT).cast("int").alias("_r"))
-    n = n_batches(d, "text", batch_bytes)
+    n = n_batches(d, "text", batch_bytes or batch_size(docs.sparkSession))
+    buckets = keyed.n_buckets(n)
     # documents that teach the weights have batches of their own, so that only these are read again for the EM
     d = keyed.dealt(d, n).withColumn("_bid", F.when(F.col("_r") == HELD, F.col("_bid") + n).otherwise(F.col("_bid")))
-    told = keyed.summed(d.groupBy("_bid").applyInArrow(_ask(n), keyed.ASK), 2, _stats, "lm-counts")
+    told = keyed.summed(d.groupBy("_bid").applyInArrow(_ask(buckets), keyed.ASK), 2, _stats, "lm-counts")
     tidy(docs.sparkSession)
     totals = [0, 0, 0, 0]
     for r in told.where("bid = -1").select("sums").collect():  # a row of four numbers per bucket
@@ -127,19 +150,37 @@ def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     asked = told.where("bid >= 0").withColumnRenamed("bid", "_bid")
 
     def tally(key: tuple[pa.Scalar, ...], group: pa.Table, answer: pa.Table) -> pa.Table:
+        """The batch's distinct pairs with their counts, exact: of pair, context and word, and how often the batch has them."""
         e = Estimates(group, answer, totals, True)
-        q = [np.where(p > 0, np.round(-np.log10(np.maximum(p, 1e-30)) * STEP), -1).astype(np.int64) for p in (e.p2, e.p1)]
-        code, count = np.unique((e.bucket * 256 + q[0] + 1) * 256 + q[1] + 1, return_counts=True)
-        return pa.table({"b": code >> 16, "p2": ((code >> 8) & 255) - 1, "p1": (code & 255) - 1, "n": count})
+        _, first, often = np.unique(e.pair, return_index=True, return_counts=True)
+        if not len(first):
+            return pa.table({"counts": pa.array([], pa.binary())})
+        return pa.table({"counts": [keyed.pack_sums(np.stack([e.bi[first], e.ctx[first], e.uni[first], often]).astype(np.uint64))]})
 
-    # the EM's table: bounded by the rounding (at most BUCKETS * 128 * 128 rows)
     held = d.where(F.col("_r") == HELD)
-    per = held.groupBy("_bid").cogroup(asked.where(F.col("_bid") >= n).groupBy("_bid")).applyInArrow(tally, "b long, p2 long, p1 long, n long")
-    tell = {(r["b"], r["p2"], r["p1"]): r["n"] for r in per.groupBy("b", "p2", "p1").agg(F.sum("n").alias("n")).collect()}
-    lam = learn_weights(tell, 1.0 / (totals[3] + 1))
+    per = settle(held.groupBy("_bid").cogroup(asked.where(F.col("_bid") >= n).groupBy("_bid")).applyInArrow(tally, "counts binary"), "lm-held", small=True)
+
+    def expect(lam: np.ndarray) -> np.ndarray:
+        def run(batches):
+            sums = np.zeros((BUCKETS, 4))
+            for b in batches:
+                for packed in b.column("counts"):
+                    bi, ctx, uni, often = keyed.unpack_sums(packed.as_py(), 4).astype(np.float64)
+                    p = np.stack([np.divide(bi, ctx, out=np.zeros(len(bi)), where=ctx > 0), uni / max(totals[2], 1), np.full(len(bi), 1.0 / (totals[3] + 1))], 1)
+                    sums += expected(lam, bucket_of(ctx), p, often)
+            yield pa.RecordBatch.from_arrays([pa.array(range(sums.size), pa.int32()), pa.array(sums.reshape(-1))], names=["k", "v"])
+
+        out = np.zeros(4 * BUCKETS)
+        for r in per.mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():  # a number per bucket and estimate
+            out[r["k"]] = r["v"]
+        return out.reshape(BUCKETS, 4)
+
+    with batch_rows(docs.sparkSession, 8):
+        lam = learn_weights(expect)
+    discard(per)
     if not totals[0]:  # nothing was learned: the uniform estimate alone
         lam = np.full((BUCKETS, 3), [0.0, 0.0, 1.0])
-    del per, held
+    del held
     tidy(docs.sparkSession)
 
     def final(key: tuple[pa.Scalar, ...], group: pa.Table, answer: pa.Table) -> pa.Table:

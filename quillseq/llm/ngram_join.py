@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillseq.llm import keyed
-from quillseq.llm.common import batch_rows, bucket_cuts, discard, mix, n_batches, planes, release, settle, table, tidy, unplanes, words
+from quillseq.llm.common import batch_rows, bucketed, discard, mix, n_batches, planes, release, settle, table, tidy, unplanes, words
 from quillseq.llm.components import components
 from quillseq.llm.tokenize import chunks
 
@@ -180,9 +180,8 @@ def _ask(n: int):
             lead, flag = ~again, more & ~again
             payload = (owner | (flag.astype(np.int64) << 24)).astype(np.uint32)
             rows, s, w = [], sig[lead], payload[lead]
-            for i, (a, b) in enumerate(zip((c := bucket_cuts(s, n))[:-1], c[1:], strict=True)):
-                if b > a:
-                    rows.append({"bid": bid, "bucket": i, "keys": keyed.pack_keys(s[a:b]), "adds": planes(w[a:b])})
+            for i, a, b in bucketed(s, n):
+                rows.append({"bid": bid, "bucket": i, "keys": keyed.pack_keys(s[a:b]), "adds": planes(w[a:b])})
             if again.any():  # the others of a signature within this batch need not meet the rest of the corpus
                 rows.append({"bid": bid, "bucket": n + bid, "keys": keyed.pack_keys(sig[again]), "adds": planes(owner[again].astype(np.uint32))})
             out = pa.Table.from_pylist(rows, keyed.ASK_SCHEMA)
@@ -397,10 +396,10 @@ def _join(docs: DataFrame, batch_bytes: int, block: int | None = None) -> DataFr
     seen = classes(docs)
     n = n_batches(docs, "text", batch_bytes)
     reps = seen.where("n_shingles > 0").groupBy("n_shingles", "p", "q").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("rows"))
-    reps = keyed.dealt(reps, n)
+    reps = keyed.dealt(reps, n, "doc_id")
     number = F.row_number().over(Window.partitionBy("_bid").orderBy("doc_id", "p", "q"))  # a batch's classes
     reps = settle(reps.withColumn("node", F.col("_bid") * (1 << 24) + number), "classes")
-    d = keyed.dealt(docs.select("doc_id", "text"), n)
+    d = keyed.dealt(docs.select("doc_id", "text"), n, "doc_id")
     asked = d.groupBy("_bid").cogroup(reps.select("_bid", "doc_id", "p", "q", "node").groupBy("_bid")).applyInArrow(_ask(n), keyed.ASK)
     shared = settle(asked.groupBy("bucket").applyInArrow(_shared(n), "sig long, node long"), "signatures")
     del d, asked

@@ -8,8 +8,9 @@ each, and sorted as one collection per bucket: its Burrows-Wheeler transform and
 and suffixes that share 200 bytes with a neighbour are the repeated windows. Nothing is sampled, and equality is that of the
 bytes (64-bit hashes name k-mers and stretches; two hashes name a stretch).
 
-A k-mer with more than HOT such stretches (the edge of a passage in very many documents) would make one large collection: its
-windows are counted by their hashes instead, each once per batch, which has no group to grow.
+A k-mer with more than HOT such stretches (the edge of a passage in very many documents) would make one large collection, in
+one task. Its windows are dealt out one by one instead, each distinct one once per batch, named by two 64-bit hashes of its
+bytes as whole stretches are, and counted where they meet. HOT parts the work; it changes no result.
 
 A whole-collection transform would take as many rounds over all of the corpus as the longest document has bytes; dealing the
 windows out by k-mer first bounds rounds by a stretch's length (under 400) and a task by its bucket.
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillseq.llm import bcr, keyed
-from quillseq.llm.common import _BYTE, bucket_cuts, mix, n_batches, settle, table, tidy, utf8
+from quillseq.llm.common import _BYTE, bucketed, mix, n_batches, settle, table, tidy, utf8
 
 LENGTH, KMER, SEGMENT, BATCH_BYTES, BUCKET = 200, 24, 1 << 20, 4 << 20, 250
 HOT = 1000
@@ -133,8 +134,7 @@ def _ask(n: int):
         new[1:] = (name[1:] != name[:-1]) | (body[1:] != body[:-1])
         count = np.diff(np.append(np.flatnonzero(new), len(name)))
         name, body, left, right = name[new], body[new], left[new], right[new]
-        cuts = bucket_cuts(name, n)
-        rows = [{"bid": key[0].as_py(), "bucket": i, "keys": keyed.pack_keys(name[a:b]), "adds": np.concatenate([body[a:b], left[a:b], right[a:b], np.minimum(count[a:b], 2).astype(np.uint64)]).tobytes()} for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        rows = [{"bid": key[0].as_py(), "bucket": i, "keys": keyed.pack_keys(name[a:b]), "adds": np.concatenate([body[a:b], left[a:b], right[a:b], np.minimum(count[a:b], 2).astype(np.uint64)]).tobytes()} for i, a, b in bucketed(name, n)]
         return pa.Table.from_pylist(rows, keyed.ASK_SCHEMA)
 
     return run
@@ -208,8 +208,8 @@ def _tags(s: Stretches, i: np.ndarray) -> list[bytes]:
     return [r.tobytes() for r in both]
 
 
-def _windows(buf: np.ndarray, s: Stretches, i: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all windows of the stretches i: their starts, hashes, and the stretch of each."""
+def _windows(buf: np.ndarray, s: Stretches, i: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of the stretches i: their starts, two hashes, and the stretch of each."""
     n = s.n[i]
     size = n + LENGTH - 1
     at = np.cumsum(size) - size
@@ -219,15 +219,28 @@ def _windows(buf: np.ndarray, s: Stretches, i: np.ndarray) -> tuple[np.ndarray,
         sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[text] * up[: len(text)], dtype=np.uint64)])
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         p = inside + np.repeat(at, n)
-        return inside + np.repeat(s.start[i], n), mix((sums[p + LENGTH] - sums[p]) * down[p]), np.repeat(i, n)
+        other = np.concatenate([[np.uint64(0)], np.cumsum(mix(_BYTE[text]) * up[: len(text)], dtype=np.uint64)])  # other values of bytes
+        hashed = [mix((x[p + LENGTH] - x[p]) * down[p]) for x in (sums, other)]
+        return inside + np.repeat(s.start[i], n), *hashed, np.repeat(i, n)
 
 
 def _hot(buf: np.ndarray, s: Stretches, code: np.ndarray, first: np.ndarray):
-    start, hashed, of = _windows(buf, s, np.flatnonzero(first & (code & 4 > 0)))
-    keys, at = np.unique(hashed, return_inverse=True)
+    start, one, two, of = _windows(buf, s, np.flatnonzero(first & (code & 4 > 0)))
+    keys, at = _distinct(one, two)
     return start, of, keys, at
 
 
+def _distinct(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, sorted (a row each for the first and the second), and where each pair is among them."""
+    order = np.lexsort((two, one))
+    both = np.stack([one[order], two[order]])
+    new = np.ones(len(order), bool)
+    new[1:] = (both[:, 1:] != both[:, :-1]).any(0)
+    at = np.empty(len(order), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return both[:, new], at
+
+
 def _send(n_buckets: int, n: int):
     def run(key: tuple[pa.Scalar, ...], group: pa.Table, told: pa.Table) -> pa.Table:
         bid = key[0].as_py()
@@ -241,8 +254,8 @@ def _send(n_buckets: int, n: int):
         start, of, keys, at = _hot(buf, s, code, first)
         if not len(start):
             return rows
-        weight = np.bincount(at, 1 + (code[of] & 1)).astype(np.uint32)  # a stretch that occurs elsewhere too counts twice
-        asked = keyed.asks(bid, keys, weight[None], n)
+        weight = np.bincount(at, 1 + (code[of] & 1)).astype(np.uint64)  # a stretch that occurs elsewhere too counts twice
+        asked = keyed.asks(bid, keys[0], np.stack([weight, keys[1]]), n)
         more = [(asked.column("bucket").to_numpy() + n_buckets).astype(np.int32), asked.column("bid").to_numpy()]
         return pa.concat_tables([rows, pa.Table.from_arrays([pa.array(more[0]), pa.array(more[1]), asked.column("adds"), pa.nulls(len(asked), pa.bool_()), asked.column("keys")], schema=SENT_SCHEMA)])
 
@@ -261,14 +274,14 @@ def _sorted(n_buckets: int):
         if bucket >= n_buckets:
             bids = group.column("bid").to_pylist()
             keys = [keyed.unpack_keys(v.as_py()) for v in group.column("data")]
-            adds = [keyed.unpack_sums(v.as_py(), 1)[0] for v in group.column("name")]
-            uniq, at = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.minimum(np.bincount(at, np.concatenate(adds), len(uniq)), 2).astype(np.uint32)[at]
+            weight, two = np.concatenate([keyed.unpack_sums(v.as_py(), 2) for v in group.column("name")], 1)
+            _, at = _distinct(np.concatenate(keys), two)
+            total = np.minimum(np.bincount(at, weight), 2).astype(np.uint32)[at]
             parts = np.split(total, np.cumsum([len(k) for k in keys])[:-1])
             return pa.Table.from_pylist([{"bid": b, "bucket": bucket, "name": None, "at": keyed.pack_sums(t[None])} for b, t in zip(bids, parts, strict=True)], FOUND_SCHEMA)
         once = group.column("once").to_pylist()
         found = bcr.repeated([v.as_py() for v in group.column("data")], LENGTH)
-        keep = [i for i, o in enumerate(once) if o and len(found[i])]
+        keep = np.array([i for i, o in enumerate(once) if o and len(found[i])], np.int64)
         at = pa.array([found[i].astype("<u2").tobytes() for i in keep], pa.binary())
         return pa.Table.from_arrays([group.column("bid").take(keep), pa.nulls(len(keep), pa.int32()), group.column("name").take(keep), at], schema=FOUND_SCHEMA)
 

@@ -293,6 +293,17 @@ def test_substring_dedup(spark, docs, rows):
     assert got == want
     hot = substring_dedup.repeats(docs, substring_dedup._final, out.schema.simpleString()[7:-1].replace(":", " "), hot=0)
     assert Counter(tuple(r) for r in hot.collect()) == want
+    # a passage at whose edges over 1,000 stretches differ
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(420))
+    tail = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.choice((3, 40, 150, 230))))
+    ends = [tail() for _ in range(40)]
+    many = [tail() + passage[: rng.choice((190, 260, 420))] + rng.choice((tail(), rng.choice(ends))) for _ in range(1500)]
+    gone = Counter((i, len(t), sum(g)) for i, (t, g) in enumerate(zip(many, removed([t.encode() for t in many], 200), strict=True)))
+    d = documents(spark, [(i, t, "s") for i, t in enumerate(many)])
+    for hot in (0, substring_dedup.HOT, 10**9):
+        out = substring_dedup.repeats(d, substring_dedup._final, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", hot=hot)
+        assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in out.collect()) == gone
     assert substring_dedup.repeats(docs.limit(0), substring_dedup._final, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").count() == 0
 
 
@@ -637,14 +648,67 @@ def test_lm_scoring(docs, rows):
 
 
 def test_lm_weights_find_the_mixture():
-    """Tokens made by known weights: EM finds them."""
+    """Tokens made by known weights: EM finds them, in few passes, and the extrapolation ends where plain rounds end."""
     rng = np.random.default_rng(1)
-    tell = Counter()
-    for p2, p1, share in ((0.5, 0.01, 0.3 * 0.5 + 0.6 * 0.01), (-1, 0.01, 0.6 * 0.01)):
-        q = lambda p: -1 if p < 0 else round(-math.log10(p) * lm_scoring.STEP)
-        tell[3, q(p2), q(p1)] += int(share * 100_000)
-    lam = lm_scoring.learn_weights(tell, 1e-6)
-    assert lam.shape == (lm_scoring.BUCKETS, 3) and np.allclose(lam.sum(1), 1) and lam[3, 0] > 0.3 and rng is not None
+    bucket = rng.integers(0, 5, 4000)
+    p = np.stack([np.where(bucket > 0, rng.choice([0.0, 0.01, 0.2, 0.9], 4000), 0.0), rng.choice([1e-5, 1e-3, 0.05], 4000), np.full(4000, 1e-6)], 1)
+    n = rng.integers(1, 50, 4000).astype(float)
+    calls = []
+
+    def expect(lam):
+        calls.append(1)
+        return lm_scoring.expected(lam, bucket, p, n)
+
+    lam = lm_scoring.learn_weights(expect, near=1e-7)
+    plain = np.full((lm_scoring.BUCKETS, 3), [0.3, 0.6, 0.1])
+    plain[0] = [0.0, 0.9, 0.1]
+    for _ in range(20_000):
+        plain = lm_scoring.expected(plain, bucket, p, n)[:, :3] + [1.0, 2.0, 1.0]
+        plain[0, 0] = 0.0
+        plain /= plain.sum(1, keepdims=True)
+    assert np.allclose(lam, plain, atol=1e-4) and np.allclose(lam.sum(1), 1) and len(calls) < 100
+
+
+def test_lm_scores_equal_brute_force(spark):
+    """The whole model in plain Python: counts, deleted counts, EM until it stands, and every document's probability."""
+    rng = random.Random(8)
+    vocab = [f"w{int(rng.paretovariate(0.7))}" for _ in range(4000)]
+    rows = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(0, 40))), "s") for i in range(300)] + [(None, "w1 w2", "s"), (9, None, "s")]
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in lm_scoring.score(documents(spark, rows), batch_bytes=2000).collect())
+    docs = [(i, zlib.crc32(("" if i is None else str(i)).encode()) % 7, [*WORD.findall(fold(t)), None]) for i, t, _ in rows]
+
+    def counts(keep):
+        uni, bi = Counter(), Counter()
+        for _, r, ws in docs:
+            if keep(r):
+                uni.update(ws)
+                bi.update(zip(["<", *ws[:-1]], ws, strict=True))
+        uni["<"] = uni[None]
+        return uni, bi, sum(uni.values()) - uni["<"], len(uni) - 1
+
+    def tokens(keep, model):
+        uni, bi, n, v = model
+        for i, r, ws in docs:
+            if keep(r):
+                for c, w in zip(["<", *ws[:-1]], ws, strict=True):
+                    yield i, min(uni[c].bit_length(), lm_scoring.BUCKETS - 1), (bi[c, w] / uni[c] if uni[c] else 0.0, uni[w] / n, 1 / (v + 1))
+
+    held = list(tokens(lambda r: r == lm_scoring.HELD, counts(lambda r: r not in (lm_scoring.OUT, lm_scoring.HELD))))
+    b, p = np.array([x[1] for x in held]), np.array([x[2] for x in held])
+    lam = np.full((lm_scoring.BUCKETS, 3), [0.3, 0.6, 0.1])
+    lam[0] = [0.0, 0.9, 0.1]
+    for _ in range(5000):
+        e = lam[b] * p
+        e /= e.sum(1, keepdims=True)
+        lam = np.stack([np.bincount(b, e[:, k], lm_scoring.BUCKETS) for k in range(3)], 1) + [1.0, 2.0, 1.0]
+        lam[0, 0] = 0.0
+        lam /= lam.sum(1, keepdims=True)
+    model, k, want = counts(lambda r: r != lm_scoring.OUT), 0, []
+    every = list(tokens(lambda r: True, model))
+    for i, _, ws in docs:
+        want.append((str(i), len(ws), sum(math.log10(float(lam[x[1]] @ x[2])) for x in every[k : k + len(ws)])))
+        k += len(ws)
+    assert len(got) == len(want) and all(g[:2] == w[:2] and math.isclose(g[2], w[2], rel_tol=1e-4, abs_tol=1e-3) for g, w in zip(got, sorted(want), strict=True))
 
 
 def test_keyed_answers_follow_the_questions():
