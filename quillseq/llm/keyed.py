@@ -34,8 +34,8 @@ def dealt(docs: DataFrame, n: int, *key: str) -> DataFrame:
 
 
 def n_buckets(n: int) -> int:
-    """Buckets for the keys of n batches: a bucket holds what six batches ask for, so that rows are fewer and longer."""
-    return max(32, n // 6)
+    """Buckets for the keys of n batches: fewer than batches, so that rows are fewer and longer."""
+    return max(32, n // 2)
 
 
 def pack_keys(keys: np.ndarray) -> bytes:

@@ -1,17 +1,19 @@
 """Operator 6: n-gram Jaccard join by PartEnum signatures.
 
 Documents with equal shingle sets form one class. Classes are dealt to size bands such that sets of similarity 0.8 or more
-lie in one band or in neighbouring ones. In band j two such sets differ in at most k elements; the feature domain is
-divided into m > k partitions, so the sets agree on at least m - k of them, and a signature is the hash of a set's part in
-one partition (subsets of one partition each: the volume of signatures is least there). A partition that is empty in both
-sets would make a useless signature: it is left out, and a set with m - k or more empty partitions, the only kind that may
-agree with another on empty partitions alone, is partitioned anew under the next of LEVELS seeds, and under the last one
-has one signature for 'empty'. So no link is lost.
+lie in one band or in neighbouring ones. In band j two such sets differ in at most k elements. The feature domain is divided
+into n1 parts and each of them into n2 = 3 partitions. Of the parts at least g = n1 - k // 2 differ in one element at most,
+and so agree on two of their three partitions: a signature is the hash of a set's elements in two partitions of a part, and
+all three such subsets of every part are enumerated. A subset that is empty in both sets would make a useless signature: it
+is left out, and a set in which g or more parts have two empty partitions, the only kind that may agree with another on empty
+subsets alone, is partitioned anew under the next of LEVELS seeds, and under the last one has one signature for 'empty'. So no
+link is lost.
 
 Groups of classes that share a signature do not emit all pairs. First each member is compared with the group's hub, the
-member that shares most signatures; then pairs of members that are not yet in one component are compared, after a bound on
-the difference of their count sketches. Every link is verified on the whole sets. These links make the components, which is
-all that join() and near_duplicates() need.
+member that shares most signatures (found by an aggregate, reached by a join, so that a frequent signature is split); then
+pairs of members that are not yet in one component are compared, in blocks of MEMBERS of either side, after a bound on the
+difference of their count sketches. Every link is verified on the whole sets. These links make the components, which is all
+that join() and near_duplicates() need.
 
 links() counts every link besides. Both ends of a link are in one component, so all pairs of a component's classes are
 compared on their whole sets: a component is cut into blocks, and each pair of blocks is a unit of work that gives sums per
@@ -40,6 +42,8 @@ from quillseq.llm.tokenize import chunks
 WORDS, LEVELS, BATCH_BYTES, SKETCH, SMALL = 5, 4, 4 << 20, 256, 200_000
 #: Classes and shingles in a block of a component, and bytes of sets in a group of units.
 BLOCK, BLOCK_SHINGLES, PART_BYTES = 512, 1 << 18, 16 << 20
+#: Members of a signature that are compared with as many others in one unit of work.
+MEMBERS = 2048
 #: Similarity 0.8: 100 * intersection >= 80 * union, so sizes differ by a factor of 5/4 and sets by (a + b) / 9.
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -108,6 +112,12 @@ def set_hashes(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out[0].view(np.int64), out[1].view(np.int64)
 
 
+def parts(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """n1 and g for sets that differ in at most k elements: some parts more than would do, as parts may be empty."""
+    g = 2 + (6 * (k // 2) + 99) // 100
+    return k // 2 + g, g
+
+
 def signatures(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(signature, index of the set), for sets that are not empty."""
     lo, hi = bands()
@@ -118,29 +128,36 @@ def signatures(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
         for up in (0, 1):
             j = band + up
             k = 2 * hi[j] // 9
-            m = np.where(k == 0, 1, k + 2 + (15 * k + 99) // 100)
-            todo = np.flatnonzero(size > 0)
+            n1, g = parts(k)
+            todo = np.flatnonzero((size > 0) & (k == 0))  # sets that must be equal: the whole set is the signature
+            total = np.concatenate([[np.uint64(0)], np.cumsum(mix(x * _MUL), dtype=np.uint64)])
+            sigs.append(mix((total[first[todo + 1]] - total[first[todo]]) + mix(j[todo].astype(np.uint64) * _MUL + np.uint64(3))))
+            owners.append(todo)
+            todo = np.flatnonzero((size > 0) & (k > 0))
             for level in range(LEVELS):
                 if not len(todo):
                     break
-                n = size[todo]
+                n, own = size[todo], n1[todo]
                 at = np.repeat(first[todo] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                e, cells = x[at], m[todo]
+                e = x[at]
                 seed = mix(j[todo].astype(np.uint64) * _MUL + np.uint64(level * 1_000_003 + 17))
                 h = mix(e ^ np.repeat(seed, n))
-                base = np.cumsum(cells) - cells
-                cell = np.repeat(base, n) + ((h >> np.uint64(32)) * np.repeat(cells, n).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-                total = int(cells.sum())
-                held = np.bincount(cell, minlength=total) > 0
-                part = np.zeros(total, np.uint64)
-                np.add.at(part, cell, mix(e * _MUL + np.uint64(level)))
-                owner = np.repeat(np.arange(len(todo)), cells)
-                inner = (np.arange(total) - base[owner]).astype(np.uint64)
-                sig = mix(part + mix(seed[owner] + inner * _MUL))
-                sigs.append(sig[held])
-                owners.append(todo[owner[held]])
-                empty = cells - np.bincount(owner[held], minlength=len(todo))
-                sparse = empty >= cells - k[todo]
+                base = np.cumsum(own) - own
+                cell = np.repeat(3 * base, n) + ((h >> np.uint64(32)) * np.repeat(3 * own, n).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+                n_parts = int(own.sum())
+                held = (np.bincount(cell, minlength=3 * n_parts) > 0).reshape(-1, 3)
+                sums = np.zeros(3 * n_parts, np.uint64)
+                np.add.at(sums, cell, mix(e * _MUL + np.uint64(level)))
+                sums = mix(sums.reshape(-1, 3) + np.arange(3, dtype=np.uint64) * _MUL)
+                owner = np.repeat(np.arange(len(todo)), own)
+                inner = (np.arange(n_parts) - base[owner]).astype(np.uint64)
+                part = mix(seed[owner] + inner * _MUL)
+                for subset, (a, b) in enumerate(((0, 1), (0, 2), (1, 2))):
+                    some = held[:, a] | held[:, b]
+                    sigs.append(mix(sums[some, a] + sums[some, b] * _MUL + part[some] + np.uint64(subset)))
+                    owners.append(todo[owner[some]])
+                bare = np.bincount(owner, held.sum(1) < 2, len(todo))
+                sparse = bare >= g[todo]
                 if level == LEVELS - 1 and sparse.any():
                     sigs.append(mix(seed[sparse] ^ np.uint64(0xE0)))
                     owners.append(todo[sparse])
@@ -154,7 +171,7 @@ def _described(batches):
             x, first = shingles(b.column("text").slice(i, j - i))
             p, q = set_hashes(x, first)
             sk = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH), j - i, [None, pa.py_buffer(sketches(x, first))]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(np.diff(first)), pa.array(p), pa.array(q), sk], names=["doc_id", "n_shingles", "p", "q", "sketch"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("doc_id", "th")), pa.array(np.diff(first)), pa.array(p), pa.array(q), sk], names=["doc_id", "th", "n_shingles", "p", "q", "sketch"])
     release()
 
 
@@ -264,36 +281,33 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return one.join(s.withColumnsRenamed({"node": "a", "set": "set_a"}), "a").select("a", "b", "set_a", "set_b").mapInArrow(_linked, "a long, b long")
 
 
-def _hub_pairs(group: pa.Table) -> pa.Table:
+def hub_pairs(shared: DataFrame, support: DataFrame) -> DataFrame:
     """Each member of a signature's group with the group's hub: the member of most shared signatures, then of least number."""
-    sig, node, support = (group.column(c).to_numpy() for c in ("sig", "node", "support"))
-    order = np.lexsort((node, -support, sig))
-    sig, node = sig[order], node[order]
-    start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-    hub = np.repeat(node[start], np.diff(np.append(start, len(sig))))
-    both = np.stack([np.minimum(node, hub), np.maximum(node, hub)], 1)[node != hub]
-    both = np.unique(both, axis=0)
-    return pa.table({"a": both[:, 0], "b": both[:, 1]})
+    hubs = shared.join(support, "node").groupBy(F.col("sig").alias("_s")).agg(F.min_by("node", F.struct(-F.col("support"), "node")).alias("hub"))
+    both = shared.join(hubs, F.col("sig") == F.col("_s")).where("node <> hub")
+    return both.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def _across(group: pa.Table, known: pa.Table) -> pa.Table:
-    """Pairs of members of one signature that are of different components and whose sketches allow a link."""
+    """Pairs of members of one unit (a signature and one or two blocks of its members; in two, of unlike blocks) that are of
+    different components and whose sketches allow a link."""
     if not group.num_rows:
         return pa.table({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
     who = known.column("who").to_numpy()
     by = np.argsort(who)
     size_of, comp_of = (known.column(c).to_numpy()[by] for c in ("size", "comp"))
     sk = np.frombuffer(b"".join(known.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)[by]
-    sig, node = (group.column(c).to_numpy() for c in ("sig", "node"))
-    order = np.lexsort((node, sig))
-    sig, node = sig[order], node[order]
+    sig, one, two, node, block = (group.column(c).to_numpy() for c in ("sig", "one", "two", "node", "block"))
+    order = np.lexsort((node, two, one, sig))
+    sig, one, two, node, block = (c[order] for c in (sig, one, two, node, block))
     row = np.searchsorted(who[by], node)
     size, comp = size_of[row], comp_of[row]
-    left = np.searchsorted(sig, sig, "right") - np.arange(len(sig)) - 1  # members after each one
+    unit = np.cumsum(np.concatenate([[True], (sig[1:] != sig[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
+    left = np.searchsorted(unit, unit, "right") - np.arange(len(unit)) - 1  # members after each one
     found, at, d = [], np.flatnonzero(left >= 1), 1
     while len(at):  # pairs of members d places apart
         i, j = at, at + d
-        ok = (comp[i] != comp[j]) & (5 * np.minimum(size[i], size[j]) >= 4 * np.maximum(size[i], size[j]))
+        ok = (comp[i] != comp[j]) & ((one[i] == two[i]) | (block[i] != block[j])) & (5 * np.minimum(size[i], size[j]) >= 4 * np.maximum(size[i], size[j]))
         i, j = i[ok], j[ok]
         for k in range(0, len(i), 1 << 15):
             x, y = i[k : k + (1 << 15)], j[k : k + (1 << 15)]
@@ -376,14 +390,14 @@ def _class_links(docs: DataFrame, reps: DataFrame, labels: DataFrame, block: int
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, p and q (the set's hashes) and sketch of every document, settled."""
+    """doc_id, th (the text's hash), n_shingles, p and q (the set's hashes) and sketch of every document, settled."""
     with batch_rows(docs.sparkSession, 1000):
-        return settle(docs.select("doc_id", "text").mapInArrow(_described, "doc_id long, n_shingles long, p long, q long, sketch binary"), "shingle-sets")
+        return settle(docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(_described, "doc_id long, th long, n_shingles long, p long, q long, sketch binary"), "shingle-sets")
 
 
-def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def join(docs: DataFrame, batch_bytes: int = BATCH_BYTES, members: int = MEMBERS) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    return _join(docs, batch_bytes)
+    return _join(docs, batch_bytes, members=members)
 
 
 def links(docs: DataFrame, batch_bytes: int = BATCH_BYTES, block: int = BLOCK) -> DataFrame:
@@ -391,23 +405,23 @@ def links(docs: DataFrame, batch_bytes: int = BATCH_BYTES, block: int = BLOCK) -
     return _join(docs, batch_bytes, block)
 
 
-def _join(docs: DataFrame, batch_bytes: int, block: int | None = None) -> DataFrame:
+def _join(docs: DataFrame, batch_bytes: int, block: int | None = None, members: int = MEMBERS) -> DataFrame:
     """What join() gives, and with block also n_links."""
     seen = classes(docs)
     n = n_batches(docs, "text", batch_bytes)
-    reps = seen.where("n_shingles > 0").groupBy("n_shingles", "p", "q").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("rows"))
-    reps = keyed.dealt(reps, n, "doc_id")
+    own = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("_own")  # of the least id; a null is no id
+    reps = seen.where("n_shingles > 0").groupBy("n_shingles", "p", "q").agg(own, F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("rows"))
+    reps = keyed.dealt(reps.select("n_shingles", "p", "q", "_own.doc_id", "_own.th", "sketch", "rows"), n, "doc_id", "th")
     number = F.row_number().over(Window.partitionBy("_bid").orderBy("doc_id", "p", "q"))  # a batch's classes
     reps = settle(reps.withColumn("node", F.col("_bid") * (1 << 24) + number), "classes")
-    d = keyed.dealt(docs.select("doc_id", "text"), n, "doc_id")
+    d = keyed.dealt(docs.select("doc_id", "text").withColumn("th", F.xxhash64("text")), n, "doc_id", "th").drop("th")
     asked = d.groupBy("_bid").cogroup(reps.select("_bid", "doc_id", "p", "q", "node").groupBy("_bid")).applyInArrow(_ask(n), keyed.ASK)
     shared = settle(asked.groupBy("bucket").applyInArrow(_shared(n), "sig long, node long"), "signatures")
     del d, asked
     tidy(docs.sparkSession)
     support = shared.groupBy("node").agg(F.count(F.lit(1)).alias("support"))
     support = settle(support, "support", small=True)
-    part = F.pmod("sig", F.lit(4 * n)).alias("_part")  # groups of whole signatures, about as many as batches
-    pairs = shared.join(support, "node").select("sig", "node", "support", part).groupBy("_part").applyInArrow(_hub_pairs, "a long, b long").distinct()
+    pairs = hub_pairs(shared, support)
     sketch = reps.select("node", F.col("n_shingles").alias("size"), "sketch")
     one = pairs.join(sketch.withColumnsRenamed({"node": "a", "size": "size_a", "sketch": "sketch_a"}), "a")
     two = one.join(sketch.withColumnsRenamed({"node": "b", "size": "size_b", "sketch": "sketch_b"}), "b")
@@ -423,11 +437,14 @@ def _join(docs: DataFrame, batch_bytes: int, block: int | None = None) -> DataFr
     labels = components(linked)
     # members of a group that are still apart: compare them with each other
     inside = shared.join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("comp"))
-    apart = inside.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_n")).where("_lo <> _hi AND _n > 2").select("sig")
-    left = settle(inside.join(apart, "sig").select("sig", "node", "comp", part), "apart", small=True)
+    apart = inside.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_n")).where("_lo <> _hi AND _n > 2").select("sig", F.ceil(F.col("_n") / members).alias("_blocks"))
+    left = inside.join(apart, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
+    left = left.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).withColumns({"one": F.least("block", "_o"), "two": F.greatest("block", "_o")})
+    part = F.pmod(F.xxhash64("sig", "one", "two"), F.lit(4 * n)).alias("_part")  # groups of whole units, some more than batches
+    left = settle(left.select("sig", "one", "two", "block", "node", "comp", part), "apart", small=True)
     known = left.select(F.col("_part").alias("_group"), F.col("node").alias("_m"), F.col("comp").alias("_c")).distinct()  # a row per group and member
     known = known.join(sketch, F.col("_m") == F.col("node")).select("_group", F.col("_m").alias("who"), F.col("_c").alias("comp"), "size", "sketch")
-    more = left.select("_part", "sig", "node").groupBy("_part").cogroup(known.groupBy("_group")).applyInArrow(_across, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
+    more = left.select("_part", "sig", "one", "two", "block", "node").groupBy("_part").cogroup(known.groupBy("_group")).applyInArrow(_across, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
     cross = settle(more, "cross-pairs", small=True)
     discard(shared, left, pairs)
     del inside, apart, left, known, more
@@ -462,10 +479,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def _sets_of(docs: DataFrame, reps: DataFrame, nodes: DataFrame, *more: str) -> DataFrame:
     """node, set and the further columns (longs) of the classes in nodes: only their texts are read again."""
     names = ["node", *more]
-    need = settle(reps.select("node", F.col("doc_id").alias("_d"), "p", "q").join(nodes, "node").select("_d", "p", "q", *names), "needed", small=True)
-    if need.count() <= SMALL:  # 32 bytes a row, 56 for links(): broadcast only up to this size, joined by shuffle beyond it
+    need = settle(reps.select("node", F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "p", "q").join(nodes, "node").select("_d", "_t", "p", "q", *names), "needed", small=True)
+    if need.count() <= SMALL:  # 40 bytes a row, 64 for links(): broadcast only up to this size, joined by shuffle beyond it
         need = F.broadcast(need)
-    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(need, F.col("doc_id").eqNullSafe(F.col("_d"))).select(*names, "p", "q", "text")
+    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(need, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t"))).select(*names, "p", "q", "text")
     return texts.mapInArrow(_sets(*names), ", ".join([*(f"{c} long" for c in names), "set binary"]))
 
 

@@ -301,7 +301,7 @@ def test_substring_dedup(spark, docs, rows):
     many = [tail() + passage[: rng.choice((190, 260, 420))] + rng.choice((tail(), rng.choice(ends))) for _ in range(1500)]
     gone = Counter((i, len(t), sum(g)) for i, (t, g) in enumerate(zip(many, removed([t.encode() for t in many], 200), strict=True)))
     d = documents(spark, [(i, t, "s") for i, t in enumerate(many)])
-    for hot in (0, substring_dedup.HOT, 10**9):
+    for hot in (substring_dedup.HOT, 10**9):
         out = substring_dedup.repeats(d, substring_dedup._final, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", hot=hot)
         assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in out.collect()) == gone
     assert substring_dedup.repeats(docs.limit(0), substring_dedup._final, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").count() == 0
@@ -473,6 +473,21 @@ def test_ngram_join_at_the_threshold(spark):
     assert Counter(tuple(r) for r in ngram_join.join(documents(spark, rows)).collect()) == jaccard_components(rows)
 
 
+def test_ngram_join_without_ids_and_in_blocks(spark):
+    """Many rows without an id, and a signature whose members are compared in blocks: nothing changes."""
+    rng = random.Random(21)
+    rows, base = [], [f"w{i}" for i in range(60)]
+    for i in range(90):  # texts that share most shingles, of which few link
+        w = list(base)
+        for p in rng.sample(range(60), rng.choice((1, 2, 3, 6))):
+            w[p] = f"r{rng.random()}"
+        rows.append((i if i % 3 else None, " ".join(w), "s"))
+    want = jaccard_components(rows)
+    d = documents(spark, rows)
+    assert Counter(tuple(r) for r in ngram_join.join(d, members=4).collect()) == want
+    assert len({c for _, _, c in want}) > 3
+
+
 def links_of(rows):
     """Brute force: (doc_id, number of other rows that it links with)."""
     sets = []
