@@ -2,8 +2,8 @@
 
 Documents with equal shingle sets form one class. Classes are dealt to size bands such that sets of similarity 0.8 or more
 lie in one band or in neighbouring ones. In band j two such sets differ in at most k elements. The feature domain is divided
-into n1 parts and each of them into n2 = 3 partitions. Of the parts at least g = n1 - k // 2 differ in one element at most,
-and so agree on two of their three partitions: a signature is the hash of a set's elements in two partitions of a part, and
+into n1 parts and each of them into n2 = 3 partitions. Of the parts at least g = n1 - k // 2 (with a set's own k, from its size,
+where that is less) differ in one element at most, and so agree on two of their three partitions: a signature is the hash of a set's elements in two partitions of a part, and
 all three such subsets of every part are enumerated. A subset that is empty in both sets would make a useless signature: it
 is left out, and a set in which g or more parts have two empty partitions, the only kind that may agree with another on empty
 subsets alone, is partitioned anew under the next of LEVELS seeds, and under the last one has one signature for 'empty'. So no
@@ -112,10 +112,9 @@ def set_hashes(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out[0].view(np.int64), out[1].view(np.int64)
 
 
-def parts(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """n1 and g for sets that differ in at most k elements: some parts more than would do, as parts may be empty."""
-    g = 2 + (6 * (k // 2) + 99) // 100
-    return k // 2 + g, g
+def parts(k: np.ndarray) -> np.ndarray:
+    """n1 for a band whose sets differ in at most k elements: some parts more than would do, as parts may be empty."""
+    return k // 2 + 2 + (2 * (k // 2) + 99) // 100
 
 
 def signatures(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +127,9 @@ def signatures(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
         for up in (0, 1):
             j = band + up
             k = 2 * hi[j] // 9
-            n1, g = parts(k)
+            n1 = parts(k)
+            # a set's own g: its partners in the band differ in a ninth of both sizes at most
+            g = n1 - (size + np.minimum(size * 5 // 4, hi[j])) // 9 // 2
             todo = np.flatnonzero((size > 0) & (k == 0))  # sets that must be equal: the whole set is the signature
             total = np.concatenate([[np.uint64(0)], np.cumsum(mix(x * _MUL), dtype=np.uint64)])
             sigs.append(mix((total[first[todo + 1]] - total[first[todo]]) + mix(j[todo].astype(np.uint64) * _MUL + np.uint64(3))))
@@ -162,7 +163,8 @@ def signatures(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
                     sigs.append(mix(seed[sparse] ^ np.uint64(0xE0)))
                     owners.append(todo[sparse])
                 todo = todo[sparse]
-    return np.concatenate(sigs) if sigs else np.zeros(0, np.uint64), np.concatenate(owners) if owners else np.zeros(0, np.int64)
+    # 56 bits: a byte less to exchange; signatures that are equal by chance are told apart with all other candidates
+    return np.concatenate(sigs) & ~np.uint64(0xFF) if sigs else np.zeros(0, np.uint64), np.concatenate(owners) if owners else np.zeros(0, np.int64)
 
 
 def _described(batches):
@@ -421,12 +423,14 @@ def _join(docs: DataFrame, batch_bytes: int, block: int | None = None, members:
     tidy(docs.sparkSession)
     support = shared.groupBy("node").agg(F.count(F.lit(1)).alias("support"))
     support = settle(support, "support", small=True)
-    pairs = hub_pairs(shared, support)
+    met = settle(hub_pairs(shared, support), "met", small=True)
+    discard(support)
+    tidy(docs.sparkSession)
     sketch = reps.select("node", F.col("n_shingles").alias("size"), "sketch")
-    one = pairs.join(sketch.withColumnsRenamed({"node": "a", "size": "size_a", "sketch": "sketch_a"}), "a")
+    one = met.join(sketch.withColumnsRenamed({"node": "a", "size": "size_a", "sketch": "sketch_a"}), "a")
     two = one.join(sketch.withColumnsRenamed({"node": "b", "size": "size_b", "sketch": "sketch_b"}), "b")
     pairs = settle(two.mapInArrow(_possible, "a long, b long"), "hub-pairs", small=True)
-    discard(support)
+    discard(met)
     tidy(docs.sparkSession)
     with batch_rows(docs.sparkSession, 1000):
         sets = settle(_sets_of(docs, reps, _ends(pairs)), "sets")
