@@ -228,6 +228,12 @@ def bucketed(keys: np.ndarray, n: int) -> list[tuple[int, int, int]]:
     return list(zip(of[first].tolist(), first.tolist(), [*first[1:].tolist(), len(keys)], strict=True))
 
 
+def n_partitions(df: DataFrame, most: int = 32 << 20) -> int:
+    """Partitions of about so many bytes, by Spark's estimate of the table's size; at least as many as a shuffle has."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-estimate // most), 1 << 17))  # estimates of joins can be absurd
+
+
 def batch_size(spark: SparkSession, least: int = 4 << 20) -> int:
     """Bytes of text in a batch: what a worker has room for, of which executors with more memory a core have more."""
     memory = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsMb(spark.conf.get("spark.executor.memory", "1g"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillseq.llm.common import WORD, settle, table
+from quillseq.llm.common import WORD, discard, n_partitions, setting, settle, table
 
 #: Fixed values of the production mix.
 WEIGHTS, SHARE, MOST, SEED = (5, 2, 1), 1.5, 2.0, "mix-1"
@@ -51,7 +51,7 @@ def assign(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     sized = docs.select(*[c for c in docs.columns if c in (*keep, "text")]).withColumns({"size": words_in(F.col("text")), "__mix_tie": F.xxhash64("text")})
     sized = sized.select(*keep, "size", "__mix_tie")
     order = [F.col("source").asc_nulls_last(), "size", "doc_id", "__mix_tie"]
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n_partitions(sized)
     laid = sized.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("__mix_tie")
     laid = settle(laid.withColumn("__mix_row", F.monotonically_increasing_id()), "mix")
     return placed(laid.withColumn("__mix_part", F.shiftright("__mix_row", 33)), weights, share, most, seed)
@@ -74,11 +74,31 @@ def placed(laid: DataFrame, weights, share, most, seed) -> DataFrame:
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mixed corpus: each row of docs as many times as the mix takes it, with the columns of docs as they were."""
-    aside = {c: f"__mix_docs_{c}" for c in OWN if c in docs.columns}
-    taken = assign(docs.withColumnsRenamed(aside), **how).where("copies > 0")
-    taken = taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return taken.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+    """The mixed corpus: each row of docs as many times as the mix takes it, with the columns of docs as they were.
+
+    Only ids, sources and sizes are laid out in order; texts meet their copies in one join on id, source and a hash of the text,
+    whose partitions are even. Rows that agree in all three share their copies out evenly, and what is left over goes to one of
+    them."""
+    spark, names = docs.sparkSession, docs.columns
+    key = [F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__mix_text")]
+    of = ["__mix_id", "__mix_source", "__mix_text"]
+    taken = assign(docs.select("doc_id", "source", "text", key[2]), carry=["doc_id", "source", "__mix_text"], **how)
+    per = taken.groupBy("doc_id", "source", "__mix_text").agg(F.sum("copies").alias("__mix_copies"), F.count(F.lit(1)).alias("__mix_rows")).where("__mix_copies > 0")
+    per = settle(per.withColumnsRenamed({"doc_id": "__mix_id", "source": "__mix_source"}), "mix-copies", small=True)
+    right = per.withColumnsRenamed({k: f"{k}2" for k in of})
+    on = [F.col(k).eqNullSafe(F.col(f"{k}2")) for k in of]
+    joined = docs.select(F.struct(*[F.col(c) for c in names]).alias("__mix_row"), *key).join(right, on[0] & on[1] & on[2])
+    each = joined.withColumn("__mix_n", F.floor(F.col("__mix_copies") / F.col("__mix_rows")).cast("int")).where("__mix_n > 0")
+    parts = [each.select("__mix_row", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))).alias("__mix_k"))]
+    if per.where("__mix_rows > 1 AND __mix_copies % __mix_rows > 0").limit(1).count():
+        rest = joined.where("__mix_rows > 1").withColumn("__mix_n", (F.col("__mix_copies") % F.col("__mix_rows")).cast("int")).where("__mix_n > 0")
+        one = rest.groupBy(*of).agg(F.any_value("__mix_row").alias("__mix_row"), F.any_value("__mix_n").alias("__mix_n"))  # combined before the shuffle
+        parts.append(one.select("__mix_row", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))).alias("__mix_k")))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    with setting(spark, "spark.sql.shuffle.partitions", str(n_partitions(docs))):
+        out = settle(out.select("__mix_row.*").select(*names), "mixed")
+    discard(per)
+    return out
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quillseq.llm.common import WORD, crc_mod, discard, settle, table
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS, UPPER, DIGITS = "#*$%&|<>", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 
@@ -27,11 +27,12 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id and per text: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_distinct_words, n_upper, n_digits."""
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(t, SPACE), lambda x: x != "")
+    held = lambda marks: (F.length(t) - F.length(F.translate(t, marks, ""))).cast("long")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD))
     base = docs.select(
         "doc_id", F.transform(words, lambda x: F.xxhash64(x)).alias("_h"), F.length(F.regexp_replace(t, SPACE, "")).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        F.regexp_count(t, F.lit("[A-Z]")).cast("long").alias("n_upper"), F.regexp_count(t, F.lit("[0-9]")).cast("long").alias("n_digits"),
+        held(SYMBOLS).alias("n_symbols"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        held(UPPER).alias("n_upper"), held(DIGITS).alias("n_digits"),
     )
     # a hash of each 5-word window, in three zips: pairs, pairs of pairs, and the fifth word
     pair = lambda a, b: F.xxhash64(a, b)

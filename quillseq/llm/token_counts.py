@@ -11,6 +11,8 @@ row each; very long texts are one row of one batch; extra columns are ignored; a
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,10 @@ from quillseq.llm.common import encoded, pieces, table, utf8
 from quillseq.llm.tokenize import chunks, tokenizer
 
 
+#: Bytes of text whose distinct pieces are encoded once, and pieces in a call of the library.
+STEP, CALL = 8 << 20, 4096
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -43,17 +49,20 @@ def spans(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarr
     if len(cuts) < 2:
         return none, none, buf, offs
     uniq, idx = encoded(buf, cuts)
-    got = tokenizer(path).encode_batch([b.decode("utf-8", "replace") for b in uniq.to_pylist()], add_special_tokens=False)
-    count = np.fromiter(map(len, got), np.int64, len(got))
-    n = int(count.sum())
-    begin = np.fromiter((a for e in got for a, _ in e.offsets), np.int64, n)
-    end = np.fromiter((b for e in got for _, b in e.offsets), np.int64, n)
+    raw, ends, count = uniq.to_pylist(), [], []
+    for i in range(0, len(raw), CALL):  # what the library returns is many times larger than the spans
+        got = tokenizer(path).encode_batch([b.decode("utf-8", "replace") for b in raw[i : i + CALL]], add_special_tokens=False)
+        count.append(np.fromiter(map(len, got), np.int64, len(got)))
+        ends.append(np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in got)), np.int64, 2 * int(count[-1].sum())))
+        del got
+    count, ends = np.concatenate(count), np.concatenate(ends).reshape(-1, 2)
+    begin, end = ends[:, 0], ends[:, 1]
     ub, uo = utf8(uniq)
     # code points to bytes: the place of a piece's k-th code point among all leading bytes
     lead = np.flatnonzero((ub & 0xC0) != 0x80)
     lead = np.append(lead, len(ub))
     first = np.searchsorted(lead, uo)
-    piece = np.repeat(np.arange(len(got)), count)
+    piece = np.repeat(np.arange(len(raw)), count)
     begin = lead[np.minimum(first[piece] + begin, first[piece + 1])] - uo[piece]
     end = lead[np.minimum(first[piece] + end, first[piece + 1])] - uo[piece]
     k = count[idx]
@@ -85,7 +94,7 @@ def _counted(path: str):
     def run(batches):
         for batch in batches:
             text = batch.column("text")
-            for a, b in chunks(text, 4 << 20):
+            for a, b in chunks(text, STEP):
                 begin, end, buf, offs = spans(path, text.slice(a, b - a))
                 lines = np.zeros(len(buf) + 1, bool)
                 lines[offs] = True

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillseq.llm import rans
-from quillseq.llm.common import batch_rows, gathered, release, settle, table
+from quillseq.llm.common import batch_rows, gathered, n_partitions, release, settle, table
 from quillseq.llm.tokenize import STRETCH, chunks, encode
 
 SEGMENT, BLOCK, END_ID = 1 << 21, rans.LANES * rans.ROWS, 1
@@ -78,7 +78,7 @@ def _writer(path: str, end_id: int):
 
 def write(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """The file as a table of segments, in the order (part, segment)."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n_partitions(docs.select("doc_id", "text"))
     laid = docs.select("doc_id", "text").repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     with batch_rows(docs.sparkSession, 1000):
         return settle(laid.mapInArrow(_writer(path or vocabulary(), end_id), FILE), "tokens")

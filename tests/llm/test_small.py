@@ -227,7 +227,7 @@ def test_quality_rules(spark, docs):
     assert quality_rules.learn(r.where("y = 0"), ["a", "b"], "y") == []
 
 
-def test_mixing(docs, rows):
+def test_mixing(spark, docs, rows):
     out = mixing.assign(docs).collect()
     assert len(out) == len(rows)
     size = Counter()
@@ -246,6 +246,11 @@ def test_mixing(docs, rows):
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in out)
     assert mixed.where("size = 1").count() == mixed.count()  # a column of the documents' own
+    # equal rows share what the mix takes of them
+    per = lambda rs, f: Counter({k: n for k, n in sum((Counter({(r["doc_id"], r["source"], r["text"]): f(r)}) for r in rs), Counter()).items() if n})
+    assert per(mixed.collect(), lambda r: 1) == per(out, lambda r: r["copies"])
+    many = documents(spark, [(1, "a b c", "s")] * 7 + [(2, None, "s"), (None, "d", "s"), (None, "d", "s"), (3, "e f g h", None)])
+    assert per(mixing.mix(many).collect(), lambda r: 1) == per(mixing.assign(many).collect(), lambda r: r["copies"])
     assert mixing.assign(docs.limit(0)).count() == 0
 
 
