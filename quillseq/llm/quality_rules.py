@@ -71,12 +71,14 @@ def condition(rule: list[tuple[str, str, float]]) -> Column:
     return out
 
 
-def learn(rows: DataFrame, names: list[str], label: str, bins: int = 32, most_rules: int = 8, most_conditions: int = 3, least: int = 8, precision: float = 0.8) -> list[list[tuple[str, str, float]]]:
+def learn(rows: DataFrame, names: list[str], label: str, bins: int = 32, least: int = 8, precision: float = 0.8) -> list[list[tuple[str, str, float]]]:
     """The decision list: conjunctions, in order, that find rows whose label is 1.
 
-    rows: the names, label and boolean column _prune (rows set aside for pruning). bins, most_rules and most_conditions
-    bound the number of passes; each pass brings at most names * bins rows of sums to the driver. least: rows of label 1
-    that a rule must find; precision: the share of label 1 that it must reach on the rows set aside."""
+    rows: the names, label and boolean column _prune (rows set aside for pruning). A conjunction grows until no condition
+    gains, and the list ends at the first rule that fails on the rows set aside; every condition covers fewer rows and every
+    rule takes at least `least` rows of label 1 away, so both end by themselves. Each pass brings at most names * bins rows
+    of sums to the driver. least: rows of label 1 that a rule must find; precision: the share of label 1 that it must reach
+    on the rows set aside."""
     if not names:
         return []
     cuts = rows.agg(*[F.percentile_approx(n, [i / bins for i in range(1, bins)], 1000).alias(n) for n in names]).first()
@@ -98,9 +100,9 @@ def learn(rows: DataFrame, names: list[str], label: str, bins: int = 32, most_ru
 
     rules: list[list[tuple[str, str, float]]] = []
     grow, prune = rows.where("NOT _prune"), rows.where("_prune")
-    for _ in range(most_rules):
+    while True:
         rule: list[tuple[str, str, float]] = []
-        for _ in range(most_conditions):
+        while True:
             by = sums(grow.where(condition(rule)))
             p0 = sum(p for p, _ in by[names[0]].values())
             n0 = sum(n for _, n in by[names[0]].values())

@@ -227,6 +227,58 @@ def test_quality_rules(spark, docs):
     assert quality_rules.learn(r.where("y = 0"), ["a", "b"], "y") == []
 
 
+def covering(rows, cuts, least, precision):
+    """Sequential covering read plainly: every threshold is tried on every row."""
+    names = sorted(cuts)
+    holds = lambda rule, r: all(r[n] >= c if side == ">=" else r[n] < c for n, side, c in rule)
+    tell = lambda part: (sum(r["y"] for r in part), sum(1 - r["y"] for r in part))
+    grow, prune, out = [r for r in rows if not r["_prune"]], [r for r in rows if r["_prune"]], []
+    while True:
+        rule = []
+        while True:
+            here = [r for r in grow if holds(rule, r)]
+            p0, n0 = tell(here)
+            tried = []
+            for name in names:
+                for cut in cuts[name]:
+                    for side in ("<", ">="):
+                        p, n = tell([r for r in here if holds([(name, side, cut)], r)])
+                        gain = p * (math.log2((p + 1) / (p + n + 2)) - math.log2((p0 + 1) / (p0 + n0 + 2)))
+                        if p >= least and gain > 0:
+                            tried.append((gain, str((name, side, cut)), (name, side, cut)))
+            if p0 < least or not n0 or not tried:
+                break
+            rule.append(max(tried)[2])
+        if not rule:
+            return out
+        worth = []
+        for k in range(1, len(rule) + 1):
+            p, n = tell([r for r in prune if holds(rule[:k], r)])
+            worth.append(((p - n) / (p + n) if p + n else -1.0, -k))
+        value, k = max(worth)
+        if (value + 1) / 2 < precision:
+            return out
+        out.append(rule[:-k])
+        grow, prune = ([r for r in part if not holds(out[-1], r)] for part in (grow, prune))
+
+
+def test_quality_rules_equal_brute_force(spark, docs, rows):
+    rng = random.Random(4)
+    seen = []
+    for k in range(2400):
+        a, b = float(rng.randrange(30)), float(rng.randrange(12))
+        y = int((a // 1 % 3 == 0 and b >= 2) != (rng.random() < 0.03))
+        seen.append({"a": a, "b": b, "y": y, "_prune": k % 3 == 0})
+    r = spark.createDataFrame([(x["a"], x["b"], x["y"], x["_prune"]) for x in seen], "a double, b double, y long, _prune boolean").cache()
+    cuts = {n: sorted({sorted(x[n] for x in seen)[max(math.ceil(i * len(seen) / 40), 1) - 1] for i in range(1, 40)}) for n in ("a", "b")}
+    got = quality_rules.learn(r, ["a", "b"], "y", bins=40)
+    assert got == covering(seen, cuts, 8, 0.8)
+    assert len(got) > 8 and max(map(len, got)) > 1  # as many rules as the rows ask for
+    first = lambda x: next((k for k, rule in enumerate(got, 1) if all(x[n] >= c if side == ">=" else x[n] < c for n, side, c in rule)), 0)
+    fired = r.withColumn("rule", quality_rules.decide(got)).collect()
+    assert [x["rule"] for x in fired] == [first(x) for x in fired]
+
+
 def test_mixing(spark, docs, rows):
     out = mixing.assign(docs).collect()
     assert len(out) == len(rows)
