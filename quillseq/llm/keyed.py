@@ -22,6 +22,8 @@ from quillseq.llm.common import bucketed, planes, settle, unplanes
 
 ASK = "bid long, bucket int, keys binary, adds binary"
 ASK_SCHEMA = pa.schema([("bid", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("adds", pa.binary())])
+#: Batches that a task takes one after the other, at most: some 32 MB of texts, if batches are not larger than the least.
+PER_TASK = 8
 #: Comes before sums of 64 bits; a compressed array never begins with it.
 WIDE = b"W"
 ANSWER = "bid long, bucket int, sums binary"
@@ -33,6 +35,13 @@ def dealt(docs: DataFrame, n: int, *key: str) -> DataFrame:
     return docs.withColumn("_bid", F.pmod(F.xxhash64(*(key or ("doc_id", "text"))), F.lit(n)).cast("long"))
 
 
+def parted(df: DataFrame, n: int, column: str) -> DataFrame:
+    """df by the column in tasks of PER_TASK batches, of n in all, where a session has fewer shuffle partitions than that: a
+    task's share follows the bytes, whatever the session's number. Grouping by the column then needs no other exchange."""
+    parts = -(-n // PER_TASK)
+    return df.repartition(parts, column) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def n_buckets(n: int) -> int:
     """Buckets for the keys of n batches: fewer than batches, so that rows are fewer and longer."""
     return max(32, n // 2)
@@ -62,8 +71,8 @@ def asks(bid: int, keys: np.ndarray, adds: np.ndarray, n: int) -> pa.Table:
     return pa.Table.from_pylist(rows, ASK_SCHEMA)
 
 
-def summed(asked: DataFrame, n_sums: int, stats: Callable[[np.ndarray, np.ndarray], bytes] | None = None, name: str = "answers") -> DataFrame:
-    """The answers, as a settled table. stats(keys, sums): what a bucket tells about its distinct keys, put out with bid -1."""
+def summed(asked: DataFrame, n_sums: int, stats: Callable[[np.ndarray, np.ndarray], bytes] | None = None, name: str = "answers", n: int = 0) -> DataFrame:
+    """The answers, as a settled table. n: the number of batches that ask. stats(keys, sums): what a bucket tells about its distinct keys, put out with bid -1."""
 
     def run(group: pa.Table) -> pa.Table:
         bids, bucket = group.column("bid").to_pylist(), group.column("bucket")[0].as_py()
@@ -80,7 +89,7 @@ def summed(asked: DataFrame, n_sums: int, stats: Callable[[np.ndarray, np.ndarra
             out.append({"bid": -1, "bucket": bucket, "sums": stats(uniq, sums)})
         return pa.Table.from_pylist(out, ANSWER_SCHEMA)
 
-    return settle(asked.groupBy("bucket").applyInArrow(run, ANSWER), name)
+    return settle(parted(asked, n, "bucket").groupBy("bucket").applyInArrow(run, ANSWER), name)
 
 
 def answers(group: pa.Table, n_sums: int) -> np.ndarray:

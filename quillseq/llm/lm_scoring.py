@@ -140,8 +140,8 @@ def score(docs: DataFrame, batch_bytes: int | None = None) -> DataFrame:
     n = n_batches(d, "text", batch_bytes or batch_size(docs.sparkSession))
     buckets = keyed.n_buckets(n)
     # documents that teach the weights have batches of their own, so that only these are read again for the EM
-    d = keyed.dealt(d, n).withColumn("_bid", F.when(F.col("_r") == HELD, F.col("_bid") + n).otherwise(F.col("_bid")))
-    told = keyed.summed(d.groupBy("_bid").applyInArrow(_ask(buckets), keyed.ASK), 2, _stats, "lm-counts")
+    d = keyed.parted(keyed.dealt(d, n).withColumn("_bid", F.when(F.col("_r") == HELD, F.col("_bid") + n).otherwise(F.col("_bid"))), n, "_bid")
+    told = keyed.summed(d.groupBy("_bid").applyInArrow(_ask(buckets), keyed.ASK), 2, _stats, "lm-counts", n)
     tidy(docs.sparkSession)
     totals = [0, 0, 0, 0]
     for r in told.where("bid = -1").select("sums").collect():  # a row of four numbers per bucket

@@ -413,12 +413,12 @@ def _join(docs: DataFrame, batch_bytes: int, block: int | None = None, members:
     n = n_batches(docs, "text", batch_bytes)
     own = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("_own")  # of the least id; a null is no id
     reps = seen.where("n_shingles > 0").groupBy("n_shingles", "p", "q").agg(own, F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("rows"))
-    reps = keyed.dealt(reps.select("n_shingles", "p", "q", "_own.doc_id", "_own.th", "sketch", "rows"), n, "doc_id", "th")
+    reps = keyed.parted(keyed.dealt(reps.select("n_shingles", "p", "q", "_own.doc_id", "_own.th", "sketch", "rows"), n, "doc_id", "th"), n, "_bid")
     number = F.row_number().over(Window.partitionBy("_bid").orderBy("doc_id", "p", "q"))  # a batch's classes
     reps = settle(reps.withColumn("node", F.col("_bid") * (1 << 24) + number), "classes")
-    d = keyed.dealt(docs.select("doc_id", "text").withColumn("th", F.xxhash64("text")), n, "doc_id", "th").drop("th")
+    d = keyed.parted(keyed.dealt(docs.select("doc_id", "text").withColumn("th", F.xxhash64("text")), n, "doc_id", "th").drop("th"), n, "_bid")
     asked = d.groupBy("_bid").cogroup(reps.select("_bid", "doc_id", "p", "q", "node").groupBy("_bid")).applyInArrow(_ask(n), keyed.ASK)
-    shared = settle(asked.groupBy("bucket").applyInArrow(_shared(n), "sig long, node long"), "signatures")
+    shared = settle(keyed.parted(asked, n, "bucket").groupBy("bucket").applyInArrow(_shared(n), "sig long, node long"), "signatures")
     del d, asked
     tidy(docs.sparkSession)
     support = shared.groupBy("node").agg(F.count(F.lit(1)).alias("support"))

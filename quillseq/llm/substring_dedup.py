@@ -328,14 +328,15 @@ def repeats(docs: DataFrame, finish, schema: str, batch_bytes: int = BATCH_BYTES
     spark = docs.sparkSession
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = n_batches(d, "text", batch_bytes)
-    d = keyed.dealt(d, n)
-    told = settle(d.groupBy("_bid").applyInArrow(_ask(n), keyed.ASK).groupBy("bucket").applyInArrow(_answer(hot), keyed.ANSWER), "stretches")
+    d = keyed.parted(keyed.dealt(d, n), n, "_bid")
+    asked = keyed.parted(d.groupBy("_bid").applyInArrow(_ask(n), keyed.ASK), n, "bucket")
+    told = settle(asked.groupBy("bucket").applyInArrow(_answer(hot), keyed.ANSWER), "stretches")
     tidy(spark)
     sends = sum(int.from_bytes(r["sums"], "little") for r in told.where("bid = -1").select("sums").toLocalIterator())
     told = told.where("bid >= 0").withColumnRenamed("bid", "_bid")
     n_buckets = max(1, sends // BUCKET)
     sent = d.groupBy("_bid").cogroup(told.groupBy("_bid")).applyInArrow(_send(n_buckets, n), SENT)
-    found = settle(sent.groupBy("bucket").applyInArrow(_sorted(n_buckets), FOUND), "windows")
+    found = settle(keyed.parted(sent, n, "bucket").groupBy("bucket").applyInArrow(_sorted(n_buckets), FOUND), "windows")
     tidy(spark)
     both = told.select("_bid", "bucket", "sums", F.lit(None).cast("binary").alias("name"), F.lit(None).cast("binary").alias("at"))
     both = both.unionByName(found.select(F.col("bid").alias("_bid"), "bucket", F.lit(None).cast("binary").alias("sums"), "name", "at"))

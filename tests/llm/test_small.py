@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillseq.llm import bcr, chat_format, components, decontaminate, keyed, lm_scoring, mixing, ngram_join, quality_rules, rans, substring_dedup, token_counts, token_file, tokenize, toxicity
+from quillseq.llm.common import setting
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LONG = " ".join(f"w{i % 911}x{i % 37}" for i in range(30_000))
@@ -797,3 +798,21 @@ def test_keyed_sums_beyond_32_bits(spark):
     for bid in (0, 1):
         group = pa.Table.from_pylist([r.asDict() for r in told if r["bid"] == bid], keyed.ANSWER_SCHEMA)
         assert keyed.answers(group, 2).tolist() == [[2 * many, 2, 2**33 - 2], [0, 2 * many, 10]]
+
+
+def test_tasks_follow_batches_where_the_session_has_fewer_partitions(spark, docs):
+    """Results are the same, and what is grouped by batch is not dealt a second time."""
+    runs = {
+        "op4": lambda: substring_dedup.repeats(docs, substring_dedup._final, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"),
+        "op6": lambda: ngram_join.join(docs),
+        "op10": lambda: lm_scoring.score(docs).withColumn("score", F.round("score", 6)),
+    }
+    plain = {k: Counter(tuple(r) for r in run().collect()) for k, run in runs.items()}
+    with setting(spark, "spark.sql.shuffle.partitions", "2"):  # 32 batches at least, so 4 tasks
+        for k, run in runs.items():
+            out = run()
+            assert Counter(tuple(r) for r in out.collect()) == plain[k], k
+            if k != "op6":  # its batches are in tables that are written before
+                plan = out._jdf.queryExecution().executedPlan().toString()
+                dealt = re.findall(r"hashpartitioning\(_bid#\d+L?, (\d+)\)", plan)
+                assert dealt and set(dealt) == {"4"}, (k, plan)
