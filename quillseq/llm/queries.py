@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillseq.llm import chat_format, decontaminate, lm_scoring, mixing, ngram_join, quality_rules, substring_dedup, token_counts, token_file, toxicity
+from quillseq.llm import chat_format, decontaminate, lm_scoring, merkle, mixing, ngram_join, quality_rules, substring_dedup, token_counts, token_file, toxicity
 
 
 def queries() -> dict:
@@ -18,8 +18,9 @@ def queries() -> dict:
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
         "op10_lm_scoring": lm_scoring.op10_lm_scoring,
+        "op11_merkle_manifest": merkle.op11_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op6_ngram_links": ngram_join.LINKS_ORACLE, "op9_chat_formatting": chat_format.ORACLE}
+    return {"op3_mixing": mixing.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op6_ngram_links": ngram_join.LINKS_ORACLE, "op9_chat_formatting": chat_format.ORACLE, "op11_merkle_manifest": merkle.ORACLE}
