@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillseq.llm import chat_format, decontaminate, lm_scoring, merkle, mixing, ngram_join, quality_rules, substring_dedup, token_counts, token_file, toxicity
+from quillseq.llm import chat_format, decontaminate, lm_scoring, merkle, mixing, ngram_join, prefix_trie, quality_rules, substring_dedup, token_counts, token_file, toxicity
 
 
 def queries() -> dict:
@@ -19,8 +19,9 @@ def queries() -> dict:
         "op9_chat_formatting": chat_format.op9_chat_formatting,
         "op10_lm_scoring": lm_scoring.op10_lm_scoring,
         "op11_merkle_manifest": merkle.op11_merkle_manifest,
+        "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op6_ngram_links": ngram_join.LINKS_ORACLE, "op9_chat_formatting": chat_format.ORACLE, "op11_merkle_manifest": merkle.ORACLE}
+    return {"op3_mixing": mixing.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op6_ngram_links": ngram_join.LINKS_ORACLE, "op9_chat_formatting": chat_format.ORACLE, "op11_merkle_manifest": merkle.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE}
