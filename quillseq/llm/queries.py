@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillseq.llm import chat_format, decontaminate, lm_scoring, merkle, mixing, ngram_join, prefix_trie, quality_rules, substring_dedup, token_counts, token_file, toxicity
+from quillseq.llm import chat_format, decontaminate, lm_scoring, merkle, mixing, ngram_join, packing, prefix_trie, quality_rules, substring_dedup, token_counts, token_file, toxicity
 
 
 def queries() -> dict:
@@ -20,6 +20,7 @@ def queries() -> dict:
         "op10_lm_scoring": lm_scoring.op10_lm_scoring,
         "op11_merkle_manifest": merkle.op11_merkle_manifest,
         "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+        "op13_packing": packing.op13_packing,
     }
 
 
