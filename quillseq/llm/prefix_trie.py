@@ -42,7 +42,7 @@ def turns_of(conversations: DataFrame) -> DataFrame:
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     key = F.unhex(F.sha2(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text), 256))
     own = conversations.select(F.coalesce("conv_id", F.lit(NULL_ID)).cast("long").alias("_c"), F.col("turn").alias("_turn"), role.alias("_role"), key.alias("_key"), F.length(text).cast("long").alias("_chars"))
-    return ranked(own, "_c", ["_turn", "_role", "_key"], "turns").drop("_turn", "_role")
+    return settle(ranked(own, "_c", ["_turn", "_role", "_key"], "turns").drop("_turn", "_role"), "turns-placed", small=True)
 
 
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -61,7 +61,7 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     guests = lent.join(info.where("_m > 0"), "_host").where("_i < _m").select("_c", (F.col("_i") + 1).alias("_pos"), "_key", "_chars", "_len")
     both = own.unionByName(guests)
     # by ranges of place: a round reads the stretch of its depth
-    laid = both.repartitionByRange(n_partitions(both), "_pos", "_c").sortWithinPartitions("_pos", "_c")
+    laid = both.repartitionByRange(n_partitions(turns), "_pos", "_c").sortWithinPartitions("_pos", "_c")
     return info.select("_c", "_len"), settle(laid, "rebuilt-turns")
 
 
