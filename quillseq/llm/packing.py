@@ -167,16 +167,19 @@ def _encoder(path: str, longest: int, end_id: int):
                 seen += np.bincount(rest, minlength=longest)
                 before = full + np.cumsum(whole) - whole
                 full += int(whole.sum())
-                ids = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(out)]).cast(pa.binary())
+                del got, first, order, runs, begin
+                ids = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(out)])
+                release()
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array(np.arange(row, row + n)), key.slice(a, n), pa.array(size), pa.array(rest.astype(np.int32)), pa.array(place), pa.array(before), ids], names=names)
                 row += n
-                del got, out
-                release()
+                del out, ids
+            del batch, text, key
+            release()
 
     return run
 
 
-def _cutter(shared, longest: int):
+def _cutter(shared, longest: int, with_ids: bool):
     """Documents to pieces: whole windows, then the lots of the rest. shared: the broadcast plan, sorted by length."""
 
     def cut(lots, begin, size, rest, place, full):
@@ -188,7 +191,7 @@ def _cutter(shared, longest: int):
                 yield size - rest + start, n, int(lot["window"]) + k, offset, int(lot["tier"]), int(lot["nth"]) + k
 
     def run(batches):
-        names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "tier", "_nth", "ids_crc32", "ids"]
+        names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "tier", "_nth", "ids_crc32", *(["ids"] if with_ids else [])]
         lots = shared.value
         begin = np.searchsorted(lots["length"], np.arange(longest + 1))
         for b in batches:
@@ -199,19 +202,21 @@ def _cutter(shared, longest: int):
                 for start, length, *where in cut(lots, begin, size, rest, place, full):
                     of.append(i)
                     rows.append((start, length, size, *where))
-                    bodies.append(body[4 * start : 4 * (start + length)])
-                    crc.append(zlib.crc32(bodies[-1]))
+                    piece = body[4 * start : 4 * (start + length)]
+                    crc.append(zlib.crc32(piece))
+                    if with_ids:
+                        bodies.append(piece)
             start, length, size, window, offset, tier, nth = np.array(rows, np.int64).reshape(-1, 7).T
-            yield pa.RecordBatch.from_arrays([column["doc_id"].take(pa.array(of, pa.int64())), *map(pa.array, (start, length, size, window, offset, tier, nth)), pa.array(crc, pa.int64()), pa.array(bodies, pa.binary())], names=names)
-            del rows, bodies
+            yield pa.RecordBatch.from_arrays([column["doc_id"].take(pa.array(of, pa.int64())), *map(pa.array, (start, length, size, window, offset, tier, nth)), pa.array(crc, pa.int64()), *([pa.array(bodies, pa.binary())] if with_ids else [])], names=names)
+            del rows, bodies, column, b
             release()
 
     return run
 
 
-def pack(docs: DataFrame, path: str | None = None, tiers=TIERS, slack: int = SLACK, step: int = STEP, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, tiers=TIERS, slack: int = SLACK, step: int = STEP, end_id: int = END_ID, ids: bool = True) -> DataFrame:
     """A row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, tier (the window's length), step_group, ids_crc32
-    and ids (little-endian 32-bit)."""
+    and, if asked for, ids (little-endian 32-bit)."""
     spark, longest = docs.sparkSession, tiers[0]
     with batch_rows(spark, 1000):
         kind = dict(docs.dtypes)["doc_id"]
@@ -230,7 +235,7 @@ def pack(docs: DataFrame, path: str | None = None, tiers=TIERS, slack: int = SLA
     lots = lots[np.lexsort((lots["from"], lots["length"]))]
     placed = tokens.join(parts.drop("_n", "_w"), ["_part", "_rest"]).select("doc_id", "_tokens", "_rest", (F.col("_place") + F.col("_before")).alias("_place"), (F.col("_full") + F.col("_windows_before")).alias("_full"), "_ids")
     with batch_rows(spark, 1000):
-        out = placed.mapInArrow(_cutter(spark.sparkContext.broadcast(lots), longest), f"doc_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, tier long, _nth long, ids_crc32 long, ids binary")
+        out = placed.mapInArrow(_cutter(spark.sparkContext.broadcast(lots), longest, ids), f"doc_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, tier long, _nth long, ids_crc32 long" + ", ids binary" * ids)
     ends = {t: int((lots["nth"] + lots["windows"])[lots["tier"] == t].max(initial=whole if t == longest else 0)) for t in tiers}
     groups = max(1, -(-sum(t * n for t, n in ends.items()) // (step * longest)))
     windows_of = F.create_map(*[F.lit(x) for t, n in ends.items() for x in (t, max(n, 1))])[F.col("tier").cast("int")]
@@ -249,5 +254,5 @@ def sequences(pieces: DataFrame, longest: int = TIERS[0], pad_id: int = 0) -> Da
 
 
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pack(table(spark, sf_dir, "documents"))
+    out = pack(table(spark, sf_dir, "documents"), ids=False)
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group")
