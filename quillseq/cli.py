@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +13,20 @@ from quillseq.sources import bam, barcode_files, bigwig, fastq, generator, genom
 
 
 def _pairs(spark: SparkSession, r1: str, r2: str) -> DataFrame:
-    fastq.register(spark)
-    n = spark.sparkContext.defaultParallelism
-    p = spark.read.format("fastq").option("mate", r2).load(r1)
-    return p.select("rec", *(f"{c}{i}" for i in (1, 2) for c in fastq.FIELDS)).repartition(n)  # a file is one task
+    """Read pairs of one file of each mate, or of as many of either; rec goes on from file to file."""
+    one, two = fastq.paths_of(r1), fastq.paths_of(r2)
+    if len(one) != len(two):
+        raise ValueError("as many files of either mate are needed")
+    pairs = fastq.scan(spark, [(str(k), *files) for k, files in enumerate(zip(one, two, strict=True))])
+    return pairs.withColumn("rec", F.shiftleft(F.col("pair").cast("long"), 40) + F.col("rec")).drop("pair")
 
 
 def _pairs_in(spark: SparkSession, folder: str) -> DataFrame:
     """Read pairs of all samples of a folder, with the sample in the column pair."""
-    fastq.register(spark)
     files = tables.fastq_pairs(spark, folder)
     if not files:
         raise FileNotFoundError(f"no FASTQ files in {folder}")
-    return spark.read.format("fastq").option("pairs", json.dumps(files)).load()
+    return fastq.scan(spark, files)
 
 
 def _alignments(spark: SparkSession, path: str, text: bool = False) -> DataFrame:
@@ -182,9 +182,9 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--single-tag", action="store_true")
     for x in ("--cb", "--sp", "--umi", "--linker"):
         c.add_argument(x)
-    c.add_argument("--error-rate", type=float, default=0.1)
+    c.add_argument("-r", "--error-rate", type=float, default=0.1)
     c.add_argument("-l", "--laxity", type=int, default=0)
-    c.add_argument("-e", "--exclude")
+    c.add_argument("-e", "--exclude", default="unknown,IgG_control")
     c = command("align", run_align, "-i --input", "-o --out")
     for x in ("--cb", "--umi", "--no-merge"):
         c.add_argument(x, action="store_true")

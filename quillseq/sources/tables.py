@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+import re
+import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillseq.sources import bgzf, files
+
 #: Columns of the SAM text format, before its optional fields.
 SAM = "qname string, flag int, rname string, pos1 long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string"
 
-#: Records of a pair, and bases of a chromosome, that output files never cut apart. Names of compression levels 1 to 9.
-BLOCK, REGION = 1 << 20, 1 << 24
-LEVELS = ("BEST_SPEED", "TWO", "THREE", "FOUR", "FIVE", "DEFAULT_COMPRESSION", "SEVEN", "EIGHT", "BEST_COMPRESSION")
+#: Records of a pair, and bases of a chromosome, that one writer has; the compression level where none is given.
+BLOCK, REGION, LEVEL = 1 << 20, 1 << 24, 6
+#: Names of FASTQ files: sample, perhaps lane, mate, perhaps chunk.
+MATE = r"([^/]+?)(?:_L[0-9]{3})?_R?([12])(?:_[0-9]{3})?(?:\.trimmed)?\.(?:fastq|fq)(?:\.gz)?$"
 
 
 def bed(spark: SparkSession, path: str) -> DataFrame:
@@ -64,7 +69,11 @@ def samples(spark: SparkSession, path: str) -> list[str]:
 
 def fastq_pairs(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
     """(name, first mates, second mates) of the FASTQ files of a folder; a name without exactly one file of each is an error."""
-    rows = mates(listed(spark, path)).orderBy("prefix").collect()  # a row per sample
+    found = listed(spark, path)
+    odd = found.where(F.col("path").rlike(r"\.(fastq|fq)(\.gz)?$") & ~F.regexp_extract("path", "([^/]+)$", 1).startswith(".") & ~F.col("path").rlike(MATE))
+    if bad := [r["path"].rsplit("/", 1)[1] for r in odd.orderBy("path").limit(20).collect()]:
+        raise ValueError(f"names that tell no mate: {', '.join(bad)}")
+    rows = mates(found).orderBy("prefix").collect()  # a row per sample
     if bad := [r["prefix"] for r in rows if r["fwd"] is None]:
         raise ValueError(f"not one file of each mate: {', '.join(bad)}")
     return [(r["prefix"], r["fwd"], r["rev"]) for r in rows]
@@ -73,8 +82,7 @@ def fastq_pairs(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
 def mates(files: DataFrame) -> DataFrame:
     """prefix, fwd and rev of a table of FASTQ paths (column path): names end in [_Lxxx]_R1 or _1 (R2 or _2), an optional
     three-digit chunk and an extension. Prefixes without exactly one file of each mate come with fwd or rev null."""
-    name = r"([^/]+?)(?:_L[0-9]{3})?_R?([12])(?:_[0-9]{3})?(?:\.trimmed)?\.(?:fastq|fq)(?:\.gz)?$"
-    f = files.select("path", F.regexp_extract("path", name, 1).alias("prefix"), F.regexp_extract("path", name, 2).alias("mate")).where("prefix <> ''")
+    f = files.select("path", F.regexp_extract("path", MATE, 1).alias("prefix"), F.regexp_extract("path", MATE, 2).alias("mate")).where("prefix <> ''")
     g = f.groupBy("prefix").agg(*[F.count_if(F.col("mate") == m).alias(f"n{m}") for m in "12"], *[F.min(F.when(F.col("mate") == m, F.col("path"))).alias(c) for m, c in (("1", "fwd"), ("2", "rev"))])
     one = (F.col("n1") == 1) & (F.col("n2") == 1)
     return g.select("prefix", F.when(one, F.col("fwd")).alias("fwd"), F.when(one, F.col("rev")).alias("rev"))
@@ -106,64 +114,134 @@ def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
     df.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=header)
 
 
-def named(spark: SparkSession, staged: str, path: str, template: str, *columns: str) -> list[str]:
-    """Moves the part files of a partitioned table to path, by the template of the columns' values; the second and later
-    parts of one name get '.part001' and so on before their extension. Only names pass through the driver."""
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(staged)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
-    it, files = fs.listFiles(at, True), []
-    while it.hasNext():
-        files.append(it.next().getPath().toString())
-    done, out = {}, []
-    for f in sorted(x for x in files if "/part-" in x):
-        of = dict(d.split("=", 1) for d in f.split("/") if "=" in d)
-        value = {c: "all" if of[c] == "__HIVE_DEFAULT_PARTITION__" else unquote(of[c]) for c in columns}
-        name = template.format(**value)
-        k = done[name] = done.get(name, -1) + 1
-        ending = template[template.index(".") :]
-        to = f"{path}/{name}" if not k else f"{path}/{name.removesuffix(ending)}.part{k:03d}{ending}"
-        target = jvm.org.apache.hadoop.fs.Path(to)
-        fs.mkdirs(target.getParent())
-        fs.delete(target, False)
-        if not fs.rename(jvm.org.apache.hadoop.fs.Path(f), target):
-            raise OSError(f"cannot write {to}")
-        out.append(to)
-    fs.delete(at, True)
-    return out
+def _pattern(template: str, columns: tuple[str, ...]) -> str:
+    """What names of a template look like, those of numbered parts too."""
+    body = re.escape(template)
+    for c in columns:
+        body = body.replace(re.escape(f"{{{c}}}"), "R[12]" if c == "mate" else "[^/]+")
+    at = body.index(r"\.") if r"\." in body else len(body)
+    return f"^{body[:at]}(\\.part[0-9]+)?{body[at:]}$"
+
+
+def _part_writer(folder: str, level: int | None, columns: int):
+    """Rows of names and a line, sorted by the names: a file per run of one name, its lines in order; gives (names, task, path,
+    lines). Blocked gzip where there is a level. A task that is tried again writes files of other names."""
+
+    def run(rows):
+        from pyspark import TaskContext
+
+        task, out, names, n, path, held = TaskContext.get().partitionId(), None, None, 0, None, b""
+        done = []
+
+        def put(data: bytes, all_of_it: bool = False) -> bytes:
+            if level is None:
+                out.write(data)
+                return b""
+            cut = len(data) if all_of_it else len(data) - len(data) % bgzf.FULL
+            for b in bgzf.blocks(memoryview(data)[:cut], level):
+                out.write(b)
+            return data[cut:]
+
+        def close():
+            put(held, True)
+            out.close()
+            done.append((*names, task, path, n))
+
+        for b in rows:
+            keys = [b.column(k).to_pylist() for k in range(columns)]
+            lines = b.column(columns)
+            of = list(zip(*keys, strict=True))
+            begins = [0, *(k for k in range(1, len(of)) if of[k] != of[k - 1]), len(of)]
+            for a, e in zip(begins[:-1], begins[1:], strict=True):
+                if a == e:
+                    continue
+                if of[a] != names:
+                    if out is not None:
+                        close()
+                    names, n, held = of[a], 0, b""
+                    path = f"{folder}/{uuid.uuid4().hex}"
+                    fs, at = files.at(path)
+                    fs.create_dir(at.rpartition("/")[0], recursive=True)
+                    out = fs.open_output_stream(at, compression=None)
+                held = put(held + "\n".join([*lines.slice(a, e - a).to_pylist(), ""]).encode())
+                n += e - a
+        if out is not None:
+            close()
+        kinds = [pa.string()] * columns + [pa.int32(), pa.string(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True) if done else [[]] * len(kinds), kinds, strict=True)], names=[f"c{k}" for k in range(len(kinds))])
+
+    return run
+
+
+def _joiner(last: bytes):
+    def run(rows):
+        for b in rows:
+            for target, parts in zip(b.column("target").to_pylist(), b.column("parts").to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([files.copied([p["path"] for p in parts], target, last)])], names=["target", "bytes"])
+
+    return run
+
+
+def write_named(rows: DataFrame, path: str, template: str, columns: tuple[str, ...], level: int | None = None) -> list[str]:
+    """One file per values of columns (text, by which each partition of rows is sorted, partitions being in order), named by the
+    template, with the lines of the last column; blocked gzip where there is a level. Files that the template fits and that are not
+    written anew are deleted, so nothing of an earlier run stays.
+
+    Tasks write parts, of which only names pass through the driver; other tasks join them, in order. A file gets its name when it
+    is whole."""
+    spark = rows.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(conf)
+    fs.mkdirs(where)
+    path = fs.makeQualified(where).toString().rstrip("/")
+    staged = f"{path}/.staged-{uuid.uuid4().hex}"
+    names = [f"c{k}" for k in range(len(columns) + 3)]
+    try:
+        schema = ", ".join([*(f"{c} string" for c in names[:-3]), f"{names[-3]} int, {names[-2]} string, {names[-1]} long"])
+        parts = rows.mapInArrow(_part_writer(staged, level, len(columns)), schema).collect()  # a row per part
+        value = lambda r: {c: "all" if r[k] is None else r[k] for k, c in enumerate(columns)}
+        targets = {}
+        for r in sorted(parts, key=lambda r: r[names[-3]]):
+            targets.setdefault(f"{path}/{template.format(**value(r))}", []).append({"path": r[names[-2]]})
+        if targets:
+            jobs = spark.createDataFrame(list(targets.items()), "target string, parts array<struct<path:string>>").repartition(len(targets), "target")
+            jobs.mapInArrow(_joiner(bgzf.END_BLOCK if level is not None else b""), "target string, bytes long").collect()  # a row per file
+        fits = re.compile(_pattern(template, columns))
+        for f in fs.listStatus(where):
+            name = f.getPath().getName()
+            if not f.isDirectory() and fits.match(name) and f"{path}/{name}" not in targets:
+                fs.delete(f.getPath(), False)
+    finally:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
+    return sorted(targets)
 
 
 def write_bed(df: DataFrame, path: str, by: str | None = None, partitions: int | None = None, extension: str = "bed") -> None:
-    """Ranges of (chrom, start), sorted inside; with by, a file per sample named by it (numbered parts if it is large)."""
+    """Ranges of (chrom, start), sorted inside; with by, a file per sample named by it."""
     order = [*([by] if by else []), "chrom", "start", "end"]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    w = df.repartitionByRange(n, *order[:-2], F.floor(F.col("start") / REGION)).sortWithinPartitions(*order).write.mode("overwrite")
+    w = df.repartitionByRange(n, *order[:-2], F.floor(F.col("start") / REGION)).sortWithinPartitions(*order)
     if not by:
-        w.csv(path, sep="\t")
+        w.write.mode("overwrite").csv(path, sep="\t")
         return
-    w.partitionBy(by).csv(f"{path}/.staged", sep="\t")
-    named(df.sparkSession, f"{path}/.staged", path, f"{{{by}}}.{extension}", by)
+    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in df.columns if c != by])
+    write_named(w.select(F.col(by).cast("string").alias(by), line.alias("_line")), path, f"{{{by}}}.{extension}", (by,))
 
 
-def write_fastq_by_pair(df: DataFrame, path: str, template: str = "{pair}_{mate}.fastq.gz", keep_plus: bool = False, level: int | None = None) -> None:
-    """FASTQ of both mates in one pass, a file per pair and mate (numbered parts if it is large). Rows are dealt by ranges of
-    (pair, mate, order), so a dominant pair has many writers; records already in canonical order come first (column swapped,
-    where there is one). The line before the qualities is a bare '+' unless keep_plus. A template without '.gz' writes plain
-    text; level: of compression, 1 to 9."""
+def write_fastq_by_pair(df: DataFrame, path: str, template: str = "{pair}_{mate}.fastq.gz", keep_plus: bool = False, level: int | None = None) -> list[str]:
+    """FASTQ of both mates in one pass, one file per pair and mate. Rows are dealt by ranges of (pair, order), so a dominant pair
+    has many writers, and both mates of a record are written by the same one; records already in canonical order come first (column
+    swapped, where there is one). The line before the qualities is a bare '+' unless keep_plus. A template with '.gz' writes
+    blocked gzip, which any gzip reader reads and fastq.scan splits; level: of compression, 1 to 9."""
     plus = lambda m: F.coalesce(f"plus{m}", F.lit("+")) if keep_plus and f"plus{m}" in df.columns else F.lit("+")
     record = lambda m: F.struct(F.lit(f"R{m}").alias("mate"), F.concat_ws("\n", f"name{m}", f"seq{m}", plus(m), f"qual{m}").alias("value"))
-    order = ["pair", "mate", *(["swapped"] if "swapped" in df.columns else []), "rec"]
+    first = ["pair", *(["swapped"] if "swapped" in df.columns else [])]
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df.withColumn("_m", F.explode(F.array(record(1), record(2)))).select(*[c for c in order if c != "mate"], "_m.mate", "_m.value")
     # ranges are cut between blocks of records only, so that small pairs are whole
-    w = out.repartitionByRange(n, *order[:-1], F.floor(F.col("rec") / BLOCK)).sortWithinPartitions(*order).select("pair", "mate", "value").write.mode("overwrite").partitionBy("pair", "mate")
-    if template.endswith(".gz"):
-        w = w.option("compression", "gzip")
-        if level:
-            w = w.option("zlib.compress.level", LEVELS[level - 1])
-    w.text(f"{path}/.staged")
-    named(df.sparkSession, f"{path}/.staged", path, template, "pair", "mate")
+    dealt = df.select(*first, "rec", F.array(record(1), record(2)).alias("_m")).repartitionByRange(n, *first, F.floor(F.col("rec") / BLOCK))
+    rows = dealt.select(*first, "rec", F.explode("_m").alias("_m")).select(*first, "rec", "_m.mate", "_m.value").sortWithinPartitions("pair", "mate", *first[1:], "rec")
+    return write_named(rows.select("pair", "mate", "value"), path, template, ("pair", "mate"), (level or LEVEL) if template.endswith(".gz") else None)
 
 
 def write_report(report: DataFrame, path: str) -> None:

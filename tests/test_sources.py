@@ -1,5 +1,6 @@
 import gzip
 import json
+import random
 from collections import Counter
 
 import pytest
@@ -12,7 +13,8 @@ from quillseq.streaming import demux as stream
 
 
 def put(path, text):
-    (gzip.open(path, "wt") if str(path).endswith(".gz") else open(path, "w")).write(text)
+    with gzip.open(path, "wt") if str(path).endswith(".gz") else open(path, "w") as f:
+        f.write(text)
     return str(path)
 
 
@@ -140,6 +142,98 @@ def test_trim_over_a_folder(spark, tmp_path):
         run(spark, "trim", "-i", tmp_path / "in", "-o", tmp_path / "no", "--umi", "3")
 
 
+def reads_in(folder, mate):
+    """Names of the reads of each pair's file."""
+    return {f.name.split(f"_R{mate}.")[0]: gzip.open(f, "rt").read().split("\n")[:-1:4] for f in sorted(folder.glob(f"*_R{mate}.*fastq.gz"))}
+
+
+def test_demux_trim_chain_loses_no_read(spark, tmp_path, monkeypatch):
+    """Pairs in many blocks: one file each, mates cut alike, nothing stale after a rerun, and trim reads every pair."""
+    monkeypatch.setattr(tables, "BLOCK", 50)
+    bc = [{"barcode": "AAAA", "name": "A"}, {"barcode": "TTTT", "name": "T"}]
+    put(tmp_path / "bc.json", json.dumps({"r1_barcodes": bc, "r2_barcodes": bc}))
+    ends = (("AAAA", "TTTT"), ("TTTT", "AAAA"), ("AAAA", "AAAA"), ("AAAA", "GGGG"))
+    n = 2000
+    for i in (0, 1):
+        put(tmp_path / f"r{i + 1}.fastq", "".join(f"@q{k}\n{ends[k % 7 % 4][i]}ACG{'ACGT'[k % 4]}GG\n+\n@@IIIIIIII\n" for k in range(n)))
+    args = ("demux", "-1", tmp_path / "r1.fastq", "-2", tmp_path / "r2.fastq", "-b", tmp_path / "bc.json", "-o", tmp_path / "dm")
+    run(spark, *args)
+    one, two = reads_in(tmp_path / "dm", 1), reads_in(tmp_path / "dm", 2)
+    assert one == two and set(one) == {"A-T", "A-A", "A-unknown"} and len(list((tmp_path / "dm").glob("*.gz"))) == 6
+    assert sorted(sum(one.values(), [])) == sorted(f"@q{k}" for k in range(n))
+    number = lambda x: int(x[2:])
+    canonical = [k for k in range(n) if ends[k % 7 % 4] == ("AAAA", "TTTT")]
+    assert [number(x) for x in one["A-T"]] == canonical + [k for k in range(n) if ends[k % 7 % 4] == ("TTTT", "AAAA")]
+    run(spark, "trim", "-i", tmp_path / "dm", "-o", tmp_path / "tr", "--umi", "3")
+    trimmed = {k: [x.split("::")[0] for x in v] for k, v in reads_in(tmp_path / "tr", 1).items()}
+    assert trimmed == {k: v for k, v in one.items() if "unknown" not in k}
+    assert {r["pair"]: int(r["read_count"]) for r in spark.read.csv(f"{tmp_path}/tr/stats", sep="\t", header=True).collect()} == {k: len(v) for k, v in trimmed.items()}
+    # a rerun of fewer reads leaves nothing of the first
+    (tmp_path / "dm" / "A-T_R1.part001.fastq.gz").write_bytes(b"")
+    for i in (0, 1):
+        put(tmp_path / f"r{i + 1}.fastq", f"@q0\n{ends[0][i]}ACGAGG\n+\nIIIIIIIIII\n")
+    run(spark, *args)
+    assert reads_in(tmp_path / "dm", 1) == {"A-T": ["@q0"]} and len(list((tmp_path / "dm").glob("*.gz"))) == 2
+    put(tmp_path / "dm" / "odd.fastq.gz", "@q")
+    with pytest.raises(ValueError, match=r"odd\.fastq"):
+        run(spark, "trim", "-i", tmp_path / "dm", "-o", tmp_path / "no", "--umi", "3")
+
+
+def records_text(rng, n, mate):
+    """FASTQ whose quality lines begin with '@' often."""
+    rows = []
+    for k in range(n):
+        size = rng.randint(1, 40)
+        rows.append(f"@r{k}/{mate} x\n{''.join(rng.choice('ACGT') for _ in range(size))}\n+\n{''.join(rng.choice('@+IF#') for _ in range(size))}\n")
+    return "".join(rows)
+
+
+def blocked(path, text, rng):
+    from quillseq.sources import bgzf
+
+    data, k = text.encode(), 0
+    with open(path, "wb") as f:
+        while k < len(data):
+            n = rng.randint(1, 900)
+            f.write(bgzf.block(data[k : k + n]))
+            k += n
+        f.write(bgzf.END_BLOCK)
+    return str(path)
+
+
+@pytest.mark.parametrize("kind", ["plain", "blocked", "mixed", "gzip"])
+def test_fastq_split_reading(spark, tmp_path, kind):
+    """Any split size gives the rows of one task: ordinals, mates, and the longer mate cut."""
+    rng = random.Random(kind)
+    texts = [records_text(rng, n, m) for n, m in ((120, 1), (100, 2))]
+    path = lambda m, k: tmp_path / f"x_R{m}.fastq{'' if k == 'plain' else '.gz'}"
+    kinds = {"mixed": ("plain", "blocked")}.get(kind, (kind, kind))
+    one, two = (blocked(path(m, k), t, rng) if k == "blocked" else put(path(m, k), t) for m, k, t in zip((1, 2), kinds, texts, strict=True))
+    lines = [t.split("\n") for t in texts]
+    want = [(k, *lines[0][4 * k : 4 * k + 4], *lines[1][4 * k : 4 * k + 4]) for k in range(100)]
+    for split, step in ((977, 331), (1 << 20, 1 << 20)):
+        df = fastq.scan(spark, [("p", one, two), ("q", one, two)], split=split, step=step).cache()
+        for p in "pq":
+            assert sorted(tuple(r)[1:] for r in df.where(F.col("pair") == p).collect()) == want
+        assert df.select(F.spark_partition_id()).distinct().count() > (4 if split == 977 and kind != "gzip" else 0)
+    if kind == "gzip":
+        with open(two, "rb") as f:
+            cut = f.read()[:-20]
+        (tmp_path / "cut_R2.fastq.gz").write_bytes(cut)
+        with pytest.raises(Exception, match="ends within"):
+            fastq.scan(spark, [("p", one, str(tmp_path / "cut_R2.fastq.gz"))]).count()
+
+
+@pytest.mark.parametrize("at", [0, 101, 199])
+def test_strict_file_ends_at_a_blank_header_in_any_split(spark, tmp_path, at):
+    rng = random.Random(at)
+    text = records_text(rng, at, 1) + " \n" + records_text(rng, 200, 1)
+    for p in (put(tmp_path / "a.fastq", text), blocked(tmp_path / "b.fastq.gz", text, rng)):
+        for split, step in ((1977, 331),):
+            got = fastq.scan(spark, [("p", p, None)], strict=True, split=split, step=step).select("rec").collect()
+            assert sorted(r["rec"] for r in got) == list(range(at))
+
+
 def test_generate_makes_the_workload(spark, tmp_path):
     run(spark, "generate", "-o", tmp_path / "g", "-n", "300", "-b", "5")
     rows = gzip.open(tmp_path / "g" / "reads_R1.fastq.gz", "rt").read().split("\n")
