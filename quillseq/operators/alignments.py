@@ -37,21 +37,9 @@ def is_paired(records: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return records.groupBy(*keys).agg(F.coalesce(F.bool_or(has(PAIRED)), F.lit(False)).alias("paired"))
 
 
-def name_tags(qname: Column) -> Column:
-    """key -> value from the third '::' part of a read name on; null if there is no second part."""
-    parts = F.split(qname, "::")
-    kv = F.filter(F.slice(parts, F.lit(3), F.greatest(F.size(parts) - 2, F.lit(0))), lambda p: F.contains(p, F.lit("=")))
-    entry = lambda p: F.struct(F.split(p, "=", 2)[0].alias("key"), F.split(p, "=", 2)[1].alias("value"))
-    entries = F.transform(kv, entry)
-    # of a key that comes twice the last value holds
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    last = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]))
-    return F.when(F.size(parts) >= 2, last)
-
-
 def tagged(records: DataFrame) -> DataFrame:
     """records with cb and umi from their names; records whose name has no second part go. Of a tag that comes twice the last
-    holds. Only the two tags are looked for: name_tags() gives all of them, at the cost of a map per record."""
+    holds."""
     t = records.withColumn("_parts", F.split("qname", "::")).where(F.size("_parts") >= 2)
     tags = F.slice("_parts", F.lit(3), F.greatest(F.size("_parts") - 2, F.lit(0)))
     value = lambda key: F.substr(F.try_element_at(F.filter(tags, lambda x: F.startswith(x, F.lit(f"{key}="))), F.lit(-1)), F.lit(len(key) + 2))

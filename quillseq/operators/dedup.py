@@ -7,10 +7,10 @@ apart: equal pairs, or equal names, of two samples are no duplicates.
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillseq.functions.lineage import written
 from quillseq.operators.alignments import FIRST, SECOND, has, primary
 
 
@@ -32,17 +32,28 @@ def ends(records: DataFrame) -> DataFrame:
     return out.withColumn("qsum", F.when(F.col("qual") == "*", F.lit(0).cast("long")).otherwise(F.coalesce(counted, F.lit(0))))
 
 
-def mates(records: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:
-    """One row per sample and name: rname, start and end of the pair, and what the modes order by. Names without both mates
-    are dropped; of several first or second mates the first by (pos, end) counts. keys: columns that tell samples apart."""
-    r, own = ends(primary(records)), _with(records, keys)
+def mates(records: DataFrame, keys: tuple[str, ...] = ("pair",), with_ends: bool = False) -> DataFrame:
+    """One row per sample and name: rname (of the first mate), start and stop of the pair, and cb and umi where there are any. Names
+    without both mates are dropped; of several first or second mates the first by (pos, end) counts. keys: columns that tell samples apart.
+
+    with_ends: also lo and hi, the two 5' ends before clipping as (rname, place, reverse), in this order whichever mate is first, and
+    score, the sum of base qualities."""
+    r, own = primary(records), _with(records, keys)
     extra = [c for c in ("cb", "umi") if c in records.columns]
-    score = F.sum(F.col("qsum")) if "qsum" in r.columns else F.lit(0)
-    place = F.struct("pos", "end", "rname", *extra, (F.col("flag").bitwiseAND(F.lit(16)) != 0).alias("reverse"), "pos5", "end5")
-    g = r.groupBy(*own, "qname").agg(F.min(F.when(has(FIRST), place)).alias("a"), F.min(F.when(has(SECOND), place)).alias("b"), score.alias("score"))
+    reverse = F.col("flag").bitwiseAND(F.lit(16)) != 0
+    fields, more = ["pos", "end", "rname", *extra], []
+    if with_ends:
+        r = ends(r)
+        fields.append(F.struct("rname", F.when(reverse, F.col("end5")).otherwise(F.col("pos5")).alias("place"), reverse.alias("reverse")).alias("five"))
+        more = [(F.sum("qsum") if "qsum" in r.columns else F.lit(0)).alias("score")]
+    place = F.struct(*fields)
+    g = r.groupBy(*own, "qname").agg(F.min(F.when(has(FIRST), place)).alias("a"), F.min(F.when(has(SECOND), place)).alias("b"), *more)
     g = g.where("a IS NOT NULL AND b IS NOT NULL")
-    five = lambda m: F.when(F.col(f"{m}.reverse"), F.col(f"{m}.end5")).otherwise(F.col(f"{m}.pos5"))
-    return g.select(*own, "qname", F.col("a.rname").alias("rname"), F.least("a.pos", "b.pos").alias("start"), F.greatest("a.end", "b.end").alias("stop"), five("a").alias("five1"), five("b").alias("five2"), F.col("a.reverse").alias("rev1"), F.col("b.reverse").alias("rev2"), "score", *[F.col(f"a.{c}").alias(c) for c in extra])
+    out = g.select(*own, "qname", F.col("a.rname").alias("rname"), F.least("a.pos", "b.pos").alias("start"), F.greatest("a.end", "b.end").alias("stop"), *[F.col(f"a.{c}").alias(c) for c in extra], *(["a.five", F.col("b.five").alias("_five"), "score"] if with_ends else []))
+    if not with_ends:
+        return out
+    first = F.col("five") <= F.col("_five")
+    return out.withColumns({"lo": F.when(first, F.col("five")).otherwise(F.col("_five")), "hi": F.when(first, F.col("_five")).otherwise(F.col("five"))}).drop("five", "_five")
 
 
 def _first(pairs: DataFrame, key: list[str], order: list) -> DataFrame:
@@ -58,10 +69,10 @@ def by_cell(records: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:
 
 
 def by_position(records: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:
-    """Kept names of each sample and copies: of pairs with one chromosome, unclipped 5' ends and strands the one of highest
-    base-quality sum, then the first by name."""
+    """Kept names of each sample and copies: of pairs with the same two unclipped 5' ends (chromosome, place and strand of each,
+    whichever mate is first) the one of highest base-quality sum, then the first by name."""
     own = _with(records, keys)
-    return _first(mates(records, keys), [*own, "rname", "five1", "five2", "rev1", "rev2"], [-F.col("score"), F.col("qname")]).select(*own, "qname", "copies")
+    return _first(mates(records, keys, with_ends=True), [*own, "lo", "hi"], [-F.col("score"), F.col("qname")]).select(*own, "qname", "copies")
 
 
 def by_umi(records: DataFrame, per_cell: bool = False, method: str = "directional", keys: tuple[str, ...] = ("pair",)) -> DataFrame:
@@ -76,42 +87,48 @@ def by_umi(records: DataFrame, per_cell: bool = False, method: str = "directiona
     if method == "unique":
         return unique.select(*own, "qname", "copies")
 
-    # a row per position with its distinct UMIs, commonest first: at most 5 to the power of a UMI's length
-    groups = unique.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct((-F.col("copies")).alias("n"), "umi", "qname"))).alias("u"))
-    alone = groups.where(F.size("u") == 1).select(*own, F.col("u")[0]["qname"].alias("qname"), (-F.col("u")[0]["n"]).alias("copies"))
-    many = groups.where(F.size("u") > 1).select(F.struct(*own, F.lit(0).alias("_")).alias("sample"), "u")  # only these go to Python
-    found = many.mapInArrow(_molecules, many.select("sample").withColumns({"qname": F.lit(""), "copies": F.lit(0).cast("long")}).schema)
-    return alone.unionByName(found.select(*[F.col(f"sample.{k}").alias(k) for k in own], "qname", "copies"))
-
-
-def _network(rows: list[dict]) -> list[tuple[str, int]]:
-    """(name, copies) of each molecule of one position."""
-    by = {r["umi"]: r for r in rows}
-    seen, out = set(), []
-    for top in rows:
-        if top["umi"] in seen:
-            continue
-        seen.add(top["umi"])
-        queue, total = [top], 0
-        while queue:
-            r = queue.pop()
-            total -= r["n"]
-            for i, c in enumerate(r["umi"]):
-                for b in "ACGTN":
-                    near = r["umi"][:i] + b + r["umi"][i + 1 :]
-                    if b != c and near in by and near not in seen and -r["n"] >= -2 * by[near]["n"] - 1:
-                        seen.add(near)
-                        queue.append(by[near])
-        out.append((top["qname"], total))
-    return out
-
-
-def _molecules(batches):
-    for b in batches:
-        found = [_network(rows) for rows in b.column("u").to_pylist()]
-        row = pa.array([i for i, m in enumerate(found) for _ in m], pa.int64())
-        flat = [m for rows in found for m in rows]
-        yield pa.RecordBatch.from_arrays([b.column("sample").take(row), pa.array([q for q, _ in flat], pa.string()), pa.array([n for _, n in flat], pa.int64())], names=["sample", "qname", "copies"])
+    near = unique.select(F.struct(*key).alias("_at"), "umi", "copies", "qname")
+    named = _named(near)
+    out = near.join(named, ["_at", "umi"], "left").withColumn("_top", F.coalesce("_top", _rank()))
+    return out.groupBy("_at", "_top").agg(F.sum("copies").alias("copies")).select(*[F.col(f"_at.{c}").alias(c) for c in own], "_top.qname", "copies")
+
+
+def _rank() -> Column:
+    """Of UMIs at one position the commonest is the least, of equally common ones the first by letters."""
+    return F.struct((-F.col("copies")).alias("less"), "umi", "qname")
+
+
+def steps(umis: DataFrame) -> DataFrame:
+    """_at, umi and _to: from each UMI of a position (_at, umi, copies) to those one mismatch away with few enough copies.
+
+    A UMI is asked for under each of its letters in turn left out: two that differ in one letter meet under one such key, and
+    under a key there are no more UMIs than letters, however many a position has."""
+    i = F.explode(F.sequence(F.lit(1), F.length("umi"))).alias("_i")
+    key = F.concat(F.substr("umi", F.lit(1), F.col("_i") - 1), F.lit("*"), F.substr("umi", F.col("_i") + 1))
+    met = umis.where("umi <> ''").select("_at", "umi", "copies", i).groupBy("_at", key.alias("_key")).agg(F.collect_list(F.struct("umi", "copies")).alias("_m")).where(F.size("_m") > 1)
+    a = met.select("_at", "_m", F.explode("_m").alias("a"))
+    return a.select("_at", "a", F.explode("_m").alias("b")).where("a.umi <> b.umi AND a.copies >= 2 * b.copies - 1").select("_at", F.col("a.umi").alias("umi"), F.col("b.umi").alias("_to"))
+
+
+def _named(umis: DataFrame) -> DataFrame:
+    """_at, umi and _top, the least UMI (by _rank) from which steps lead there, of UMIs that have a step.
+
+    Rounds of one step and then the name's own name, until nothing changes: a name's name leads there too, so paths are halved.
+    No position is a row or a task."""
+    edges = written(steps(umis), "umi-steps")
+    if edges.isEmpty():
+        return umis.limit(0).select("_at", "umi", _rank().alias("_top"))
+    ends = edges.select("_at", "umi").unionByName(edges.select("_at", F.col("_to").alias("umi"))).distinct()
+    held = written(umis.join(ends, ["_at", "umi"]).select("_at", "umi", _rank().alias("_top"), F.lit(True).alias("_new")), "umi-names")
+    while not held.where("_new").isEmpty():
+        moved = edges.join(held.where("_new").select("_at", "umi", "_top"), ["_at", "umi"]).select("_at", F.col("_to").alias("umi"), "_top")
+        least = held.select("_at", "umi", "_top", F.col("_top").alias("_was")).unionByName(moved.withColumn("_was", F.lit(None).cast(held.schema["_top"].dataType)))
+        least = least.groupBy("_at", "umi").agg(F.min("_top").alias("_top"), F.max("_was").alias("_was"))
+        names = held.select("_at", F.col("umi").alias("_by"), F.col("_top").alias("_next"))
+        jumped = least.withColumn("_by", F.col("_top.umi")).join(names, ["_at", "_by"], "left")
+        top = F.least("_top", F.coalesce("_next", "_top"))
+        held = written(jumped.select("_at", "umi", top.alias("_top"), (top < F.col("_was")).alias("_new")), "umi-names")
+    return held.drop("_new")
 
 
 def survivors(records: DataFrame, kept: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:

@@ -132,7 +132,7 @@ records AS (
 prim AS (SELECT * FROM records WHERE flag & 2308 = 0),
 mates AS (
   SELECT pair, qname, first(rname ORDER BY flag & 64 DESC) AS rname, min(pos) AS start, max("end") AS stop, sum(qsum) AS score, any_value(cb) AS cb, any_value(umi) AS umi,
-         min(pos) FILTER (flag & 64 > 0) AS five1, max("end") FILTER (flag & 128 > 0) AS five2
+         list_sort(list({{'rname': rname, 'five': CASE WHEN flag & 16 > 0 THEN "end" ELSE pos END, 'reverse': flag & 16 > 0}})) AS ends
   FROM prim GROUP BY pair, qname HAVING count(*) = 2)"""
 _BED = """
 bed AS (SELECT l_returnflag AS pair, 'chr' || (l_suppkey % 24) AS chrom, l_partkey AS start, l_partkey + l_quantity::BIGINT AS "end" FROM lineitem),

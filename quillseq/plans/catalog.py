@@ -190,7 +190,7 @@ def oracle_sql() -> dict[str, str]:
             per AS (SELECT {pairs} AS pair, count(*) AS n FROM assigned GROUP BY 1)
             SELECT '{{"version":"1","mode":"spark","settings":{{"mismatches":"{c.MISMATCHES}"}},"summary":{{"total_reads":' || count(*) || ',"matched":' || count(*) FILTER (matched) || ',"unmatched":' || count(*) FILTER (NOT matched) || '}},"mismatch_stats":{{'
               || (SELECT string_agg('"' || metric || '":' || n, ',' ORDER BY metric) FROM hist) || '}},"pair_counts":{{' || (SELECT string_agg('"' || pair || '":' || n, ',' ORDER BY pair) FROM per) || '}},"barcodes":{{"r1":[],"r2":[]}}}}' AS report FROM assigned""",
-        # every claim as it is met: choices of up to two places and of any letters for them, in order
+        # every claim as it is met: choices of up to two places and of any letters for them, in order; the barcode itself is met once
         "barcode_lut_two_mismatches": f"""{dq}, b6 AS (SELECT ord, name, substr(barcode, 1, 6) AS b FROM bc), letters AS (SELECT unnest(['A', 'C', 'G', 'T', 'N']) AS x), places AS (SELECT unnest(range(1, 7))::INT AS p),
             met AS (SELECT ord, name, b, b AS variant, 0 AS k, 0 AS p, 0 AS q FROM b6
               UNION ALL SELECT ord, name, b, substr(b, 1, p - 1) || x || substr(b, p + 1), 1, p, 0 FROM b6, places, letters
@@ -198,7 +198,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT variant, w.name AS name, w.dist AS dist FROM (
               SELECT variant, list_reduce(list_prepend({{'name': NULL::VARCHAR, 'dist': NULL::INT}}, list({{'name': name, 'dist': hamming(b, variant)::INT}} ORDER BY ord, k, p, q)),
                 lambda h, c: CASE WHEN h.name IS NULL OR c.dist < h.dist THEN c WHEN c.dist = h.dist AND c.name <> h.name THEN {{'name': NULL::VARCHAR, 'dist': NULL::INT}} ELSE h END) AS w
-              FROM met GROUP BY variant) WHERE w.name IS NOT NULL""",
+              FROM met WHERE k = 0 OR variant <> b GROUP BY variant) WHERE w.name IS NOT NULL""",
         "barcode_ambiguity": f"""{dq} SELECT a.ord AS ord_a, b.ord AS ord_b, a.barcode AS a, b.barcode AS b, hamming(a.barcode, b.barcode)::INT AS dist FROM bc a JOIN bc b ON a.ord < b.ord
             WHERE hamming(a.barcode, b.barcode) <= 2 * floor({c.LENGTH} * 0.3)""",
         "barcode_length": f"{dq} SELECT mode(length(barcode))::INT AS length, count(DISTINCT length(barcode)) = 1 AS uniform FROM bc",
@@ -233,7 +233,7 @@ def oracle_sql() -> dict[str, str]:
         "tags_from_name": f"{al} SELECT qname, flag, cb, umi FROM records WHERE {tagged_mates}",
         "tag_counts": f"{al} SELECT count(*) AS input, count(*) FILTER ({tagged_mates}) AS written, count(*) FILTER (NOT {tagged_mates}) AS skipped FROM records",
         "dedup_cb": f"{al} " + kept("cb, rname, start, stop", "qname").format("cb IS NOT NULL"),
-        "dedup_coord": f"{al} " + kept("rname, five1, five2", "score DESC, qname").format(tagged_mates),
+        "dedup_coord": f"{al} " + kept("ends", "score DESC, qname").format(tagged_mates),
         "dedup_umi_unique": f"{al} " + kept("rname, start, stop, umi", "qname").format("umi IS NOT NULL"),
         "dedup_umi_cell_unique": f"{al} " + kept("rname, start, stop, cb, umi", "qname").format("umi IS NOT NULL AND cb IS NOT NULL"),
         "dedup_umi_directional": f"{al}, {molecules('pair, rname, start, stop', 'umi IS NOT NULL')}",

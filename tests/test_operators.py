@@ -233,3 +233,65 @@ def test_floor_rank(spark):
     assert sorted(r["read_count"] for r in quality.passing(s(1, 2, 3, 4, 5), 0.25).collect()) == [2, 3, 4, 5]
     assert quality.passing(s(10, 20), 0.75).count() == 2
     assert quality.passing(s(1).limit(0), 0.5).count() == 0
+
+
+def aligned(spark, rows):
+    """Two records of each (qname, first end, second end, quality): an end is (chromosome, start, reverse), of 50 bases."""
+    out = []
+    for q, one, two, n in rows:
+        for (c, p, rev), bit in ((one, 64), (two, 128)):
+            out.append(("s", q, 1 + bit + (16 if rev else 0), c, p, p + 50, 60, n))
+    return spark.createDataFrame(out, "pair string, qname string, flag int, rname string, pos long, end long, mapq int, qsum long")
+
+
+def test_duplicates_by_both_ends(spark):
+    a, b = ("chr1", 100, False), ("chr1", 300, True)
+    kept = lambda rows: sorted((r["qname"], r["copies"]) for r in dedup.by_position(aligned(spark, rows)).collect())
+    # read from the other strand: the mates change places, the ends do not
+    assert kept([("q1", a, b, 5), ("q2", b, a, 9)]) == [("q2", 2)]
+    # second mates on two chromosomes, at one place
+    assert kept([("q1", a, ("chr2", 300, True), 5), ("q2", a, ("chr3", 300, True), 9)]) == [("q1", 1), ("q2", 1)]
+    # one place, other strands: the 5' end of a reverse read is its last base
+    assert kept([("q1", a, b, 5), ("q2", a, ("chr1", 300, False), 5)]) == [("q1", 1), ("q2", 1)]
+    assert kept([("q1", a, b, 5), ("q2", a, ("chr1", 350, False), 5)]) == [("q1", 1), ("q2", 1)]
+
+
+def walked(umis):
+    """Molecules of one position by a walk from the commonest on: {name's UMI: copies}."""
+    order = sorted(umis, key=lambda u: (-umis[u], u))
+    seen, out = set(), {}
+    for top in order:
+        if top in seen:
+            continue
+        seen.add(top)
+        queue, total = [top], 0
+        while queue:
+            u = queue.pop()
+            total += umis[u]
+            for v in order:
+                if v not in seen and len(u) == len(v) and sum(x != y for x, y in zip(u, v, strict=True)) == 1 and umis[u] >= 2 * umis[v] - 1:
+                    seen.add(v)
+                    queue.append(v)
+        out[top] = total
+    return out
+
+
+def test_directional_umis_equal_a_walk(spark):
+    rng = random.Random(11)
+    at = {}
+    for place in range(6):
+        umis = {"".join(rng.choice("ACGT") for _ in range(4)): rng.choice((1, 1, 1, 2, 3, 5, 9)) for _ in range((3, 20, 120, 1, 60, 200)[place])}
+        at[place] = umis
+    chain = {f"{'C' * k}{'A' * (30 - k)}": 1 for k in range(31)}  # 30 steps in a row
+    at[6] = chain
+    rows = [("s" if p % 2 else None, f"{p}-{u}-{k}", f, "chr1", 1000 * p + o, 1000 * p + o + 50, u) for p, us in at.items() for u, n in us.items() for k in range(n) for f, o in ((99, 0), (147, 100))]
+    r = spark.createDataFrame(rows, "pair string, qname string, flag int, rname string, pos long, end long, umi string")
+    got = {(x["qname"].split("-")[0], x["qname"].split("-")[1]): x["copies"] for x in dedup.by_umi(r).collect()}
+    assert got == {(str(p), u): n for p, us in at.items() for u, n in walked(us).items()}
+
+
+def test_letters_and_brackets(spark):
+    from quillseq.functions import dna
+
+    text = spark.createDataFrame([("[ACG]-T-[GGGG]",)], "a string").select(dna.letters(F.col("a")).alias("n"), dna.bracketed(F.col("a")).alias("b"), adapter.tags_from_string(F.col("a"), ["CB", "UMI", "X"]).alias("t")).first()
+    assert (text["n"], text["b"], text["t"]) == (8, ["ACG", "GGGG"], {"CB": "ACG", "UMI": "GGGG"})
