@@ -50,7 +50,7 @@ def assign(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     keep = [c for c in (docs.columns if carry is None else carry) if c not in OWN]
     sized = docs.select(*[c for c in docs.columns if c in (*keep, "text")]).withColumns({"size": words_in(F.col("text")), "__mix_tie": F.xxhash64("text")})
     sized = sized.select(*keep, "size", "__mix_tie")
-    order = [F.col("source").asc_nulls_last(), "size", "doc_id", "__mix_tie"]
+    order = [F.col("source").asc_nulls_last(), "size", "doc_id", "__mix_tie", *(["__mix_all"] if "__mix_all" in keep else [])]
     n = n_partitions(sized)
     laid = sized.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("__mix_tie")
     laid = settle(laid.withColumn("__mix_row", F.monotonically_increasing_id()), "mix")
@@ -76,18 +76,18 @@ def placed(laid: DataFrame, weights, share, most, seed) -> DataFrame:
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mixed corpus: each row of docs as many times as the mix takes it, with the columns of docs as they were.
 
-    Only ids, sources and sizes are laid out in order; texts meet their copies in one join on id, source and a hash of the text,
-    whose partitions are even. Rows that agree in all three share their copies out evenly, and what is left over goes to one of
-    them."""
+    Only ids, sources and sizes are laid out in order; texts meet their copies in one join on id, source and hashes of the text and of
+    the whole row, whose partitions are even. Only rows that agree in every column share a key; their copies are the same rows."""
     spark, names = docs.sparkSession, docs.columns
-    key = [F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__mix_text")]
-    of = ["__mix_id", "__mix_source", "__mix_text"]
-    taken = assign(docs.select("doc_id", "source", "text", key[2]), carry=["doc_id", "source", "__mix_text"], **how)
-    per = taken.groupBy("doc_id", "source", "__mix_text").agg(F.sum("copies").alias("__mix_copies"), F.count(F.lit(1)).alias("__mix_rows")).where("__mix_copies > 0")
+    whole = F.xxhash64(*[F.to_json(F.struct(F.col(c))) if "map<" in kind else F.col(c) for c, kind in docs.dtypes])
+    key = [F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__mix_text"), whole.alias("__mix_all")]
+    of = ["__mix_id", "__mix_source", "__mix_text", "__mix_all"]
+    taken = assign(docs.select("doc_id", "source", "text", *key[2:]), carry=["doc_id", "source", *of[2:]], **how)
+    per = taken.groupBy("doc_id", "source", *of[2:]).agg(F.sum("copies").alias("__mix_copies"), F.count(F.lit(1)).alias("__mix_rows")).where("__mix_copies > 0")
     per = settle(per.withColumnsRenamed({"doc_id": "__mix_id", "source": "__mix_source"}), "mix-copies", small=True)
     right = per.withColumnsRenamed({k: f"{k}2" for k in of})
     on = [F.col(k).eqNullSafe(F.col(f"{k}2")) for k in of]
-    joined = docs.select(F.struct(*[F.col(c) for c in names]).alias("__mix_row"), *key).join(right, on[0] & on[1] & on[2])
+    joined = docs.select(F.struct(*[F.col(c) for c in names]).alias("__mix_row"), *key).join(right, on[0] & on[1] & on[2] & on[3])
     each = joined.withColumn("__mix_n", F.floor(F.col("__mix_copies") / F.col("__mix_rows")).cast("int")).where("__mix_n > 0")
     parts = [each.select("__mix_row", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))).alias("__mix_k"))]
     if per.where("__mix_rows > 1 AND __mix_copies % __mix_rows > 0").limit(1).count():

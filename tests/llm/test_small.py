@@ -307,6 +307,13 @@ def test_mixing(spark, docs, rows):
     assert mixing.assign(docs.limit(0)).count() == 0
 
 
+def test_mix_deals_rows_that_differ_in_other_columns_only(spark):
+    """None is above the cap, and reruns over other partitions agree."""
+    d = spark.createDataFrame([(1, "a b c", "s", k, {"k": k}) for k in range(10)], "doc_id long, text string, source string, other int, m map<string,int>")
+    per = [Counter(r["other"] for r in mixing.mix(x).select("other").collect()) for x in (d, d.repartition(3), d.orderBy(F.desc("other")))]
+    assert per[0] == per[1] == per[2] and set(per[0]) == set(range(10)) and set(per[0].values()) == {1, 2} and sum(per[0].values()) == 15
+
+
 @pytest.mark.parametrize(("sizes", "want"), [((100, 100, 100), (187.5, 175.0, 87.5)), ((1000, 10, 10), (1500 - 10, 20, 20))])
 def test_targets_fill_up(spark, sizes, want):
     t = {r["source"]: r["target"] for r in mixing.source_targets(spark.createDataFrame([(f"s{i}", n) for i, n in enumerate(sizes)], "source string, size long")).collect()}
