@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillseq.functions import lineage
 from quillseq.functions.dna import clean_name
 from quillseq.operators import adapter, alignments, barcodes, dedup, demux, intervals, quality
 from quillseq.sources import bam, barcode_files, bigwig, fastq, generator, genomes, tables
@@ -79,20 +80,48 @@ def run_trim(spark: SparkSession, a: argparse.Namespace) -> None:
     tables.write_tsv(adapter.fail_stats(out, "pair").orderBy("pair"), f"{a.out}/stats")
 
 
+def _chroms(spark: SparkSession, a: argparse.Namespace, r: DataFrame) -> dict[str, int]:
+    """Chromosomes and their sizes: as given, else from the BAM files' headers, else those met, up to the last base met."""
+    if sizes := _sizes(spark, a):
+        return sizes
+    if a.input.endswith(".bam") or bam.files.is_dir(a.input) and bam.files.listed(a.input, ".bam"):
+        return bam.chromosomes(a.input)
+    met = r.where("rname IS NOT NULL AND rname <> '*'").groupBy("rname").agg(F.max("end").alias("size"))
+    return {x["rname"]: x["size"] for x in met.orderBy("rname").collect()}  # a row per chromosome
+
+
+def _as_bam(r: DataFrame) -> DataFrame:
+    """Records with all that a BAM file has: a CIGAR from their length where there is none, cb and umi as the tags CB and UB."""
+    if "cigar" not in r.columns:
+        r = r.withColumn("cigar", F.concat((F.col("end") - F.col("pos")).cast("string"), F.lit("M")))
+    if "cb" in r.columns:
+        own = F.map_filter(F.create_map(F.lit("CB"), F.col("cb"), F.lit("UB"), F.col("umi")), lambda k, v: v.isNotNull())
+        other = F.map_filter(F.coalesce("tags", F.create_map().cast("map<string,string>")), lambda k, v: ~F.map_contains_key(own, k)) if "tags" in r.columns else None
+        r = r.withColumn("tags", own if other is None else F.map_concat(other, own))
+    return r
+
+
 def run_align(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Filters, tags and removes duplicates of alignments made elsewhere (BAM, SAM text or Parquet), each sample by itself; a
-    folder per target (per pair with --no-merge), sorted by place."""
-    r = _alignments(spark, a.input, text=True)
-    r = alignments.clean(alignments.concordant(r, a.min_len, a.max_len))
+    """Filters, tags and removes duplicates of alignments made elsewhere (BAM, SAM text or Parquet), each sample by itself. Writes
+    sorted BAM files with indexes: one per target, and one per pair in the folder pair (with --no-merge only these, in the
+    folder itself); or Parquet, a folder per target or pair."""
+    source = _alignments(spark, a.input, text=True)
+    r = alignments.clean(alignments.concordant(source, a.min_len, a.max_len))
     if a.cb or a.umi:
         r = alignments.tagged(r)
-    kept = dedup.by_umi(r, per_cell=a.cb) if a.umi else dedup.by_cell(r) if a.cb else dedup.by_position(r)
-    out = dedup.survivors(r, kept)
+    kept = lineage.written(dedup.by_umi(r, per_cell=a.cb) if a.umi else dedup.by_cell(r) if a.cb else dedup.by_position(r), "kept")
+    out, path = dedup.survivors(r, kept), a.out.rstrip("/")
     by = "pair" if a.no_merge else "target"
-    out = out if a.no_merge else alignments.per_target(out)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    alignments.coordinate_sorted(out, n, by).write.mode("overwrite").partitionBy(by).parquet(a.out)
-    tables.write_tsv(dedup.counters(r, kept).orderBy("pair"), f"{a.out.rstrip('/')}_counts")
+    if a.format == "parquet":
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        out = out if a.no_merge else alignments.per_target(out)
+        alignments.coordinate_sorted(out, n, by).write.mode("overwrite").partitionBy(by).parquet(path)
+    else:
+        chroms, out = _chroms(spark, a, source), _as_bam(out)
+        bam.write_sorted(out, path if a.no_merge else f"{path}/pair", chroms, "pair")
+        if not a.no_merge:
+            bam.write_sorted(alignments.per_target(out), path, chroms, "target")
+    tables.write_tsv(dedup.counters(r, kept).orderBy("pair"), f"{path}_counts")
 
 
 def run_qc(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -190,6 +219,9 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument(x, action="store_true")
     c.add_argument("--min-len", type=int, default=10)
     c.add_argument("--max-len", type=int, default=800)
+    c.add_argument("--format", choices=("bam", "parquet"), default="bam")
+    c.add_argument("-g", "--genome")
+    c.add_argument("--chrom-sizes")
     c = command("qc", run_qc, "-i --input", "-o --out")
     c.add_argument("-f", "--features")
     c.add_argument("-s", "--species")

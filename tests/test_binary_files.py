@@ -2,6 +2,8 @@ import gzip
 import json
 import random
 
+from pyspark.sql import functions as F
+
 from quillseq import cli
 from quillseq.operators import intervals
 from quillseq.plans import carriers
@@ -28,6 +30,70 @@ def test_bam_round_trip(spark, sf, tmp_path):
     assert back.exceptAll(want).count() == want.exceptAll(back).count() == 0
 
 
+COLUMNS = "pair string, qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string, tags map<string,string>"
+
+
+def made_records(spark, n, seed, pairs=("A-T", "A-A")):
+    """Records of all sizes, some without a place, one longer than a block."""
+    rng, rows = random.Random(seed), []
+    for k in range(n):
+        size = 70_000 if k == n // 2 else rng.randint(0, 300)
+        chrom = rng.choice(("chr2", "chr10", "chr1", None))
+        pos = rng.randint(0, 900_000) if chrom else -1
+        seq = "".join(rng.choice("ACGTN") for _ in range(size))
+        cigar = f"{size // 2}M{rng.choice((5, 40_000))}N{size - size // 2}M" if size > 1 and chrom else "*"
+        rows.append((pairs[k % len(pairs)], f"q{k}", 0 if chrom else 4, chrom, pos, k % 60, cigar, None, -1, 0, seq or "*", "".join(rng.choice("#5I") for _ in range(size)) or "*", {"NM": str(k)} if k % 3 else {}))
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+CHROMS = {"chr1": 1_000_000, "chr2": 1_000_000, "chr10": 1_000_000}
+
+
+def test_bam_sorted_files_splits_and_regions(spark, tmp_path):
+    bam.register(spark)
+    df = made_records(spark, 900, 4).cache()
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "old.bam").write_bytes(b"stale")
+    done = {r["target"].rsplit("/", 1)[1]: r for r in bam.write_sorted(df.repartition(5), f"{tmp_path}/b", CHROMS, "pair").collect()}
+    assert {k: r["rows"] for k, r in done.items()} == {"A-T.bam": 450, "A-A.bam": 450} and all((tmp_path / "b" / k).stat().st_size == r["bytes"] for k, r in done.items())
+    assert sorted(f.name for f in (tmp_path / "b").iterdir()) == ["A-A.bam", "A-A.bam.bai", "A-T.bam", "A-T.bam.bai"]
+    key = ["pair", "qname", "flag", "rname", "pos", "mapq", "cigar", "seq", "qual", "tags"]
+    rows = lambda d: sorted(tuple(str(sorted(x.items())) if isinstance(x, dict) else str(x) for x in r) for r in d.select(*key).collect())
+    want = rows(df)
+    read = lambda **o: spark.read.format("bam").options(**o).load(f"{tmp_path}/b")
+    for split in (997, 20_011, 1 << 30):  # a block is up to 64 KiB: many splits hold no begin of one
+        got = read(split=split)
+        assert rows(got) == want
+    path = f"{tmp_path}/b/A-T.bam"
+    refs, first = bam.header(path)
+    order = [(bam.HEAD.unpack_from(b)[0], bam.HEAD.unpack_from(b)[1]) for _, b in bam.records(path, refs, first)]
+    assert order == sorted(order, key=lambda x: (x[0] < 0, x)) and list(refs) == list(CHROMS)
+    every = read().select(*key, "end").cache()
+    rng = random.Random(2)
+    for _ in range(6):
+        c, a = rng.choice(list(CHROMS)), rng.randint(0, 900_000)
+        z = a + rng.choice((1, 500, 60_000, 700_000))
+        assert rows(read(region=f"{c}:{a + 1}-{z}")) == rows(every.where((F.col("rname") == c) & (F.col("pos") < z) & (F.col("end") > a)))
+    assert rows(read(region="chr2")) == rows(every.where("rname = 'chr2'")) and read(region="chrX:1-5").count() == 0
+    with open(f"{path}.bai", "rb") as f:
+        index = bam.read_index(f.read())
+    assert [x["counts"][0] for x in index] == [every.where(f"pair = 'A-T' AND rname = '{c}'").count() for c in CHROMS]
+    assert bam.write_sorted(df.limit(0), f"{tmp_path}/b", CHROMS, "pair").count() == 0 and not list((tmp_path / "b").iterdir())
+
+
+def test_align_writes_bam_per_target_and_pair(spark, tmp_path):
+    bam.register(spark)
+    rows = [(pair, f"q{i}::[x]::CB=AC::UMI=G{'ACGT'[i]}", f, "chr1", 100 * i + p, 60, "50M", "chr1", 100 * i + 150 - p, t, "*", "*") for pair in ("A-T", "A-A") for i in range(1, 4) for f, p, t in ((99, 0, 200), (147, 150, -200))]
+    cols = "pair string, qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string"
+    bam.write_sorted(spark.createDataFrame(rows, cols), f"{tmp_path}/in", {"chr1": 9000}, "pair")
+    command(spark, "align", "-i", tmp_path / "in", "-o", tmp_path / "out", "--cb")
+    got = {r["pair"]: r["count"] for r in spark.read.format("bam").load(f"{tmp_path}/out").groupBy("pair").count().collect()}
+    assert got == {"A": 18, "T": 6}  # a pair of a target with itself counts twice
+    assert {r["pair"]: r["count"] for r in spark.read.format("bam").load(f"{tmp_path}/out/pair").groupBy("pair").count().collect()} == {"A-T": 6, "A-A": 6}
+    assert {(r["tags"]["CB"], r["tags"]["UB"]) for r in spark.read.format("bam").load(f"{tmp_path}/out").collect()} == {("AC", "GC"), ("AC", "GG"), ("AC", "GT")}
+    assert spark.read.format("bam").option("region", "chr1:101-120").load(f"{tmp_path}/out/pair").count() == 2
+
+
 def test_bigwig_round_trip(spark, sf, tmp_path):
     runs = intervals.coverage_rpm(carriers.bed(spark, sf), ("pair",)).cache()
     sizes = {f"chr{i}": 1 << 20 for i in range(24)}
@@ -63,7 +129,7 @@ def test_commands_read_bam_and_write_bigwig(spark, tmp_path):
     command(spark, "frag", "-i", one, "-o", tmp_path / "f")
     command(spark, "align", "-i", one, "-o", tmp_path / "a", "--no-merge")
     command(spark, "qc_by_percentile", "-i", one, "-o", tmp_path / "q")
-    assert spark.read.parquet(f"{tmp_path}/a").count() == 8 and [len(p.read_text().splitlines()) for p in (tmp_path / "f").glob("part-00000.bed")] == [4]
+    assert spark.read.format("bam").load(f"{tmp_path}/a").count() == 8 and [len(p.read_text().splitlines()) for p in (tmp_path / "f").glob("part-00000.bed")] == [4]
     (tmp_path / "sizes").write_text("chr1\t9000\n")
     (tmp_path / "bed").write_text("chr1\t100\t300\ts\nchr1\t200\t400\ts\n")
     command(spark, "track", "-i", tmp_path / "bed", "-o", tmp_path / "bw", "--chrom-sizes", tmp_path / "sizes", "--no-normalized")

@@ -270,7 +270,7 @@ def test_cli_tables(spark, sf, tmp_path):
     bed = carriers.features(spark, sf)
     tables.write_bed(bed, f"{tmp_path}/f.bed")
     cmd = lambda *x: run(spark, *x)
-    cmd("align", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/al", "--cb")
+    cmd("align", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/al", "--cb", "--format", "parquet")
     cmd("qc", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/qc", "-f", f"{tmp_path}/f.bed")
     cmd("qc_by_percentile", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/qp")
     cmd("frag", "-i", f"{tmp_path}/r.parquet", "-o", f"{tmp_path}/fr")
