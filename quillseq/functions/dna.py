@@ -42,3 +42,13 @@ def bracketed(adapter: Column) -> Column:
 
 def letters(c: Column) -> Column:
     return F.length(F.regexp_replace(c, "[^A-Za-z]", ""))
+
+
+def name_order(c: Column) -> Column:
+    """A text by which names sort as name-sorted alignment files do: runs of digits by value, of equal values that with more
+    zeros before it first, all else by code."""
+    def run(x: Column) -> Column:
+        value = F.ltrim(x, F.lit("0"))
+        return F.when(x.rlike("^[0-9]"), F.concat(F.lit("5"), F.lpad(F.length(value).cast("string"), 4, "0"), value, F.lpad((999 - F.length(x) + F.length(value)).cast("string"), 3, "0"))).otherwise(x)
+
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit("([0-9]+|[^0-9]+)"), F.lit(1)), run), "")

@@ -49,20 +49,63 @@ def lookup(barcodes: DataFrame, mismatches: int) -> DataFrame:
 
     A variant at distance 1 to mismatches - 1 is met more than once while a barcode's variants are made, so such a claim is
     made twice (further repeats change nothing)."""
-    v = variants(barcodes.withColumn("_len", F.length("barcode")), mismatches).withColumn("_len", F.length("variant"))
+    return _folded(variants(barcodes, mismatches), mismatches)
+
+
+def _folded(claims: DataFrame, mismatches: int) -> DataFrame:
+    v = claims.withColumn("_len", F.length("variant"))
     twice = (F.col("dist") >= 1) & (F.col("dist") < mismatches) & (F.col("dist") < F.col("_len"))
     claims = v.withColumn("rep", F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     folded = claims.groupBy("variant").agg(_fold(F.collect_list(F.struct("ord", "rep", "name", "dist"))).alias("w"))
     return folded.where("w IS NOT NULL").select("variant", "w.name", "w.dist")
 
 
+def _pieces(c: Column, n: Column) -> Column:
+    """A sequence cut in n pieces of like lengths: (number, text). Of two of one length that differ in fewer than n places one
+    piece is the same."""
+    cut = lambda k: F.floor(F.length(c) * k / n).cast("int")
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(k.alias("k"), F.substr(c, cut(k) + 1, cut(k + 1) - cut(k)).alias("text")))
+
+
+def _first_alike(a: Column, b: Column, k: Column) -> Column:
+    """Whether piece k is the first that two lists of pieces have in common: a pair is met once."""
+    return F.forall(F.sequence(F.lit(0), k), lambda i: (i == k) | (F.get(a, i)["text"] != F.get(b, i)["text"]))
+
+
 def ambiguous(candidates: DataFrame, rate: float) -> DataFrame:
-    """Pairs of candidate sequences (ord, barcode) of one length that some read could match alike."""
+    """Pairs of candidate sequences (ord, barcode) of one length that some read could match alike. Only those that share a piece
+    are compared: one more piece than the places in which they may differ."""
     budget = lambda c: F.floor(F.length(c) * F.lit(rate)).cast("int")
-    a = candidates.select(F.col("ord").alias("ord_a"), F.col("barcode").alias("a"), F.length("barcode").alias("_n"))
-    b = candidates.select(F.col("ord").alias("ord_b"), F.col("barcode").alias("b"), F.length("barcode").alias("_n"))
-    near = a.join(b, "_n").where("ord_a < ord_b").withColumn("dist", hamming(F.col("a"), F.col("b")))
-    return near.where(F.col("dist") <= budget("a") + budget("b")).select("ord_a", "ord_b", "a", "b", "dist")
+    c = candidates.where("barcode IS NOT NULL").select("ord", "barcode", F.length("barcode").alias("_n"), (2 * budget("barcode")).alias("_most"))
+    c = c.withColumn("_p", _pieces(F.col("barcode"), F.least(F.col("_most") + 1, F.greatest("_n", F.lit(1)))))
+    keyed = c.select("*", F.explode("_p").alias("x")).select("ord", "barcode", "_n", "_most", "_p", "x.k", "x.text")
+    other = keyed.select(F.col("ord").alias("ord_b"), F.col("barcode").alias("b"), F.col("_p").alias("_q"), "_n", "k", "text")
+    near = keyed.withColumnsRenamed({"ord": "ord_a", "barcode": "a"}).join(other, ["_n", "k", "text"]).where("ord_a < ord_b").where(_first_alike(F.col("_p"), F.col("_q"), F.col("k")))
+    near = near.withColumn("dist", hamming(F.col("a"), F.col("b"))).where("dist <= _most").select("ord_a", "ord_b", "a", "b", "dist")
+    # as many places may differ as there are: nothing need be shared
+    every = c.where("_most >= _n").select("ord", "barcode", "_n")
+    free = every.withColumnsRenamed({"ord": "ord_a", "barcode": "a"}).join(every.withColumnsRenamed({"ord": "ord_b", "barcode": "b"}), "_n").where("ord_a < ord_b").select("ord_a", "ord_b", "a", "b", hamming(F.col("a"), F.col("b")).alias("dist"))
+    return near.join(every.select(F.col("ord").alias("ord_a")).distinct(), "ord_a", "left_anti").unionByName(free)
+
+
+def lookup_met(barcodes: DataFrame, mismatches: int, prefixes: DataFrame) -> DataFrame:
+    """lookup(), for the sequences of prefixes (column variant) only: they meet the barcodes with which they share one of
+    mismatches + 1 pieces, so no table of all variants, which grows as five to the power of the mismatches, is made."""
+    usable = F.col("variant").isNotNull() & (F.length("variant") > 0)
+    n = F.lit(mismatches + 1)
+    met = prefixes.where(usable).select("variant").distinct().withColumn("_q", _pieces(F.col("variant"), F.least(n, F.length("variant"))))
+    b = barcodes.where("barcode <> ''").select("ord", "name", "barcode").withColumn("_p", _pieces(F.col("barcode"), F.least(n, F.length("barcode"))))
+    length = lambda c: F.length(c).alias("_n")
+    left = b.select("ord", "name", "barcode", "_p", length("barcode"), F.explode("_p").alias("x")).select("*", "x.k", "x.text")
+    right = met.select("variant", "_q", length("variant"), F.explode("_q").alias("x")).select("variant", "_q", "_n", "x.k", "x.text")
+    pairs = left.drop("x").join(right, ["_n", "k", "text"]).where(_first_alike(F.col("_p"), F.col("_q"), F.col("k"))).select("ord", "name", "barcode", "variant")
+    # with as many mismatches as places, barcodes that share no piece are near as well
+    apart = b.where(F.length("barcode") <= mismatches).select("ord", "name", "barcode", "_p", length("barcode")).join(met.select("variant", "_q", length("variant")), "_n")
+    apart = apart.where(F.forall(F.sequence(F.lit(0), F.size("_p") - 1), lambda i: F.get("_p", i)["text"] != F.get("_q", i)["text"])).select("ord", "name", "barcode", "variant")
+    near = pairs.unionByName(apart).withColumn("dist", hamming(F.col("barcode"), F.col("variant"))).where(F.col("dist") <= mismatches)
+    changed = F.filter(F.sequence(F.lit(1), F.length("variant")), lambda i: F.substr("barcode", i, F.lit(1)) != F.substr("variant", i, F.lit(1)))
+    letters = F.forall(changed, lambda i: F.substr("variant", i, F.lit(1)).isin(*BASES))  # other letters are no variant's
+    return _folded(near.where(letters).select("ord", "name", "variant", "dist"), mismatches)
 
 
 def uniform_length(barcodes: DataFrame) -> DataFrame:

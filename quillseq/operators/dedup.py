@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillseq.functions.dna import name_order
 from quillseq.functions.lineage import written
 from quillseq.operators.alignments import FIRST, SECOND, has, primary
 
@@ -62,10 +63,10 @@ def _first(pairs: DataFrame, key: list[str], order: list) -> DataFrame:
 
 
 def by_cell(records: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:
-    """Kept names of each sample and copies: of pairs with one cell barcode, chromosome, start and end the first by name;
-    strand is ignored, pairs without a cell barcode are skipped."""
+    """Kept names of each sample and copies: of pairs with one cell barcode, chromosome, start and end the first by name, as
+    name-sorted files have them (runs of digits by value); strand is ignored, pairs without a cell barcode are skipped."""
     own = _with(records, keys)
-    return _first(mates(records, keys).where("cb IS NOT NULL"), [*own, "cb", "rname", "start", "stop"], ["qname"]).select(*own, "qname", "copies")
+    return _first(mates(records, keys).where("cb IS NOT NULL"), [*own, "cb", "rname", "start", "stop"], [name_order(F.col("qname"))]).select(*own, "qname", "copies")
 
 
 def by_position(records: DataFrame, keys: tuple[str, ...] = ("pair",)) -> DataFrame:

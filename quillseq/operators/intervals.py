@@ -24,19 +24,42 @@ def bed_sorted(bed: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return bed.orderBy(*keys, "chrom", "start", "end")
 
 
+def _by_span(right: DataFrame, width: int) -> DataFrame:
+    """Per (__c, __span), for every span up to the last that an interval of right reaches: __f, the intervals that begin there (start
+    and the furthest end, at most width of them), __reach, the furthest end of those that begin before, and __next, the least start after it."""
+    r = right.where("start < end AND chrom IS NOT NULL").groupBy(F.col("chrom").alias("__c"), F.col("start").alias("s")).agg(F.max("end").alias("e"))
+    per = r.groupBy("__c", F.floor(F.col("s") / width).alias("_k")).agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("__f"), F.max("e").alias("_far"))
+    w = Window.partitionBy("__c").orderBy("_k")  # a row per span of a chromosome
+    up_to = w.rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumns({
+        "_before": F.max("_far").over(w.rowsBetween(Window.unboundedPreceding, -1)), "_so_far": F.max("_far").over(up_to),
+        "_to": F.lead("_k").over(w), "__next": F.lead(F.col("__f")[0]["s"]).over(w), "_first": F.row_number().over(w) == 1,
+    })
+    last = F.coalesce(F.col("_to") - 1, F.greatest("_k", F.floor((F.col("_so_far") - 1) / width)))
+    # a span with intervals, the empty ones after it, and for the first also those before it
+    spans = F.explode(F.sequence(F.when(F.col("_first"), F.least(F.lit(0), "_k")).otherwise(F.col("_k")), last)).alias("__span")
+    out = per.select("*", spans)
+    empty = F.array().cast(per.schema["__f"].dataType)
+    here, ahead = F.col("__span") == F.col("_k"), F.col("__span") < F.col("_k")
+    return out.select(
+        "__c", "__span", F.when(here, F.col("__f")).otherwise(empty).alias("__f"),
+        F.when(here, F.col("_before")).when(~ahead, F.col("_so_far")).alias("__reach"), F.when(ahead, F.col("__f")[0]["s"]).otherwise(F.col("__next")).alias("__next"),
+    )
+
+
 def overlap_flagged(left: DataFrame, right: DataFrame, width: int = 1024) -> DataFrame:
-    """left, with overlaps: whether the row overlaps an interval of right. One pass over left: bins per row, joined to the
-    distinct bins of right by (chrom, bin), and folded back by the row's own columns."""
-    key = left.columns
-    bins = F.explode_outer(F.when(F.col("start") < F.col("end"), F.sequence(F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width))))
-    counted = left.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))  # equal rows are tested once
-    spread = counted.withColumn("_b", bins)
-    r = right.where("start < end").select(F.col("chrom").alias("_c"), F.col("start").alias("_s"), F.col("end").alias("_e"))
-    r = r.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_s") / width), F.floor((F.col("_e") - 1) / width)))).distinct()
-    cond = (F.col("chrom") == F.col("_c")) & (F.col("_b") == F.col("_bin")) & (F.col("start") < F.col("_e")) & (F.col("_s") < F.col("end"))
-    hit = spread.join(r, cond, "left_semi").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)]).distinct().withColumn("_hit", F.lit(True))
-    out = counted.join(hit, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)], "left").select(*key, "_n", F.coalesce("_hit", F.lit(False)).alias("overlaps"))
-    return out.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_i", "_n")
+    """left, with overlaps: whether the row overlaps an interval of right.
+
+    A row looks in the span where it begins: an interval that begins there decides by itself, of those that begin before only
+    how far they reach matters, of those that begin later only where the next one does. So rows are dealt out once, by (chrom,
+    span), are never copied, and keep their identity; a span with very many rows is a skewed join, which Spark splits."""
+    spans = _by_span(right, width)
+    own = left.withColumns({"__l": F.floor(F.col("start") / width)})
+    j = own.join(spans, (F.col("chrom") == F.col("__c")) & (F.col("__l") == F.col("__span")), "left")
+    no = F.lit(False)
+    inside = F.coalesce(F.exists("__f", lambda f: (f["s"] < F.col("end")) & (f["e"] > F.col("start"))), no)
+    hit = inside | F.coalesce(F.col("__reach") > F.col("start"), no) | F.coalesce(F.col("__next") < F.col("end"), no)
+    return j.select(*left.columns, F.coalesce((F.col("start") < F.col("end")) & hit, no).alias("overlaps"))
 
 
 def overlap_semi(left: DataFrame, right: DataFrame, width: int = 1024) -> DataFrame:

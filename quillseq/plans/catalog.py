@@ -163,6 +163,7 @@ def oracle_sql() -> dict[str, str]:
     lax = " ".join(f"WHEN {3 + 1 + k} <= length(seq) AND {_cand(str(4 + k), list(SPEC_LAX[1].candidates))} IS NOT NULL THEN {k}" for k in range(3))
     lax_n = " ".join(f"WHEN {k} THEN {_cand(str(4 + k), list(SPEC_LAX[1].candidates))}" for k in range(3))
     kept = lambda key, order: f"SELECT pair, first(qname ORDER BY {order}) AS qname, count(*) AS copies FROM mates WHERE {{}} GROUP BY pair, {key}"
+    by_name = "array_to_string(list_transform(regexp_extract_all(qname, '[0-9]+|[^0-9]+'), lambda x: CASE WHEN x[1] BETWEEN '0' AND '9' THEN '5' || lpad(length(ltrim(x, '0'))::VARCHAR, 4, '0') || ltrim(x, '0') || lpad((999 - length(x) + length(ltrim(x, '0')))::VARCHAR, 3, '0') ELSE x END), '')"
     # a UMI belongs to the first one, commonest first, from which steps of one mismatch to rare enough UMIs lead to it
     molecules = lambda key, where: f"""u AS (SELECT *, hash({key}) AS g, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, umi) AS o FROM (SELECT {key}, umi, min(qname) AS q, count(*) AS n FROM mates WHERE {where} GROUP BY ALL)),
             reach AS (WITH RECURSIVE r(g, a, b) AS (SELECT g, o, o FROM u UNION SELECT r.g, r.a, y.o FROM r JOIN u x ON x.g = r.g AND x.o = r.b JOIN u y ON y.g = r.g AND hamming(x.umi, y.umi) = 1 AND x.n >= 2 * y.n - 1) SELECT * FROM r),
@@ -232,14 +233,14 @@ def oracle_sql() -> dict[str, str]:
         "adapter_fail_stats": f"""{dq}, {found} SELECT count(*) AS read_count, count(*) FILTER (NOT (m1.ok AND m2.ok)) AS fail_count, round(100.0::DOUBLE * count(*) FILTER (NOT (m1.ok AND m2.ok)) / count(*), 6) AS fail_pct FROM m1 JOIN m2 ON m1.rec = m2.rec""",
         "tags_from_name": f"{al} SELECT qname, flag, cb, umi FROM records WHERE {tagged_mates}",
         "tag_counts": f"{al} SELECT count(*) AS input, count(*) FILTER ({tagged_mates}) AS written, count(*) FILTER (NOT {tagged_mates}) AS skipped FROM records",
-        "dedup_cb": f"{al} " + kept("cb, rname, start, stop", "qname").format("cb IS NOT NULL"),
+        "dedup_cb": f"{al} " + kept("cb, rname, start, stop", by_name).format("cb IS NOT NULL"),
         "dedup_coord": f"{al} " + kept("ends", "score DESC, qname").format(tagged_mates),
         "dedup_umi_unique": f"{al} " + kept("rname, start, stop, umi", "qname").format("umi IS NOT NULL"),
         "dedup_umi_cell_unique": f"{al} " + kept("rname, start, stop, cb, umi", "qname").format("umi IS NOT NULL AND cb IS NOT NULL"),
         "dedup_umi_directional": f"{al}, {molecules('pair, rname, start, stop', 'umi IS NOT NULL')}",
         "dedup_umi_cell_directional": f"{al}, {molecules('pair, rname, start, stop, cb', 'umi IS NOT NULL AND cb IS NOT NULL')}",
-        "dedup_survivors": f"""{al}, k AS ({kept("cb, rname, start, stop", "qname").format("cb IS NOT NULL")}) SELECT pair, qname, flag, rname, pos FROM prim WHERE (pair, qname) IN (SELECT (pair, qname) FROM k)""",
-        "dedup_counters": f"""{al}, k AS ({kept("cb, rname, start, stop", "qname").format("cb IS NOT NULL")})
+        "dedup_survivors": f"""{al}, k AS ({kept("cb, rname, start, stop", by_name).format("cb IS NOT NULL")}) SELECT pair, qname, flag, rname, pos FROM prim WHERE (pair, qname) IN (SELECT (pair, qname) FROM k)""",
+        "dedup_counters": f"""{al}, k AS ({kept("cb, rname, start, stop", by_name).format("cb IS NOT NULL")})
             SELECT pair, i AS input, coalesce(w, 0) AS written, coalesce(s - w, 0)::BIGINT AS duplicated, (i - coalesce(s, 0))::BIGINT AS skipped
             FROM (SELECT pair, count(DISTINCT qname) AS i FROM records WHERE {tagged_mates} GROUP BY pair) LEFT JOIN (SELECT pair, count(*) AS w, sum(copies) AS s FROM k GROUP BY pair) USING (pair)""",
         "mapq_chrom_filter": f"{al} SELECT qname, flag, rname, pos, mapq FROM records WHERE mapq >= 10 AND regexp_full_match(rname, 'chr([0-9]+|X|Y)')",

@@ -295,3 +295,48 @@ def test_letters_and_brackets(spark):
 
     text = spark.createDataFrame([("[ACG]-T-[GGGG]",)], "a string").select(dna.letters(F.col("a")).alias("n"), dna.bracketed(F.col("a")).alias("b"), adapter.tags_from_string(F.col("a"), ["CB", "UMI", "X"]).alias("t")).first()
     assert (text["n"], text["b"], text["t"]) == (8, ["ACG", "GGGG"], {"CB": "ACG", "UMI": "GGGG"})
+
+
+def test_names_sort_by_the_value_of_their_digits(spark):
+    names = ["q10", "q9", "q09", "q009", "q9:2", "q9:10", "q9-1", "q", "q9a", "x1", "q99999999999999999999", "q100000000000000000000", "1", "a1b2", "a1b10", ""]
+    from quillseq.functions.dna import name_order
+
+    got = [r["n"] for r in spark.createDataFrame([(n,) for n in names], "n string").orderBy(name_order(F.col("n"))).collect()]
+    assert got == ["", "1", "a1b2", "a1b10", "q", "q009", "q09", "q9", "q9-1", "q9:2", "q9:10", "q9a", "q10", "q99999999999999999999", "q100000000000000000000", "x1"]
+    a, b = ("chr1", 100, False), ("chr1", 300, True)
+    r = aligned(spark, [("q10", a, b, 1), ("q9", a, b, 1)]).withColumn("cb", F.lit("AA"))
+    assert [x["qname"] for x in dedup.by_cell(r).collect()] == ["q9"]
+
+
+def test_overlaps_equal_a_search(spark):
+    """Rows keep their identity and columns; long ones, empty ones, null and unknown chromosomes."""
+    rng = random.Random(8)
+    span = lambda n, most: [(rng.choice(("a", "b", "c", None)), s := rng.randint(0, 5000), s + rng.choice((0, 1, 5, most)), k % 7) for k in range(n)]
+    left, right = span(400, 2600), [x[:3] for x in span(25, 900)]
+    left += left[:5]
+    want = sorted(str((*x, any(x[0] is not None and x[0] == y[0] and y[1] < y[2] and x[1] < x[2] and y[1] < x[2] and x[1] < y[2] for y in right))) for x in left)
+    df = spark.createDataFrame(left, "chrom string, start long, end long, _f int")
+    for width in (16, 1000, 1 << 20):
+        got = intervals.overlap_flagged(df, spark.createDataFrame(right, "chrom string, start long, end long"), width)
+        assert got.columns == [*df.columns, "overlaps"] and sorted(str(tuple(r)) for r in got.collect()) == want
+    assert intervals.overlap_semi(df, spark.createDataFrame([], "chrom string, start long, end long")).count() == 0
+
+
+def test_near_barcodes_by_shared_pieces(spark):
+    rng = random.Random(9)
+    seqs = ["".join(rng.choice("ACGT") for _ in range(rng.choice((0, 1, 2, 5, 8, 8, 8)))) for _ in range(90)]
+    c = spark.createDataFrame(list(enumerate(seqs)), "ord int, barcode string")
+    differ = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True))
+    for rate in (0.0, 0.2, 0.3, 0.6):
+        want = sorted((i, j, a, b, differ(a, b)) for i, a in enumerate(seqs) for j, b in enumerate(seqs) if i < j and len(a) == len(b) and differ(a, b) <= 2 * int(len(a) * rate))
+        assert sorted(map(tuple, barcodes.ambiguous(c, rate).collect())) == want
+
+
+def test_lookup_of_met_sequences_equals_the_whole_table(spark):
+    rng = random.Random(10)
+    for m, length in ((0, 5), (1, 5), (2, 5), (3, 4), (3, 2)):
+        bc = table(spark, [(f"n{k % 7}", "".join(rng.choice("ACGT") for _ in range(length))) for k in range(9)])
+        met = spark.createDataFrame([("".join(rng.choice("ACGTNR"[:6 if k % 9 == 0 else 5]) for _ in range(length - (k % 11 == 0))),) for k in range(300)] + [(None,), ("",)], "variant string")
+        whole = {r["variant"]: (r["name"], r["dist"]) for r in barcodes.lookup(bc, m).collect()}
+        got = {r["variant"]: (r["name"], r["dist"]) for r in barcodes.lookup_met(bc, m, met).collect()}
+        assert got == {v: whole[v] for (v,) in met.distinct().collect() if v in whole} and (m == 0 or got)
