@@ -11,6 +11,7 @@ from quillseq.functions import lineage
 from quillseq.functions.dna import clean_name
 from quillseq.operators import adapter, alignments, barcodes, dedup, demux, intervals, quality
 from quillseq.sources import bam, barcode_files, bigwig, fastq, generator, genomes, tables
+from quillseq.streaming import demux as stream
 
 
 def _pairs(spark: SparkSession, r1: str, r2: str) -> DataFrame:
@@ -45,19 +46,30 @@ def _alignments(spark: SparkSession, path: str, text: bool = False) -> DataFrame
 
 
 def run_demux(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Two passes over the reads: one for the counters of all pairs, one that writes those of which a side is known."""
+    """Two passes over the reads: one for the counters of all pairs, one that writes those of which a side is known; with --streaming
+    one pass, in batches that are committed by themselves."""
     bc1 = barcode_files.load(spark, a.barcode, "r1_barcodes").withColumn("name", clean_name(F.col("name")))
     bc2 = barcode_files.load(spark, a.barcode2 or a.barcode, "r2_barcodes" if (a.barcode2 or a.barcode).endswith(".json") else "r1_barcodes").withColumn("name", clean_name(F.col("name")))
     length = len(bc1.orderBy("ord").first()["barcode"])
     budget = round(a.error_rate * length)
     one, two = (budget if m is None else m for m in (a.r1_mismatches, a.r2_mismatches))
     build = barcodes.lookup if a.conflict == "compat" else barcodes.lookup_strict
-    out = demux.assign(_pairs(spark, a.r1, a.r2), build(bc1, one), build(bc2, two), length, a.trim)
-    kept = demux.drop_unknown(out)
-    tables.write_fastq_by_pair(kept if a.no_merge else demux.canonical(kept), a.out, "{pair}_{mate}.fastq" + ("" if a.no_compress else ".gz"), level=a.compression_level)
+    template = "{pair}_{mate}.fastq" + ("" if a.no_compress else ".gz")
+    if a.streaming:
+        files = zip(fastq.paths_of(a.r1), fastq.paths_of(a.r2), strict=True)
+        manifests = stream.Folder(spark, f"{a.out}/.manifests")
+        manifests.write("".join(f"{x}\t{y}\n" for x, y in files), "files.txt")
+        how = {"trim": a.trim, "mismatches": max(one, two), "template": template, "level": a.compression_level}
+        stream.start(spark, manifests.path, a.out, f"{a.out}/.checkpoint", build(bc1, one), build(bc2, two), length, **how).awaitTermination()
+        tally = stream.finish(spark, a.out, template, not a.no_merge)
+    else:
+        out = demux.assign(_pairs(spark, a.r1, a.r2), build(bc1, one), build(bc2, two), length, a.trim)
+        kept = demux.drop_unknown(out)
+        tables.write_fastq_by_pair(kept if a.no_merge else demux.canonical(kept), a.out, template, level=a.compression_level)
+        tally = demux.tallies(out)
     lists = [[r["barcode"] for r in b.orderBy("ord").collect()] for b in (bc1, bc2)]
     settings = {"error_rate": str(a.error_rate), "mismatches": str(budget), "r1_mismatches": str(one), "r2_mismatches": str(two)}
-    tables.write_report(demux.report(demux.tallies(out), settings, *lists), f"{a.out}/report")
+    tables.write_report(demux.report(tally, settings, *lists), f"{a.out}/report")
 
 
 def run_generate(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -199,6 +211,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--compression-level", type=int, choices=range(1, 10))
     c.add_argument("--conflict", choices=("compat", "strict"), default="compat")
     c.add_argument("--trim", choices=("both", "per_side", "none"), default="both")
+    c.add_argument("--streaming", action="store_true")
     c = command("generate", run_generate, "-o --out")
     c.add_argument("-n", "--pairs", type=int, default=1_000_000)
     c.add_argument("-b", "--barcodes", type=int, default=100)

@@ -114,13 +114,32 @@ def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
     df.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=header)
 
 
-def _pattern(template: str, columns: tuple[str, ...]) -> str:
-    """What names of a template look like, those of numbered parts too."""
+def named_by(template: str, columns: tuple[str, ...]) -> re.Pattern:
+    """What names of a template look like, those of numbered parts too; the columns' values are groups."""
     body = re.escape(template)
     for c in columns:
-        body = body.replace(re.escape(f"{{{c}}}"), "R[12]" if c == "mate" else "[^/]+")
+        body = body.replace(re.escape(f"{{{c}}}"), f"(?P<{c}>{'R[12]' if c == 'mate' else '[^/]+'})")
     at = body.index(r"\.") if r"\." in body else len(body)
-    return f"^{body[:at]}(\\.part[0-9]+)?{body[at:]}$"
+    return re.compile(f"^{body[:at]}(\\.part[0-9]+)?{body[at:]}$")
+
+
+def join_named(spark: SparkSession, parts: dict[str, list[str]], path: str, template: str, columns: tuple[str, ...], last: bytes = b"") -> list[str]:
+    """Files of a folder by name, each of parts in order; a task per file. Files that the template fits and that are not written
+    anew are deleted. Only names pass through the driver."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    path = fs.makeQualified(where).toString().rstrip("/")
+    targets = {f"{path}/{name}": [{"path": p} for p in of] for name, of in parts.items()}
+    if targets:
+        jobs = spark.createDataFrame(list(targets.items()), "target string, parts array<struct<path:string>>").repartition(len(targets), "target")
+        jobs.mapInArrow(_joiner(last), "target string, bytes long").collect()  # a row per file
+    fits = named_by(template, columns)
+    for f in fs.listStatus(where):
+        name = f.getPath().getName()
+        if not f.isDirectory() and fits.match(name) and name not in parts:
+            fs.delete(f.getPath(), False)
+    return sorted(targets)
 
 
 def _part_writer(folder: str, level: int | None, columns: int):
@@ -201,20 +220,12 @@ def write_named(rows: DataFrame, path: str, template: str, columns: tuple[str, .
         schema = ", ".join([*(f"{c} string" for c in names[:-3]), f"{names[-3]} int, {names[-2]} string, {names[-1]} long"])
         parts = rows.mapInArrow(_part_writer(staged, level, len(columns)), schema).collect()  # a row per part
         value = lambda r: {c: "all" if r[k] is None else r[k] for k, c in enumerate(columns)}
-        targets = {}
+        joined: dict[str, list[str]] = {}
         for r in sorted(parts, key=lambda r: r[names[-3]]):
-            targets.setdefault(f"{path}/{template.format(**value(r))}", []).append({"path": r[names[-2]]})
-        if targets:
-            jobs = spark.createDataFrame(list(targets.items()), "target string, parts array<struct<path:string>>").repartition(len(targets), "target")
-            jobs.mapInArrow(_joiner(bgzf.END_BLOCK if level is not None else b""), "target string, bytes long").collect()  # a row per file
-        fits = re.compile(_pattern(template, columns))
-        for f in fs.listStatus(where):
-            name = f.getPath().getName()
-            if not f.isDirectory() and fits.match(name) and f"{path}/{name}" not in targets:
-                fs.delete(f.getPath(), False)
+            joined.setdefault(template.format(**value(r)), []).append(r[names[-2]])
+        return join_named(spark, joined, path, template, columns, bgzf.END_BLOCK if level is not None else b"")
     finally:
         fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
-    return sorted(targets)
 
 
 def write_bed(df: DataFrame, path: str, by: str | None = None, partitions: int | None = None, extension: str = "bed") -> None:

@@ -179,6 +179,47 @@ def test_demux_trim_chain_loses_no_read(spark, tmp_path, monkeypatch):
         run(spark, "trim", "-i", tmp_path / "dm", "-o", tmp_path / "no", "--umi", "3")
 
 
+def test_stream_of_files_commits_each_batch_once(spark, tmp_path):
+    """Counters that were observed equal the tallies of a batch run; a batch that comes again writes nothing; files equal those of demux."""
+    from quillseq.operators import demux
+
+    bc = [{"barcode": "AAAA", "name": "A"}, {"barcode": "TTTT", "name": "T"}]
+    put(tmp_path / "bc.json", json.dumps({"r1_barcodes": bc, "r2_barcodes": bc}))
+    rng, ends = random.Random(6), ("AAAA", "TTTT", "AAAC", "NTTT", "GGGG")
+    (tmp_path / "m").mkdir()
+    for f in range(3):
+        reads = [[f"@{f}-{k}\n{rng.choice(ends)}CC\n+\nIIIIII\n" for k in range(40)] for _ in (1, 2)]
+        one, two = (put(tmp_path / f"f{f}_R{i + 1}.fastq", "".join(r)) for i, r in enumerate(reads))
+        put(tmp_path / "m" / f"{f}.txt", f"{one}\t{two}\n")
+    lut = barcodes.lookup(barcode_files.load(spark, str(tmp_path / "bc.json"), "r1_barcodes"), 1)
+    out = str(tmp_path / "out")
+    stream.start(spark, f"{tmp_path}/m", out, f"{tmp_path}/cp", lut, lut, 4, files_per_trigger=2).awaitTermination()
+    held = sorted(p.name for p in (tmp_path / "out" / ".batches").iterdir())
+    assert len(held) == 2
+    stamp = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*.gz")}
+    again = spark.createDataFrame([(f"{tmp_path}/f0_R1.fastq\t{tmp_path}/f0_R2.fastq",)], "value string")
+    assert stream.commit(again, 0, out, lut, lut, 4) is None and stamp == {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*.gz")}
+    tally = stream.finish(spark, out).cache()
+    run(spark, "demux", "-1", f"{tmp_path}/f*_R1.fastq", "-2", f"{tmp_path}/f*_R2.fastq", "-b", tmp_path / "bc.json", "-o", tmp_path / "dm", "--r1-mismatches", "1", "--r2-mismatches", "1")
+    for m in (1, 2):
+        got, want = reads_in(tmp_path / "out", m), reads_in(tmp_path / "dm", m)
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()} and len(got) > 3
+    assert reads_in(tmp_path / "out", 1) == reads_in(tmp_path / "out", 2)
+    body = json.loads(demux.report(tally, {}, [], []).first()[0])
+    want = json.loads(spark.read.text(f"{tmp_path}/dm/report").first()[0])
+    assert body["pair_counts"] == want["pair_counts"] and body["summary"] == want["summary"]
+    seen = stream.running(spark, out)
+    assert {k: n for k, n in seen.items() if n} == {**{k: n for k, n in want["summary"].items() if n}, **want["mismatch_stats"]}
+    # a batch that did not get its mark begins anew
+    (tmp_path / "out" / ".batches" / held[0] / stream.MARK).unlink()
+    assert stream.running(spark, out)["total_reads"] < 120
+    names = spark.createDataFrame([(f"{tmp_path}/f{f}_R1.fastq\t{tmp_path}/f{f}_R2.fastq",) for f in ((0, 1) if seen["total_reads"] == 120 else ())], "value string")
+    stream.commit(names, 0, out, lut, lut, 4)
+    assert stream.running(spark, out) == seen
+    run(spark, "demux", "-1", f"{tmp_path}/f*_R1.fastq", "-2", f"{tmp_path}/f*_R2.fastq", "-b", tmp_path / "bc.json", "-o", tmp_path / "ds", "--r1-mismatches", "1", "--r2-mismatches", "1", "--streaming")
+    assert reads_in(tmp_path / "ds", 1) == reads_in(tmp_path / "dm", 1) and json.loads(spark.read.text(f"{tmp_path}/ds/report").first()[0]) == want
+
+
 def records_text(rng, n, mate):
     """FASTQ whose quality lines begin with '@' often."""
     rows = []
