@@ -106,6 +106,40 @@ def test_bigwig_round_trip(spark, sf, tmp_path):
         assert all(abs(g[3] - w[3]) <= 1e-6 * w[3] for g, w in zip(got, want, strict=True))
 
 
+def test_bigwig_zooms_equal_a_count_over_bases(spark, tmp_path, monkeypatch):
+    """Samples in many tasks, runs across their borders and those of stretches, chromosomes' ends."""
+    monkeypatch.setattr(bigwig, "REGION", 1000)
+    monkeypatch.setattr(bigwig, "ITEMS", 7)
+    rng, sizes, rows = random.Random(12), {"chr1": 5000, "chr10": 3001, "chr2": 700}, []
+    for pair in ("a", "b"):
+        for c, n in sizes.items():
+            at = 0
+            while (at := at + rng.randint(0, 40)) < n:
+                end = min(n, at + rng.choice((1, 9, 30, 700)))
+                rows.append((pair, c, at, end, rng.choice((1.0, 2.5, 7.0))))
+                at = end
+    df = spark.createDataFrame(rows, "pair string, chrom string, start long, end long, depth double")
+    (tmp_path / "old.bw").write_bytes(b"")
+    done = {r["pair"]: r for r in bigwig.write(df.repartition(3), sizes, str(tmp_path)).collect()}
+    assert sorted(f.name for f in tmp_path.iterdir()) == ["a.bw", "b.bw"]
+    for pair in ("a", "b"):
+        own = sorted(x[1:] for x in rows if x[0] == pair)
+        assert list(bigwig.read_file(done[pair]["path"])) == own and done[pair]["runs"] == len(own)
+        got = bigwig.read_zooms(done[pair]["path"])
+        assert list(got) == [256, 1024, 4096]
+        for r, found in got.items():
+            want = []
+            for c in sorted(sizes):
+                depth = [None] * sizes[c]
+                for x, a, z, d in own:
+                    if x == c:
+                        depth[a:z] = [d] * (z - a)
+                for k in range(0, sizes[c], r):
+                    if v := [d for d in depth[k : k + r] if d is not None]:
+                        want.append((c, k, min(k + r, sizes[c]), len(v), min(v), max(v), sum(v), sum(d * d for d in v)))
+            assert found == want
+
+
 def test_bigwig_many_sections_and_none(tmp_path):
     rng = random.Random(3)
     runs = [(c, 10 * i, 10 * i + rng.randint(1, 10), float(i % 7)) for c in ("chr1", "chr10", "chr2") for i in range(100_000)]
