@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillseq.functions import lineage
 from quillseq.functions.dna import clean_name
-from quillseq.operators import adapter, alignments, barcodes, dedup, demux, intervals, quality
+from quillseq.operators import adapter, alignments, barcodes, dedup, demux, intervals, mapping, quality
 from quillseq.sources import bam, barcode_files, bigwig, fastq, generator, genomes, tables
 from quillseq.streaming import demux as stream
 
@@ -96,6 +96,9 @@ def _chroms(spark: SparkSession, a: argparse.Namespace, r: DataFrame) -> dict[st
     """Chromosomes and their sizes: as given, else from the BAM files' headers, else those met, up to the last base met."""
     if sizes := _sizes(spark, a):
         return sizes
+    if a.reference:
+        found = tables.genome(spark, a.reference).select("rname", F.length("seq").cast("long").alias("size"))
+        return {x["rname"]: x["size"] for x in found.orderBy("rname").collect()}  # a row per chromosome
     if a.input.endswith(".bam") or bam.files.is_dir(a.input) and bam.files.listed(a.input, ".bam"):
         return bam.chromosomes(a.input)
     met = r.where("rname IS NOT NULL AND rname <> '*'").groupBy("rname").agg(F.max("end").alias("size"))
@@ -114,10 +117,15 @@ def _as_bam(r: DataFrame) -> DataFrame:
 
 
 def run_align(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Filters, tags and removes duplicates of alignments made elsewhere (BAM, SAM text or Parquet), each sample by itself. Writes
-    sorted BAM files with indexes: one per target, and one per pair in the folder pair (with --no-merge only these, in the
+    """Filters, tags and removes duplicates of alignments, each sample by itself: of those made elsewhere (BAM, SAM text or
+    Parquet), or with --reference of a folder of FASTQ files, whose reads are mapped (see operators.mapping). Writes sorted BAM files with indexes: one per target, and one per pair in the folder pair (with --no-merge only these, in the
     folder itself); or Parquet, a folder per target or pair."""
-    source = _alignments(spark, a.input, text=True)
+    if a.reference:
+        genome = tables.genome(spark, a.reference)
+        mapped = mapping.align(_pairs_in(spark, a.input), genome, a.min_len, a.max_len, k=a.seed)
+        source = lineage.written(mapped, "mapped")
+    else:
+        source = _alignments(spark, a.input, text=True)
     r = alignments.clean(alignments.concordant(source, a.min_len, a.max_len))
     if a.cb or a.umi:
         r = alignments.tagged(r)
@@ -233,6 +241,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--min-len", type=int, default=10)
     c.add_argument("--max-len", type=int, default=800)
     c.add_argument("--format", choices=("bam", "parquet"), default="bam")
+    c.add_argument("--reference")
+    c.add_argument("--seed", type=int, default=mapping.K)
     c.add_argument("-g", "--genome")
     c.add_argument("--chrom-sizes")
     c = command("qc", run_qc, "-i --input", "-o --out")

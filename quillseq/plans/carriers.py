@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed values of the carriers.
-LENGTH, MISMATCHES, HEX, AS_BASES = 12, 1, "0123456789abcdef", "ACGTACGTACGTACGT"
+LENGTH, MISMATCHES, READ, HEX, AS_BASES = 12, 1, 60, "0123456789abcdef", "ACGTACGTACGTACGT"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,24 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("pair", "qname", flag.cast("int").alias("flag"), rname.alias("rname"), start.cast("long").alias("pos"), (start + 50).cast("long").alias("end"), (key % 61).cast("int").alias("mapq"), F.when(first, key % 900).otherwise(-(key % 900)).cast("long").alias("tlen"), (key * 7 % 101).cast("long").alias("qsum"))
 
 
+def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rname and seq of four chromosomes: the bases of all parts, dealt out in turn."""
+    p = read(spark, sf_dir, "part").select(F.concat(F.lit("chr"), (F.col("p_partkey") % 4 + 1).cast("string")).alias("rname"), F.struct("p_partkey", dna(_of("ref:", "p_partkey")).alias("d")).alias("x"))
+    return p.groupBy("rname").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["d"]), "").alias("seq"))
+
+
+def genome_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """_id and seq: 60 bases of the reference per order, from a place by md5, with two bases put in, every second read from
+    the other strand."""
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("chr"), (F.col("o_orderkey") % 4 + 1).cast("string")).alias("rname"))
+    r = o.join(reference(spark, sf_dir), "rname").withColumn("_p", (number(_of("at:", "o_orderkey")) % (F.length("seq") - READ)).cast("int"))
+    part = F.substr("seq", F.col("_p") + 1, F.lit(READ))
+    base = F.substring(dna(_of("put:", "o_orderkey")), 1, 2)
+    made = F.concat(F.substr(part, F.lit(1), F.lit(20)), F.substr(base, F.lit(1), F.lit(1)), F.substr(part, F.lit(22), F.lit(18)), F.substr(base, F.lit(2), F.lit(1)), F.substr(part, F.lit(41)))
+    turned = F.reverse(F.translate(made, "ACGT", "TGCA"))
+    return r.select(F.col("o_orderkey").alias("_id"), F.when(F.col("o_orderkey") % 8 < 4, made).otherwise(turned).alias("seq"))
+
+
 def bed(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     return li.select(F.col("l_returnflag").alias("pair"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 24).cast("string")).alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("end"))
@@ -146,6 +164,12 @@ runs AS (
   SELECT pair, chrom, pos AS start, lead(pos) OVER w AS "end", sum(d) OVER (PARTITION BY pair, chrom ORDER BY pos ROWS UNBOUNDED PRECEDING)::BIGINT AS depth
   FROM steps WINDOW w AS (PARTITION BY pair, chrom ORDER BY pos))"""
 
+#: Where the reads of genome_reads() come from, and how many of their bases differ there.
+MAPPED = f"""
+WITH ref AS (SELECT 'chr' || (p_partkey % 4 + 1) AS rname, string_agg({_dna("'ref:' || p_partkey")}, '' ORDER BY p_partkey) AS seq FROM part GROUP BY 1),
+placed AS (SELECT o_orderkey AS rec, rname, seq, ({_number("'at:' || o_orderkey")} % (length(seq) - {READ}))::BIGINT AS pos, {_dna("'put:' || o_orderkey")} AS put FROM orders JOIN ref ON rname = 'chr' || (o_orderkey % 4 + 1))
+SELECT rec, rname, rec % 8 >= 4 AS rev, pos, ((substr(seq, pos + 21, 1) <> substr(put, 1, 1))::INT + (substr(seq, pos + 40, 1) <> substr(put, 2, 1))::INT)::BIGINT AS edits, '{READ}M' AS cigar, 60 AS mapq FROM placed"""
+
 #: A second mate with as many records as there are orders.
 LONGER = _mate(2, "orders", "o_orderkey", "longer")
 DEMUX = f"WITH {_BC},{_VAR},{_STRICT},{_COMPAT},{_mate(1)},{_mate(2)},{_ASSIGNED}\n"

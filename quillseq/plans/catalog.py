@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillseq.functions import dna
-from quillseq.operators import adapter, alignments, barcodes, dedup, demux, intervals, quality
+from quillseq.operators import adapter, alignments, barcodes, dedup, demux, intervals, mapping, quality
 from quillseq.plans import carriers as c
 
 SPEC_FIXED = [adapter.Tag("CB", 4), adapter.Tag("UMI", 3)]
@@ -130,6 +130,7 @@ def queries() -> dict:
         "paired_test": lambda s, d: alignments.is_paired(c.records(s, d)),
         "mapped_reads": _by_pair,
         "target_records": lambda s, d: alignments.per_target(c.records(s, d)).groupBy("target").agg(F.count(F.lit(1)).alias("n")),
+        "reads_mapped": lambda s, d: mapping.places(c.genome_reads(s, d), c.reference(s, d), k=11, w=5).withColumnRenamed("_id", "rec"),
         "catalog_compare": _catalogs,
     }
 
@@ -249,6 +250,7 @@ def oracle_sql() -> dict[str, str]:
         "paired_test": f"{al} SELECT bool_or(flag & 1 > 0) AS paired FROM records",
         "mapped_reads": f"{al} {mapped}",
         "target_records": f"{al} SELECT target, count(*) AS n FROM (SELECT unnest(string_split(pair, '-')) AS target FROM records) GROUP BY 1",
+        "reads_mapped": c.MAPPED,
         "catalog_compare": """WITH s AS (SELECT n_name AS file, md5(count(*)::VARCHAR) AS a FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1),
             n AS (SELECT n_name AS file, md5(count(*)::VARCHAR) AS b FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)
             SELECT file, CASE WHEN b IS NULL THEN 'missing' WHEN a IS NULL THEN 'extra' WHEN a <> b THEN 'mismatched' ELSE 'same' END AS state FROM s FULL JOIN n USING (file)""",

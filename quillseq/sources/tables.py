@@ -109,6 +109,32 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     return e.where("barcode <> ''")
 
 
+def genome(spark: SparkSession, path: str) -> DataFrame:
+    """rname (a header's first word) and seq, a row per chromosome, of a FASTA file or a folder of them, a task per file."""
+    named = [p for p in (files.listed(path, ".fa", ".fasta", ".fa.gz", ".fasta.gz") if files.is_dir(path) else [path])]
+
+    def run(batches):
+        from quillseq.sources.fastq import Text, lines_in
+
+        row = lambda name, parts: pa.RecordBatch.from_arrays([pa.array([name]), pa.array([b"".join(parts).decode().upper()])], names=["rname", "seq"])
+        for b in batches:
+            for one in b.column("path").to_pylist():
+                name, parts = None, []
+                for lines in lines_in(Text(one).pieces()):
+                    for x in lines:
+                        if x.startswith(b">"):
+                            if name is not None:
+                                yield row(name, parts)
+                            name, parts = (x[1:].split() or [b""])[0].decode(), []
+                        else:
+                            parts.append(x.strip())
+                if name is not None:
+                    yield row(name, parts)
+
+    listed = spark.createDataFrame([(p,) for p in named], "path string").repartition(max(1, len(named)))
+    return listed.mapInArrow(run, "rname string, seq string")
+
+
 def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
     """A small table (a row per sample) as one tab-separated file."""
     df.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=header)
