@@ -145,7 +145,7 @@ def run_align(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_qc(spark: SparkSession, a: argparse.Namespace) -> None:
-    features = a.features or genomes.path_of("features", a.species)
+    features = a.features or genomes.path_of(a.species if a.genome else "features", a.genome or a.species)
     r = demux.exclude(_alignments(spark, a.input), a.exclude.split(","))
     s = intervals.overlap_ratio(r, tables.bed(spark, features)).select("pair", "read_count", "overlap_ratio").cache()  # a row per sample
     tables.write_tsv(quality.ranked(s), f"{a.out}/all_qc")
@@ -247,7 +247,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--chrom-sizes")
     c = command("qc", run_qc, "-i --input", "-o --out")
     c.add_argument("-f", "--features")
-    c.add_argument("-s", "--species")
+    c.add_argument("-g", "--genome", choices=("hg38", "mm10"))
+    c.add_argument("-s", "--species", default="ccre")
     c.add_argument("-r", "--min-ratio", type=float, default=0.0)
     for q in (c, command("qc_by_percentile", run_qc_by_percentile, "-i --input", "-o --out")):
         q.add_argument("-p", "--percentile", type=float, default=0.25)

@@ -1,8 +1,8 @@
 """Files of known genomes: where they lie, and whether they are whole.
 
 Nothing is downloaded. A JSON file, named by the environment variable QUILLSEQ_GENOMES, says where each genome's files are:
-{"hg38": {"chrom_sizes": path, "features": path, "index": path prefix}, ...}. A file's "<path>.md5", where there is one, holds
-its digest, and a file that differs from it is an error.
+{"hg38": {"chrom_sizes": path, "ccre": path, "dhs": path, "index": path prefix}, ...}. A file's "<path>.md5" or "<path>.sha256",
+where there is one, holds its digest, and a file that differs from it is an error.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ def path_of(kind: str, genome: str | None) -> str:
     if genome not in known or kind not in known[genome]:
         raise KeyError(f"no {kind} for {genome}; known: {', '.join(sorted(known))}")
     path = known[genome][kind]
-    if os.path.exists(f"{path}.md5"):
-        with open(f"{path}.md5") as f:
-            if f.read().split()[0] != digest(path):
-                raise ValueError(f"{path} differs from its digest")
+    for sum_of in ("md5", "sha256"):
+        if os.path.exists(f"{path}.{sum_of}"):
+            with open(f"{path}.{sum_of}") as f:
+                if f.read().split()[0] != digest(path, sum_of):
+                    raise ValueError(f"{path} differs from its digest")
     return path
