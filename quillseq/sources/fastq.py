@@ -36,8 +36,9 @@ from quillseq.sources.files import local
 
 FIELDS = ("name", "seq", "plus", "qual")
 ENDINGS = (".fastq", ".fastq.gz", ".fq", ".fq.gz")
-#: Bytes whose line breaks one row counts, bytes that a task reads of a first mate, bytes read at once.
-STEP, SPLIT, PIECE = 4 << 20, 64 << 20, 1 << 20
+#: Bytes whose line breaks one row counts, bytes that a task reads of a first mate at most and
+#: at least, bytes read at once.
+STEP, SPLIT, LEAST, PIECE = 4 << 20, 64 << 20, 1 << 20, 1 << 20
 BLANK = re.compile(rb"\n[ \t\r\x0b\x0c]*(?=\n)")
 
 
@@ -258,12 +259,14 @@ def _read(strict: bool):
     return run
 
 
-def scan(spark: SparkSession, pairs: list[tuple[str, str, str | None]], strict: bool = False, split: int = SPLIT, step: int = STEP) -> DataFrame:
+def scan(spark: SparkSession, pairs: list[tuple[str, str, str | None]], strict: bool = False, split: int | None = None, step: int = STEP) -> DataFrame:
     """pair, rec and the fields of both mates (of the first only, where there is no second) of pairs of files (name, first
-    mates, second mates)."""
+    mates, second mates). split: bytes of first mates that a task reads; SPLIT, or less where there would be too few tasks."""
     if len({p[2] is None for p in pairs}) > 1:
         raise ValueError("files with and without mates cannot be read together")
     names = [f"{c}{i}" for i in (1, 2) for c in FIELDS] if pairs and pairs[0][2] else list(FIELDS)
+    if split is None:
+        split = min(SPLIT, max(LEAST, sum(files.size(p[1]) for p in pairs) // (2 * spark.sparkContext.defaultParallelism)))
     step = min(step, split)
     found = tasks(index(spark, pairs, strict, step).cache(), strict, max(1, split // step)).cache()  # a row per stretch, and per task
     n = max(1, found.count())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
 
 from pyarrow import fs as arrow_fs
 
@@ -37,16 +37,21 @@ def listed(path: str, *endings: str) -> list[str]:
     return sorted(scheme + x.path for x in info if x.is_file and (not endings or x.path.endswith(endings)))
 
 
+def remove(path: str) -> None:
+    fs, p = at(path)
+    fs.delete_file(p)
+
+
 def is_dir(path: str) -> bool:
     fs, p = at(path)
     return fs.get_file_info(p).type == arrow_fs.FileType.Directory
 
 
 def copied(parts: list[str], target: str, last: bytes = b"", piece: int = 8 << 20) -> int:
-    """Joins parts, in order, to a file: under another name first, so that a task that ends early leaves no half of it."""
+    """Joins parts, in order, to a file in a folder that is there: under another name first, so that a task that ends early leaves no half of it."""
     fs, to = at(target)
-    fs.create_dir(to.rpartition("/")[0], recursive=True)
-    held, n = f"{to.rpartition('/')[0]}/.{to.rpartition('/')[2]}.{next(_names)}", 0
+    folder, _, name = to.rpartition("/")
+    held, n = f"{folder}/.{name}.{uuid.uuid4().hex}", 0
     with fs.open_output_stream(held, compression=None) as out:
         for part in parts:
             source, p = at(part)
@@ -58,13 +63,3 @@ def copied(parts: list[str], target: str, last: bytes = b"", piece: int = 8 << 2
             out.write(last)
     fs.move(held, to)
     return n + len(last)
-
-
-def _unique() -> Iterator[str]:
-    import uuid
-
-    while True:
-        yield uuid.uuid4().hex
-
-
-_names = _unique()

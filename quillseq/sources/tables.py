@@ -14,8 +14,9 @@ from quillseq.sources import bgzf, files
 #: Columns of the SAM text format, before its optional fields.
 SAM = "qname string, flag int, rname string, pos1 long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string"
 
-#: Records of a pair, and bases of a chromosome, that one writer has; the compression level where none is given.
-BLOCK, REGION, LEVEL = 1 << 20, 1 << 24, 6
+#: Records of a pair, and bases of a chromosome, that one writer has; the compression level where none is given;
+#: characters that a writer holds.
+BLOCK, REGION, LEVEL, PIECE = 1 << 22, 1 << 24, 6, 1 << 20
 #: Names of FASTQ files: sample, perhaps lane, mate, perhaps chunk.
 MATE = r"([^/]+?)(?:_L[0-9]{3})?_R?([12])(?:_[0-9]{3})?(?:\.trimmed)?\.(?:fastq|fq)(?:\.gz)?$"
 
@@ -150,69 +151,72 @@ def named_by(template: str, columns: tuple[str, ...]) -> re.Pattern:
 
 
 def join_named(spark: SparkSession, parts: dict[str, list[str]], path: str, template: str, columns: tuple[str, ...], last: bytes = b"") -> list[str]:
-    """Files of a folder by name, each of parts in order; a task per file. Files that the template fits and that are not written
+    """Files of a folder by name, each of parts in order; a file is joined by one task. Files that the template fits and that are not written
     anew are deleted. Only names pass through the driver."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(where)
     path = fs.makeQualified(where).toString().rstrip("/")
-    targets = {f"{path}/{name}": [{"path": p} for p in of] for name, of in parts.items()}
+    targets = {f"{path}/{name}": of for name, of in parts.items()}
     if targets:
-        jobs = spark.createDataFrame(list(targets.items()), "target string, parts array<struct<path:string>>").repartition(len(targets), "target")
+        jobs = spark.createDataFrame(list(targets.items()), "target string, parts array<string>").repartition(min(len(targets), 8 * spark.sparkContext.defaultParallelism))
         jobs.mapInArrow(_joiner(last), "target string, bytes long").collect()  # a row per file
     fits = named_by(template, columns)
-    for f in fs.listStatus(where):
-        name = f.getPath().getName()
-        if not f.isDirectory() and fits.match(name) and name not in parts:
-            fs.delete(f.getPath(), False)
+    for stale in (p for p in files.listed(path) if fits.match(p.rsplit("/", 1)[1]) and p not in targets):
+        files.remove(stale)
     return sorted(targets)
 
 
 def _part_writer(folder: str, level: int | None, columns: int):
-    """Rows of names and a line, sorted by the names: a file per run of one name, its lines in order; gives (names, task, path,
-    lines). Blocked gzip where there is a level. A task that is tried again writes files of other names."""
+    """Rows of names, a part's number in order, and a line, sorted by the first: a file per run of one name and number, its lines in
+    order; gives (names, number, path, lines). Blocked gzip where there is a level. A task that is tried again writes files of
+    other names."""
 
     def run(rows):
-        from pyspark import TaskContext
-
-        task, out, names, n, path, held = TaskContext.get().partitionId(), None, None, 0, None, b""
-        done = []
-
-        def put(data: bytes, all_of_it: bool = False) -> bytes:
+        out, key, n, path, held, done = None, None, 0, None, [], []
+        fs, base = files.at(folder)
+        base = f"{base}/{uuid.uuid4().hex}"  # a folder of the task's own
+        fs.create_dir(base, recursive=True)
+
+        def put(all_of_it: bool) -> None:
+            nonlocal held, size
+            data = "".join(held).encode()
+            cut = len(data) if level is None or all_of_it else len(data) - len(data) % bgzf.FULL
             if level is None:
                 out.write(data)
-                return b""
-            cut = len(data) if all_of_it else len(data) - len(data) % bgzf.FULL
-            for b in bgzf.blocks(memoryview(data)[:cut], level):
-                out.write(b)
-            return data[cut:]
+            else:
+                for b in bgzf.blocks(memoryview(data)[:cut], level):
+                    out.write(b)
+            held = [data[cut:].decode()] if cut < len(data) else []
+            size = len(data) - cut
 
         def close():
-            put(held, True)
+            put(True)
             out.close()
-            done.append((*names, task, path, n))
+            done.append((*key, path, n))
 
+        size = 0
         for b in rows:
-            keys = [b.column(k).to_pylist() for k in range(columns)]
-            lines = b.column(columns)
-            of = list(zip(*keys, strict=True))
-            begins = [0, *(k for k in range(1, len(of)) if of[k] != of[k - 1]), len(of)]
+            keys = list(zip(*(b.column(k).to_pylist() for k in range(columns + 1)), strict=True))
+            lines = b.column(columns + 1).to_pylist()
+            begins = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
             for a, e in zip(begins[:-1], begins[1:], strict=True):
                 if a == e:
                     continue
-                if of[a] != names:
+                if keys[a] != key:
                     if out is not None:
                         close()
-                    names, n, held = of[a], 0, b""
-                    path = f"{folder}/{uuid.uuid4().hex}"
-                    fs, at = files.at(path)
-                    fs.create_dir(at.rpartition("/")[0], recursive=True)
-                    out = fs.open_output_stream(at, compression=None)
-                held = put(held + "\n".join([*lines.slice(a, e - a).to_pylist(), ""]).encode())
-                n += e - a
+                    key, n, held, size = keys[a], 0, [], 0
+                    path = f"{base}/{len(done)}"
+                    out = fs.open_output_stream(path, compression=None)
+                text = "\n".join([*lines[a:e], ""])
+                held.append(text)
+                size, n = size + len(text), n + e - a
+                if size >= PIECE:
+                    put(False)
         if out is not None:
             close()
-        kinds = [pa.string()] * columns + [pa.int32(), pa.string(), pa.int64()]
+        kinds = [pa.string()] * columns + [pa.int64(), pa.string(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True) if done else [[]] * len(kinds), kinds, strict=True)], names=[f"c{k}" for k in range(len(kinds))])
 
     return run
@@ -221,35 +225,38 @@ def _part_writer(folder: str, level: int | None, columns: int):
 def _joiner(last: bytes):
     def run(rows):
         for b in rows:
-            for target, parts in zip(b.column("target").to_pylist(), b.column("parts").to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([files.copied([p["path"] for p in parts], target, last)])], names=["target", "bytes"])
+            targets = b.column("target").to_pylist()
+            size = [files.copied(parts, target, last) for target, parts in zip(targets, b.column("parts").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(targets), pa.array(size, pa.int64())], names=["target", "bytes"])
 
     return run
 
 
 def write_named(rows: DataFrame, path: str, template: str, columns: tuple[str, ...], level: int | None = None) -> list[str]:
-    """One file per values of columns (text, by which each partition of rows is sorted, partitions being in order), named by the
-    template, with the lines of the last column; blocked gzip where there is a level. Files that the template fits and that are not
-    written anew are deleted, so nothing of an earlier run stays.
+    """One file per values of columns (text), named by the template, of rows with columns, a part's number (long) and a line, which
+    each partition has sorted by columns and number; of one name and number all rows are in one partition. Parts follow each other by
+    number. Blocked gzip where there is a level. Files that the template fits and that are not written anew are deleted, so
+    nothing of an earlier run stays.
 
     Tasks write parts, of which only names pass through the driver; other tasks join them, in order. A file gets its name when it
     is whole."""
     spark = rows.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(conf)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(where)
     path = fs.makeQualified(where).toString().rstrip("/")
     staged = f"{path}/.staged-{uuid.uuid4().hex}"
-    names = [f"c{k}" for k in range(len(columns) + 3)]
+    scheme = path[: len(path) - len(files.at(path)[1])]
+    n = len(columns)
     try:
-        schema = ", ".join([*(f"{c} string" for c in names[:-3]), f"{names[-3]} int, {names[-2]} string, {names[-1]} long"])
-        parts = rows.mapInArrow(_part_writer(staged, level, len(columns)), schema).collect()  # a row per part
-        value = lambda r: {c: "all" if r[k] is None else r[k] for k, c in enumerate(columns)}
-        joined: dict[str, list[str]] = {}
-        for r in sorted(parts, key=lambda r: r[names[-3]]):
-            joined.setdefault(template.format(**value(r)), []).append(r[names[-2]])
-        return join_named(spark, joined, path, template, columns, bgzf.END_BLOCK if level is not None else b"")
+        schema = ", ".join([*(f"c{k} string" for k in range(n)), f"c{n} long, c{n + 1} string, c{n + 2} long"])
+        parts = rows.mapInArrow(_part_writer(staged, level, n), schema).collect()  # a row per part
+        joined: dict[str, list[tuple[int, str]]] = {}
+        for r in parts:
+            name = template.format(**{c: "all" if r[k] is None else r[k] for k, c in enumerate(columns)})
+            joined.setdefault(name, []).append((r[n], scheme + r[n + 1]))
+        return join_named(spark, {k: [p for _, p in sorted(v)] for k, v in joined.items()}, path, template, columns, bgzf.END_BLOCK if level is not None else b"")
     finally:
         fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
 
@@ -263,22 +270,22 @@ def write_bed(df: DataFrame, path: str, by: str | None = None, partitions: int |
         w.write.mode("overwrite").csv(path, sep="\t")
         return
     line = F.concat_ws("\t", *[F.col(c).cast("string") for c in df.columns if c != by])
-    write_named(w.select(F.col(by).cast("string").alias(by), line.alias("_line")), path, f"{{{by}}}.{extension}", (by,))
+    write_named(w.select(F.col(by).cast("string").alias(by), F.spark_partition_id().cast("long").alias("_part"), line.alias("_line")), path, f"{{{by}}}.{extension}", (by,))
 
 
 def write_fastq_by_pair(df: DataFrame, path: str, template: str = "{pair}_{mate}.fastq.gz", keep_plus: bool = False, level: int | None = None) -> list[str]:
-    """FASTQ of both mates in one pass, one file per pair and mate. Rows are dealt by ranges of (pair, order), so a dominant pair
+    """FASTQ of both mates in one pass, one file per pair and mate. Rows are dealt by pair and block of records, so a dominant pair
     has many writers, and both mates of a record are written by the same one; records already in canonical order come first (column
     swapped, where there is one). The line before the qualities is a bare '+' unless keep_plus. A template with '.gz' writes
     blocked gzip, which any gzip reader reads and fastq.scan splits; level: of compression, 1 to 9."""
     plus = lambda m: F.coalesce(f"plus{m}", F.lit("+")) if keep_plus and f"plus{m}" in df.columns else F.lit("+")
     record = lambda m: F.struct(F.lit(f"R{m}").alias("mate"), F.concat_ws("\n", f"name{m}", f"seq{m}", plus(m), f"qual{m}").alias("value"))
-    first = ["pair", *(["swapped"] if "swapped" in df.columns else [])]
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # ranges are cut between blocks of records only, so that small pairs are whole
-    dealt = df.select(*first, "rec", F.array(record(1), record(2)).alias("_m")).repartitionByRange(n, *first, F.floor(F.col("rec") / BLOCK))
-    rows = dealt.select(*first, "rec", F.explode("_m").alias("_m")).select(*first, "rec", "_m.mate", "_m.value").sortWithinPartitions("pair", "mate", *first[1:], "rec")
-    return write_named(rows.select("pair", "mate", "value"), path, template, ("pair", "mate"), (level or LEVEL) if template.endswith(".gz") else None)
+    swapped = F.col("swapped").cast("long") if "swapped" in df.columns else F.lit(0).cast("long")
+    number = (F.shiftleft(swapped, 62) + F.floor(F.col("rec") / BLOCK)).alias("_part")  # by number, parts are in order
+    dealt = df.select("pair", number, "rec", F.array(record(1), record(2)).alias("_m")).repartition(n, "pair", "_part")
+    rows = dealt.select("pair", "_part", "rec", F.explode("_m").alias("_m")).select("pair", "_m.mate", "_part", "rec", "_m.value").sortWithinPartitions("pair", "mate", "_part", "rec")
+    return write_named(rows.select("pair", "mate", "_part", "value"), path, template, ("pair", "mate"), (level or LEVEL) if template.endswith(".gz") else None)
 
 
 def write_report(report: DataFrame, path: str) -> None:
