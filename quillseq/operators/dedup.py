@@ -88,7 +88,7 @@ def by_umi(records: DataFrame, per_cell: bool = False, method: str = "directiona
     if method == "unique":
         return unique.select(*own, "qname", "copies")
 
-    near = unique.select(F.struct(*key).alias("_at"), "umi", "copies", "qname")
+    near = written(unique.select(F.struct(*key).alias("_at"), "umi", "copies", "qname"), "umis")  # read several times
     named = _named(near)
     out = near.join(named, ["_at", "umi"], "left").withColumn("_top", F.coalesce("_top", _rank()))
     return out.groupBy("_at", "_top").agg(F.sum("copies").alias("copies")).select(*[F.col(f"_at.{c}").alias(c) for c in own], "_top.qname", "copies")

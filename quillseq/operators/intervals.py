@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillseq.operators.alignments import primary
@@ -24,11 +24,23 @@ def bed_sorted(bed: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return bed.orderBy(*keys, "chrom", "start", "end")
 
 
+def _merged(sorted_by_start: Column) -> Column:
+    """Intervals that overlap or touch, as one; the others as they are."""
+    last = lambda held: F.try_element_at(held, F.lit(-1))
+
+    def step(held: Column, x: Column) -> Column:
+        wider = F.struct(last(held)["s"].alias("s"), F.greatest(last(held)["e"], x["e"]).alias("e"))
+        return F.when((F.size(held) == 0) | (x["s"] > last(held)["e"]), F.concat(held, F.array(x))).otherwise(F.concat(F.slice(held, F.lit(1), F.size(held) - 1), F.array(wider)))
+
+    return F.aggregate(sorted_by_start, F.array().cast("array<struct<s:bigint,e:bigint>>"), step)
+
+
 def _by_span(right: DataFrame, width: int) -> DataFrame:
-    """Per (__c, __span), for every span up to the last that an interval of right reaches: __f, the intervals that begin there (start
-    and the furthest end, at most width of them), __reach, the furthest end of those that begin before, and __next, the least start after it."""
+    """Per (__c, __span), for every span up to the last that an interval of right reaches: __f, the intervals that begin there (those
+    that overlap as one, at most width of them), __reach, the furthest end of those that begin before, and __next, the least start after it."""
     r = right.where("start < end AND chrom IS NOT NULL").groupBy(F.col("chrom").alias("__c"), F.col("start").alias("s")).agg(F.max("end").alias("e"))
-    per = r.groupBy("__c", F.floor(F.col("s") / width).alias("_k")).agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("__f"), F.max("e").alias("_far"))
+    per = r.groupBy("__c", F.floor(F.col("s") / width).alias("_k")).agg(F.array_sort(F.collect_list(F.struct(F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e")))).alias("__f"), F.max("e").alias("_far"))
+    per = per.withColumn("__f", F.when(F.size("__f") > 1, _merged(F.col("__f"))).otherwise(F.col("__f")))
     w = Window.partitionBy("__c").orderBy("_k")  # a row per span of a chromosome
     up_to = w.rowsBetween(Window.unboundedPreceding, 0)
     per = per.withColumns({

@@ -71,12 +71,14 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def genome_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """_id and seq: 60 bases of the reference per order, from a place by md5, with two bases put in, every second read from
-    the other strand."""
-    o = read(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("chr"), (F.col("o_orderkey") % 4 + 1).cast("string")).alias("rname"))
-    r = o.join(reference(spark, sf_dir), "rname").withColumn("_p", (number(_of("at:", "o_orderkey")) % (F.length("seq") - READ)).cast("int"))
-    part = F.substr("seq", F.col("_p") + 1, F.lit(READ))
+    the other strand. Parts' keys are dense from 0, so the three parts that a read lies in follow from its place."""
+    per = read(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 4).alias("_r")).agg((F.count(F.lit(1)) * 32).alias("_length"))  # four rows
+    r = read(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 4).alias("_r")).join(per, "_r")
+    r = r.withColumn("_p", number(_of("at:", "o_orderkey")) % (F.col("_length") - READ))
+    bases = lambda j: dna(F.concat(F.lit("ref:"), ((F.floor(F.col("_p") / 32) + j) * 4 + F.col("_r")).cast("string")))
+    r = r.withColumn("_part", F.substr(F.concat(bases(0), bases(1), bases(2)), (F.col("_p") % 32 + 1).cast("int"), F.lit(READ)))
     base = F.substring(dna(_of("put:", "o_orderkey")), 1, 2)
-    made = F.concat(F.substr(part, F.lit(1), F.lit(20)), F.substr(base, F.lit(1), F.lit(1)), F.substr(part, F.lit(22), F.lit(18)), F.substr(base, F.lit(2), F.lit(1)), F.substr(part, F.lit(41)))
+    made = F.concat(F.substr("_part", F.lit(1), F.lit(20)), F.substr(base, F.lit(1), F.lit(1)), F.substr("_part", F.lit(22), F.lit(18)), F.substr(base, F.lit(2), F.lit(1)), F.substr("_part", F.lit(41)))
     turned = F.reverse(F.translate(made, "ACGT", "TGCA"))
     return r.select(F.col("o_orderkey").alias("_id"), F.when(F.col("o_orderkey") % 8 < 4, made).otherwise(turned).alias("seq"))
 
