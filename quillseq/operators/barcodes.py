@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,20 +76,63 @@ def _first_alike(a: Column, b: Column, k: Column) -> Column:
     return F.forall(F.sequence(F.lit(0), k), lambda i: (i == k) | (F.get(a, i)["text"] != F.get(b, i)["text"]))
 
 
-def ambiguous(candidates: DataFrame, rate: float) -> DataFrame:
-    """Pairs of candidate sequences (ord, barcode) of one length that some read could match alike. Only those that share a piece
-    are compared: one more piece than the places in which they may differ."""
-    budget = lambda c: F.floor(F.length(c) * F.lit(rate)).cast("int")
-    c = candidates.where("barcode IS NOT NULL").select("ord", "barcode", F.length("barcode").alias("_n"), (2 * budget("barcode")).alias("_most"))
-    c = c.withColumn("_p", _pieces(F.col("barcode"), F.least(F.col("_most") + 1, F.greatest("_n", F.lit(1)))))
-    keyed = c.select("*", F.explode("_p").alias("x")).select("ord", "barcode", "_n", "_most", "_p", "x.k", "x.text")
-    other = keyed.select(F.col("ord").alias("ord_b"), F.col("barcode").alias("b"), F.col("_p").alias("_q"), "_n", "k", "text")
-    near = keyed.withColumnsRenamed({"ord": "ord_a", "barcode": "a"}).join(other, ["_n", "k", "text"]).where("ord_a < ord_b").where(_first_alike(F.col("_p"), F.col("_q"), F.col("k")))
-    near = near.withColumn("dist", hamming(F.col("a"), F.col("b"))).where("dist <= _most").select("ord_a", "ord_b", "a", "b", "dist")
-    # as many places may differ as there are: nothing need be shared
-    every = c.where("_most >= _n").select("ord", "barcode", "_n")
-    free = every.withColumnsRenamed({"ord": "ord_a", "barcode": "a"}).join(every.withColumnsRenamed({"ord": "ord_b", "barcode": "b"}), "_n").where("ord_a < ord_b").select("ord_a", "ord_b", "a", "b", hamming(F.col("a"), F.col("b")).alias("dist"))
-    return near.join(every.select(F.col("ord").alias("ord_a")).distinct(), "ord_a", "left_anti").unionByName(free)
+#: Barcodes of a block, about; pairs of one length compared at once, times their length.
+BLOCK, AT_ONCE = 4096, 8 << 20
+_PAIR = "ord_a {0}, ord_b {0}, a string, b string, dist int"
+
+
+def _codes(texts: pa.Array, n: int) -> np.ndarray:
+    """A row per place, of the letters that the texts, all of n letters, have there."""
+    letters = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), "<u4").reshape(len(texts), n)
+    if letters.size and letters.max() > 255:
+        letters = np.unique(letters, return_inverse=True)[1].reshape(letters.shape)
+    return np.ascontiguousarray(letters.T.astype(np.uint8 if not letters.size or letters.max() < 256 else np.uint32))
+
+
+def _compared(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of two blocks, or of one with itself, that differ in at most _most places: a stretch of one block at a time."""
+    n, i, j = (k.as_py() for k in key)
+    t = pa.Table.from_batches(list(batches)).combine_chunks()
+    block = t.column("_b").to_numpy()
+    left, right = (t.filter(pa.array(block == k)) for k in (i, j))
+    text, order = lambda x: x.column("barcode").combine_chunks(), lambda x: x.column("ord").combine_chunks()
+    if not len(left) or not len(right):
+        return
+    (a, b), (x, y), (u, v) = (_codes(text(s), n) for s in (left, right)), map(text, (left, right)), map(order, (left, right))
+    first, second = (o.to_numpy(zero_copy_only=False) for o in (u, v))
+    most = t.column("_most")[0].as_py()
+    tall = max(1, AT_ONCE // max(n, 8) // len(right))
+    for k in range(0, len(left), tall):
+        dist = np.zeros((min(tall, len(left) - k), len(right)), np.uint8 if n < 256 else np.int32)
+        for p in range(n):
+            dist += a[p, k : k + tall, None] != b[p]
+        near = dist <= most
+        before = first[k : k + tall, None] < second
+        near &= before if i == j else before | (first[k : k + tall, None] > second)
+        r, c = np.nonzero(near)
+        turned, d = ~before[r, c], dist[r, c].astype(np.int32)
+        for swap in (False, True):
+            r_, c_ = pa.array(r[turned == swap] + k), pa.array(c[turned == swap])
+            if len(r_):
+                ends = [u.take(r_), v.take(c_)], [x.take(r_), y.take(c_)]
+                yield pa.RecordBatch.from_arrays([*ends[0][:: -1 if swap else 1], *ends[1][:: -1 if swap else 1], pa.array(d[turned == swap])], names=["ord_a", "ord_b", "a", "b", "dist"])
+
+
+def ambiguous(candidates: DataFrame, rate: float, block: int = BLOCK) -> DataFrame:
+    """Pairs of candidate sequences (ord, barcode) of one length that some read could match alike.
+
+    They may differ in so many places (half of them at a rate of 0.3) that no key would spare many comparisons, and the pairs
+    themselves grow with the square of the candidates. So all are compared, each pair once: candidates are dealt to blocks, and
+    every two blocks of one length are a group, of a size that does not grow with the table."""
+    budget = F.floor(F.length("barcode") * F.lit(rate)).cast("int")
+    c = candidates.where("barcode IS NOT NULL AND ord IS NOT NULL").select("ord", "barcode", F.length("barcode").alias("_n"), (2 * budget).alias("_most"))
+    spark = candidates.sparkSession
+    blocks = max(1, -(-c.count() // block))
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(blocks * (blocks + 1) // 16, 10000))  # a number of its own: small rows, much work
+    b, o = F.col("_b"), F.col("_o")
+    dealt = c.withColumn("_b", F.pmod(F.xxhash64("ord", "barcode"), F.lit(blocks))).withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
+    dealt = dealt.select("ord", "barcode", "_n", "_most", "_b", F.least(b, o).alias("_i"), F.greatest(b, o).alias("_j")).repartition(groups, "_n", "_i", "_j")
+    return dealt.groupBy("_n", "_i", "_j").applyInArrow(_compared, _PAIR.format(dict(candidates.dtypes)["ord"]))
 
 
 def lookup_met(barcodes: DataFrame, mismatches: int, prefixes: DataFrame) -> DataFrame:

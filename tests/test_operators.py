@@ -332,6 +332,17 @@ def test_near_barcodes_by_shared_pieces(spark):
         assert sorted(map(tuple, barcodes.ambiguous(c, rate).collect())) == want
 
 
+def test_near_barcodes_of_many_blocks(spark):
+    """Blocks of any size give the same pairs, once each; letters of any kind, equal orders, and equal rows."""
+    rng = random.Random(11)
+    seqs = [(k // 2 * 2 if k % 50 == 0 else k, "".join(rng.choice("ACGTé漢") for _ in range(rng.choice((6, 7))))) for k in range(260)]
+    seqs += seqs[:3] + [(None, "ACGTAC"), (900, None)]
+    want = sorted((i, j, a, b, d) for i, a in seqs for j, b in seqs if None not in (i, j, a, b) and i < j and len(a) == len(b) and (d := sum(x != y for x, y in zip(a, b, strict=True))) <= 2 * int(len(a) * 0.3))
+    c = spark.createDataFrame(seqs, "ord long, barcode string")
+    for block in (40, 1000):
+        assert sorted(map(tuple, barcodes.ambiguous(c, 0.3, block).collect())) == want
+
+
 def test_lookup_of_met_sequences_equals_the_whole_table(spark):
     rng = random.Random(10)
     for m, length in ((0, 5), (1, 5), (2, 5), (3, 4), (3, 2)):
