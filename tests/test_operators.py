@@ -322,6 +322,24 @@ def test_overlaps_equal_a_search(spark):
     assert intervals.overlap_semi(df, spark.createDataFrame([], "chrom string, start long, end long")).count() == 0
 
 
+def test_large_lookup_tables_are_not_broadcast(spark):
+    """400 barcodes are a small table, their 14,800 variants are not; a table of few variants is broadcast as before."""
+    bc = spark.createDataFrame([(k, "".join("ACGT"[k >> 2 * i & 3] for i in range(5)) + "AC" * 2, f"n{k % 50}") for k in range(400)], "ord long, barcode string, name string")
+    reads = pairs(spark, [(r["barcode"] + "GG", "N" * 9 + "TT") for r in bc.collect()] + [("N" * 11, "N" * 11)] * 50)
+    plan = lambda t: demux.assign(reads, t, t, 9)._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "500KB")
+    try:
+        for make in (barcodes.lookup, barcodes.lookup_strict):
+            large = make(bc, 1)
+            assert "BroadcastHashJoin" not in plan(large) and "BroadcastHashJoin" in plan(make(bc.limit(3), 1))
+            got = demux.assign(reads, large, large, 9).collect()
+            want = lut(large)
+            assert len(got) == 450 and all(r["target1"] == want.get(r["seq1"][:9], (None,))[0] for r in got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_near_barcodes_by_shared_pieces(spark):
     rng = random.Random(9)
     seqs = ["".join(rng.choice("ACGT") for _ in range(rng.choice((0, 1, 2, 5, 8, 8, 8)))) for _ in range(90)]
