@@ -16,6 +16,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,7 +95,7 @@ def seeds_of_reference(reference: DataFrame, k: int, w: int, most_places: int, s
 
     found = reference.select("rname", "seq").mapInArrow(cut, "rname string, start long, text string").repartition("rname", "start").mapInArrow(run, "hash long, rname string, at long, strand boolean")
     often = found.groupBy("hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most_places)
-    return found.join(often, "hash", "left_anti")
+    return found.join(often.hint("merge"), "hash", "left_anti")
 
 
 def seeds_of_reads(reads: DataFrame, k: int, w: int, longest: int) -> DataFrame:
@@ -151,6 +152,20 @@ def banded(reads: np.ndarray, texts: np.ndarray, band: int) -> tuple[np.ndarray,
     return edits, d, cigars
 
 
+def may_match(reads: np.ndarray, texts: np.ndarray, band: int, most: int, q: int = 4) -> np.ndarray:
+    """Whether a read can lie in its text, as banded() has it, with at most so many edits: each edit changes at most q of the read's
+    stretches of q bases, the others stand in the text somewhere within the band. None that can is lost."""
+    n, m = reads.shape
+    need = m - q + 1 - q * most
+    if need <= 0:
+        return np.ones(n, bool)
+    known, found = reads < 4, np.zeros((n, m - q + 1), bool)
+    for d in range(2 * band + 1):
+        same = (texts[:, d : d + m] == reads) & known
+        found |= np.logical_and.reduce([same[:, j : j + m - q + 1] for j in range(q)])
+    return found.sum(axis=1) >= need
+
+
 def _verified(band: int, rate: float):
     """Rows (seq, text, at) with edits, pos and cigar of those within the rate."""
     def run(batches):
@@ -161,7 +176,9 @@ def _verified(band: int, rate: float):
                 of = np.array([k for k, s in enumerate(seqs) if len(s) == m])
                 r = _CODE[np.frombuffer("".join(seqs[k] for k in of).encode(), np.uint8)].reshape(len(of), m)
                 t = _CODE[np.frombuffer("".join(texts[k][: m + 2 * band].ljust(m + 2 * band, "|") for k in of).encode(), np.uint8)].reshape(len(of), m + 2 * band)
-                e, first, ways = banded(r, t, band)
+                can = may_match(r, t, band, int(rate * m))
+                of = of[can]
+                e, first, ways = banded(r[can], t[can], band)
                 edits[of], pos[of] = e, at[of] + first
                 for k, way in zip(of, ways, strict=True):
                     cigar[k] = way
@@ -173,6 +190,64 @@ def _verified(band: int, rate: float):
     return run
 
 
+def _new(c: pa.Array) -> np.ndarray:
+    """Of sorted values: whether each is another than the one before."""
+    if pa.types.is_struct(c.type):
+        return np.logical_or.reduce([_new(f) for f in c.flatten()])
+    new = np.ones(len(c), bool)
+    known = c.is_valid().to_numpy(zero_copy_only=False)
+    new[1:] = pc.not_equal(c[1:], c[:-1]).fill_null(False).to_numpy(zero_copy_only=False) | (known[1:] != known[:-1])
+    return new
+
+
+def _best(t: pa.Table, tries: int, band: int) -> pa.RecordBatch:
+    """Of the hits of whole reads, sorted by _id: the diagonals with most hits of each read, of equals the first by name, strand and
+    place. Hits within one step of band / 2 count as one diagonal, which is where the first of them lies."""
+    ids, d = t.column("_id").combine_chunks(), t.column("_d").to_numpy()
+    read = np.cumsum(_new(ids)) - 1
+    names = t.column("rname").combine_chunks().dictionary_encode()
+    rank = np.argsort(np.argsort(np.array([x.encode() for x in names.dictionary.to_pylist()], object)))
+    side = rank[names.indices.to_numpy()] * 2 + t.column("rev").to_numpy()
+    step = d // band
+    step -= step.min()
+    sides, steps = 2 * len(rank), int(step.max()) + 1
+    if (int(read[-1]) + 1) * sides * steps < 1 << 63:
+        key = (read * sides + side) * steps + step
+        order = np.argsort(key)
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1])
+    else:
+        order = np.lexsort((step, side, read))
+        new = np.append(True, np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in (read, side, step)]))
+    first = np.flatnonzero(new)
+    least, hits, one = np.minimum.reduceat(d[order], first), np.diff(np.append(first, len(d))), order[first]
+    by_hits = np.lexsort((-hits, read[one]))  # stable: of equal ones the order by name, strand and place stays
+    of = read[one][by_hits]
+    kept = by_hits[np.arange(len(of)) - np.searchsorted(of, of) < tries]
+    at = pa.array(one[kept])
+    return pa.RecordBatch.from_arrays([ids.take(at), t.column("rname").combine_chunks().take(at), t.column("rev").combine_chunks().take(at), pa.array(least[kept])], names=["_id", "rname", "rev", "_d"])
+
+
+def _diagonals(tries: int, band: int, at_once: int = 1 << 19):
+    """Hits sorted by _id to the diagonals to try, stretches of whole reads at a time."""
+    def run(batches):
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += len(b)
+            if n >= at_once:
+                t = pa.Table.from_batches(held).combine_chunks()
+                last = int(np.flatnonzero(_new(t.column("_id").combine_chunks()))[-1])  # the last read may go on
+                if last:
+                    yield _best(t.slice(0, last), tries, band)
+                held = t.slice(last).to_batches()
+                n = len(t) - last if last else 0
+        if held:
+            yield _best(pa.Table.from_batches(held).combine_chunks(), tries, band)
+
+    return run
+
+
 def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 
@@ -180,18 +255,19 @@ def reverse_complement(seq: Column) -> Column:
 def places(reads: DataFrame, reference: DataFrame, k: int = K, w: int = W, most_places: int = MOST_PLACES, tries: int = TRIES, band: int = BAND, longest: int = LONGEST, rate: float = RATE) -> DataFrame:
     """_id, rname, rev, pos, edits, cigar and mapq of the best place of each read (_id, seq) that has one. mapq is 0 where another
     place is as good, and grows by 12 for every edit that the next best has more, up to 60."""
-    hits = seeds_of_reads(reads, k, w, longest).join(seeds_of_reference(reference, k, w, most_places).withColumnsRenamed({"at": "_p", "strand": "_s"}), "hash")
+    # Spark estimates what a Python step makes by what it reads, and would have seeds, reads and texts broadcast: all are large
+    seeds = seeds_of_reference(reference, k, w, most_places).withColumnsRenamed({"at": "_p", "strand": "_s"})
+    hits = seeds_of_reads(reads, k, w, longest).join(seeds.hint("merge"), "hash")
     rev = F.col("strand") != F.col("_s")
     diagonal = F.col("_p") - F.when(rev, F.col("_len") - k - F.col("at")).otherwise(F.col("at"))
+    kind = dict(reads.dtypes)["_id"]
     # a diagonal's hits may lie on either side of a border: places are tried in steps of half the band, for reads' gaps move hits
-    counted = hits.select("_id", "rname", rev.alias("rev"), diagonal.alias("_d")).groupBy("_id", "rname", "rev", F.floor(F.col("_d") / band).alias("_b")).agg(F.count(F.lit(1)).alias("_n"), F.min("_d").alias("_d"))
-    # at most a read's seeds times most_places in a row
-    best = counted.groupBy("_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("less"), "rname", "rev", "_d"))), 1, tries).alias("_c"))
-    tried = best.join(reads.select("_id", "seq"), "_id").select("_id", "seq", F.explode("_c").alias("c")).select("_id", "c.rname", "c.rev", F.greatest(F.col("c._d") - band, F.lit(0)).alias("_from"), F.upper(F.when(F.col("c.rev"), reverse_complement(F.col("seq"))).otherwise(F.col("seq"))).alias("_seq"))
+    hits = hits.select("_id", "rname", rev.alias("rev"), diagonal.alias("_d")).repartition("_id").sortWithinPartitions("_id")
+    best = hits.mapInArrow(_diagonals(tries, band), f"_id {kind}, rname string, rev boolean, _d long")
+    tried = best.join(reads.select("_id", "seq").hint("merge"), "_id").select("_id", "rname", "rev", F.greatest(F.col("_d") - band, F.lit(0)).alias("_from"), F.upper(F.when(F.col("rev"), reverse_complement(F.col("seq"))).otherwise(F.col("seq"))).alias("_seq"))
     text = pieces(reference, PIECE, longest + 2 * band).withColumn("_w", F.floor(F.col("start") / PIECE)).drop("rev")
-    tried = tried.withColumn("_w", F.floor(F.col("_from") / PIECE)).join(text, ["rname", "_w"])
+    tried = tried.withColumn("_w", F.floor(F.col("_from") / PIECE)).join(text.hint("merge"), ["rname", "_w"])
     cut = F.substr("text", (F.col("_from") - F.col("start") + 1).cast("int"), (F.length("_seq") + 2 * band).cast("int")).alias("text")
-    kind = dict(reads.dtypes)["_id"]
     found = tried.select("_id", "rname", "rev", "_from", "_seq", cut).mapInArrow(_verified(band, rate), f"_id {kind}, rname string, rev boolean, edits long, pos long, cigar string")
     # one place reached from several diagonals counts once
     once = found.groupBy("_id", "rname", "rev", "pos").agg(F.min(F.struct("edits", "cigar")).alias("e"))

@@ -2,6 +2,8 @@ import gzip
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from quillseq import cli
@@ -139,3 +141,43 @@ def test_align_maps_a_folder_of_reads(spark, tmp_path):
     where = {(r["rname"], r["qname"]) for r in got}
     assert len(got) == 40 and {n for _, n in where} >= {f"q{r[0]}" for r in rows[1:]} and where <= {(r[3], f"q{r[0]}") for r in rows} | {(rows[0][3], "twice")}
     assert bam.chromosomes(f"{tmp_path}/out/pair") == {c: len(s) for c, s in sorted(chroms.items())}
+
+
+def test_seeds_reads_and_texts_are_not_broadcast(spark):
+    """What Python steps make may be many times what Spark takes it for by its input, so no join of theirs is by broadcast."""
+    reads, ref = spark.createDataFrame([(1, "ACGT" * 15)], "_id int, seq string"), spark.createDataFrame([("a", "ACGTTGCA" * 40)], "rname string, seq string")
+    assert "Broadcast" not in mapping.places(reads, ref, k=11, w=5)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_read_that_fits_is_left_out_before_alignment():
+    rng = np.random.default_rng(5)
+    reads = rng.integers(0, 4, (400, 40)).astype(np.uint8)
+    texts = rng.integers(0, 4, (400, 56)).astype(np.uint8)
+    for k in range(300):  # reads in their texts, with up to six edits of any kind
+        made = list(reads[k])
+        for _ in range(k % 7):
+            at = int(rng.integers(0, len(made)))
+            made[at : at + int(rng.integers(0, 2))] = list(rng.integers(0, 5, int(rng.integers(0, 2))))
+        first = int(rng.integers(0, 10))
+        texts[k, first : first + len(made[:46])] = made[: min(46, 56 - first)]
+    edits = mapping.banded(reads, texts, 8)[0]
+    for most in (0, 2, 4, 6):
+        can = mapping.may_match(reads, texts, 8, most)
+        assert can[edits <= most].all() and (most > 4 or not can[300:].any()) and (edits <= most).sum() > 20
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1 << 19])
+def test_best_diagonals_equal_a_count(at_once):
+    rng = random.Random(6)
+    hits = sorted(((k // 9, rng.choice(("b", "a", "chr10", "é")), rng.random() < 0.5, rng.randint(-20, 40)) for k in range(400)), key=lambda x: x[0])
+    want = []
+    for one in sorted({h[0] for h in hits}):
+        by = {}
+        for _, name, rev, d in (h for h in hits if h[0] == one):
+            by.setdefault((name, rev, d // 4), []).append(d)
+        top = sorted((-len(ds), name.encode(), rev, min(ds)) for (name, rev, _), ds in by.items())[:3]
+        want += [((7, one), name.decode(), rev, d) for _, name, rev, d in top]
+    key = pa.array([{"x": 7, "y": h[0]} for h in hits])
+    table = pa.RecordBatch.from_arrays([key, *(pa.array([h[i] for h in hits]) for i in (1, 2, 3))], names=["_id", "rname", "rev", "_d"])
+    got = [r for b in mapping._diagonals(3, 4, at_once)(table.slice(i, 5) for i in range(0, 400, 5)) for r in b.to_pylist()]
+    assert [((r["_id"]["x"], r["_id"]["y"]), r["rname"], r["rev"], r["_d"]) for r in got] == want
