@@ -96,8 +96,9 @@ def gathered(batches, most: int):
         held.append(b)
         size += b.nbytes
         if size >= most:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
+            out = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size, b = [], 0, None  # while the batch is worked on, its parts are not held as well
+            yield out
     if size or held:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()[:1]
 

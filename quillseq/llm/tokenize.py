@@ -17,11 +17,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from quillseq.llm.common import LOWER, SEP_LUT, encoded, pieces, utf8
 
 #: Bytes of text whose distinct words are encoded at once, words in a text given to the library, and texts in a call of it.
 STRETCH, BLOCK, CALL = 16 << 20, 256, 32
+#: Words that a worker remembers with their ids, from one stretch to the next, and bytes of the longest of them.
+KNOWN, LONGEST = 1 << 19, 32
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 _STOP = np.zeros(256, bool)
@@ -47,7 +50,7 @@ def ordinary(path: str):
 @lru_cache(maxsize=4)
 def specials(path: str) -> dict[bytes, int]:
     """Literal strings of the special tokens, and their ids."""
-    return {t.content.encode(): i for i, t in tokenizer(path).get_added_tokens_decoder().items() if t.special}
+    return {t.content.encode(): i for i, t in ordinary(path).get_added_tokens_decoder().items() if t.special}
 
 
 def literals(path: str, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,8 +89,47 @@ def _joined(path: str, raw: list[bytes], ends: np.ndarray) -> tuple[np.ndarray,
     return np.concatenate(ids), np.concatenate(at)
 
 
+def _spread(n: np.ndarray, src: np.ndarray) -> np.ndarray:
+    """Places of stretches of n from src each, one after the other."""
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    small = np.int32 if total < 1 << 31 else np.int64
+    at = np.repeat((src - ends + n).astype(small), n)
+    at += np.arange(total, dtype=small)
+    return at
+
+
+#: Per tokenizer: words, ids and number of ids of each.
+_memo: dict[str, tuple[pa.Array, np.ndarray, np.ndarray]] = {}
+
+
 def word_ids(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of distinct words, one after the other, and the number of each; for tokenizers that drop white space."""
+    """Ids of distinct words, one after the other, and the number of each; for tokenizers that drop white space. What a word's ids
+    are does not depend on others, so words met before in this worker are not encoded again."""
+    known, ids, count = _memo.get(path) or (words.slice(0, 0), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+    at = pc.index_in(words, value_set=known)
+    new = at.is_null()
+    fresh = words.filter(new)
+    got, n = _fresh_ids(path, fresh)
+    new = new.to_numpy(zero_copy_only=False)
+    which = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    which[new] = len(known) + np.arange(len(fresh))
+    ids, count = np.concatenate([ids, got]), np.concatenate([count, n])
+    begin = np.cumsum(count) - count
+    out = ids[_spread(count[which], begin[which])], count[which]
+    kept = pc.less_equal(pc.binary_length(words), LONGEST).to_numpy(zero_copy_only=False)
+    if len(known) + int((new & kept).sum()) <= KNOWN:
+        kept &= new
+        keep = np.concatenate([np.arange(len(known)), which[kept]])
+        names = pa.concat_arrays([known, words.filter(pa.array(kept))])
+    else:  # begun anew, with the words of this stretch
+        first = np.flatnonzero(kept)[:KNOWN]
+        keep, names = which[first], words.take(pa.array(first))
+    _memo[path] = names, ids[_spread(count[keep], begin[keep])], count[keep]
+    return out
+
+
+def _fresh_ids(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if not len(words):
         return np.zeros(0, np.uint32), np.zeros(0, np.int64)
     raw = words.to_pylist()
@@ -110,33 +152,37 @@ def encode(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     sep = SEP_LUT[buf]
     cut = np.zeros(len(buf), bool)
     cut[cuts[:-1]] = True
+    del cuts
     cut[1:] |= _LETTER[buf[:-1]] & _STOP[buf[1:]]
     begin, end, which = literals(path, buf, offs)
     cut[begin] = True
     cut[end[end < len(buf)]] = True
-    real = ~sep
-    place = np.zeros(len(buf) + 1, np.int32 if len(buf) < 1 << 31 else np.int64)
-    np.cumsum(real, out=place[1:])  # where each byte goes once separators are dropped
+    real = np.logical_not(sep, out=sep)
+    # where each cut goes once separators are dropped; documents and literals begin at cuts
+    where = np.flatnonzero(cut)
+    del cut
+    size = np.add.reduceat(real, where, dtype=np.int64)
+    place = np.concatenate([[0], np.cumsum(size)])
+    del size
     text = LOWER[buf[real]]
-    new = place[np.flatnonzero(cut)]
+    del buf, sep, real
+    starts, special = place[np.searchsorted(where, offs)], place[np.searchsorted(where, begin)]
+    new = place[:-1]
     new = np.append(new[np.append(new[1:] != new[:-1], True) & (new < len(text))], len(text))
     if len(new) < 2:
         return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
     uniq, idx = encoded(text, new)
+    first, special = np.searchsorted(new[:-1], starts), np.searchsorted(new, special)
+    del where, place, text, new, starts
     ids, count = word_ids(path, uniq)
+    del uniq
     if len(which):  # a literal is a piece: its id comes after those of the distinct pieces
         idx = idx.astype(np.int64)
-        idx[np.searchsorted(new, place[begin])] = len(count) + np.arange(len(which))
+        idx[special] = len(count) + np.arange(len(which))
         ids, count = np.concatenate([ids, which.astype(np.uint32)]), np.concatenate([count, np.ones(len(which), np.int64)])
     src = np.cumsum(count) - count
-    first = np.searchsorted(new[:-1], place[offs])
-    del buf, sep, cut, real, place, text, new, uniq
     n = count[idx]
-    ends = np.cumsum(n)
-    small = np.int32 if ends[-1] < 1 << 31 else np.int64
-    at = np.repeat((src[idx] - ends + n).astype(small), n)
-    at += np.arange(ends[-1], dtype=small)
-    return ids[at], np.concatenate([[0], ends])[first]
+    return ids[_spread(n, src[idx])], np.concatenate([[0], np.cumsum(n)])[first]
 
 
 def chunks(column: pa.Array, most: int = STRETCH):

@@ -823,3 +823,25 @@ def test_tasks_follow_batches_where_the_session_has_fewer_partitions(spark, docs
                 plan = out._jdf.queryExecution().executedPlan().toString()
                 dealt = re.findall(r"hashpartitioning\(_bid#\d+L?, (\d+)\)", plan)
                 assert dealt and set(dealt) == {"4"}, (k, plan)
+
+
+def test_words_met_before_keep_their_ids(monkeypatch):
+    """Words are encoded once by a worker, in whatever order and company they come, and what it remembers is bounded."""
+    path, rng = token_file.vocabulary(), random.Random(4)
+    t, calls = tokenize.tokenizer(path), []
+    made = tokenize._fresh_ids
+    monkeypatch.setattr(tokenize, "_memo", {})
+    monkeypatch.setattr(tokenize, "KNOWN", 60)
+    monkeypatch.setattr(tokenize, "_fresh_ids", lambda p, w: calls.append(len(w)) or made(p, w))
+    pool = ["".join(rng.choice("abcdefé9-") for _ in range(rng.choice((1, 3, 9, 50)))) for _ in range(90)]
+    for k in range(12):
+        texts = [" ".join(rng.sample(pool, 8)) for _ in range(1 + k % 4)] + ["", None]
+        ids, first = tokenize.encode(path, pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+        names, known, count = tokenize._memo[path]
+        assert len(names) == len(count) <= 60 and count.sum() == len(known) and len(set(names.to_pylist())) == len(names)
+    same = pa.array(["abc def abc"])
+    tokenize.encode(path, same)
+    calls.clear()
+    tokenize.encode(path, same)
+    assert calls == [0]
