@@ -102,13 +102,14 @@ def coverage(bed: DataFrame, keys: tuple[str, ...] = (), span: int = 1 << 16) ->
     per = steps.groupBy(*k, "_span").agg(F.sum("d").alias("_net"), F.min("pos").alias("_first"))
     w = Window.partitionBy(*k).orderBy("_span")
     per = per.withColumns({"_into": F.coalesce(F.sum("_net").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_after": F.lead("_first").over(w)})
-    per = per.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(k)], F.col("_span").alias("_s"), "_into", "_after")
-    cond = [steps[c].eqNullSafe(per[f"_k{i}"]) for i, c in enumerate(k)] + [steps["_span"] == per["_s"]]
-    j = steps.join(per, cond).select(*[steps[c] for c in k], "pos", "d", "_span", "_into", "_after")
-    inner = Window.partitionBy(*k, "_span").orderBy("pos")
-    depth = F.col("_into") + F.sum("d").over(inner.rowsBetween(Window.unboundedPreceding, 0))
-    runs = j.withColumns({"depth": depth, "_next": F.coalesce(F.lead("pos").over(inner), F.col("_after"))})
-    return runs.where("depth > 0").select(*k, F.col("pos").alias("start"), F.col("_next").alias("end"), "depth")
+    # what enters a span comes before its steps and the mark that closes it after them: rows of their own, so nothing need be joined
+    at = dict(steps.dtypes)["pos"]
+    mark = lambda kind, pos, d: F.struct(F.lit(kind).alias("_kind"), pos.cast(at).alias("pos"), d.alias("d"))
+    marks = per.select(*k, "_span", F.explode(F.array(mark(0, F.col("_span") * span, F.col("_into")), mark(2, F.col("_after"), F.lit(0).cast("long")))).alias("x")).select(*k, "_span", "x.*").where("pos IS NOT NULL")
+    inner = Window.partitionBy(*k, "_span").orderBy("pos", "_kind")
+    depth = F.sum("d").over(inner.rowsBetween(Window.unboundedPreceding, 0))
+    runs = steps.withColumn("_kind", F.lit(1)).unionByName(marks).withColumns({"depth": depth, "_next": F.lead("pos").over(inner)})
+    return runs.where("_kind = 1 AND depth > 0").select(*k, F.col("pos").alias("start"), F.col("_next").alias("end"), "depth")
 
 
 def coverage_rpm(bed: DataFrame, keys: tuple[str, ...] = (), span: int = 1 << 16) -> DataFrame:

@@ -369,3 +369,21 @@ def test_lookup_of_met_sequences_equals_the_whole_table(spark):
         whole = {r["variant"]: (r["name"], r["dist"]) for r in barcodes.lookup(bc, m).collect()}
         got = {r["variant"]: (r["name"], r["dist"]) for r in barcodes.lookup_met(bc, m, met).collect()}
         assert got == {v: whole[v] for (v,) in met.distinct().collect() if v in whole} and (m == 0 or got)
+
+
+def test_coverage_joins_nothing_and_keeps_types(spark):
+    """Depth enters a span as a row of its own: the steps are made once, not once for each side of a join."""
+    rng = random.Random(12)
+    rows = [(rng.choice(("a", None)), rng.choice(("c1", "c2", None)), s := rng.randint(-40, 200), s + rng.choice((0, 1, 7, 90))) for _ in range(150)]
+    bed = spark.createDataFrame(rows, "pair string, chrom string, start int, end int")
+    want = []
+    for key in {r[:2] for r in rows}:
+        own = [r for r in rows if r[:2] == key and r[2] < r[3]]
+        places = sorted({x for r in own for x in r[2:]})
+        deep = [(p, sum(r[2] <= p < r[3] for r in own)) for p in places]
+        steps = [x for i, x in enumerate(deep) if i == 0 or x[1] != deep[i - 1][1]]
+        want += [(*key, p, q, d) for (p, d), (q, _) in zip(steps, steps[1:], strict=False) if d]
+    for span in (8, 1 << 16):
+        out = intervals.coverage(bed, ("pair",), span)
+        assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want)) and dict(out.dtypes) == {"pair": "string", "chrom": "string", "start": "int", "end": "int", "depth": "bigint"}
+        assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
