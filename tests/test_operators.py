@@ -340,6 +340,44 @@ def test_large_lookup_tables_are_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_unreadable_mates_are_dealt_to_many_tasks(spark):
+    """Half the mates are N only; by the prefix alone one task would have all of them. A barcode of one letter still meets its reads."""
+    bc = table(spark, [("a", "ACGTAC"), ("g", "GGGGGG"), ("t", "TTGACA")])
+    seqs = ["NNNNNN", "ACGTAC", "NNNNNN", "GGGGGG", "NNNNNN", "TTGACN"]
+    reads = pairs(spark, [(seqs[k % 6] + "AC", seqs[k // 6 % 6] + "GT") for k in range(7200)])
+    large = barcodes.lookup(bc, 1).hint("merge")
+    out = demux.assign(reads, large, large, 6)
+    want, near = {}, {"ACGTAC": "a", "GGGGGG": "g", "TTGACN": "t"}
+    for k in range(7200):
+        pair = "-".join(near.get(seqs[x % 6], "unknown") for x in (k, k // 6))
+        want[pair] = want.get(pair, 0) + 1
+    assert {r["pair"]: r["n"] for r in out.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect()} == want
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = demux.assign(reads, large, large, 6).groupBy(F.spark_partition_id().alias("task")).agg(F.count_if(F.isnull("target2")).alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(tasks) == 4 and all(r["n"] > 0 for r in tasks)
+
+
+def test_report_is_written_in_blocks(spark, monkeypatch):
+    """Blocks of eight keys give the same text as one map; keys keep their order and their escapes; nothing is broadcast."""
+    monkeypatch.setattr(demux, "BLOCK", 3)
+    names = [f'n{k}"\\é-\n' for k in range(100)]
+    tally = spark.createDataFrame([(n, True, k % 2, k % 3, k + 1) for k, n in enumerate(names)] + [(None, False, 0, None, 7), (None, False, None, None, 5)], "pair string, matched boolean, dist1 int, dist2 int, n long")
+    out = demux.report(tally, {"a": 'b"'}, ["AC"], [])
+    body, keys = out.first()["report"], json.loads(out.first()["report"], object_pairs_hook=list)
+    got = json.loads(body)
+    assert got["pair_counts"] == {n: k + 1 for k, n in enumerate(names)} | {"unmatched": 12} and len(out.collect()) == 1
+    assert [k for k, _ in dict(keys)["pair_counts"]] == sorted([*names, "unmatched"])
+    assert got["summary"] == {"total_reads": 5062, "matched": 5050, "unmatched": 12} and got["mismatch_stats"]["r2_no_match"] == 12 and got["mismatch_stats"]["r1_no_match"] == 5
+    assert got["settings"] == {"a": 'b"'} and got["barcodes"] == {"r1": ["AC"], "r2": []}
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    empty = json.loads(demux.report(tally.limit(0), {}, [], []).first()["report"])
+    assert empty["pair_counts"] == {} and empty["summary"]["total_reads"] == 0 and list(empty) == ["version", "mode", "settings", "summary", "mismatch_stats", "pair_counts", "barcodes"]
+
+
 def test_near_barcodes_by_shared_pieces(spark):
     rng = random.Random(9)
     seqs = ["".join(rng.choice("ACGT") for _ in range(rng.choice((0, 1, 2, 5, 8, 8, 8)))) for _ in range(90)]
