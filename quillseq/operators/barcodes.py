@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,30 +28,41 @@ def variants(barcodes: DataFrame, mismatches: int) -> DataFrame:
     return out.select("ord", "name", "variant", "dist")
 
 
-#: Bytes of a row of a lookup table in memory, about.
-ROW = 150
+#: Bytes of a row of a lookup table in memory, about; variants that one task spells out, about.
+ROW, SPELT = 150, 1 << 18
 
 
-def _sized(lut: DataFrame, barcodes: DataFrame, mismatches: int) -> DataFrame:
-    """lut, joined by shuffles where it is larger than what Spark broadcasts. Spark's own estimate is that of the barcodes, before
-    each is spelt out in its variants, and would have large tables broadcast."""
-    spark = barcodes.sparkSession
+def _n_variants(barcodes: DataFrame, mismatches: int) -> float:
+    """Variants of all barcodes, from their lengths, without spelling them out."""
     places = F.length("barcode").cast("double")
     choices, n = F.lit(1.0), F.lit(1.0)
     for d in range(1, mismatches + 1):
         choices = choices * F.greatest(places - (d - 1), F.lit(0.0)) * ((len(BASES) - 1) / d)
         n = n + choices
-    rows = barcodes.agg(F.sum(n)).first()[0] or 0
-    return lut.hint("merge") if rows * ROW > spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold() else lut
+    return barcodes.agg(F.sum(n)).first()[0] or 0
+
+
+def _dealt(barcodes: DataFrame, n: float) -> DataFrame:
+    """barcodes, dealt to tasks by their number of variants n: a file of barcodes is small, and one task would read all of it and
+    spell out all variants."""
+    return barcodes.repartition(math.ceil(n / SPELT), "ord", "barcode") if n > SPELT else barcodes
+
+
+def _sized(lut: DataFrame, n: float) -> DataFrame:
+    """lut of up to n rows, joined by shuffles where it is larger than what Spark broadcasts. Spark's own estimate is that of the
+    barcodes, before each is spelt out in its variants, and would have large tables broadcast."""
+    threshold = lut.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return lut.hint("merge") if n * ROW > threshold else lut
 
 
 def lookup_strict(barcodes: DataFrame, mismatches: int) -> DataFrame:
     """variant, name, dist: the one name at the least distance; none where names tie."""
-    v = variants(barcodes, mismatches)
+    n = _n_variants(barcodes, mismatches)
+    v = variants(_dealt(barcodes, n), mismatches)
     g = v.groupBy("variant").agg(F.min(F.struct("dist", "ord", "name")).alias("m"), F.collect_list(F.struct("dist", "name")).alias("all"))
     tied = F.size(F.array_distinct(F.transform(F.filter("all", lambda x: x["dist"] == F.col("m.dist")), lambda x: x["name"])))
     same_name = F.size(F.filter("all", lambda x: x["dist"] == F.col("m.dist")))
-    return _sized(g.where((tied == 1) & (same_name >= 1)).select("variant", F.col("m.name").alias("name"), F.col("m.dist").alias("dist")), barcodes, mismatches)
+    return _sized(g.where((tied == 1) & (same_name >= 1)).select("variant", F.col("m.name").alias("name"), F.col("m.dist").alias("dist")), n)
 
 
 def _fold(claims: Column) -> Column:
@@ -70,7 +82,8 @@ def lookup(barcodes: DataFrame, mismatches: int) -> DataFrame:
 
     A variant at distance 1 to mismatches - 1 is met more than once while a barcode's variants are made, so such a claim is
     made twice (further repeats change nothing)."""
-    return _sized(_folded(variants(barcodes, mismatches), mismatches), barcodes, mismatches)
+    n = _n_variants(barcodes, mismatches)
+    return _sized(_folded(variants(_dealt(barcodes, n), mismatches), mismatches), n)
 
 
 def _folded(claims: DataFrame, mismatches: int) -> DataFrame:

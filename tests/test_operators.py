@@ -340,6 +340,21 @@ def test_large_lookup_tables_are_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_variants_of_a_small_file_are_spelt_out_by_many_tasks(spark, monkeypatch):
+    """300 barcodes in one partition have 8,700 variants, which nine tasks spell out, not one; a table of few stays as it is."""
+    monkeypatch.setattr(barcodes, "SPELT", 1000)
+    bc = spark.createDataFrame([(k, "".join("ACGT"[k * 7 >> 2 * i & 3] for i in range(7)), f"n{k % 40}") for k in range(300)], "ord long, barcode string, name string").coalesce(1)
+    plan = lambda t: t._jdf.queryExecution().optimizedPlan().toString()
+    for make in (barcodes.lookup, barcodes.lookup_strict):
+        large, few = make(bc, 1), make(bc.limit(30), 1)
+        assert "RepartitionByExpression [ord" in plan(large) and ", 9" in plan(large).split("RepartitionByExpression")[1].splitlines()[0]
+        assert "Repartition" not in plan(few).replace("Repartition 1, false", "")
+        got = lut(large)
+        monkeypatch.setattr(barcodes, "SPELT", 1 << 18)
+        assert got == lut(make(bc, 1)) and len(got) > 4000
+        monkeypatch.setattr(barcodes, "SPELT", 1000)
+
+
 def test_unreadable_mates_are_dealt_to_many_tasks(spark):
     """Half the mates are N only; by the prefix alone one task would have all of them. A barcode of one letter still meets its reads."""
     bc = table(spark, [("a", "ACGTAC"), ("g", "GGGGGG"), ("t", "TTGACA")])
