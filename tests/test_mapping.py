@@ -181,3 +181,56 @@ def test_best_diagonals_equal_a_count(at_once):
     table = pa.RecordBatch.from_arrays([key, *(pa.array([h[i] for h in hits]) for i in (1, 2, 3))], names=["_id", "rname", "rev", "_d"])
     got = [r for b in mapping._diagonals(3, 4, at_once)(table.slice(i, 5) for i in range(0, 400, 5)) for r in b.to_pylist()]
     assert [((r["_id"]["x"], r["_id"]["y"]), r["rname"], r["rev"], r["_d"]) for r in got] == want
+
+
+def repeats_and_reads(rng):
+    """Chromosomes with repeats, unknown bases and lower-case letters, and reads of them with edits, some of no use."""
+    made = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    unit = made(300)
+    chroms = {"chr2": f"{made(2000)}{unit}{made(9000)}{'N' * 30}{unit}", "chr10": f"{unit.lower()}{made(4000)}{unit}{made(500)}", "é": made(700) + unit, "short": "ACG", "empty": "", "ac": "AC" * 300 + made(300)}
+    rows = [(9001, ""), (9002, None), (9003, "A" * 600), (9004, "N" * 60), (9005, "ACG"), (9006, made(60)), (9007, chroms["chr10"][:60])]
+    for i in range(1200):
+        c, n = chroms[rng.choice(("chr2", "chr10", "é", "ac"))], rng.choice((12, 60, 61, 300, 496))
+        a = rng.randrange(0, max(1, len(c) - n))
+        s = changed(rng, c[a : a + n], rng.randrange(0, 1 + n // 12)) if n > 12 else c[a : a + n]
+        rows.append((i, turned(s.upper()) if i % 2 else s))
+    return chroms, rows + [(20000 + a, chroms["chr2"][a : a + 60]) for a in range(300, 3300, 31)]
+
+
+@pytest.mark.parametrize("how", [{"k": 11, "w": 5}, {"k": 8, "w": 3, "most_places": 20}, {"k": 9, "w": 4, "tries": 2, "band": 5}])
+def test_blocks_find_what_joins_find(spark, monkeypatch, how):
+    chroms, rows = repeats_and_reads(random.Random(7))
+    reads, ref = spark.createDataFrame(rows, "_id long, seq string"), spark.createDataFrame(list(chroms.items()), "rname string, seq string")
+    found = lambda **kw: sorted(map(tuple, mapping.places(reads, ref, **how, **kw).collect()))
+    by_joins = found(by_chance=1e9)
+    for name, value in (("BLOCK_READS", 200), ("READS_AT_ONCE", 10000), ("BASES_AT_ONCE", 3000), ("HITS_AT_ONCE", 500), ("BLOCK_PIECE", 1000)):  # borders of every kind
+        monkeypatch.setattr(mapping, name, value)
+    assert len(by_joins) > 900 and found(by_chance=0) == by_joins
+    if how["k"] == 11:  # with several stretches more diagonals are tried, so no place is worse
+        monkeypatch.setattr(mapping, "BLOCK_BASES", 5000)
+        edits = {r[0]: r[4] for r in found(by_chance=0)}
+        assert edits.keys() >= {r[0] for r in by_joins} and all(edits[r[0]] <= r[4] for r in by_joins)
+
+
+def test_hits_met_by_chance_are_not_shuffled(spark):
+    """Short seeds in a long reference: hits grow with reads times reference, what is shuffled with reads and reference."""
+    rng = random.Random(8)
+    seq = "".join(rng.choice("ACGT") for _ in range(20000))
+    reads, ref = spark.createDataFrame([(a, seq[a : a + 60]) for a in range(0, 19900, 40)], "_id int, seq string"), spark.createDataFrame([("a", seq)], "rname string, seq string")
+    short = mapping.places(reads, ref, k=7, w=2)
+    plan = short._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan and "Join" in mapping.places(reads, ref, k=11, w=5)._jdf.queryExecution().executedPlan().toString()
+    assert {r["_id"]: (r["pos"], r["edits"]) for r in short.collect()} == {a: (a, 0) for a in range(0, 19900, 40)}
+    pairs = spark.createDataFrame([("s", a, f"@q{a}", seq[a : a + 60], "I" * 60, f"@q{a}", turned(seq[a + 90 : a + 150]), "I" * 60) for a in range(0, 19800, 400)], "pair string, rec long, name1 string, seq1 string, qual1 string, name2 string, seq2 string, qual2 string")
+    got = mapping.align(pairs, ref, k=7, w=2).where(F.col("flag").bitwiseAND(64) > 0).collect()
+    assert {(r["qname"], r["pos"], r["tlen"], r["flag"]) for r in got} == {(f"q{a}", a, 150, 99) for a in range(0, 19800, 400)}
+
+
+def test_a_read_that_fits_nowhere_has_a_way_too():
+    """Ways with more gaps than the band is wide."""
+    rng = np.random.default_rng(9)
+    reads, texts = rng.integers(0, 4, (300, 496)).astype(np.uint8), rng.integers(0, 4, (300, 506)).astype(np.uint8)
+    edits, first, cigars = mapping.banded(reads, texts, 5)
+    for k in range(300):
+        n, used = edits_along("".join("ACGT"[c] for c in reads[k]), "".join("ACGT"[c] for c in texts[k][first[k] :]), cigars[k])
+        assert n == edits[k] and first[k] + used <= 506
